@@ -45,15 +45,15 @@ _DATE_SQL = (
     f"CASE WHEN regexp_matches(service_date, '{_DATE}') THEN try_cast(substr(service_date, 1, 10) AS date) END"
 )
 _STEPS = f"""{cte("claims")},
-std AS (SELECT {_std_columns()} FROM claims),
-dated AS (SELECT * FROM std WHERE service_date IS NOT NULL AND service_date <> 'nan'),
-priced AS (SELECT * FROM dated WHERE unit_price IS NOT NULL AND quantity IS NOT NULL AND net_amount IS NOT NULL),
-positive AS (SELECT * FROM priced WHERE quantity > 0),
-firsts AS (SELECT * EXCLUDE (rn) FROM (
+std AS MATERIALIZED (SELECT {_std_columns()} FROM claims),
+dated AS MATERIALIZED (SELECT * FROM std WHERE service_date IS NOT NULL AND service_date <> 'nan'),
+priced AS MATERIALIZED (SELECT * FROM dated WHERE unit_price IS NOT NULL AND quantity IS NOT NULL AND net_amount IS NOT NULL),
+positive AS MATERIALIZED (SELECT * FROM priced WHERE quantity > 0),
+firsts AS MATERIALIZED (SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY {_ORDER}) AS rn FROM positive) WHERE rn = 1),
-coded AS (SELECT * FROM firsts WHERE claim_id IS NOT NULL AND claim_id <> 'nan'
+coded AS MATERIALIZED (SELECT * FROM firsts WHERE claim_id IS NOT NULL AND claim_id <> 'nan'
   AND diagnosis_code IS NOT NULL AND diagnosis_code <> 'nan' AND procedure_code IS NOT NULL AND procedure_code <> 'nan'),
-parsed AS (SELECT * REPLACE (
+parsed AS MATERIALIZED (SELECT * REPLACE (
     {_DATE_SQL} AS service_date,
     CASE WHEN currency IS NOT NULL AND regexp_matches(currency, '^[A-Z]{{3}}$') THEN currency ELSE 'USD' END AS currency,
     cast(floor(quantity) AS int) AS quantity) FROM coded),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -98,9 +99,15 @@ SELECT cast(doc_id AS string) AS id, text, source, lang AS shard FROM documents"
 _LIST = re.compile(r"\{list\(([^)]*)\)\}")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One given table; its schema is read from the footers once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _used_tables(text: str) -> list[str]:
