@@ -118,6 +118,7 @@ def run_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Spark SQL over the given tables, without registering session-wide views."""
     text = _LIST.sub(r"array(\1)", text)
     used = _used_tables(text)
+    text = text.replace("{", "{{").replace("}", "}}")
     for name in used:
         text = re.sub(rf"(FROM|JOIN)\s+{name}\b", rf"\1 {{{name}}}", text)
     # A formatted table reference loses the bare table name, which none of the views use as qualifier.
