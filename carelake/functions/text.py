@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character Python's str.strip() removes, and the same set as a regex class
-# that Java's and RE2's engines both read.
+# Every character Python's str.strip() removes.
 SPACE_CODES = [
     *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
     0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 ]
 SPACE_CHARS = "".join(map(chr, SPACE_CODES))
-SPACE_CLASS = (
-    r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
+# The same set for Java's regex engine, whose Unicode \s lacks only the four separators.
+SPACE_CLASS = r"(?U:[\s\x1C\x1D\x1E\x1F])"
 
 
 def strip(c: Column) -> Column:
@@ -42,8 +39,12 @@ def is_missing(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Whitespace-separated words; an empty array for blank text."""
-    body = strip(F.coalesce(c, F.lit("")))
-    return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, SPACE_CLASS + "+"))
+    return F.filter(F.split(F.coalesce(c, F.lit("")), SPACE_CLASS + "+"), lambda w: w != "")
+
+
+def bind(value: Column, expression: Callable[[Column], Column]) -> Column:
+    """``expression`` of ``value``, with ``value`` computed once per row however often it is used."""
+    return F.element_at(F.transform(F.array(value), expression), 1)
 
 
 def first_present(cols: Iterable[Column]) -> Column:

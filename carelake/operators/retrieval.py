@@ -169,9 +169,8 @@ def _cosine_blocks(queries: DataFrame, docs: DataFrame, k: int, schema: str, n_q
 
 def corpus_bm25_stats(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Keyword statistics: (document count, mean length) as one row, and document frequency per term."""
-    token_table = docs.select(tokens(F.col(text)).alias("tokens"))
-    corpus = token_table.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("tokens")).alias("avg_length"))
-    terms = token_table.select(F.explode(F.array_distinct("tokens")).alias("term"))
+    corpus = docs.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size(words(F.col(text)))).alias("avg_length"))
+    terms = docs.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
     return corpus, terms.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
@@ -244,7 +243,7 @@ def _bm25_broadcast(asked: DataFrame, docs: DataFrame, k: int, schema: str, idf:
 
     token_table = docs.select("id", tokens(F.col("text")).alias("tokens"))
     hits = F.filter("tokens", lambda t: t.isin(terms)).alias("hits")
-    return token_table.select("id", F.size("tokens").alias("length"), hits).filter(F.size("hits") > 0).mapInArrow(score, schema)
+    return token_table.select("id", F.size("tokens").alias("length"), hits).mapInArrow(score, schema)
 
 
 def _bm25_join(asked: DataFrame, docs: DataFrame, idf: DataFrame, avg_length: float) -> DataFrame:

@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from carelake.session import tune
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -99,15 +101,32 @@ SELECT cast(doc_id AS string) AS id, text, source, lang AS shard FROM documents"
 _LIST = re.compile(r"\{list\(([^)]*)\)\}")
 
 
-_SCHEMAS: dict[str, StructType] = {}
+# Tables whose rows carry most of the work, and the columns that spread them evenly.
+SPREAD_KEYS = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_shipdate"],
+    "documents": ["doc_id"],
+    "pages": ["page_id"],
+}
+_LAYOUTS: dict[str, tuple[StructType, int]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table; its schema is read from the footers once per process."""
+    """One given table; schema and split count are looked up once per process.
+
+    A table stored in fewer splits than there are cores (one row group, say) is spread over them
+    first. Tables of any size worth the name have more splits and are read as they lie.
+    """
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    if path not in _LAYOUTS:
+        tune(spark)
+        df = spark.read.parquet(path)
+        _LAYOUTS[path] = (df.schema, df.rdd.getNumPartitions() if name in SPREAD_KEYS else 0)
+    schema, splits = _LAYOUTS[path]
+    df = spark.read.schema(schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_KEYS and splits < cores:
+        df = df.repartition(cores, *SPREAD_KEYS[name])
+    return df
 
 
 def _used_tables(text: str) -> list[str]:

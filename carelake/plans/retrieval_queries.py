@@ -6,12 +6,17 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.functions.text import SPACE_CHARS, SPACE_CLASS, slug
+from carelake.functions.text import SPACE_CHARS, slug
 from carelake.operators import corpus, interactions, retrieval
 from carelake.plans.claims_queries import sql_strip
 from carelake.plans.domain import cte, run_sql, table, view
 from carelake.session import scratch_path
 
+# Fixed value: Python's whitespace as a class of the oracle's regex engine.
+SPACE_CLASS = (
+    r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 INDEXED_AT = "2024-02-01 00:00:00"
 

@@ -8,6 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# HotSpot never compiles methods above 8000 bytes of code. Past that, Spark's fused code for a wide
+# projection would run interpreted, so such stages fall back to separately compiled expressions.
+_TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+_DEFAULT_LIMIT = "65535"
+
+
+def tune(spark: SparkSession) -> None:
+    """Session settings the operators profit from; values somebody chose are left alone."""
+    for key, value in _TUNING.items():
+        if spark.conf.get(key, _DEFAULT_LIMIT) == _DEFAULT_LIMIT:
+            spark.conf.set(key, value)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
