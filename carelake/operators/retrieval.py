@@ -207,11 +207,11 @@ def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, shard: str | None =
 
 def _bm25_broadcast(asked: DataFrame, docs: DataFrame, k: int, schema: str, idf: DataFrame, avg_length: float) -> DataFrame:
     rows = asked.collect()
-    wanted = sorted({r["term"] for r in rows})
     ids = list(dict.fromkeys(r["query_id"] for r in rows))
-    # One pass over the vocabulary: its mean idf and the idf of the wanted terms, a bounded list.
-    is_wanted = F.col("term").isin(wanted)
-    mean_idf, found = idf.agg(F.avg("idf"), F.collect_list(F.when(is_wanted, F.struct("term", "idf")))).first()
+    # One pass over the vocabulary: its mean idf and the idf of the wanted terms, whose number is checked.
+    wanted = asked.select("term").distinct().withColumn("wanted", F.lit(True))
+    marked = idf.join(F.broadcast(wanted), "term", "left")
+    mean_idf, found = marked.agg(F.avg("idf"), F.collect_list(F.when(F.col("wanted"), F.struct("term", "idf")))).first()
     known = {r["term"]: r["idf"] if r["idf"] >= 0 else EPSILON * mean_idf for r in found}
     terms = list(known)
     weights = np.zeros((len(ids), len(terms)))
@@ -242,10 +242,15 @@ def _bm25_broadcast(asked: DataFrame, docs: DataFrame, k: int, schema: str, idf:
         yield from best.table(ids, arrow).to_batches()
 
     token_table = docs.select("id", tokens(F.col("text")).alias("tokens"))
-    hits = F.filter("tokens", lambda t: t.isin(terms)).alias("hits")
+    hits = F.expr(f"filter(tokens, t -> t IN ({', '.join(map(_literal, terms)) or 'NULL'}))").alias("hits")
     return token_table.select("id", F.size("tokens").alias("length"), hits).mapInArrow(score, schema)
 
 
+def _literal(text: str) -> str:
+    """A SQL string literal; one parsed list of them is much cheaper to build than as many columns."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _bm25_join(asked: DataFrame, docs: DataFrame, idf: DataFrame, avg_length: float) -> DataFrame:
     mean_idf = idf.agg(F.avg("idf")).first()[0]
     wanted = asked.select("term").distinct()
