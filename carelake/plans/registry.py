@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from carelake.plans import claims_queries, records_queries, retrieval_queries
+from carelake.plans import claims_queries, lake_queries, records_queries, retrieval_queries
 
-_MODULES = [claims_queries, records_queries, retrieval_queries]
+_MODULES = [claims_queries, records_queries, retrieval_queries, lake_queries]
 
 
 def queries() -> dict:
