@@ -170,13 +170,10 @@ def clean_claims(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
 
     Step order: trim, case, missing date, numbers, positive quantity, first row per claim id,
     missing codes, currency, date. A kept first row with a bad date removes the whole claim.
+    Early rejects are left out inside the aggregation: as a filter, Catalyst would push the parsing
+    below the projection and do it twice. Counters nobody asks for are pruned.
     """
-    survivors = standardise(raw).filter(_reject_reason().isNull())
-    first = survivors.groupBy(F.col("claim_id").alias("key_id")).agg(
-        F.min(F.struct(*order_by, *CLAIM_COLUMNS)).alias("claim")
-    )
-    kept = first.filter(~_codes_missing("claim") & parse_date(F.col("claim.service_date")).isNotNull())
-    return _finished(kept.select(*[f"claim.{n}" for n in CLAIM_COLUMNS]))
+    return clean_from_verdicts(claim_verdicts(raw, order_by=order_by))
 
 
 def report_from_verdicts(verdicts: DataFrame, by: Sequence[str] = ()) -> DataFrame:

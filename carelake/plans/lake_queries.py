@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions.rows import drop_blank_values
-from carelake.operators import analytics, cleaning, items, monitoring, retrieval, runs
+from carelake.operators import analytics, cleaning, corpus, monitoring, retrieval, runs
 from carelake.plans.claims_queries import CLEAN_CTE, END_MONTH, ORACLES as CLAIM_ORACLES, clean, sql_strip
 from carelake.plans.domain import VIEWS, cte, run_sql, table, view
-from carelake.plans.retrieval_queries import documents
+from carelake.plans.retrieval_queries import _sql_words, documents
 from carelake.session import scratch_path
 from carelake.sources import readers, writers
 from carelake.streaming import files as file_streams
@@ -116,6 +116,43 @@ def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.join(counts, "table_name")
 
 
+def _lake_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lake tables as CSV, registered as views; supplies has columns but no rows."""
+    root = scratch_path(spark, "lake-csv")
+    lake = {n: view(spark, sf_dir, n) for n in ("conditions", "encounters", "medications", "observations", "patients")}
+    lake["supplies"] = lake["conditions"].limit(0)
+    for name, df in lake.items():
+        writers.export_csv(df, f"{root}/{name}")
+    return readers.load_views(spark, root, list(lake), {n: df.columns for n, df in lake.items()})
+
+
+def _code_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code table with repeated codes, range-sorted over its files, so that the last row is defined."""
+    path = scratch_path(spark, "codes")
+    codes = run_sql(spark, sf_dir, _CODE_ROWS).orderBy("LOINC_NUM", "LONG_COMMON_NAME")
+    codes.write.option("header", True).option("escape", '"').csv(path)
+    return readers.read_code_table(spark, path)
+
+
+_CODE_ROWS = """
+SELECT cast(p_size AS string) AS LOINC_NUM, CASE WHEN p_size % 7 = 0 THEN ' ' ELSE concat(p_name, ' ', p_type) END AS LONG_COMMON_NAME
+FROM part"""
+
+
+def _label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels written as JSON lines, read back and cut into sections."""
+    path = scratch_path(spark, "labels")
+    docs = table(spark, sf_dir, "documents")
+    labels = docs.select(
+        F.col("source").alias("drug_name"),
+        F.struct(F.array(F.col("doc_id").cast("string")).alias("rxcui")).alias("openfda"),
+        F.array("text", F.lit("second")).alias("warnings"),
+    )
+    labels.write.json(path)
+    out = corpus.label_sections(readers.read_label_documents(spark, path))
+    return out.select("id", F.md5("text").alias("hash"), "source")
+
+
 def _index_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard counts over an older table that also knows a shard of its own."""
     docs = documents(spark, sf_dir).withColumn("indexed_at", F.to_timestamp(F.lit("2024-02-01 00:00:00")))
@@ -213,6 +250,9 @@ QUERIES = {
     "roundtrip_strings": _roundtrip_strings,
     "roundtrip_parquet": _roundtrip_parquet,
     "roundtrip_json": _roundtrip_json,
+    "label_files": _label_files,
+    "code_table": _code_table,
+    "lake_views": _lake_views,
     "export_report": _exported,
     "catalog_report": _catalog,
     "index_metadata": _index_metadata,
@@ -264,6 +304,16 @@ SELECT {", ".join(f"{sql_strip(c)} AS {c}" for c in cleaning.CLAIM_COLUMNS)} FRO
     "roundtrip_parquet": CLAIM_ORACLES["clean_claims"],
     "roundtrip_json": """SELECT cast(p_partkey AS string) AS "itemId", p_name AS "itemName",
   cast(cast(p_retailprice AS decimal(18,2)) AS double) AS price, 'EUR' AS currency, p_type || '|' || p_brand AS categories FROM part""",
+    "label_files": f"""WITH w AS (SELECT *, {_sql_words("text")} AS ws FROM documents),
+p AS (SELECT *, unnest(CASE WHEN len(ws) <= 400 THEN [0] ELSE generate_series(0, len(ws) - 1, 350) END) AS s FROM w)
+SELECT 'fda-' || doc_id || '-warnings-' || (s // 350) AS id, md5('FDA Label — ' || source || ' | Warnings:' || chr(10)
+  || CASE WHEN len(ws) <= 400 THEN text ELSE array_to_string(ws[s + 1 : s + 400], ' ') END) AS hash,
+  'FDA Drug Label — ' || source AS source FROM p""",
+    "code_table": f"""WITH c AS ({_CODE_ROWS}) SELECT LOINC_NUM AS code, max(LONG_COMMON_NAME) AS name FROM c
+WHERE trim(LONG_COMMON_NAME) <> '' GROUP BY 1""",
+    "lake_views": f"WITH {cte('conditions', 'encounters', 'medications', 'observations', 'patients')} " + " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in ("conditions", "encounters", "medications", "observations", "patients")
+    ) + " UNION ALL SELECT 'supplies', 0",
     "export_report": f"WITH {cte(*_SIZES)} " + " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS rows, 'created' AS action, NULL AS error, true AS bytes_match FROM {n}" for n in _SIZES
     ),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carelake.functions.rows import flat_text, row_contains
 from carelake.functions.text import contains_text
 from carelake.operators import analytics, items, medications
+from carelake.operators.corpus import top_n_per
 from carelake.plans.claims_queries import CLEAN_CTE, clean
 from carelake.plans.domain import cte, run_sql, table, view
 
@@ -230,7 +231,16 @@ def _medication_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.table_counts({"medication": meds, "generic": other})
 
 
+def _display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of each patient's first five active medications, sorted for display."""
+    meds = view(spark, sf_dir, "medications")
+    top = top_n_per(medications.active_medications(meds), ["patient"], [F.col(c).asc_nulls_first() for c in ("start", *meds.columns)], 5)
+    listed = top.groupBy("patient").agg(F.collect_list("description").alias("names"))
+    return listed.select("patient", analytics.display_names("names").alias("names"))
+
+
 QUERIES = {
+    "display_names": _display,
     "patient_activity": _activity,
     "condition_counts": lambda s, d: analytics.top_counts(view(s, d, "conditions"), "description", 20, "patient_count"),
     "total_rows": lambda s, d: analytics.total_rows(clean(s, d)),
@@ -296,6 +306,11 @@ _STATUS = """CASE WHEN type = 'TaskStateEntered' THEN 'RUNNING' WHEN type = 'Tas
 _STEP_LIST = ", ".join(f"'{s}'" for s in analytics.STEPS)
 
 ORACLES = {
+    "display_names": f"""WITH {cte("medications")}, r AS (SELECT *, row_number() OVER (PARTITION BY patient ORDER BY start NULLS FIRST, id,
+  patient, encounter, code, description, stop NULLS FIRST, base_cost, dispenses, total_cost, reason_code) AS i
+  FROM medications WHERE coalesce(trim(stop), '') = '')
+SELECT patient, coalesce(string_agg(description, ', ' ORDER BY description) FILTER (description <> ''), '') AS names
+FROM r WHERE i <= 5 GROUP BY 1""",
     "patient_activity": f"""WITH {cte("patients", "encounters", "medications", "conditions")}
 SELECT p.first, p.last, p.gender, p.race, count(DISTINCT e.id) AS encounters, count(DISTINCT m.code) AS medications,
   count(DISTINCT c.code) AS conditions

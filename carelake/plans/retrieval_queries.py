@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions.text import SPACE_CHARS, slug
 from carelake.operators import corpus, interactions, retrieval
+from carelake.operators.analytics import distinct_codes
 from carelake.plans.claims_queries import sql_strip
 from carelake.plans.domain import cte, run_sql, table, view
 from carelake.session import scratch_path
@@ -170,16 +171,11 @@ def _label_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "text", "source", F.element_at("metadata", "section").alias("section"))
 
 
-def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from carelake.operators.analytics import distinct_codes
-
-    merged = corpus.merge_code_map(distinct_codes(view(spark, sf_dir, "observations")), corpus.lab_codes(spark))
-    return merged.select("code", corpus.lab_sentence().alias("text"))
+def _code_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.merge_code_map(distinct_codes(view(spark, sf_dir, "observations")), corpus.lab_codes(spark))
 
 
 def _concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from carelake.operators.analytics import distinct_codes
-
     codes = distinct_codes(view(spark, sf_dir, "conditions"))
     synonyms = F.array(F.lower("description"), F.upper("description"), F.initcap("code"), F.lit("fourth"))
     text = corpus.concept_sentence(F.col("code"), F.col("description"), F.concat(F.lit("Priority "), "code", F.lit(".")), synonyms)
@@ -226,7 +222,8 @@ QUERIES = {
     "html_text": lambda s, d: table(s, d, "pages").select("page_id", corpus.html_to_text(F.col("html")).alias("text")),
     "medication_sentences": lambda s, d: corpus.medication_documents(view(s, d, "medications")).select("id", "text", "shard"),
     "medication_metadata": lambda s, d: corpus.medication_documents(view(s, d, "medications")).select("id", F.explode("metadata").alias("name", "value")),
-    "code_sentences": _codes,
+    "code_map": _code_map,
+    "code_sentences": lambda s, d: _code_map(s, d).select("code", corpus.lab_sentence().alias("text")),
     "concept_sentences": _concepts,
     "lab_reference": _lab_reference,
     "label_section_chunks": _label_sections,
@@ -279,6 +276,10 @@ _SPLIT_SENTENCES = (
 )
 _LAB_ROWS = ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in corpus.LAB_CODES)
 _LAB_CTE = f"lab(code, name, unit, reference_range, class) AS (VALUES {_LAB_ROWS})"
+_CODE_MAP_CTE = f"""{cte("observations")}, {_LAB_CTE},
+seen AS (SELECT code, max(description) AS description FROM observations GROUP BY 1),
+m AS (SELECT coalesce(s.code, l.code) AS code, coalesce(l.name, nullif(s.description, ''), s.code) AS name, unit, reference_range,
+  class FROM seen s FULL JOIN lab l ON l.code = s.code)"""
 _MED_SENTENCE = f"""concat_ws(' ',
   'Patient ' || coalesce({sql_strip("patient")}, 'unknown patient') || ' was prescribed ' ||
     coalesce({sql_strip("description")}, 'unknown medication'),
@@ -356,10 +357,9 @@ FROM medications""",
   coalesce(code, '') AS code, coalesce(trim(description), '') AS description, coalesce(start, '') AS start,
   coalesce(stop, '') AS stop, '' AS payer FROM medications)
 UNPIVOT w ON patient, code, description, start, stop, payer INTO NAME name VALUE value""",
-    "code_sentences": f"""WITH {cte("observations")}, {_LAB_CTE},
-seen AS (SELECT code, max(description) AS description FROM observations GROUP BY 1),
-m AS (SELECT coalesce(s.code, l.code) AS code, coalesce(l.name, nullif(s.description, ''), s.code) AS name, unit, reference_range,
-  class FROM seen s FULL JOIN lab l ON l.code = s.code)
+    "code_map": f"""WITH {_CODE_MAP_CTE} SELECT code, name, coalesce(unit, '') AS unit,
+  coalesce(reference_range, '') AS reference_range, coalesce(class, '') AS class FROM m""",
+    "code_sentences": f"""WITH {_CODE_MAP_CTE}
 SELECT code, concat_ws(' ', 'LOINC ' || code || ': ' || name || '.', 'Unit: ' || unit || '.',
   'Reference range: ' || nullif(reference_range, '—') || '.', 'Category: ' || class || '.') AS text FROM m""",
     "concept_sentences": f"""WITH {cte("conditions")}, d AS (SELECT code, max(description) AS description FROM conditions GROUP BY 1)
