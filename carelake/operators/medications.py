@@ -74,7 +74,7 @@ def column_types(df: DataFrame) -> dict[str, str]:
     checks = []
     for i, name in enumerate(df.columns):
         text = blank_to_null(F.col(f"`{name}`"))
-        whole = text.rlike(INTEGER) & text.try_cast("bigint").isNotNull()
+        whole = F.when(text.isNotNull(), text.rlike(INTEGER) & text.try_cast("bigint").isNotNull())
         dotted = text.rlike(NUMBER) & F.contains(text, F.lit("."))
         checks += [
             F.count(text).alias(f"n{i}"),
