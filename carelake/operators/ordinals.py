@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.session import checkpoint_root
+from carelake.session import checkpoint_root, materialise
 
 _POSITION_BITS = 33
 
@@ -19,9 +19,11 @@ def row_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "ordinal") -
     partitions even when executors are lost. Within a partition the position is Spark's own row id;
     partition offsets come from a table with one row per partition, which bounds its broadcast.
     A running row id breaks ties, so even one key filling a third of the table is split by range.
+    The id depends on the order rows arrive in, so it is written down before anything relies on it:
+    a task that is run again after a loss must see the same ids.
     """
     checkpoint_root(df.sparkSession)
-    tied = df.withColumn("__tie", F.monotonically_increasing_id())
+    tied = materialise(df.withColumn("__tie", F.monotonically_increasing_id()), "numbered")
     keys = [F.col(c).asc_nulls_first() for c in order_by] + [F.col("__tie")]
     ordered = tied.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__tie").checkpoint()
     placed = ordered.withColumn("__row_id", F.monotonically_increasing_id()).withColumns(

@@ -42,27 +42,28 @@ def shard_filter(docs: DataFrame, shard: str | None) -> DataFrame:
 
 
 class _Best:
-    """Running top ``k`` per question, ordered by score descending, then id."""
+    """Running top ``k`` per question, ordered by score descending, then id; scores below ``floor`` never enter."""
 
-    def __init__(self, n_queries: int, k: int):
+    def __init__(self, n_queries: int, k: int, floor: float = -math.inf):
         self.k = k
+        self.bar = np.full(n_queries, floor)
         self.scores = [np.empty(0) for _ in range(n_queries)]
         self.ids = [np.empty(0, dtype=object) for _ in range(n_queries)]
 
-    def add(self, scores: np.ndarray, ids: np.ndarray, floor: float = -math.inf) -> None:
-        """``scores`` is questions x documents; only scores above ``floor`` count."""
-        for q, row in enumerate(scores):
-            at_least = self.scores[q][-1] if len(self.scores[q]) == self.k else -math.inf
-            hit = np.flatnonzero((row >= at_least) & (row > floor))
-            if not len(hit):
-                continue
-            s = np.concatenate([self.scores[q], row[hit]])
+    def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
+        """``scores`` is questions x documents; only questions with a contender are looked at."""
+        contends = scores >= self.bar[:, None]
+        for q in np.flatnonzero(contends.any(axis=1)):
+            hit = np.flatnonzero(contends[q])
+            s = np.concatenate([self.scores[q], scores[q, hit]])
             d = np.concatenate([self.ids[q], ids[hit]])
             if len(s) > self.k:
                 keep = s >= np.partition(s, -self.k)[-self.k]
                 s, d = s[keep], d[keep]
             order = sorted(range(len(s)), key=lambda i: (-s[i], d[i]))[: self.k]
             self.scores[q], self.ids[q] = s[order], d[order]
+            if len(order) == self.k:
+                self.bar[q] = max(self.bar[q], s[order[-1]])
 
     def table(self, query_ids: Sequence, schema: pa.Schema) -> pa.Table:
         qs = [query_ids[q] for q, found in enumerate(self.ids) for _ in found]
@@ -134,10 +135,12 @@ def _cosine_broadcast(queries: DataFrame, docs: DataFrame, k: int, schema: str)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(len(ids), k)
+        step = max(1, _DENSE_CELLS // len(ids))
         for batch in batches:
-            if batch.num_rows:
-                found = np.array(batch.column(0).to_pylist(), dtype=object)
-                best.add(_cosine(shipped.value, _matrix(batch.column(1))), found)
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                found = np.array(part.column(0).to_pylist(), dtype=object)
+                best.add(_cosine(shipped.value, _matrix(part.column(1))), found)
         yield from best.table(ids, arrow).to_batches()
 
     return docs.mapInArrow(score, schema)
@@ -225,7 +228,7 @@ def _bm25_broadcast(asked: DataFrame, docs: DataFrame, k: int, schema: str, idf:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weight = shipped.value
         value_set = pa.array(vocabulary, pa.string())
-        best = _Best(len(ids), k)
+        best = _Best(len(ids), k, floor=10.0**-_DIGITS)
         step = max(1, _DENSE_CELLS // max(len(vocabulary), len(ids), 1))
         for batch in batches:
             for at in range(0, batch.num_rows, step):
@@ -238,7 +241,7 @@ def _bm25_broadcast(asked: DataFrame, docs: DataFrame, k: int, schema: str, idf:
                 length = np.asarray(part.column(1), dtype=np.float64)[:, None]
                 saturated = freq * (K1 + 1) / (freq + K1 * (1 - B + B * length / avg_length))
                 found = np.array(part.column(0).to_pylist(), dtype=object)
-                best.add(np.round(weight @ saturated.T, _DIGITS), found, floor=0.0)
+                best.add(np.round(weight @ saturated.T, _DIGITS), found)
         yield from best.table(ids, arrow).to_batches()
 
     token_table = docs.select("id", tokens(F.col("text")).alias("tokens"))
