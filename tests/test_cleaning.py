@@ -133,3 +133,18 @@ def test_slug_and_contains(spark):
     assert df.select(slug(F.col("x"))).first()[0] == "hello-world-" + "z" * 28
     assert df.filter(contains_text(" RIN ", [F.col("x"), F.col("y")])).count() == 1
     assert df.filter(contains_text("  ", [F.col("x")])).count() == 1 and df.filter(contains_text("q", [F.col("y")])).count() == 0
+
+
+def test_dominant_claim_id_shrinks_before_the_shuffle(spark):
+    """One id on a third of the rows: the result is whole, and tasks hand on one row per id."""
+    base = claims(spark, {}).drop("claim_id", "patient_id")
+    ids = spark.range(0, 3000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("claim_id"),
+        F.format_string("%05d", F.col("id")).alias("patient_id"),
+    )
+    raw = ids.join(F.broadcast(base.withColumn("k", F.lit(1))), F.lit(1) == F.col("k")).drop("k")
+    out = cleaning.clean_claims(raw)
+    assert out.count() == 2001 and out.filter("claim_id = 'hot'").first().patient_id == "00000"
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_min") > plan.index("Exchange")
+    assert cleaning.quality_report(raw).first().dropped_duplicate_claims == 999
