@@ -1,6 +1,6 @@
 """Mixing sources to target weights by weighted fair queueing, with DataFrame functions alone.
 
-Every source is shuffled by a hash. A document's virtual finish time is the number of words of its source up to and with
+Every source is shuffled by the MD5 of document id, size and source. A document's virtual finish time is the number of words of its source up to and with
 it, divided by the source's target. Sorted by that time, all sources advance in proportion to their targets; the order is
 cut where the words taken reach the total budget. A source may go round twice; its second pass follows its first.
 
@@ -63,9 +63,10 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     sources = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     planned = materialise(targets(sources, weights, share, passes), "mixing-targets")
     n_buckets = _power(n_rows / BUCKET_ROWS)
-    shuffled = F.xxhash64("doc_id", "source", "size")
-    rows = base.withColumn("place", shuffled).withColumn("bucket", F.pmod(F.xxhash64("place"), F.lit(n_buckets)))
-    rows = rows.withColumn("queue", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
+    queue = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
+    rows = base.withColumn("queue", queue).withColumn("place", F.md5(F.concat_ws("/", F.col("doc_id").cast("string"), F.col("size").cast("string"), "queue")))
+    # the bucket grows with the place, so the order of a queue does not depend on the number of buckets
+    rows = rows.withColumn("bucket", F.floor(F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * n_buckets / 2**32).cast("long"))
     planned = planned.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("queue"), "source_size", "target")
     sums = rows.groupBy("queue", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("queue").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

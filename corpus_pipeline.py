@@ -13,6 +13,13 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _unused(name: str, docs: DataFrame) -> str:
+    """``name``, lengthened until the table has no such column."""
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity score stays below the threshold. Null and empty texts stay; all columns pass."""
     score = toxicity.score_udf(*toxicity.train(docs, _labels(spark, sf_dir)))
@@ -31,20 +38,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that repeat the id and text of a kept row stay too. Texts without words link with nothing and stay.
     """
     classes = jaccard.near_duplicates(docs, with_key=True)
-    gone = materialise(classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("row_key").distinct(), "pipeline-gone")
+    name = _unused("row_key", docs)
+    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("row_key").alias(name)).distinct()
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.join(gone, key == F.col("row_key"), "left_anti")
+    return docs.join(materialise(gone, "pipeline-gone"), key == F.col(name), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; all columns pass. Rows with equal id, source and text are one."""
-    key = F.xxhash64("doc_id", "source", "text")
-    mixed = mixing.mix(docs.withColumn("mix_key", key), keep=("mix_key",)).groupBy("mix_key").agg(F.sum("times").alias("mix_times"), F.count("*").alias("mix_rows"))
-    mixed = materialise(mixed.where("mix_times > 0"), "pipeline-mix")
-    rows = docs.join(mixed, key == F.col("mix_key"))
-    if not mixed.where("mix_rows > 1").isEmpty():
-        rows = rows.dropDuplicates(["mix_key"])
-    return rows.withColumn("mix_turn", F.explode(F.sequence(F.lit(1), F.col("mix_times").cast("int")))).select(*docs.columns)
+    key, name, turns, turn = F.xxhash64("doc_id", "source", "text"), *(_unused(n, docs) for n in ("mix_key", "mix_turns", "mix_turn"))
+    mixed = mixing.mix(docs.select("doc_id", "source", "text", key.alias(name)), keep=(name,))
+    mixed = mixed.groupBy(name).agg(F.sum("times").cast("int").alias(turns), F.count("*").alias("rows"))
+    mixed = materialise(mixed.where(F.col(turns) > 0), "pipeline-mix")
+    rows = docs.join(mixed.drop("rows"), key == F.col(name))
+    if not mixed.where("rows > 1").isEmpty():
+        rows = rows.dropDuplicates([name])
+    return rows.withColumn(turn, F.explode(F.sequence(F.lit(1), turns))).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
