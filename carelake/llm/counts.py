@@ -30,10 +30,9 @@ def frequent_lengths(documents: DataFrame, tokenizer: str = tokens.BYTE_BPE, uni
         encoder = tokens.encoder(tokenizer)
         for batch in batches:
             for part in tokens.slices(batch.column(0)):
-                found = encoder.units(part)[0]
-                counts = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
-                keep = pc.less_equal(pc.binary_length(found.dictionary), UNIT_BYTES)
-                yield pa.RecordBatch.from_arrays([found.dictionary.filter(keep), pa.array(counts[keep.to_numpy(zero_copy_only=False)], pa.int64())], ["unit", "n"])
+                found = encoder.units(part)
+                keep = pc.less_equal(pc.binary_length(found.pieces), UNIT_BYTES)
+                yield pa.RecordBatch.from_arrays([found.pieces.filter(keep), pa.array(found.counts()[keep.to_numpy(zero_copy_only=False)])], ["unit", "n"])
 
     counted = chosen.mapInArrow(count_task, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "unit").limit(units).toArrow()
@@ -59,15 +58,14 @@ def token_counts(documents: DataFrame, tokenizer: str = tokens.BYTE_BPE, limit:
         for batch in batches:
             at = 0
             for part in tokens.slices(batch.column("text")):
-                found, off = encoder.units(part)
-                place = pc.fill_null(pc.index_in(found.dictionary, value_set=known), -1).to_numpy(zero_copy_only=False)
+                found = encoder.units(part)
+                place = pc.fill_null(pc.index_in(found.pieces, value_set=known), -1).to_numpy(zero_copy_only=False)
                 lens = np.zeros(len(place), np.int64)
                 hit = place >= 0
                 lens[hit] = known_lengths[place[hit]]
                 if not hit.all():
-                    lens[~hit] = encoder.lengths(found.dictionary.filter(pa.array(~hit)))
-                total = np.concatenate(([0], np.cumsum(lens[found.indices.to_numpy()])))
-                n = total[off[1:]] - total[off[:-1]]
+                    lens[~hit] = encoder.lengths(found.pieces.filter(pa.array(~hit)))
+                n = found.lengths(lens)
                 size = pc.fill_null(pc.binary_length(part), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), size, pa.array(n, pa.int64()), pa.array(n > limit)], schema=_ARROW)
                 at += len(part)

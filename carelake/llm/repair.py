@@ -29,7 +29,7 @@ END_ID = 0
 BLOCK_IDS = 1 << 20
 ROUNDS = 4
 #: Rules a round may add; all rounds together stay below 2**16.
-ROUND_RULES = 2_048
+ROUND_RULES = 4_096
 #: Occurrences that make a pair worth a rule.
 LEAST = 16
 NONTERMINAL = 1 << 16
@@ -37,16 +37,29 @@ MANIFEST = "shard int, file string, documents long, ids long, bytes long, sha1 s
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 _HEAD = "<6Q"
-_BUCKETS = 20
+_BUCKETS = 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _peaks(weight: np.ndarray) -> np.ndarray:
+    """Positions of local maxima, no two of them adjacent; on a plateau every second position."""
+    starts = np.flatnonzero(np.concatenate(([True], weight[1:] != weight[:-1])))
+    value = weight[starts]
+    peak = value > 0
+    peak[1:] &= value[1:] > value[:-1]
+    peak[:-1] &= value[:-1] > value[1:]
+    lens = np.diff(np.append(starts, len(weight)))[peak]
+    picks = (lens + 1) // 2
+    first = np.cumsum(picks) - picks
+    return np.repeat(starts[peak] - 2 * first, picks) + 2 * np.arange(picks.sum())
+
+
 def replace_pairs(symbols: np.ndarray, firsts: np.ndarray, rounds: int = ROUNDS, round_rules: int = ROUND_RULES, least: int = LEAST):
     """(symbols, first symbol per document, rules) after Re-Pair rounds over one block.
 
     Each round counts adjacent pairs, takes the most frequent ones and replaces those occurrences that beat both
-    neighbouring pairs in frequency, so no two replacements overlap. Counts first go by hash bucket, then exactly for
-    pairs in the fullest buckets.
+    neighbouring pairs in frequency, then in the same way what is left between them, so no two replacements overlap. Pairs are first counted by hash bucket, then exactly
+    for one pair of each of the fullest buckets.
     """
     rules: list[np.ndarray] = []
     n_rules = 0
@@ -57,25 +70,32 @@ def replace_pairs(symbols: np.ndarray, firsts: np.ndarray, rounds: int = ROUNDS,
         cuts = firsts[(firsts > 0) & (firsts < len(symbols))] - 1
         inner[cuts] = False
         pair = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        bucket = ((pair * _ODD) >> np.uint64(64 - _BUCKETS)).astype(np.int64)
+        bucket = ((pair * _ODD) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
         filled = np.bincount(bucket[inner], minlength=1 << _BUCKETS)
-        top = np.partition(filled, -2 * round_rules)[-2 * round_rules]
-        at = np.flatnonzero(inner & (filled[bucket] >= max(least, top)))
-        if not len(at):
-            break
-        distinct, which, count = np.unique(pair[at], return_inverse=True, return_counts=True)
-        best = np.lexsort((distinct, -count))[:round_rules]
-        best = best[count[best] >= least]
-        weight = np.zeros(len(distinct), np.int64)
-        weight[best] = count[best]
-        here = np.zeros(len(symbols) + 1, np.int64)
-        here[at + 1] = weight[which]
-        mid = here[1:-1]
-        wins = np.flatnonzero((mid > 0) & (mid > here[2:]) & (mid >= here[:-2]))
+        full = np.flatnonzero(filled >= max(least, np.partition(filled, -round_rules)[-round_rules]))
+        full = np.sort(full[np.argsort(-filled[full], kind="stable")[:round_rules]])
+        number = np.full(1 << _BUCKETS, -1, np.int32)
+        number[full] = np.arange(len(full))
+        which = number[bucket]
+        at = np.flatnonzero(inner & (which >= 0))
+        # a full bucket stands for one of its pairs; others that share it wait for a later round
+        leader = np.zeros(len(full), np.uint64)
+        leader[which[at]] = pair[at]
+        at = at[pair[at] == leader[which[at]]]
+        count = np.bincount(which[at], minlength=len(full))
+        weight = np.zeros(len(pair), np.int64)
+        weight[at] = np.where(count >= least, count, 0)[which[at]]
+        wins = _peaks(weight)
+        for beside in (wins, wins - 1, wins + 1):
+            weight[beside[(beside >= 0) & (beside < len(weight))]] = 0
+        wins = np.sort(np.concatenate((wins, _peaks(weight))))
         if not len(wins):
             break
-        used, rule = np.unique(pair[wins], return_inverse=True)
-        rules.append(np.stack((used >> np.uint64(32), used & np.uint64(0xFFFFFFFF)), axis=1).astype(np.uint32))
+        used = np.flatnonzero(np.bincount(which[wins], minlength=len(full)))
+        number = np.zeros(len(full), np.int64)
+        number[used] = np.arange(len(used))
+        rule, pairs = number[which[wins]], leader[used]
+        rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)), axis=1).astype(np.uint32))
         symbols = symbols.copy()
         symbols[wins] = (NONTERMINAL + n_rules + rule).astype(np.uint32)
         n_rules += len(used)

@@ -1,16 +1,19 @@
 """Token ids of whole text columns by a public tokenizer file, with each distinct piece of text encoded once.
 
-A text is cut into units at places where a byte-level BPE with the usual pre-token pattern always cuts: before a space,
-between a letter or digit and a punctuation mark, and around a line feed that has no other white space beside it. Texts where such a cut could change the result (a space
-inside a longer run of white space, special strings) go to the tokenizer whole. The ids of a unit do not depend on its
-neighbours, so encoding the distinct units gives the library's result for the text.
+A text is cut into units before every space, which is where a byte-level BPE with the usual pre-token pattern also cuts,
+unless the space stands inside a longer run of white space; texts with such a space, and texts with special strings, go
+to the tokenizer whole. A distinct unit is cut further between a letter or digit and a punctuation mark, and around single
+line feeds. The ids of such a piece do not depend on its neighbours, so joining the ids of distinct pieces gives the
+library's result for the text.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,7 @@ BATCH = 16 << 20
 
 _W = "[\\x09-\\x0d \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _MARK = "\x01"
+_LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 #: Functions of this library reach workers by value, so what a worker keeps between tasks lives in a module of its own.
 _KEPT = "carelake_worker_state"
 
@@ -58,6 +62,75 @@ def slices(column: pa.Array, size: int = BATCH):
         first = last
 
 
+class Units:
+    """The units of some texts: distinct ones as lists of pieces, and for every text the units it is made of."""
+
+    def __init__(self, column: pa.Array, special: str):
+        column = column.cast(pa.string()).fill_null("")
+        lists = pc.split_pattern(column, " ")
+        off = lists.offsets.to_numpy().astype(np.int64)
+        self.off = off - off[0]
+        found = lists.flatten().dictionary_encode()
+        n = len(found.dictionary)
+        self.codes = found.indices.to_numpy().astype(np.int64)
+        is_first = np.zeros(len(self.codes), bool)
+        is_first[self.off[:-1]] = True  # splitting gives every text a unit at least
+        # a unit that begins a text has no space of its own; it is another distinct unit
+        begin, place = np.unique(self.codes[is_first], return_inverse=True)
+        self.codes[is_first] = n + place
+        spaced = pc.binary_join_element_wise("", found.dictionary, " ")
+        units = pa.concat_arrays([spaced, found.dictionary.take(pa.array(begin))])
+        flag = lambda pattern: pc.match_substring_regex(units, pattern).to_numpy(zero_copy_only=False)
+        whole = flag(special)
+        bad = whole[self.codes]
+        ends, begins = flag(f"{_W}\\z"), flag(f"\\A (?:{_W}|\\z)")
+        inside = ends[self.codes[:-1]] & begins[self.codes[1:]]
+        inside[self.off[1:-1] - 1] = False
+        bad[1:] |= inside
+        at = np.flatnonzero(bad)
+        if len(at):  # these texts are one unit each
+            texts = np.unique(np.searchsorted(self.off, at, "right") - 1)
+            lens = np.diff(self.off)
+            keep = np.ones(len(self.codes), bool)
+            for t in texts:
+                keep[self.off[t] + 1 : self.off[t + 1]] = False
+                self.codes[self.off[t]] = len(units) + int(np.searchsorted(texts, t))
+            lens[texts] = 1
+            self.codes = self.codes[keep]
+            self.off = np.concatenate(([0], np.cumsum(lens)))
+        cut = pc.replace_substring_regex(units, "([\\p{L}\\p{N}])([!-/:-@\\[-`{-~])", "\\1" + _MARK + "\\2")
+        lines = pc.replace_substring(cut, "\n", _MARK + "\n" + _MARK)
+        cut = pc.if_else(pa.array(whole), units, pc.if_else(pa.array(flag(f"{_W}\n|\n{_W}|\n\\z")), cut, lines))
+        pieces = pc.split_pattern(cut, _MARK)
+        if whole.any():
+            pieces = pa.array([[u] if w else p for u, w, p in zip(units.to_pylist(), whole, pieces.to_pylist(), strict=True)], pa.list_(pa.string()))
+        if len(at):
+            pieces = pa.concat_arrays([pieces.cast(pa.list_(pa.string())), pa.array([[column[int(t)].as_py()] for t in texts], pa.list_(pa.string()))])
+        piece_off = pieces.offsets.to_numpy().astype(np.int64)
+        self.piece_off = piece_off - piece_off[0]
+        found = pieces.flatten().dictionary_encode()
+        #: Distinct pieces, and those that each distinct unit is made of.
+        self.pieces, self.piece_codes = found.dictionary, found.indices.to_numpy().astype(np.int64)
+
+    def counts(self) -> np.ndarray:
+        """How often each distinct piece occurs."""
+        used = np.bincount(self.codes, minlength=len(self.piece_off) - 1)
+        return np.bincount(self.piece_codes, np.repeat(used, np.diff(self.piece_off)), len(self.pieces)).astype(np.int64)
+
+    def lengths(self, of_pieces: np.ndarray) -> np.ndarray:
+        """Sum over each text of a number given per distinct piece."""
+        total = np.concatenate(([0], np.cumsum(of_pieces[self.piece_codes])))
+        of_units = total[self.piece_off[1:]] - total[self.piece_off[:-1]]
+        total = np.concatenate(([0], np.cumsum(of_units[self.codes])))
+        return total[self.off[1:]] - total[self.off[:-1]]
+
+
+def _gather(pool: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pool[starts[i] : starts[i] + lens[i]] joined, offsets)."""
+    ends = np.concatenate(([0], np.cumsum(lens, dtype=np.int64)))
+    return pool[np.repeat(starts - ends[:-1], lens) + np.arange(ends[-1])], ends
+
+
 class Encoder:
     def __init__(self, name: str, cache_units: int = CACHE_UNITS):
         from tokenizers import Tokenizer
@@ -65,7 +138,14 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(" " in s for s in special):
+            raise ValueError("special strings with a space are not supported")
         self.special = "|".join(["\\Q" + s + "\\E" for s in special] + [_MARK])
+        # one character per byte, as the model's vocabulary spells bytes
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = [b for b in range(256) if b not in printable]
+        self.spelling = {b: 256 + i for i, b in enumerate(others)}
+        self.space = chr(self.spelling[32])
         self.cache_units = cache_units
         self.forget()
 
@@ -73,15 +153,29 @@ class Encoder:
         self.codes: dict[str, int] = {}
         self.pool = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
-        self.lens = np.zeros(1 << 14, np.int32)
+        self.lens = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _learn(self, units: list[str]) -> None:
-        for i in range(0, len(units), 20_000):
-            part = units[i : i + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+    def _ids(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces: a run of letters is one pre-token and goes straight to the model, the rest to the tokenizer."""
+        out: list = [None] * len(pieces)
+        rest, tokenize, match = [], self.tokenizer.model.tokenize, _LETTERS.fullmatch
+        for i, p in enumerate(pieces):
+            if match(p):
+                p = p.replace(" ", self.space) if p.isascii() else p.encode().decode("latin-1").translate(self.spelling)
+                out[i] = [t.id for t in tokenize(p)]
+            else:
+                rest.append(i)
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = e.ids
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        for i in range(0, len(pieces), 20_000):
+            part = pieces[i : i + 20_000]
+            ids = self._ids(part)
             lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((x for one in ids for x in one), np.uint32, int(lens.sum()))
+            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum()))
             n = len(self.codes)
             while self.used + len(flat) > len(self.pool):
                 self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
@@ -94,46 +188,30 @@ class Encoder:
             self.codes.update(zip(part, range(n, n + len(part)), strict=True))
             self.used += len(flat)
 
-    def _codes(self, units: pa.Array) -> np.ndarray:
-        distinct = units.to_pylist()
+    def _codes(self, pieces: pa.Array) -> np.ndarray:
+        distinct = pieces.to_pylist()
         if len(self.codes) + len(distinct) > self.cache_units:
             self.forget()
-        missing = [u for u in distinct if u not in self.codes]
+        missing = [p for p in distinct if p not in self.codes]
         if missing:
             self._learn(missing)
         return np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
 
-    def units(self, column: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-        """(distinct units with a code per unit, unit offsets per text); null counts as empty."""
-        column = column.cast(pa.string()).fill_null("")
-        whole = pc.match_substring_regex(column, f"{_W} {_W}|{_W} \\z|{self.special}")
-        runs = pc.match_substring_regex(column, f"{_W}\n|\n{_W}|\n\\z")
-        marked = pc.replace_substring(column, " ", _MARK + " ")
-        marked = pc.replace_substring_regex(marked, "([\\p{L}\\p{N}])([!-/:-@\\[-`{-~])", "\\1" + _MARK + "\\2")
-        lines = pc.replace_substring(marked, "\n", _MARK + "\n" + _MARK)
-        marked = pc.if_else(whole, column, pc.if_else(runs, marked, lines))
-        if pc.any(whole).as_py():
-            lists = pa.array(
-                [[t] if w else s for t, w, s in zip(column.to_pylist(), whole.to_pylist(), pc.split_pattern(marked, _MARK).to_pylist(), strict=True)],
-                pa.list_(pa.string()),
-            )
-        else:
-            lists = pc.split_pattern(marked, _MARK)
-        off = lists.offsets.to_numpy()
-        return lists.flatten().dictionary_encode(), off - off[0]
+    def units(self, column: pa.Array) -> Units:
+        return Units(column, self.special)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets per text), as the library gives them without added special tokens."""
         if not len(column):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        units, unit_off = self.units(column)
-        code = self._codes(units.dictionary)[units.indices.to_numpy()] if len(units) else np.zeros(0, np.int64)
-        lens = self.lens[code].astype(np.int64)
-        ends = np.concatenate(([0], np.cumsum(lens)))
-        index = np.repeat(self.starts[code] - ends[:-1], lens) + np.arange(ends[-1])
-        return self.pool[index], ends[unit_off]
-
-    def lengths(self, units: pa.Array) -> np.ndarray:
-        """Token counts of distinct units, from the cache or the library."""
-        codes = self._codes(units)
+        units = self.units(column)
+        code = self._codes(units.pieces)[units.piece_codes]
+        pool, ends = _gather(self.pool, self.starts[code], self.lens[code])
+        starts = ends[units.piece_off]
+        ids, ends = _gather(pool, starts[units.codes], np.diff(starts)[units.codes])
+        return ids, ends[units.off]
+
+    def lengths(self, pieces: pa.Array) -> np.ndarray:
+        """Token counts of distinct pieces, from the cache or the library."""
+        codes = self._codes(pieces)
         return self.lens[codes]
