@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions.text import blank_to_null
+from carelake.session import materialise
 
 
 def top_counts(df: DataFrame, col: str, n: int | None = None, name: str = "count") -> DataFrame:
@@ -17,35 +19,52 @@ def top_counts(df: DataFrame, col: str, n: int | None = None, name: str = "count
     return out.limit(n) if n else out
 
 
-def billing_view(claims: DataFrame, encounters: DataFrame) -> DataFrame:
-    """Clean claims with the billed amount, payer and encounter class of their encounter."""
-    side = encounters.select(F.col("id").alias("encounter"), F.col("payer").alias("payer_name"), "encounter_class")
-    billed = claims.withColumns({"total_amount": F.col("net_amount"), "encounter": F.substring_index("claim_id", "-", 1)})
-    return billed.join(side, "encounter", "left")
+def billed(claims: DataFrame) -> DataFrame:
+    """Clean claims with the billed amount and the encounter they belong to."""
+    return claims.withColumns({"total_amount": F.col("net_amount"), "encounter": F.substring_index("claim_id", "-", 1)})
 
 
-def amount_by(billing: DataFrame, col: str, total: str) -> DataFrame:
-    """Claims and rounded billed total per value."""
-    return billing.groupBy(col).agg(F.count(F.lit(1)).alias("claims"), F.round(F.sum("total_amount"), 2).alias(total))
+def billing_by_encounter(claims: DataFrame, encounters: DataFrame, col: str) -> DataFrame:
+    """Claims, priced claims and billed total per value of an encounter column.
 
+    Claims are summed per encounter before the join, and an encounter id that occurs several times
+    counts once (its smallest row), so neither side multiplies the other.
+    """
+    sums = billed(claims).groupBy("encounter").agg(
+        F.count(F.lit(1)).alias("claims"), F.count("total_amount").alias("priced"), F.sum("total_amount").alias("total")
+    )
+    side = encounters.groupBy(F.col("id").alias("encounter")).agg(F.min(F.struct(col)).alias("first"))
+    joined = sums.join(side, "encounter", "left").groupBy(F.col(f"first.{col}").alias(col))
+    return joined.agg(F.sum("claims").alias("claims"), F.sum("priced").alias("priced"), F.sum("total").alias("total"))
 
-def claims_by_status(billing: DataFrame) -> DataFrame:
-    return amount_by(billing, "status", "total_billed").orderBy(F.col("claims").desc(), "status")
 
+def amount_by(claims: DataFrame, col: str, total: str) -> DataFrame:
+    """Claims and rounded billed total per value of a claim column."""
+    return billed(claims).groupBy(col).agg(F.count(F.lit(1)).alias("claims"), F.round(F.sum("total_amount"), 2).alias(total))
 
-def claims_by_date(billing: DataFrame, newest: int = 30) -> DataFrame:
-    return amount_by(billing, "service_date", "total_billed").orderBy(F.col("service_date").desc()).limit(newest)
 
+def claims_by_status(claims: DataFrame) -> DataFrame:
+    return amount_by(claims, "status", "total_billed").orderBy(F.col("claims").desc(), "status")
 
-def payer_distribution(billing: DataFrame) -> DataFrame:
-    out = billing.groupBy("payer_name").agg(
-        F.count(F.lit(1)).alias("claims"), F.round(F.avg("total_amount"), 2).alias("avg_amount")
-    )
+
+def claims_by_date(claims: DataFrame, newest: int = 30) -> DataFrame:
+    return amount_by(claims, "service_date", "total_billed").orderBy(F.col("service_date").desc()).limit(newest)
+
+
+def payer_distribution(claims: DataFrame, encounters: DataFrame) -> DataFrame:
+    sums = billing_by_encounter(claims, encounters, "payer")
+    out = sums.select(F.col("payer").alias("payer_name"), "claims", F.round(F.col("total") / F.col("priced"), 2).alias("avg_amount"))
     return out.orderBy(F.col("claims").desc(), "payer_name")
 
 
-def top_patients_by_spend(billing: DataFrame, n: int = 10) -> DataFrame:
-    return amount_by(billing, "patient_id", "total_spend").orderBy(F.col("total_spend").desc(), "patient_id").limit(n)
+def encounter_classes(claims: DataFrame, encounters: DataFrame) -> DataFrame:
+    """Claims per encounter class."""
+    sums = billing_by_encounter(claims, encounters, "encounter_class").select("encounter_class", "claims")
+    return sums.orderBy(F.col("claims").desc(), "encounter_class")
+
+
+def top_patients_by_spend(claims: DataFrame, n: int = 10) -> DataFrame:
+    return amount_by(claims, "patient_id", "total_spend").orderBy(F.col("total_spend").desc(), "patient_id").limit(n)
 
 
 def patient_activity(
@@ -137,9 +156,10 @@ def preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame:
 def limited_result(df: DataFrame, order_by: Sequence[str], limit: int) -> tuple[DataFrame, bool]:
     """At most ``limit`` rows and whether the result was cut there.
 
-    Like the hosted query client, a result that reaches the limit counts as truncated.
+    Like the hosted query client, a result that reaches the limit counts as truncated. The rows are
+    stored, so that counting and reading them runs the query once.
     """
-    rows = df.orderBy(*order_by).limit(limit)
+    rows = materialise(df.orderBy(*order_by).limit(limit), "limited")
     return rows, rows.count() >= limit
 
 
@@ -174,7 +194,14 @@ COLUMN_ALIASES = {
 }
 
 
-def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
-    """Register tables as SQL views, with their alias columns."""
-    for name, df in tables.items():
-        with_aliases(df, COLUMN_ALIASES.get(name, {})).createOrReplaceTempView(name)
+def sql_over(spark: SparkSession, text: str, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """SQL over named frames, with their alias columns, without registering session-wide views.
+
+    Names after FROM and JOIN are bound to the frames; a frame that is used as a qualifier needs an
+    alias in the text.
+    """
+    used = {n: df for n, df in tables.items() if re.search(rf"(FROM|JOIN)\s+{n}\b", text)}
+    text = text.replace("{", "{{").replace("}", "}}")
+    for name in used:
+        text = re.sub(rf"(FROM|JOIN)\s+{name}\b", rf"\1 {{{name}}}", text)
+    return spark.sql(text, **{n: with_aliases(df, COLUMN_ALIASES.get(n, {})) for n, df in used.items()})

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from carelake.functions.dates import parse_date
 from carelake.functions.numbers import nullable_number
-from carelake.functions.rows import row_hash
+from carelake.functions.rows import null_safe_equal
 from carelake.functions.text import blank_to_null, is_missing, strip, strip_or_empty
-from carelake.operators.ordinals import row_ordinal
 
 # The claims schema, in column order.
 CLAIM_TYPES = {
@@ -43,12 +42,6 @@ CURRENCY = "^[A-Z]{3}$"
 DEFAULT_CURRENCY = "USD"
 
 
-def trim_strings(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Strip all whitespace from the listed string columns, by default every string column."""
-    names = cols or [name for name, dtype in df.dtypes if dtype == "string"]
-    return df.withColumns({name: strip(F.col(name)) for name in names})
-
-
 def normalise_case(df: DataFrame) -> DataFrame:
     """Categorical columns in lower case, the currency in upper case."""
     changes = {name: F.lower(name) for name in LOWER_CASE if name in df.columns}
@@ -62,17 +55,6 @@ def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({name: nullable_number(F.col(name)) for name in cols})
 
 
-def drop_missing(df: DataFrame, *cols: str) -> DataFrame:
-    """Rows where each listed column holds a value."""
-    for name in cols:
-        df = df.filter(~is_missing(F.col(name)))
-    return df
-
-
-def drop_non_positive(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(F.col(col) > 0)
-
-
 def bad_currency(c: Column) -> Column:
     return F.coalesce(~c.rlike(CURRENCY), F.lit(True))
 
@@ -226,8 +208,9 @@ def blank_report(df: DataFrame) -> DataFrame:
 def anti_join_existing(incoming: DataFrame, stored: DataFrame, prune: str | None = None) -> DataFrame:
     """Incoming rows whose fields do not all equal those of a stored row; incoming copies stay.
 
-    The stored side shrinks to distinct row hashes before the join, so a row stored many times is
-    one join key. ``prune`` names a column (a date) whose incoming range bounds the stored scan.
+    Nulls equal nulls, which Spark joins as an equi-join. The stored side shrinks to distinct rows
+    before the join, so a row stored many times is one join key. ``prune`` names a column (a date)
+    whose incoming range bounds the stored scan.
     """
     if prune:
         low, high = incoming.agg(F.min(prune), F.max(prune)).first()
@@ -235,8 +218,8 @@ def anti_join_existing(incoming: DataFrame, stored: DataFrame, prune: str | None
         holds_null = F.col(prune).isNull()
         stored = stored.filter(in_range | holds_null)
     cols = incoming.columns
-    known = stored.select(row_hash(cols).alias("row_hash")).distinct()
-    return incoming.withColumn("row_hash", row_hash(cols)).join(known, "row_hash", "left_anti").drop("row_hash")
+    known = stored.select(*cols).distinct().alias("known")
+    return incoming.alias("new").join(known, null_safe_equal("new", "known", cols), "left_anti")
 
 
 def claims_resource(claims: DataFrame) -> DataFrame:
@@ -267,34 +250,3 @@ def claims_resource(claims: DataFrame) -> DataFrame:
         F.concat(F.date_format("service_date", "yyyy-MM-dd"), F.lit("T00:00:00+00:00")).alias("created"),
     )
     return claims.select("claim_id", resource.alias("resource"))
-
-
-def cyclic_zip(
-    patients: DataFrame,
-    conditions: DataFrame,
-    medications: DataFrame,
-    orders: dict[str, Sequence[str]],
-    n: int | None = None,
-    missing_every: int = 10,
-) -> DataFrame:
-    """``n`` rows combining the three lists by position, each list repeated as often as needed.
-
-    ``orders`` names the columns that order each list; ``n`` defaults to the longest list. Row
-    numbers come from distributed ordinals, the rows meet in equi-joins on ``i mod length``.
-    """
-    sides = {"patient": patients, "condition": conditions, "medication": medications}
-    spark = patients.sparkSession
-    numbered = {name: row_ordinal(df, orders[name], "ordinal") for name, df in sides.items()}
-    sizes = {name: df.count() for name, df in numbered.items()}
-    if min(sizes.values()) == 0:
-        raise ValueError(f"each list needs a row, got {sizes}")
-    out = spark.range(n if n is not None else max(sizes.values())).withColumnRenamed("id", "claim_index")
-    for name, df in numbered.items():
-        side = df.select(
-            F.col("ordinal").alias(f"{name}_ordinal"), F.struct(*[c for c in df.columns if c != "ordinal"]).alias(name)
-        )
-        key = F.pmod("claim_index", F.lit(sizes[name]))
-        out = out.join(side, key == F.col(f"{name}_ordinal")).drop(f"{name}_ordinal")
-    dated = F.when(F.pmod("claim_index", F.lit(missing_every)) == 0, F.lit(False)).otherwise(F.lit(True))
-    return out.withColumn("has_date", dated)
-

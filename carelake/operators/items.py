@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def find_by_attributes(df: DataFrame, attributes: Mapping[str, object]) -> DataFrame:
@@ -51,13 +52,23 @@ def catalog_categories(df: DataFrame) -> DataFrame:
 def last_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str] | None = None) -> DataFrame:
     """The last version of each key.
 
-    A ``max`` over a struct, so every task hands on one row per key however often the key occurs.
-    Without a version the largest row wins, which is at least repeatable.
+    A ``max_by`` over a struct, so every task hands on one row per key however often the key occurs.
+    Without a version the largest row wins, which is at least repeatable; maps take no part in that.
     """
     rest = [c for c in df.columns if c not in keys]
-    lead = [F.col(c).alias(f"v{i}") for i, c in enumerate(version or [])]
-    best = F.max(F.struct(*lead, F.struct(*rest).alias("row"))).alias("best")
-    return df.groupBy(*keys).agg(best).select(*keys, "best.row.*").select(*df.columns)
+    ordered = [f.name for f in df.schema.fields if f.name in rest and not _holds_map(f.dataType)]
+    place = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate([*(version or []), *ordered])])
+    best = F.max_by(F.struct(*rest), place).alias("best")
+    return df.groupBy(*keys).agg(best).select(*keys, "best.*").select(*df.columns)
+
+
+def _holds_map(dtype: T.DataType) -> bool:
+    """Maps have no order."""
+    if isinstance(dtype, T.ArrayType):
+        return _holds_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_holds_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def upsert(

@@ -20,7 +20,7 @@ LAST_NAME_NAMES = ["last", "LAST", "lastName", "last_name"]
 MEDICATION_MARKS = ["PATIENT", "ENCOUNTER", "CODE", "DESCRIPTION", "BASE_COST"]
 
 
-def _present(df: DataFrame, names: Sequence[str]) -> Column:
+def present(df: DataFrame, names: Sequence[str]) -> Column:
     """First non-blank of the aliases the table has; column names match without regard to case."""
     known = {c.lower(): c for c in df.columns}
     found = list(dict.fromkeys(known[n.lower()] for n in names if n.lower() in known))
@@ -28,13 +28,13 @@ def _present(df: DataFrame, names: Sequence[str]) -> Column:
 
 
 def patient_id(df: DataFrame) -> Column:
-    return _present(df, PATIENT_ID_NAMES)
+    return present(df, PATIENT_ID_NAMES)
 
 
 def patient_name(df: DataFrame) -> Column:
     """Full name, else first and last, else whichever of the two exists."""
-    first, last = _present(df, FIRST_NAME_NAMES), _present(df, LAST_NAME_NAMES)
-    return F.coalesce(_present(df, FULL_NAME_NAMES), F.nullif(F.concat_ws(" ", first, last), F.lit("")))
+    first, last = present(df, FIRST_NAME_NAMES), present(df, LAST_NAME_NAMES)
+    return F.coalesce(present(df, FULL_NAME_NAMES), F.nullif(F.concat_ws(" ", first, last), F.lit("")))
 
 
 def resolved_patients(df: DataFrame) -> DataFrame:
@@ -190,6 +190,19 @@ def sort_by_description(df: DataFrame, descending: bool = False, top_n: int = 0,
     return out.limit(top_n) if top_n > 0 else out
 
 
+def sorted_patients(patients: DataFrame, top_n: int | None = None) -> DataFrame:
+    """Patients by last, then first name without regard to case, then id."""
+    key = lambda c: F.lower(F.coalesce(c, F.lit("")))
+    out = patients.select("id", "last", "first").orderBy(key("last"), key("first"), "id")
+    return out.limit(top_n) if top_n else out
+
+
+def sorted_codes(medications: DataFrame, top_n: int | None = None) -> DataFrame:
+    """Distinct drug codes, ascending."""
+    out = medications.filter(F.coalesce("code", F.lit("")) != "").select("code").distinct().orderBy("code")
+    return out.limit(top_n) if top_n else out
+
+
 def page_after(df: DataFrame, keys: Sequence[str], after: Sequence | None = None, limit: int = 50) -> DataFrame:
     """The next ``limit`` rows after a key (possibly of several columns); deep pages cost no more."""
     if after is not None:

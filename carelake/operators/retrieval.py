@@ -4,21 +4,26 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from carelake.functions.text import words
 from carelake.operators.corpus import augment_query
 from carelake.operators.items import upsert
+from carelake.session import materialise
 
-# Largest question side that is shipped to every task; beyond it the questions are shuffled too.
-BROADCAST_BYTES = 32 << 20
-BROADCAST_TERMS = 20_000
+# A block of questions is what goes to every task at a time: so many vector bytes, or so many distinct
+# (question, term) pairs. More questions are more blocks; documents never move.
+BLOCK_BYTES = 32 << 20
+BLOCK_TERMS = 20_000
 
 # Keyword scoring constants and fusion constants.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -27,7 +32,6 @@ DENSE_WEIGHT = 0.6
 
 # Scores are compared at this many digits, so equal documents tie exactly and ids decide.
 _DIGITS = 9
-_BLOCK_ROWS = 20_000
 _DENSE_CELLS = 4_000_000
 
 
@@ -89,13 +93,9 @@ def _cosine(queries: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return np.round(queries @ docs.T / (norms + 1e-9), _DIGITS)
 
 
-def _hit_schema(queries: DataFrame, docs: DataFrame) -> str:
-    return f"query_id {dict(queries.dtypes)['query_id']}, doc_id {dict(docs.dtypes)['id']}, score double"
-
-
-def _arrow_schema(text: str) -> pa.Schema:
-    types = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
-    return pa.schema([(name, types[kind]) for name, kind in (part.split() for part in text.split(", "))])
+def _hit_schema(queries: DataFrame, docs: DataFrame) -> T.StructType:
+    fields = [("query_id", queries.schema["query_id"].dataType), ("doc_id", docs.schema["id"].dataType), ("score", T.DoubleType())]
+    return T.StructType([T.StructField(n, t) for n, t in fields])
 
 
 def rank_hits(hits: DataFrame, k: int | None = None) -> DataFrame:
@@ -105,40 +105,54 @@ def rank_hits(hits: DataFrame, k: int | None = None) -> DataFrame:
     return ranked.filter(F.col("rank") <= k) if k else ranked
 
 
-def cosine_top_k(queries: DataFrame, docs: DataFrame, k: int, shard: str | None = None, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def _blocks(rows: Iterator, size: Callable[[Row], int], limit: int) -> Iterator[list]:
+    """Lists of rows that stay below a total size (or hold one row)."""
+    block, total = [], 0
+    for row in rows:
+        if block and total + size(row) > limit:
+            yield block
+            block, total = [], 0
+        block.append(row)
+        total += size(row)
+    if block:
+        yield block
+
+
+def _all_hits(parts: list[DataFrame], spark: SparkSession, schema: T.StructType, k: int) -> DataFrame:
+    hits = reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
+    return rank_hits(hits, k)
+
+
+def cosine_top_k(queries: DataFrame, docs: DataFrame, k: int, shard: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Exact ``k`` nearest documents per question by cosine: ``query_id, doc_id, score, rank``.
 
-    ``queries`` holds ``query_id, vector``; ``docs`` holds ``id, vector`` (and ``shard``). The size
-    of the question side is measured first. A small one goes to every task, which scores its Arrow
-    batches as one matrix product and hands on ``k`` rows per question, so documents never shuffle.
-    A larger one is cut into blocks that meet blocks of documents in a co-grouped join, again with
-    ``k`` rows per question and block pair leaving a task.
+    ``queries`` holds ``query_id, vector``; ``docs`` holds ``id, vector`` (and ``shard``). Questions come
+    in blocks of bounded size. A block goes to every task, which scores its Arrow batches as one matrix
+    product and hands on ``k`` rows per question, so documents never shuffle; more questions mean more
+    blocks, whose hits are ranked together. Rows without a vector are skipped inside the kernel: as a
+    filter, Spark would evaluate an encoder behind ``vector`` a second time. Every document row is a hit
+    of its own, also where ids repeat; rows of a repeated question id compete for its ``k`` places; a
+    zero vector scores 0; equal scores go by id.
     """
-    queries = queries.filter(F.col("vector").isNotNull()).select("query_id", "vector")
-    docs = shard_filter(docs, shard).filter(F.col("vector").isNotNull()).select("id", "vector")
+    docs = shard_filter(docs, shard).select("id", "vector")
     schema = _hit_schema(queries, docs)
-    n_queries, n_bytes = queries.agg(F.count(F.lit(1)), F.sum(F.size("vector") * 8)).first()
-    if not n_queries:
-        return rank_hits(queries.sparkSession.createDataFrame([], schema))
-    if n_bytes <= limit_bytes:
-        hits = _cosine_broadcast(queries, docs, k, schema)
-    else:
-        hits = _cosine_blocks(queries, docs, k, schema, n_queries)
-    return rank_hits(hits, k)
+    rows = (r for r in queries.select("query_id", "vector").toLocalIterator() if r["vector"] is not None)
+    parts = [_cosine_block(block, docs, k, schema) for block in _blocks(rows, lambda r: 8 * len(r["vector"]) + 64, block_bytes)]
+    return _all_hits(parts, docs.sparkSession, schema, k)
 
 
-def _cosine_broadcast(queries: DataFrame, docs: DataFrame, k: int, schema: str) -> DataFrame:
-    rows = queries.collect()
+def _cosine_block(rows: list[Row], docs: DataFrame, k: int, schema: T.StructType) -> DataFrame:
     ids = [r["query_id"] for r in rows]
-    shipped = queries.sparkSession.sparkContext.broadcast(np.array([r["vector"] for r in rows], dtype=np.float64))
-    arrow = _arrow_schema(schema)
+    shipped = docs.sparkSession.sparkContext.broadcast(np.array([r["vector"] for r in rows], dtype=np.float64))
+    arrow = to_arrow_schema(schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(len(ids), k)
         step = max(1, _DENSE_CELLS // len(ids))
         for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
+            filled = batch.filter(batch.column(1).is_valid())
+            for at in range(0, filled.num_rows, step):
+                part = filled.slice(at, step)
                 found = np.array(part.column(0).to_pylist(), dtype=object)
                 best.add(_cosine(shipped.value, _matrix(part.column(1))), found)
         yield from best.table(ids, arrow).to_batches()
@@ -146,106 +160,87 @@ def _cosine_broadcast(queries: DataFrame, docs: DataFrame, k: int, schema: str)
     return docs.mapInArrow(score, schema)
 
 
-def _cosine_blocks(queries: DataFrame, docs: DataFrame, k: int, schema: str, n_queries: int) -> DataFrame:
-    n_docs = docs.count()
-    q_blocks = max(1, math.ceil(n_queries / _BLOCK_ROWS))
-    d_blocks = max(1, math.ceil(n_docs / _BLOCK_ROWS))
-    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.withColumns({"qb": block("query_id", q_blocks)}).withColumn("db", every(d_blocks))
-    right = docs.withColumns({"db": block("id", d_blocks)}).withColumn("qb", every(q_blocks))
-    arrow = _arrow_schema(schema)
-
-    def score(questions: pa.Table, documents: pa.Table) -> pa.Table:
-        ids = questions.column("query_id").to_pylist()
-        best = _Best(len(ids), k)
-        if questions.num_rows and documents.num_rows:
-            vectors = _matrix(questions.column("vector"))
-            step = max(1, _DENSE_CELLS // len(ids))
-            for at in range(0, documents.num_rows, step):
-                part = documents.slice(at, step)
-                best.add(_cosine(vectors, _matrix(part.column("vector"))), np.array(part.column("id").to_pylist(), dtype=object))
-        return best.table(ids, arrow)
-
-    return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(score, schema)
-
-
 def corpus_bm25_stats(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Keyword statistics: (document count, mean length) as one row, and document frequency per term."""
-    corpus = docs.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size(words(F.col(text)))).alias("avg_length"))
-    terms = docs.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
-    return corpus, terms.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    """Keyword statistics: (document count, mean length) as one row, and document frequency per term.
+
+    Both come from one pass, in which the row without a term stands for the document itself; the result
+    is stored, so that using both does not read the corpus twice.
+    """
+    words_of = docs.filter(F.col(text).isNotNull()).select(tokens(F.col(text)).alias("tokens"))
+    marked = words_of.select(F.size("tokens").alias("length"), F.explode(F.array_append(F.array_distinct("tokens"), F.lit(None))).alias("term"))
+    own = F.when(F.col("term").isNull(), F.col("length"))
+    counted = materialise(marked.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum(own).alias("words")), "bm25-terms")
+    corpus = counted.filter("term is null").agg(
+        F.coalesce(F.sum("doc_freq"), F.lit(0)).alias("n_docs"), (F.sum("words") / F.sum("doc_freq")).alias("avg_length")
+    )
+    return corpus, counted.filter("term is not null").select("term", "doc_freq")
 
 
 def _idf(n_docs: int, doc_freq: Column) -> Column:
     return F.log(F.lit(float(n_docs)) - doc_freq + 0.5) - F.log(doc_freq + 0.5)
 
 
-def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, shard: str | None = None, limit_terms: int = BROADCAST_TERMS) -> DataFrame:
+def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, shard: str | None = None, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """``k`` best documents per question by BM25, positive scores only: ``query_id, doc_id, score, rank``.
 
     ``queries`` holds ``query_id, text``. Statistics cover the filtered shard; a negative idf is
-    replaced by a quarter of the mean idf over the vocabulary. When the questions' vocabulary is
-    small (it is counted first) each task scores its own documents and hands on ``k`` rows per
-    question; the tokens that no question holds are dropped on the JVM side. Otherwise postings and
-    question terms meet in an equi-join on the term, which AQE may split where a term is common.
+    replaced by a quarter of the mean idf over the vocabulary. Questions come in blocks of bounded
+    numbers of (question, term) pairs with their weights; a block goes to every task, which scores its
+    own documents and hands on ``k`` rows per question. Tokens that no question of the block holds are
+    dropped on the JVM side, and scores are summed over matching pairs only, so memory follows the
+    matches. Every document row is a hit of its own, also where ids repeat; texts of a repeated
+    question id are one question.
     """
-    docs = shard_filter(docs, shard).filter(F.col("text").isNotNull())
+    docs = shard_filter(docs, shard).filter(F.col("text").isNotNull()).select("id", "text")
     schema = _hit_schema(queries, docs)
-    asked = queries.select("query_id", F.explode(tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(
-        F.count(F.lit(1)).alias("weight")
-    )
-    n_pairs = asked.count()
     corpus, frequencies = corpus_bm25_stats(docs)
     n_docs, avg_length = corpus.first()
-    if not n_docs or not n_pairs or not avg_length:
-        return rank_hits(queries.sparkSession.createDataFrame([], schema))
+    if not n_docs or not avg_length:
+        return _all_hits([], docs.sparkSession, schema, k)
     idf = frequencies.select("term", _idf(n_docs, F.col("doc_freq")).alias("idf"))
-    if n_pairs <= limit_terms:
-        hits = _bm25_broadcast(asked, docs, k, schema, idf, avg_length)
-    else:
-        hits = _bm25_join(asked, docs, idf, avg_length)
-    return rank_hits(hits, k)
+    mean_idf = idf.agg(F.avg("idf")).first()[0]
+    asked = queries.select("query_id", F.explode(tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("weight"))
+    usable = F.when(F.col("idf") >= 0, F.col("idf")).otherwise(EPSILON * mean_idf)
+    pairs = asked.join(idf, "term").select("query_id", "term", (F.col("weight") * usable).alias("weight"))
+    wanted = pairs.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("terms")).orderBy("query_id")
+    blocks = _blocks(wanted.toLocalIterator(), lambda r: len(r["terms"]), block_terms)
+    return _all_hits([_bm25_block(b, docs, k, schema, avg_length) for b in blocks], docs.sparkSession, schema, k)
 
 
-def _bm25_broadcast(asked: DataFrame, docs: DataFrame, k: int, schema: str, idf: DataFrame, avg_length: float) -> DataFrame:
-    rows = asked.collect()
-    ids = list(dict.fromkeys(r["query_id"] for r in rows))
-    # One pass over the vocabulary: its mean idf and the idf of the wanted terms, whose number is checked.
-    wanted = asked.select("term").distinct().withColumn("wanted", F.lit(True))
-    marked = idf.join(F.broadcast(wanted), "term", "left")
-    mean_idf, found = marked.agg(F.avg("idf"), F.collect_list(F.when(F.col("wanted"), F.struct("term", "idf")))).first()
-    known = {r["term"]: r["idf"] if r["idf"] >= 0 else EPSILON * mean_idf for r in found}
-    terms = list(known)
-    weights = np.zeros((len(ids), len(terms)))
-    row_of, col_of = {q: i for i, q in enumerate(ids)}, {t: i for i, t in enumerate(terms)}
-    for r in rows:
-        if r["term"] in col_of:
-            weights[row_of[r["query_id"]], col_of[r["term"]]] = r["weight"] * known[r["term"]]
-    shipped = docs.sparkSession.sparkContext.broadcast((terms, weights))
-    arrow = _arrow_schema(schema)
+def _bm25_block(rows: list[Row], docs: DataFrame, k: int, schema: T.StructType, avg_length: float) -> DataFrame:
+    ids = [r["query_id"] for r in rows]
+    terms = sorted({t["term"] for r in rows for t in r["terms"]})
+    place = {t: i for i, t in enumerate(terms)}
+    asked = sorted((place[t["term"]], q, t["weight"]) for q, r in enumerate(rows) for t in r["terms"])
+    term_of, question, weight = (np.array(c) for c in zip(*asked, strict=True))
+    shipped = docs.sparkSession.sparkContext.broadcast((terms, np.searchsorted(term_of, np.arange(len(terms) + 1)), question, weight))
+    arrow = to_arrow_schema(schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, weight = shipped.value
+        vocabulary, first, asking, weights = shipped.value
         value_set = pa.array(vocabulary, pa.string())
         best = _Best(len(ids), k, floor=10.0**-_DIGITS)
-        step = max(1, _DENSE_CELLS // max(len(vocabulary), len(ids), 1))
+        step = max(1, _DENSE_CELLS // len(ids))
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 hits = part.column(2)
-                codes = np.asarray(pc.index_in(hits.flatten(), value_set=value_set))
+                codes = np.asarray(pc.index_in(hits.flatten(), value_set=value_set)).astype(np.int64)
                 docs_of = np.repeat(np.arange(part.num_rows), np.asarray(pc.list_value_length(hits)))
-                cells = docs_of * len(vocabulary) + codes
-                freq = np.bincount(cells, minlength=part.num_rows * len(vocabulary)).reshape(part.num_rows, -1)
-                length = np.asarray(part.column(1), dtype=np.float64)[:, None]
+                cells, freq = np.unique(docs_of * len(vocabulary) + codes, return_counts=True)
+                doc, term = cells // len(vocabulary), cells % len(vocabulary)
+                length = np.asarray(part.column(1), dtype=np.float64)[doc]
                 saturated = freq * (K1 + 1) / (freq + K1 * (1 - B + B * length / avg_length))
+                # each posting meets the questions that ask for its term
+                n = first[term + 1] - first[term]
+                pair = np.repeat(first[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                sums = np.bincount(asking[pair] * part.num_rows + np.repeat(doc, n), np.repeat(saturated, n) * weights[pair], len(ids) * part.num_rows)
                 found = np.array(part.column(0).to_pylist(), dtype=object)
-                best.add(np.round(weight @ saturated.T, _DIGITS), found)
+                best.add(np.round(sums.reshape(len(ids), -1), _DIGITS), found)
         yield from best.table(ids, arrow).to_batches()
 
     token_table = docs.select("id", tokens(F.col("text")).alias("tokens"))
-    hits = F.expr(f"filter(tokens, t -> t IN ({', '.join(map(_literal, terms)) or 'NULL'}))").alias("hits")
+    hits = F.expr(f"filter(tokens, t -> t IN ({', '.join(map(_literal, terms))}))").alias("hits")
     return token_table.select("id", F.size("tokens").alias("length"), hits).mapInArrow(score, schema)
 
 
@@ -254,26 +249,6 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _bm25_join(asked: DataFrame, docs: DataFrame, idf: DataFrame, avg_length: float) -> DataFrame:
-    mean_idf = idf.agg(F.avg("idf")).first()[0]
-    wanted = asked.select("term").distinct()
-    usable = idf.join(wanted, "term", "left_semi").withColumn(
-        "idf", F.when(F.col("idf") >= 0, F.col("idf")).otherwise(EPSILON * mean_idf)
-    )
-    weighted = asked.join(usable, "term").select("query_id", "term", (F.col("weight") * F.col("idf")).alias("weight"))
-    postings = (
-        docs.select("id", tokens(F.col("text")).alias("tokens"))
-        .select("id", F.size("tokens").alias("length"), F.explode("tokens").alias("term"))
-        .join(wanted, "term", "left_semi")
-        .groupBy("id", "length", "term")
-        .agg(F.count(F.lit(1)).alias("freq"))
-    )
-    freq = F.col("freq")
-    saturated = freq * (K1 + 1) / (freq + K1 * (1 - B + B * F.col("length") / avg_length))
-    scored = postings.join(weighted, "term").groupBy("query_id", F.col("id").alias("doc_id"))
-    return scored.agg(F.round(F.sum(F.col("weight") * saturated), _DIGITS).alias("score")).filter("score > 0")
-
-
 def rrf(dense: DataFrame, keyword: DataFrame, alpha: float = DENSE_WEIGHT, k: int = FUSION_K) -> DataFrame:
     """Reciprocal rank fusion of two ranked lists: one union, one aggregation, scores to 6 digits."""
     share = lambda weight: (F.lit(weight) / (F.lit(k) + F.col("rank"))).alias("share")
@@ -299,7 +274,7 @@ def hybrid_retrieve(
         queries = queries.withColumn("text", augment_query(F.col("text"), F.coalesce("features", F.lit(""))))
     queries = queries.select("query_id", "text")
     fetch = max(3 * top_k, 15)
-    empty = queries.sparkSession.createDataFrame([], _hit_schema(queries, docs) + ", rank int")
+    empty = queries.sparkSession.createDataFrame([], _hit_schema(queries, docs).add("rank", T.IntegerType()))
     dense = cosine_top_k(embed(queries, encoder), docs, fetch, shard) if alpha > 0 else empty
     keyword = bm25_top_k(queries, docs, fetch, shard) if alpha < 1 else empty
     return rank_hits(rrf(dense, keyword, alpha), top_k)
@@ -333,6 +308,7 @@ def build_index(
     ``path`` must be new: readers of the old index keep it until they switch.
     """
     fresh = embed(docs, encoder).withColumn("indexed_at", F.to_timestamp(F.lit(indexed_at)))
+    fresh = materialise(fresh, "embedded") if stored is not None else fresh  # the merge reads it twice
     merged = upsert(stored, fresh, ["id"], ["indexed_at"]) if stored is not None else fresh
     merged.write.partitionBy("shard").parquet(path)
     return docs.sparkSession.read.schema(merged.schema).parquet(path)
@@ -355,9 +331,10 @@ def snippet(text: Column, length: int = 300) -> Column:
     return F.substring(text, 1, length)
 
 
-def passages(hits: DataFrame, docs: DataFrame, length: int = 300) -> DataFrame:
-    """Hits with the snippet and source of their document and the score to 4 digits."""
-    side = docs.select(F.col("id").alias("doc_id"), snippet(F.col("text"), length).alias("text"), "source")
+def passages(hits: DataFrame, docs: DataFrame, length: int | None = None) -> DataFrame:
+    """Hits with the text and source of their document and the score to 4 digits; ``length`` makes it a snippet."""
+    text = F.col("text") if length is None else snippet(F.col("text"), length)
+    side = docs.select(F.col("id").alias("doc_id"), text.alias("text"), "source")
     return hits.join(side, "doc_id").withColumn("score", F.round("score", 4))
 
 

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from carelake.operators import cleaning, forecast
 from carelake.session import materialise
-from carelake.sources.readers import read_parquet_prefix
+from carelake.sources.readers import missing_to_null, read_parquet_prefix
 from carelake.sources.writers import write_claims_parquet, write_forecast, write_manifest
 
 
 def read_claim_files(spark: SparkSession, directory: str) -> DataFrame:
-    """Raw claims of every CSV under a directory, with the file they come from."""
+    """Raw claims of every CSV under a directory, with the file they come from; missing markers are null."""
     df = spark.read.option("header", True).option("escape", '"').option("recursiveFileLookup", True)
-    return df.schema(read_claims_schema()).csv(directory).select("*", F.col("_metadata.file_path").alias("file"))
+    rows = df.schema(read_claims_schema()).csv(directory).select("*", F.col("_metadata.file_path").alias("file"))
+    return missing_to_null(rows)
 
 
 def read_claims_schema() -> str:

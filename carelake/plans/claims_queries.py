@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from carelake.functions.rows import row_hash
 from carelake.functions.text import SPACE_CHARS
 from carelake.operators import cleaning, forecast
 from carelake.plans.domain import cte, view
+from carelake.session import scratch_path
 
 END_MONTH = "2002-12"
 LOADED_BEFORE = "1998-07-01"
@@ -61,15 +64,31 @@ clean AS (SELECT * FROM parsed WHERE service_date IS NOT NULL)"""
 CLEAN_CTE = _STEPS
 
 
+_STORED: dict[tuple[str, str], tuple[str, StructType]] = {}
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean claims, the input of most claim queries."""
-    return cleaning.clean_claims(view(spark, sf_dir, "claims"))
+    """The clean claims, the input of most claim queries: cleaned once per application, then read from a stored table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        claims, path = cleaning.clean_claims(view(spark, sf_dir, "claims")), scratch_path(spark, "clean-claims")
+        claims.write.parquet(path)
+        _STORED[key] = path, claims.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
+
+
+def _row_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, and distinct rows by their hash, of the raw claims of each patient."""
+    claims = view(spark, sf_dir, "claims").select("patient_id", "provider_id", "status", "currency")
+    hashed = claims.withColumn("hash", row_hash(claims.columns))
+    return hashed.groupBy("patient_id").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("hash").alias("distinct_rows"))
 
 
 def new_claims_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = clean(spark, sf_dir)
     stored = claims.filter(F.col("service_date") < LOADED_BEFORE)
-    return cleaning.anti_join_existing(claims, stored)
+    return cleaning.anti_join_existing(claims, stored, prune="service_date")
 
 
 def provider_monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,26 +114,6 @@ def provider_forecast_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cyclic_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    medications = view(spark, sf_dir, "medications")
-    zipped = cleaning.cyclic_zip(
-        view(spark, sf_dir, "patients"),
-        view(spark, sf_dir, "conditions"),
-        medications,
-        {"patient": ["id"], "condition": ["encounter"], "medication": medications.columns},
-    )
-    return zipped.select(
-        "claim_index",
-        F.col("patient.id").alias("patient_id"),
-        F.concat_ws(" ", "patient.first", "patient.last").alias("patient_name"),
-        F.col("condition.code").alias("condition_code"),
-        F.col("condition.encounter").alias("encounter"),
-        F.col("medication.code").alias("medication_code"),
-        F.when(F.col("has_date"), F.col("medication.start")).otherwise("").alias("service_date"),
-        F.col("medication.total_cost").alias("total_amount"),
-    )
-
-
 def fhir_claim_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = cleaning.claims_resource(clean(spark, sf_dir))
     return claims.select("claim_id", F.to_json("resource").alias("resource")).select(
@@ -133,7 +132,8 @@ _FHIR_FIELDS = {
 }
 
 QUERIES = {
-    "clean_claims": clean,
+    "clean_claims": lambda s, d: cleaning.clean_claims(view(s, d, "claims")),
+    "row_hashes": _row_hashes,
     "claims_quality_report": lambda s, d: cleaning.quality_report(view(s, d, "claims")),
     "csv_drop_any_blank": lambda s, d: cleaning.drop_any_blank(view(s, d, "claims")),
     "csv_blank_report": lambda s, d: cleaning.blank_report(view(s, d, "claims")),
@@ -143,7 +143,6 @@ QUERIES = {
     "provider_forecast": lambda s, d: forecast.provider_forecast(clean(s, d), END_MONTH),
     "forecast_series": lambda s, d: forecast.forecast_series(clean(s, d), END_MONTH),
     "provider_forecast_nested": provider_forecast_nested,
-    "cyclic_claims": cyclic_claims,
     "fhir_claim_json": fhir_claim_json,
 }
 
@@ -165,6 +164,8 @@ future AS (SELECT provider_id, provider_name,
   FROM steps)"""
 
 ORACLES = {
+    "row_hashes": f"""WITH {cte("claims")}, r AS (SELECT patient_id, provider_id, status, currency, count(*) AS n FROM claims GROUP BY ALL)
+SELECT patient_id, cast(sum(n) AS bigint) AS rows, count(*) AS distinct_rows FROM r GROUP BY 1""",
     "clean_claims": f"WITH {CLEAN_CTE} SELECT * FROM clean",
     "claims_quality_report": f"""WITH {CLEAN_CTE}
 SELECT {_N("std")} AS original_rows,
@@ -203,17 +204,6 @@ f AS (SELECT provider_id, string_agg(month || ':' || predicted_claims, ',' ORDER
 SELECT t.provider_id, t.provider_name, h.history, coalesce(f.forecast, '') AS forecast, round(t.slope, 6) AS slope,
   round(t.r2, 6) AS r2
 FROM trend t JOIN h USING (provider_id) LEFT JOIN f USING (provider_id)""",
-    "cyclic_claims": f"""WITH {cte("patients", "conditions", "medications")},
-p AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS i FROM patients),
-c AS (SELECT *, row_number() OVER (ORDER BY encounter) - 1 AS i FROM conditions),
-m AS (SELECT *, row_number() OVER (ORDER BY id, patient, encounter, code, description, start, stop NULLS FIRST, base_cost,
-  dispenses, total_cost, reason_code) - 1 AS i FROM medications),
-n AS (SELECT (SELECT count(*) FROM p) AS np, (SELECT count(*) FROM c) AS nc, (SELECT count(*) FROM m) AS nm)
-SELECT r.i AS claim_index, p.id AS patient_id, concat_ws(' ', p.first, p.last) AS patient_name, c.code AS condition_code,
-  c.encounter, m.code AS medication_code, CASE WHEN r.i % 10 = 0 THEN '' ELSE m.start END AS service_date,
-  m.total_cost AS total_amount
-FROM n, unnest(generate_series(0, greatest(np, nc, nm) - 1)) AS r(i)
-JOIN p ON p.i = r.i % np JOIN c ON c.i = r.i % nc JOIN m ON m.i = r.i % nm""",
     "fhir_claim_json": f"""WITH {CLEAN_CTE}
 SELECT claim_id, 'Claim' AS resource_type, 'professional' AS claim_type, 'Patient/' || patient_id AS patient,
   'Practitioner/' || provider_id AS provider, 'Coverage/cov-' || patient_id AS coverage,

@@ -11,6 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from carelake.operators.analytics import sql_over
 from carelake.session import tune
 
 TABLES = [
@@ -101,47 +102,23 @@ SELECT cast(doc_id AS string) AS id, text, source, lang AS shard FROM documents"
 _LIST = re.compile(r"\{list\(([^)]*)\)\}")
 
 
-# Tables whose rows carry most of the work, and the columns that spread them evenly.
-SPREAD_KEYS = {
-    "lineitem": ["l_orderkey", "l_partkey", "l_shipdate"],
-    "documents": ["doc_id"],
-    "pages": ["page_id"],
-}
-_LAYOUTS: dict[str, tuple[StructType, int]] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One given table; schema and split count are looked up once per process.
-
-    A table stored in fewer splits than there are cores (one row group, say) is spread over them
-    first. Tables of any size worth the name have more splits and are read as they lie.
-    """
+    """One given table; its schema is looked up once per process."""
     path = f"{sf_dir}/{name}.parquet"
-    if path not in _LAYOUTS:
+    if path not in _SCHEMAS:
         tune(spark)
-        df = spark.read.parquet(path)
-        _LAYOUTS[path] = (df.schema, df.rdd.getNumPartitions() if name in SPREAD_KEYS else 0)
-    schema, splits = _LAYOUTS[path]
-    df = spark.read.schema(schema).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_KEYS and splits < cores:
-        df = df.repartition(cores, *SPREAD_KEYS[name])
-    return df
-
-
-def _used_tables(text: str) -> list[str]:
-    return [t for t in TABLES if re.search(rf"\b{t}\b(?=\s|$)", text) and re.search(rf"(FROM|JOIN)\s+{t}\b", text)]
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def run_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Spark SQL over the given tables, without registering session-wide views."""
     text = _LIST.sub(r"array(\1)", text)
-    used = _used_tables(text)
-    text = text.replace("{", "{{").replace("}", "}}")
-    for name in used:
-        text = re.sub(rf"(FROM|JOIN)\s+{name}\b", rf"\1 {{{name}}}", text)
-    # A formatted table reference loses the bare table name, which none of the views use as qualifier.
-    return spark.sql(text, **{name: table(spark, sf_dir, name) for name in used})
+    used = [t for t in TABLES if re.search(rf"(FROM|JOIN)\s+{t}\b", text)]
+    return sql_over(spark, text, {t: table(spark, sf_dir, t) for t in used})
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

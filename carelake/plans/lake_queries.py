@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from carelake.operators import analytics, cleaning, corpus, monitoring, retrieva
 from carelake.plans.claims_queries import CLEAN_CTE, END_MONTH, ORACLES as CLAIM_ORACLES, clean, sql_strip
 from carelake.plans.domain import VIEWS, cte, run_sql, table, view
 from carelake.plans.retrieval_queries import _sql_words, documents
-from carelake.session import scratch_path
+from carelake.session import materialise, scratch_path
 from carelake.sources import readers, writers
 from carelake.streaming import files as file_streams
 from carelake.streaming import logs as log_streams
@@ -102,28 +103,120 @@ def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables, columns and row counts of a database: one table partitioned, each registered twice."""
     names = ("patients", "items")
     database = f"lake_{uuid.uuid4().hex[:8]}"
     root = scratch_path(spark, "lake")
     spark.sql(f"CREATE DATABASE `{database}` LOCATION '{root}/db'")
-    for n in names:
-        view(spark, sf_dir, n).write.parquet(f"{root}/{n}")
-        for _ in range(2):
-            action = writers.register_table(spark, database, n, f"{root}/{n}", "parquet")
-        assert action == "updated"
-    columns = writers.catalog_browse(spark, database)
-    counts = analytics.table_counts({n: spark.table(f"`{database}`.`{n}`") for n in names})
-    return columns.join(counts, "table_name")
+    try:
+        actions = []
+        for n in names:
+            writer = view(spark, sf_dir, n).write
+            (writer.partitionBy("gender") if n == "patients" else writer).parquet(f"{root}/{n}")
+            actions += [(n, writers.register_table(spark, database, n, f"{root}/{n}", "parquet")) for _ in range(2)]
+        listed = writers.databases(spark).filter(F.col("database") == database).count()
+        counts = analytics.table_counts({n: spark.table(f"`{database}`.`{n}`") for n in names})
+        done = spark.createDataFrame(actions, "table_name string, action string").groupBy("table_name").agg(
+            F.concat_ws(",", F.array_sort(F.collect_list("action"))).alias("actions")
+        )
+        report = writers.catalog_browse(spark, database).join(counts, "table_name").join(done, "table_name")
+        return materialise(report.withColumn("listed", F.lit(listed)), "catalog")
+    finally:
+        spark.sql(f"DROP DATABASE `{database}` CASCADE")
+
+
+#: Lake tables from the given ones; supplies has columns but no rows.
+_LAKE = {
+    "allergies": "SELECT doc_id, quality FROM labels",
+    "careplans": "SELECT o_orderkey, o_orderdate FROM orders",
+    "conditions": VIEWS["conditions"],
+    "devices": "SELECT p_partkey, p_name FROM part",
+    "encounters": VIEWS["encounters"],
+    "imaging_studies": "SELECT page_id, url FROM pages",
+    "immunizations": "SELECT item_id FROM benchmark",
+    "medications": VIEWS["medications"],
+    "observations": VIEWS["observations"],
+    "organizations": "SELECT n_nationkey, n_name FROM nation",
+    "patients": VIEWS["patients"],
+    "payer_transitions": "SELECT c_custkey, c_name FROM customer",
+    "payers": "SELECT r_regionkey, r_name FROM region",
+    "procedures": "SELECT conv_id, turn FROM conversations",
+    "providers": "SELECT s_suppkey, s_name FROM supplier",
+    "supplies": "SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey < 0",
+}
 
 
 def _lake_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lake tables as CSV, registered as views; supplies has columns but no rows."""
-    root = scratch_path(spark, "lake-csv")
-    lake = {n: view(spark, sf_dir, n) for n in ("conditions", "encounters", "medications", "observations", "patients")}
-    lake["supplies"] = lake["conditions"].limit(0)
+    """All lake tables as CSV, registered as views and counted."""
+    root, prefix = scratch_path(spark, "lake-csv"), f"lake_{uuid.uuid4().hex[:8]}_"
+    lake = {n: run_sql(spark, sf_dir, text) for n, text in _LAKE.items()}
     for name, df in lake.items():
         writers.export_csv(df, f"{root}/{name}")
-    return readers.load_views(spark, root, list(lake), {n: df.columns for n, df in lake.items()})
+    counts = readers.load_views(spark, root, columns={n: df.columns for n, df in lake.items()}, prefix=prefix)
+    for name in lake:
+        spark.catalog.dropTempView(prefix + name)
+    return counts
+
+
+def _exported_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files found in a directory become tables named after the files."""
+    root, database = scratch_path(spark, "csv-directory"), f"lake_{uuid.uuid4().hex[:8]}"
+    for name in ("nation", "supplier"):
+        writers.export_csv(table(spark, sf_dir, name), f"{root}/in/{name}")
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{root}/db'")
+    try:
+        writers.export_csv_directory(spark, f"{root}/in", f"{root}/out", database).collect()
+        found = readers.list_files(spark, f"{root}/in", ".csv").select("key", readers.table_name_from_file(F.col("name")).alias("name")).collect()
+        counts = [spark.table(f"`{database}`.`{r['name']}`").agg(F.regexp_extract(F.lit(r["key"]), "/in/([a-z]+)/", 1).alias("source"), F.count(F.lit(1)).alias("rows")) for r in found]
+        return materialise(analytics.column_union(counts).groupBy("source").agg(F.sum("rows").alias("rows")), "directory")
+    finally:
+        spark.sql(f"DROP DATABASE `{database}` CASCADE")
+
+
+def _imported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written, written again (refused), and replaced; what is stored after each step."""
+    path, outcome = scratch_path(spark, "import"), []
+    for step, where, replace in (("new", "true", False), ("again", "c_custkey % 2 = 0", False), ("replaced", "c_custkey % 3 = 0", True)):
+        try:
+            written = writers.import_table(table(spark, sf_dir, "customer").filter(where), path, replace=replace)
+        except AnalysisException:
+            written = None
+        outcome.append((step, written, spark.read.parquet(path).count()))
+    return spark.createDataFrame(outcome, "step string, written bigint, stored bigint")
+
+
+def _file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a table by folder, the newest of all, and the rows read from it alone."""
+    path = scratch_path(spark, "files")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for status in ("F", "O", "P"):
+        orders.filter(F.col("o_orderstatus") == status).coalesce(1).write.parquet(f"{path}/status={status}")
+    files = readers.list_files(spark, path, ".parquet")
+    newest = readers.newest_files(files).first()["key"]
+    latest, totals = readers.latest_file(files).first()["key"], readers.total_bytes(files).first()
+    rows = readers.file_rows(readers.read_parquet_prefix(spark, path), newest.rsplit("/", 1)[1])
+    return rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows")).withColumns(
+        {"newest_is_latest": F.lit(newest == latest), "files": F.lit(totals["files"]), "has_bytes": F.lit(totals["bytes"] > 0)}
+    )
+
+
+def _manifest_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per folder by the manifest of an artifact whose tasks write equal file names into each folder."""
+    root = scratch_path(spark, "manifest")
+    view(spark, sf_dir, "patients").repartition(3).write.partitionBy("race").parquet(f"{root}/artifact")
+    writers.write_manifest(spark, f"{root}/artifact", f"{root}/manifest", "session-2", "2024-01-01T00:00:00Z")
+    lines = spark.read.json(f"{root}/manifest").withColumn("race", F.url_decode(F.regexp_extract("artifact", "race=([^/]*)/", 1)))
+    return lines.groupBy("race").agg(F.sum("rows").alias("rows"))
+
+
+def _nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested documents, one a file, written per brand and read back as whole files."""
+    path = scratch_path(spark, "nested")
+    item = F.struct(F.col("p_partkey").cast("string").alias("itemId"), F.col("p_name").alias("itemName"), F.array("p_type", "p_brand").alias("tags"))
+    docs = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.collect_list(item).alias("items"))
+    docs.select(F.col("p_brand").alias("folder"), F.to_json(F.struct("p_brand", "items")).alias("value")).repartition("folder").write.partitionBy("folder").text(path)
+    back = readers.read_nested_json(spark, path, "p_brand string, items array<struct<itemId string, itemName string, tags array<string>>>")
+    return back.select("p_brand", F.explode("items").alias("item")).select("p_brand", "item.itemId", "item.itemName", F.element_at("item.tags", 1).alias("tag"))
 
 
 def _code_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,10 +265,12 @@ def _custom(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _files_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Claims written as CSV files per priority; one report per folder from one read."""
+    """Claims written as CSV files per priority, absent cells as missing markers; one report per folder from one read."""
     path = scratch_path(spark, "claim-files")
     claims = view(spark, sf_dir, "claims")
-    flat = claims.select(*cleaning.CLAIM_COLUMNS, F.substring("priority", 1, 1).alias("folder"))
+    flat = claims.select(*cleaning.CLAIM_COLUMNS, F.substring("priority", 1, 1).alias("folder")).withColumns(
+        {"diagnosis_code": F.coalesce("diagnosis_code", F.lit("NA")), "currency": F.coalesce("currency", F.lit("NULL"))}
+    )
     flat.write.partitionBy("folder").option("header", True).option("escape", '"').option(
         "ignoreLeadingWhiteSpace", False
     ).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -186,13 +281,14 @@ def _files_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "run")
     run = runs.claims_run(spark, view(spark, sf_dir, "claims"), out, "session-1", "2024-01-01", END_MONTH)
-    manifest = run["manifest"].agg(F.sum("rows").alias("manifest_rows"), F.max("step_status").alias("step_status"))
-    series = run["forecast"].agg(
-        F.count(F.lit(1)).alias("providers"), F.sum(F.size("forecast")).cast("bigint").alias("forecast_points"), F.max("session_id").alias("session_id")
+    manifest = run["manifest"].select(F.col("rows").alias("manifest_rows"), "step_status")
+    series = run["forecast"].select(
+        F.lit(1).cast("bigint").alias("providers"), F.size("forecast").cast("bigint").alias("forecast_points"), "session_id"
     )
-    # Three one-row tables side by side.
-    one = lambda df: df.withColumn("k", F.lit(1))
-    return one(run["report"]).join(one(manifest), "k").join(one(series), "k").drop("k")
+    # the rows of all three, summed in one aggregate
+    both = analytics.column_union([run["report"], manifest, series])
+    total = lambda f: F.max(f.name) if f.dataType.typeName() == "string" else F.sum(f.name)
+    return both.agg(*[total(f).alias(f.name) for f in both.schema.fields])
 
 
 def _stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,10 +300,14 @@ def _stream_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of files: half of the claims; the other half with repeats of the first; corrected claims."""
     source, out, state = (scratch_path(spark, n) for n in ("arrivals", "claims", "state"))
-    writers.export_csv(view(spark, sf_dir, "claims"), source)
-    stream = file_streams.csv_stream(spark, source, cleaning.CLAIM_COLUMNS)
-    file_streams.stream_clean_claims(stream, out, state).awaitTermination()
+    claims = view(spark, sf_dir, "claims").withColumn("order", F.substring_index("claim_id", "-", 1).cast("bigint"))
+    corrected = claims.filter("order % 6 = 0").withColumn("patient_name", F.concat(F.trim("patient_name"), F.lit(" corrected")))
+    for arrivals in (claims.filter("order % 2 = 0"), claims.filter("order % 2 = 1 OR order % 4 = 0"), corrected):
+        writers.export_csv(arrivals.drop("order"), source, mode="append")
+        stream = file_streams.csv_stream(spark, source, cleaning.CLAIM_COLUMNS)
+        file_streams.stream_clean_claims(stream, out, state).awaitTermination()
     return readers.read_parquet_prefix(spark, out)
 
 
@@ -223,6 +323,13 @@ def _stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+def _stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly statistics of the windows that the watermark has closed."""
+    out, state = scratch_path(spark, "statistics"), scratch_path(spark, "state")
+    log_streams.stream_log_statistics(_event_stream(spark, sf_dir, _LINES), out, state).awaitTermination()
+    return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "lambda_name", "calls", "errors")
+
+
 def _stream_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, state = scratch_path(spark, "log"), scratch_path(spark, "state")
     log_streams.stream_log(_event_stream(spark, sf_dir, VIEWS["messages"]), out, state).awaitTermination()
@@ -263,6 +370,12 @@ QUERIES = {
     "stream_clean_claims": _stream_claims,
     "stream_log_metrics": _stream_metrics,
     "stream_newest_log": _stream_newest,
+    "stream_log_statistics": _stream_statistics,
+    "export_directory": _exported_directory,
+    "import_table": _imported,
+    "file_listing": _file_listing,
+    "manifest_partitioned": _manifest_partitioned,
+    "nested_json": _nested_json,
     "stream_messages": _stream_messages,
 }
 
@@ -313,15 +426,16 @@ SELECT 'fda-' || doc_id || '-warnings-' || (s // 350) AS id, md5('FDA Label —
 WHERE trim(LONG_COMMON_NAME) <> '' GROUP BY 1""",
     "lake_views": f"WITH {cte('conditions', 'encounters', 'medications', 'observations', 'patients')} " + " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in ("conditions", "encounters", "medications", "observations", "patients")
-    ) + " UNION ALL SELECT 'supplies', 0",
+    ) + "".join(f" UNION ALL SELECT '{n}', count(*) FROM ({text})" for n, text in _LAKE.items() if text not in VIEWS.values()),
     "export_report": f"WITH {cte(*_SIZES)} " + " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS rows, 'created' AS action, NULL AS error, true AS bytes_match FROM {n}" for n in _SIZES
     ),
-    "catalog_report": f"""WITH {cte("patients", "items")}
-SELECT 'patients' AS table_name, unnest(['id', 'first', 'last', 'gender', 'race', 'state']) AS column_name, 'string' AS type,
-  (SELECT count(*) FROM patients) AS rows
-UNION ALL SELECT 'items', c.n, c.t, (SELECT count(*) FROM items) FROM (VALUES ('itemId', 'string'), ('itemName', 'string'),
-  ('price', 'double'), ('currency', 'string'), ('categories', 'array<string>')) AS c(n, t)""",
+    "catalog_report": f"""WITH {cte("patients", "items")}, c(t, n, k) AS (VALUES ('patients', 'id', 'string'), ('patients', 'first', 'string'),
+  ('patients', 'last', 'string'), ('patients', 'gender', 'string (partition)'), ('patients', 'race', 'string'), ('patients', 'state', 'string'),
+  ('items', 'itemId', 'string'), ('items', 'itemName', 'string'), ('items', 'price', 'double'), ('items', 'currency', 'string'),
+  ('items', 'categories', 'array<string>'))
+SELECT t AS table_name, n AS column_name, k AS type, CASE t WHEN 'items' THEN (SELECT count(*) FROM items) ELSE (SELECT count(*) FROM patients) END AS rows,
+  'created,updated' AS actions, 1 AS listed FROM c""",
     "index_metadata": """SELECT lang AS shard, count(*) AS doc_count, '2024-02-01T00:00:00Z' AS indexed_at FROM documents GROUP BY 1
 UNION ALL SELECT DISTINCT 'old-' || source, 1, '2020-01-01T00:00:00Z' FROM documents""",
     "custom_transform": """SELECT cast(p_partkey AS string) AS "itemId",
@@ -341,7 +455,18 @@ p AS ({CLAIM_ORACLES["provider_regression"]})
 SELECT r.*, r.clean_rows AS manifest_rows, 'SUCCEEDED' AS step_status, (SELECT count(*) FROM p) AS providers,
   (SELECT count(*) FROM fc) AS forecast_points, 'session-1' AS session_id FROM r""",
     "stream_clean_csv": CLAIM_ORACLES["csv_drop_any_blank"],
-    "stream_clean_claims": CLAIM_ORACLES["clean_claims"],
+    "stream_clean_claims": f"""WITH {CLEAN_CTE} SELECT * FROM clean UNION ALL
+SELECT * REPLACE (patient_name || ' corrected' AS patient_name) FROM clean WHERE cast(split_part(claim_id, '-', 1) AS bigint) % 6 = 0""",
+    "stream_log_statistics": """WITH s AS (SELECT date_trunc('hour', ts) AS window_start, event_type AS lambda_name, count(*) AS calls,
+  count(*) FILTER (event_id % 3 = 0) AS errors FROM events WHERE event_type <> 'signup' GROUP BY 1, 2)
+SELECT * FROM s WHERE window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTES FROM events)""",
+    "export_directory": "SELECT 'nation' AS source, count(*) AS rows FROM nation UNION ALL SELECT 'supplier', count(*) FROM supplier",
+    "import_table": """SELECT 'new' AS step, count(*) AS written, count(*) AS stored FROM customer
+UNION ALL SELECT 'again', NULL, count(*) FROM customer
+UNION ALL SELECT 'replaced', count(*), count(*) FROM customer WHERE c_custkey % 3 = 0""",
+    "file_listing": """SELECT 'P' AS o_orderstatus, count(*) AS rows, true AS newest_is_latest, 3 AS files, true AS has_bytes FROM orders WHERE o_orderstatus = 'P'""",
+    "manifest_partitioned": f"WITH {cte('patients')} SELECT race, count(*) AS rows FROM patients GROUP BY 1",
+    "nested_json": """SELECT p_brand, cast(p_partkey AS string) AS "itemId", p_name AS "itemName", p_type AS tag FROM part""",
     "stream_log_metrics": f"""WITH {cte("log_lines")}, {_METRICS} SELECT * FROM metrics
 WHERE window_start + INTERVAL 60 SECONDS <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTES FROM events)""",
     "stream_newest_log": f"WITH {cte('messages')} SELECT * FROM messages ORDER BY ts DESC, event_id DESC LIMIT 100",

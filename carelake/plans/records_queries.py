@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from carelake.functions.rows import flat_text, row_contains
 from carelake.functions.text import contains_text
 from carelake.operators import analytics, items, medications
-from carelake.operators.corpus import top_n_per
 from carelake.plans.claims_queries import CLEAN_CTE, clean
 from carelake.plans.domain import cte, run_sql, table, view
 
@@ -16,7 +15,7 @@ PATIENT = "42"
 CODE = "77"
 PAGE_START = ["2", ""]
 
-_RAW_MEDICATIONS = """
+RAW_MEDICATIONS = """
 SELECT substr(cast(l_shipdate AS string), 1, 10) AS START,
        CASE WHEN l_linestatus = 'O' THEN '' ELSE concat(substr(cast(l_shipdate AS string), 1, 10), 'T08:30:00Z') END AS STOP,
        cast(o_custkey AS string) AS PATIENT, 'payer' AS PAYER, cast(l_orderkey AS string) AS ENCOUNTER,
@@ -25,7 +24,7 @@ SELECT substr(cast(l_shipdate AS string), 1, 10) AS START,
          AS BASE_COST,
        '' AS PAYER_COVERAGE, cast(cast(l_quantity AS int) AS string) AS DISPENSES,
        cast(cast(l_extendedprice AS decimal(18,2)) AS string) AS TOTALCOST, l_returnflag AS REASONCODE,
-       NULL AS REASONDESCRIPTION
+       CASE WHEN l_returnflag = 'R' THEN concat('Reason ', p_type) END AS REASONDESCRIPTION
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey"""
 _RAW_ORDER = (
     "START, STOP, PATIENT, PAYER, ENCOUNTER, CODE NULLS FIRST, DESCRIPTION, BASE_COST, PAYER_COVERAGE, DISPENSES,"
@@ -71,10 +70,6 @@ def _flat_items(df: DataFrame) -> DataFrame:
     return df.select("itemId", "itemName", "price", "currency", F.array_join("categories", "|").alias("categories"))
 
 
-def billing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.billing_view(clean(spark, sf_dir), view(spark, sf_dir, "encounters"))
-
-
 def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = [view(spark, sf_dir, n) for n in ("patients", "encounters", "medications", "conditions")]
     return analytics.patient_activity(*sides)
@@ -106,8 +101,7 @@ def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _aliased_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    analytics.register_views(spark, {n: view(spark, sf_dir, n) for n in ("medications", "patients", "encounters")})
-    return spark.sql(_ALIASED_SQL)
+    return analytics.sql_over(spark, _ALIASED_SQL, {n: view(spark, sf_dir, n) for n in ("medications", "patients", "encounters")})
 
 
 _ALIASED_SQL = """
@@ -191,6 +185,11 @@ def _drug_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medications.sorted_drugs(parts)
 
 
+def _sorted_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patients by last, then first name, numbered; and the codes of each in ascending order."""
+    return medications.sorted_patients(view(spark, sf_dir, "patients"), top_n=300)
+
+
 def _sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     meds = view(spark, sf_dir, "medications").select("id", "description")
     return medications.sort_by_description(meds, descending=True, top_n=200)
@@ -224,7 +223,7 @@ def _code_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _medication_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows of a mixed upload go to each store."""
     blank = ", ".join(f"'' AS {c}" for c in ("PATIENT", "ENCOUNTER", "CODE", "DESCRIPTION", "BASE_COST"))
-    mixed = run_sql(spark, sf_dir, _RAW_MEDICATIONS).select(*medications.MEDICATION_MARKS).unionByName(
+    mixed = run_sql(spark, sf_dir, RAW_MEDICATIONS).select(*medications.MEDICATION_MARKS).unionByName(
         run_sql(spark, sf_dir, f"SELECT {blank} FROM orders")
     )
     meds, other = medications.route_rows(mixed)
@@ -232,10 +231,9 @@ def _medication_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _display(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of each patient's first five active medications, sorted for display."""
-    meds = view(spark, sf_dir, "medications")
-    top = top_n_per(medications.active_medications(meds), ["patient"], [F.col(c).asc_nulls_first() for c in ("start", *meds.columns)], 5)
-    listed = top.groupBy("patient").agg(F.collect_list("description").alias("names"))
+    """Names of each patient's active medications, sorted for display."""
+    meds = medications.active_medications(view(spark, sf_dir, "medications"))
+    listed = meds.groupBy("patient").agg(F.collect_list("description").alias("names"))
     return listed.select("patient", analytics.display_names("names").alias("names"))
 
 
@@ -244,11 +242,11 @@ QUERIES = {
     "patient_activity": _activity,
     "condition_counts": lambda s, d: analytics.top_counts(view(s, d, "conditions"), "description", 20, "patient_count"),
     "total_rows": lambda s, d: analytics.total_rows(clean(s, d)),
-    "claims_by_status": lambda s, d: analytics.claims_by_status(billing(s, d)),
-    "claims_by_date": lambda s, d: analytics.claims_by_date(billing(s, d)),
-    "payer_distribution": lambda s, d: analytics.payer_distribution(billing(s, d)),
-    "top_patients_by_spend": lambda s, d: analytics.top_patients_by_spend(billing(s, d)),
-    "encounter_class_breakdown": lambda s, d: analytics.top_counts(billing(s, d), "encounter_class", name="claims"),
+    "claims_by_status": lambda s, d: analytics.claims_by_status(clean(s, d)),
+    "claims_by_date": lambda s, d: analytics.claims_by_date(clean(s, d)),
+    "payer_distribution": lambda s, d: analytics.payer_distribution(clean(s, d), view(s, d, "encounters")),
+    "top_patients_by_spend": lambda s, d: analytics.top_patients_by_spend(clean(s, d)),
+    "encounter_class_breakdown": lambda s, d: analytics.encounter_classes(clean(s, d), view(s, d, "encounters")),
     "patients_multi_medication": _multi,
     "patients_multi_medication_top": _multi_top,
     "medications_filtered": lambda s, d: medications.find_medications(
@@ -259,12 +257,14 @@ QUERIES = {
     "resolved_patients": lambda s, d: medications.resolved_patients(run_sql(s, d, _ALIASED_PATIENTS)),
     "medications_page": _page,
     "medications_sorted": _sorted,
-    "medication_rows": lambda s, d: medications.medication_rows(run_sql(s, d, _RAW_MEDICATIONS)),
+    "medication_rows": lambda s, d: medications.medication_rows(run_sql(s, d, RAW_MEDICATIONS)),
     "medication_default_ids": _default_ids,
     "medication_routes": _medication_routes,
     "generic_row_typing": _generic,
     "drug_conditions": _drug_conditions,
     "drug_lookup": _drug_lookup,
+    "sorted_patients": _sorted_patients,
+    "sorted_codes": lambda s, d: medications.sorted_codes(view(s, d, "medications"), top_n=300),
     "contains_text": _contains,
     "row_contains": _row_contains,
     "items_by_category": lambda s, d: _flat_items(items.find_by_category(view(s, d, "items"), "Brand#4")),
@@ -306,11 +306,9 @@ _STATUS = """CASE WHEN type = 'TaskStateEntered' THEN 'RUNNING' WHEN type = 'Tas
 _STEP_LIST = ", ".join(f"'{s}'" for s in analytics.STEPS)
 
 ORACLES = {
-    "display_names": f"""WITH {cte("medications")}, r AS (SELECT *, row_number() OVER (PARTITION BY patient ORDER BY start NULLS FIRST, id,
-  patient, encounter, code, description, stop NULLS FIRST, base_cost, dispenses, total_cost, reason_code) AS i
-  FROM medications WHERE coalesce(trim(stop), '') = '')
+    "display_names": f"""WITH {cte("medications")}
 SELECT patient, coalesce(string_agg(description, ', ' ORDER BY description) FILTER (description <> ''), '') AS names
-FROM r WHERE i <= 5 GROUP BY 1""",
+FROM medications WHERE coalesce(trim(stop), '') = '' GROUP BY 1""",
     "patient_activity": f"""WITH {cte("patients", "encounters", "medications", "conditions")}
 SELECT p.first, p.last, p.gender, p.race, count(DISTINCT e.id) AS encounters, count(DISTINCT m.code) AS medications,
   count(DISTINCT c.code) AS conditions
@@ -350,20 +348,20 @@ SELECT patient_id, coalesce(n, CASE WHEN f IS NOT NULL AND l IS NOT NULL THEN f
 WHERE (id, start) > ('{PAGE_START[0]}', '{PAGE_START[1]}') ORDER BY id, start LIMIT 50""",
     "medications_sorted": f"""WITH {cte("medications")} SELECT id, description FROM medications
 ORDER BY lower(coalesce(description, '')) DESC, id LIMIT 200""",
-    "medication_rows": f"""WITH raw AS ({_RAW_MEDICATIONS}),
+    "medication_rows": f"""WITH raw AS ({RAW_MEDICATIONS}),
 r AS (SELECT *, row_number() OVER (ORDER BY {_RAW_ORDER}) - 1 AS i FROM raw)
 SELECT PATIENT || '-' || ENCOUNTER || '-' || coalesce(CODE, 'code') || '-' || START || '-'
     || coalesce(nullif(STOP, ''), 'nostop') || '-' || i AS id,
   START || 'T00:00:00' AS start, nullif(STOP, '') AS stop, PATIENT AS patient, PAYER AS payer, ENCOUNTER AS encounter,
   CODE AS code, DESCRIPTION AS description, try_cast(trim(BASE_COST) AS double) AS "baseCost",
   cast(NULL AS double) AS "payerCoverage", cast(DISPENSES AS double) AS dispenses, cast(TOTALCOST AS double) AS "totalCost",
-  REASONCODE AS "reasonCode", cast(NULL AS varchar) AS "reasonDescription"
+  REASONCODE AS "reasonCode", REASONDESCRIPTION AS "reasonDescription"
 FROM r""",
     "medication_default_ids": f"""WITH {cte("medications")}
 SELECT CASE WHEN reason_code = 'A' THEN id ELSE patient || '-' || encounter || '-' || code END AS id,
   start || 'T00:00:00' AS start, stop || 'T10:15:00.500000Z' AS stop, patient, code, total_cost AS "totalCost"
 FROM medications""",
-    "medication_routes": f"""SELECT 'medication' AS table_name, count(*) AS rows FROM ({_RAW_MEDICATIONS})
+    "medication_routes": f"""SELECT 'medication' AS table_name, count(*) AS rows FROM ({RAW_MEDICATIONS})
 UNION ALL SELECT 'generic', count(*) FROM orders""",
     "generic_row_typing": f"""WITH raw AS ({_GENERIC}), r AS (SELECT *, row_number() OVER (ORDER BY part) - 1 AS i FROM raw)
 SELECT Brand || '-' || trim(SIZE) || '-' || cast(cast(price AS double) AS varchar) || '-' || i AS id, Brand AS brand,
@@ -375,6 +373,9 @@ SELECT itemId, itemName AS drug_name, array_to_string(list_filter(list_transform
 FROM items LEFT JOIN m ON m.drug_name = itemName""",
     "drug_lookup": """SELECT cast(p_partkey AS string) AS id,
   'NDA' || p_size || ' 24 HR ' || p_name || ' ' AS description, lower(p_name) AS sort_key FROM part""",
+    "sorted_patients": f"""WITH {cte("patients")} SELECT id, last, first FROM patients
+ORDER BY lower(last), lower(first), id LIMIT 300""",
+    "sorted_codes": f"""WITH {cte("medications")} SELECT DISTINCT code FROM medications WHERE code <> '' ORDER BY code LIMIT 300""",
     "contains_text": f"""WITH {cte("medications")} SELECT id, description, code FROM medications
 WHERE contains(lower(description), 'ring') OR contains(code, 'ring')""",
     "row_contains": f"""WITH {cte("patients")} SELECT id, race FROM patients

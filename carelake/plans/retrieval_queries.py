@@ -10,8 +10,10 @@ from carelake.functions.text import SPACE_CHARS, slug
 from carelake.operators import corpus, interactions, retrieval
 from carelake.operators.analytics import distinct_codes
 from carelake.plans.claims_queries import sql_strip
+from carelake.operators.medications import find_medications, medication_rows
 from carelake.plans.domain import cte, run_sql, table, view
-from carelake.session import scratch_path
+from carelake.plans.records_queries import RAW_MEDICATIONS
+from carelake.session import materialise, scratch_path
 
 # Fixed value: Python's whitespace as a class of the oracle's regex engine.
 SPACE_CLASS = (
@@ -61,6 +63,68 @@ def _hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.hybrid_retrieve(questions(spark, sf_dir), docs, letter_profile, 5)
 
 
+def _hybrid_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retrieval inside one shard; its statistics are those of the shard."""
+    docs = retrieval.embed(documents(spark, sf_dir), letter_profile)
+    return retrieval.hybrid_retrieve(questions(spark, sf_dir), docs, letter_profile, 5, shard="de")
+
+
+def _hybrid_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword list alone and dense list alone."""
+    docs = retrieval.embed(documents(spark, sf_dir), letter_profile)
+    one = lambda a: retrieval.hybrid_retrieve(questions(spark, sf_dir), docs, letter_profile, 5, alpha=a).withColumn("alpha", F.lit(a))
+    return one(0.0).unionByName(one(1.0))
+
+
+def _hybrid_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other question carries a patient sentence."""
+    features = F.when(F.col("query_id") % 2 == 0, F.concat(F.lit("conditions: the and of "), F.col("query_id").cast("string")))
+    docs = retrieval.embed(documents(spark, sf_dir), letter_profile)
+    return retrieval.hybrid_retrieve(questions(spark, sf_dir).withColumn("features", features), docs, letter_profile, 5)
+
+
+def _corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.corpus_bm25_stats(documents(spark, sf_dir))[0].withColumn("avg_length", F.round("avg_length", 6))
+
+
+def _index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index over two shards, then a run that changes one of them and adds another."""
+    docs = documents(spark, sf_dir)
+    first = retrieval.build_index(docs.filter("shard IN ('en', 'de')"), letter_profile, scratch_path(spark, "index"), INDEXED_AT)
+    change = docs.filter("shard IN ('de', 'fr')").withColumn("text", F.concat(F.lit("new "), "text"))
+    merged = retrieval.build_index(change, letter_profile, scratch_path(spark, "index"), "2024-03-01 00:00:00", stored=first)
+    return merged.select("id", "shard", F.md5("text").alias("hash"), F.date_format("indexed_at", "yyyy-MM-dd").alias("indexed_on"))
+
+
+def _index_one_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index run of one patient over a stored index: their rows are added, others stay."""
+    meds = view(spark, sf_dir, "medications")
+    stored = retrieval.build_index(
+        corpus.medication_documents(meds.filter("cast(patient AS int) % 50 = 1")), letter_profile, scratch_path(spark, "index"), INDEXED_AT
+    )
+    own = corpus.medication_documents(find_medications(meds, patient_id="42"))
+    merged = retrieval.build_index(own, letter_profile, scratch_path(spark, "index"), "2024-03-01 00:00:00", stored=stored)
+    return merged.select("id", "text", F.date_format("indexed_at", "yyyy-MM-dd").alias("indexed_on"))
+
+
+def _guidelines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("text", F.concat(F.lit("Guide "), F.col("doc_id").cast("string")).alias("source"))
+    out = corpus.guideline_documents(docs, size=100, overlap=20)
+    return out.select("id", "source", F.md5("text").alias("hash"), F.element_at("metadata", "total_chunks").alias("total_chunks"))
+
+
+def _raw_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences over rows as they come, upper-case names and no id."""
+    out = corpus.medication_documents(run_sql(spark, sf_dir, RAW_MEDICATIONS))
+    return out.select("id", "text")
+
+
+def _typed_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences and payer over the library's own typed rows."""
+    out = corpus.medication_documents(medication_rows(run_sql(spark, sf_dir, RAW_MEDICATIONS)))
+    return out.select("text", F.element_at("metadata", "payer").alias("payer"))
+
+
 def _embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "index")
     docs = documents(spark, sf_dir).withColumn("metadata", F.create_map(F.lit("source"), F.col("source")))
@@ -77,7 +141,7 @@ def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers quote a document id for every other question."""
     docs = documents(spark, sf_dir)
-    hits = retrieval.bm25_top_k(questions(spark, sf_dir), docs, 3)
+    hits = materialise(retrieval.bm25_top_k(questions(spark, sf_dir), docs, 3), "hits")
     quoted = F.when(F.col("query_id") % 2 == 0, F.concat(F.lit("See [source: "), F.col("doc_id").cast("string"), F.lit("]."))).otherwise("No idea.")
     answers = hits.filter("rank = 2").select("query_id", quoted.alias("answer"))
     cited = retrieval.cited_sources(answers, retrieval.passages(hits, docs, 200))
@@ -205,12 +269,12 @@ def _case_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank = F.array().cast("array<string>")
     labs = F.map_from_entries(
         F.transform(
-            F.slice(F.coalesce("observations", F.array().cast(context.schema["observations"].dataType)), 1, 2),
+            F.coalesce("observations", F.array().cast(context.schema["observations"].dataType)),
             lambda o: F.struct(F.concat(o["description"], F.lit("-"), o["position"].cast("string")), o["value"]),
         )
     )
-    meds = F.coalesce(F.transform(F.slice("active_meds", 1, 3), lambda e: e["description"]), blank)
-    symptoms = F.coalesce(F.transform(F.slice("conditions", 1, 2), lambda e: e["description"]), blank)
+    meds = F.coalesce(F.transform("active_meds", lambda e: e["description"]), blank)
+    symptoms = F.coalesce(F.transform("conditions", lambda e: e["description"]), blank)
     age = F.col("patient").cast("int") % 90
     sex = F.when(age % 3 == 0, "F").when(age % 3 == 1, "")
     return context.select("patient", corpus.case_question(labs, meds, symptoms, age, sex).alias("question"))
@@ -246,6 +310,15 @@ QUERIES = {
     "risk_labels": lambda s, d: _labels(s, d, F.array_join(interactions.risk_labels(F.col("text")), "|").alias("risks")),
     "short_drug_names": _short_names,
     "redact_documents": lambda s, d: run_sql(s, d, _SECRETS).select("doc_id", interactions.redact_secrets(F.col("text")).alias("text")),
+    "hybrid_shard": _hybrid_shard,
+    "hybrid_alpha_edges": _hybrid_edges,
+    "hybrid_patient_context": _hybrid_context,
+    "bm25_corpus": _corpus_stats,
+    "index_merge": _index_merge,
+    "index_one_patient": _index_one_patient,
+    "guideline_documents": _guidelines,
+    "medication_sentences_raw": _raw_sentences,
+    "medication_sentences_typed": _typed_sentences,
     "shard_stats": lambda s, d: retrieval.shard_stats(documents(s, d).withColumn("indexed_at", F.to_timestamp(F.lit(INDEXED_AT)))).select("shard", "doc_count"),
 }
 
@@ -294,12 +367,12 @@ c AS (SELECT patient, description, row_number() OVER (PARTITION BY patient ORDER
 o AS (SELECT patient, description, round(value, 2) AS value, row_number() OVER (PARTITION BY patient ORDER BY event_id) AS i
   FROM observations),
 mt AS (SELECT patient, string_agg(description, ', ' ORDER BY i) FILTER (i <= 5) AS t5,
-  string_agg(description, ', ' ORDER BY i) FILTER (i <= 3) AS t3 FROM m GROUP BY 1),
+  string_agg(description, ', ' ORDER BY i) FILTER (i <= 10) AS t10 FROM m GROUP BY 1),
 ct AS (SELECT patient, string_agg(description, ', ' ORDER BY i) FILTER (i <= 5) AS t5,
-  string_agg(description, ', ' ORDER BY i) FILTER (i <= 2) AS t2 FROM c GROUP BY 1),
+  string_agg(description, ', ' ORDER BY i) FILTER (i <= 10) AS t10 FROM c GROUP BY 1),
 ot AS (SELECT patient, string_agg(description || '=' || value || 'u', '; ' ORDER BY i) FILTER (i <= 3) AS t3,
-  string_agg(description || '-' || i || '=' || value, ', ' ORDER BY description || '-' || i) FILTER (i <= 2) AS t2 FROM o GROUP BY 1),
-context AS (SELECT p.id AS patient, mt.t5 AS m5, mt.t3 AS m3, ct.t5 AS c5, ct.t2 AS c2, ot.t3 AS o3, ot.t2 AS o2
+  string_agg(description || '-' || i || '=' || value, ', ' ORDER BY description || '-' || i) FILTER (i <= 10) AS t10 FROM o GROUP BY 1),
+context AS (SELECT p.id AS patient, mt.t5 AS m5, mt.t10 AS m10, ct.t5 AS c5, ct.t10 AS c10, ot.t3 AS o3, ot.t10 AS o10
   FROM patients p LEFT JOIN mt ON mt.patient = p.id LEFT JOIN ct ON ct.patient = p.id LEFT JOIN ot ON ot.patient = p.id),
 features AS (SELECT patient, concat_ws('. ', 'active medications: ' || m5, 'conditions: ' || c5, 'observations: ' || o3) AS features
   FROM context)"""
@@ -335,7 +408,39 @@ def _sql_redact() -> str:
     return f"regexp_replace({out}, '(=\\s)([A-Za-z0-9+/=_\\-]{{40,}})', '\\1' || repeat('#', 24), 'g')"
 
 
+_HYBRID = f"""{_BM25_CTE},
+vec AS MATERIALIZED (SELECT id, list_transform(x, lambda e: cast(cast(e / CASE WHEN norm = 0 THEN 1 ELSE norm END AS float) AS double)) AS v
+  FROM (SELECT *, sqrt(list_sum(list_transform(x, lambda e: e * e))) AS norm FROM (SELECT id, {_LETTER} AS x FROM (
+    SELECT id, lower(text) AS t FROM docs UNION ALL SELECT 'q' || item_id, lower(text) FROM benchmark)))),
+dense AS MATERIALIZED (SELECT item_id AS query_id, d.id AS doc_id, round(list_dot_product(d.v, w.v) /
+    (sqrt(list_dot_product(d.v, d.v)) * sqrt(list_dot_product(w.v, w.v)) + 1e-9), 9) AS score
+  FROM benchmark JOIN vec w ON w.id = 'q' || item_id, vec d WHERE d.id[1] <> 'q'),
+dense_ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM dense),
+fused AS (SELECT query_id, doc_id, round(sum(share), 6) AS score FROM (
+    SELECT query_id, doc_id, 0.6 / (60 + rank) AS share FROM dense_ranked WHERE rank <= 15
+    UNION ALL SELECT query_id, doc_id, 0.4 / (60 + rank) FROM kw_ranked WHERE rank <= 15) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM fused)"""
+_ASKED = """bq AS (SELECT item_id, CASE WHEN item_id % 2 = 0 THEN text || ' [Patient context: conditions: the and of ' || item_id || ']'
+  ELSE text END AS text FROM benchmark)"""
+_RAW_SENTENCE = """concat_ws(' ', 'Patient ' || PATIENT || ' was prescribed ' || DESCRIPTION, '(RxNorm code: ' || CODE || ')',
+  'from ' || {start} || ' to ' || coalesce(nullif(STOP, ''), 'ongoing') || '.', 'Reason: ' || REASONDESCRIPTION || '.', 'Payer: ' || PAYER || '.',
+  'Total cost: $' || {cost} || '.')"""
+
 ORACLES = {
+    "hybrid_shard": f"WITH {_HYBRID.replace('FROM documents_corpus)', chr(70) + 'ROM documents_corpus WHERE shard = ' + chr(39) + 'de' + chr(39) + ')')} SELECT query_id, doc_id, score, rank FROM r WHERE rank <= 5",
+    "hybrid_alpha_edges": f"""WITH {_HYBRID} SELECT query_id, doc_id, round(1.0 / (60 + rank), 6) AS score, rank, 0.0 AS alpha FROM kw_ranked WHERE rank <= 5
+UNION ALL SELECT query_id, doc_id, round(1.0 / (60 + rank), 6) AS score, rank, 1.0 FROM dense_ranked WHERE rank <= 5""",
+    "hybrid_patient_context": f"WITH {_ASKED}, {_HYBRID.replace('FROM benchmark', 'FROM bq')} SELECT query_id, doc_id, score, rank FROM r WHERE rank <= 5".replace("bq JOIN vec", "bq AS benchmark JOIN vec"),
+    "bm25_corpus": f"WITH {_DOCS_CTE} SELECT count(*) AS n_docs, round(avg(len(toks)), 6) AS avg_length FROM docs",
+    "index_merge": """SELECT cast(doc_id AS string) AS id, lang AS shard, md5(CASE WHEN lang = 'en' THEN text ELSE 'new ' || text END) AS hash,
+  CASE WHEN lang = 'en' THEN '2024-02-01' ELSE '2024-03-01' END AS indexed_on FROM documents WHERE lang IN ('en', 'de', 'fr')""",
+    "index_one_patient": f"""WITH {cte("medications")} SELECT 'med-' || id AS id, {_MED_SENTENCE} AS text,
+  CASE WHEN patient = '42' THEN '2024-03-01' ELSE '2024-02-01' END AS indexed_on FROM medications
+WHERE patient = '42' OR cast(patient AS int) % 50 = 1""",
+    "medication_sentences_raw": f"""WITH r AS ({RAW_MEDICATIONS}) SELECT 'med-' || PATIENT || '-' || ENCOUNTER || '-' || coalesce(CODE, 'code') || '-' || START AS id,
+  {_RAW_SENTENCE.format(start="START", cost="TOTALCOST")} AS text FROM r""",
+    "medication_sentences_typed": f"""WITH r AS ({RAW_MEDICATIONS}) SELECT
+  {_RAW_SENTENCE.format(start="START || 'T00:00:00'", cost="cast(TOTALCOST AS double)")} AS text, PAYER AS payer FROM r""",
     "word_chunks": f"""WITH w AS (SELECT doc_id, text, {_sql_words("text")} AS ws FROM documents),
 p AS (SELECT doc_id, text, ws, unnest(CASE WHEN len(ws) <= 400 THEN [0] ELSE generate_series(0, len(ws) - 1, 350) END) AS s FROM w)
 SELECT doc_id, cast(s // 350 AS bigint) AS chunk_index,
@@ -348,6 +453,15 @@ f AS (SELECT doc_id, list_reduce(parts, lambda a, x: CASE WHEN len(a.cur) > 0 AN
     {{'done': cast([] AS varchar[]), 'cur': cast([] AS varchar[])}}) AS r FROM s),
 c AS (SELECT doc_id, list_filter(list_append(r.done, array_to_string(r.cur, ' ')), lambda t: len(string_split(t, ' ')) >= 10) AS chunks FROM f)
 SELECT doc_id, len(chunks) AS total_chunks, generate_subscripts(chunks, 1) - 1 AS chunk_index, unnest(chunks) AS chunk FROM c""",
+    "guideline_documents": f"""WITH s AS (SELECT doc_id, list_transform({_SPLIT_SENTENCES},
+    lambda x: {{'done': cast([] AS varchar[]), 'cur': {_sql_words("x")}}}) AS parts FROM documents),
+f AS (SELECT doc_id, list_reduce(parts, lambda a, x: CASE WHEN len(a.cur) > 0 AND len(a.cur) + len(x.cur) > 100
+    THEN {{'done': list_append(a.done, array_to_string(a.cur, ' ')), 'cur': list_concat(a.cur[-20:], x.cur)}}
+    ELSE {{'done': a.done, 'cur': list_concat(a.cur, x.cur)}} END,
+    {{'done': cast([] AS varchar[]), 'cur': cast([] AS varchar[])}}) AS r FROM s),
+c AS (SELECT doc_id, list_filter(list_append(r.done, array_to_string(r.cur, ' ')), lambda t: len(string_split(t, ' ')) >= 10) AS chunks FROM f),
+d AS (SELECT doc_id, len(chunks) AS n, generate_subscripts(chunks, 1) - 1 AS i, unnest(chunks) AS chunk FROM c)
+SELECT 'guideline-guide-' || doc_id || '-' || i AS id, 'Guide ' || doc_id AS source, md5(chunk) AS hash, cast(n AS varchar) AS total_chunks FROM d""",
     "html_text": f"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
   '<script[^>]*>.*?</script>', ' ', 'gis'), '<style[^>]*>.*?</style>', ' ', 'gis'), '<[^>]+>', ' ', 'g'),
   '{SPACE_CLASS}+', ' ', 'g'), '{SPACE_CHARS}') AS text FROM pages""",
@@ -383,8 +497,8 @@ FROM medications) SELECT drug_key FROM k WHERE length(drug_key) > 2 AND drug_key
 SELECT patient, features, CASE WHEN features <> '' THEN 'Is the dose right? [Patient context: ' || features || ']'
   ELSE 'Is the dose right?' END AS question FROM features""",
     "case_questions": f"""WITH {_CONTEXT_CTE}, a AS (SELECT *, cast(patient AS int) % 90 AS age FROM context)
-SELECT patient, concat_ws(' ', 'Evaluate this patient:', 'Lab values: ' || o2 || '.', 'Current medications: ' || m3 || '.',
-  'Symptoms: ' || c2 || '.',
+SELECT patient, concat_ws(' ', 'Evaluate this patient:', 'Lab values: ' || o10 || '.', 'Current medications: ' || m10 || '.',
+  'Symptoms: ' || c10 || '.',
   CASE WHEN age > 0 THEN 'Patient is ' || age || ' years old' || CASE WHEN age % 3 = 0 THEN ' F' ELSE '' END || '.' END,
   'Provide primary diagnosis with ICD code, differential, guideline support, and recommended workup.') AS question FROM a""",
     "embedded_documents": f"""WITH t AS (SELECT cast(doc_id AS string) AS id, lang AS shard, lower(text) AS t FROM documents),
@@ -401,21 +515,9 @@ SELECT query_id, doc_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10"
     "bm25_terms": f"""WITH {_DOCS_CTE} SELECT term, count(*) AS doc_freq
 FROM (SELECT unnest(list_distinct(toks)) AS term FROM docs) GROUP BY 1""",
     "bm25_top_k": f"WITH {_BM25_CTE} SELECT query_id, doc_id, round(score, 6) AS score, rank FROM kw_ranked WHERE rank <= 10",
-    "hybrid_rrf": f"""WITH {_BM25_CTE},
-vec AS MATERIALIZED (SELECT id, list_transform(x, lambda e: cast(cast(e / CASE WHEN norm = 0 THEN 1 ELSE norm END AS float) AS double)) AS v
-  FROM (SELECT *, sqrt(list_sum(list_transform(x, lambda e: e * e))) AS norm FROM (SELECT id, {_LETTER} AS x FROM (
-    SELECT id, lower(text) AS t FROM docs UNION ALL SELECT 'q' || item_id, lower(text) FROM benchmark)))),
-dense AS MATERIALIZED (SELECT item_id AS query_id, d.id AS doc_id, round(list_dot_product(d.v, w.v) /
-    (sqrt(list_dot_product(d.v, d.v)) * sqrt(list_dot_product(w.v, w.v)) + 1e-9), 9) AS score
-  FROM benchmark JOIN vec w ON w.id = 'q' || item_id, vec d WHERE d.id[1] <> 'q'),
-dense_ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM dense),
-fused AS (SELECT query_id, doc_id, round(sum(share), 6) AS score FROM (
-    SELECT query_id, doc_id, 0.6 / (60 + rank) AS share FROM dense_ranked WHERE rank <= 15
-    UNION ALL SELECT query_id, doc_id, 0.4 / (60 + rank) FROM kw_ranked WHERE rank <= 15) GROUP BY 1, 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM fused)
-SELECT query_id, doc_id, score, rank FROM r WHERE rank <= 5""",
+    "hybrid_rrf": f"WITH {_HYBRID} SELECT query_id, doc_id, score, rank FROM r WHERE rank <= 5",
     "context_blocks": f"""WITH {_BM25_CTE} SELECT query_id, string_agg('[' || rank || '] [source: ' || doc_id || '] (' || source || ')' || chr(10)
-  || trim(left(text, 300)), chr(10) || chr(10) ORDER BY rank) AS context
+  || trim(text), chr(10) || chr(10) ORDER BY rank) AS context
 FROM kw_ranked JOIN docs ON docs.id = doc_id WHERE rank <= 3 GROUP BY 1""",
     "cited_sources": f"""WITH {_BM25_CTE}, top AS (SELECT query_id, doc_id, rank, round(score, 4) AS score, source, left(text, 200) AS text
   FROM kw_ranked JOIN docs ON docs.id = doc_id WHERE rank <= 3),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,12 +26,17 @@ def tune(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    Clusters name it in ``spark.checkpoint.dir``. Only where that is unset (tests, one machine) a
-    temporary folder is made, once per session.
+    Clusters name it in ``spark.checkpoint.dir``, and without it nothing is written there: a folder
+    of one machine would be lost to the others. Only a session that lives in one process (tests,
+    bench) gets a temporary folder, once, which goes when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="carelake-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)

@@ -47,8 +47,13 @@ def read_csv_strings(
     multi_line: bool = False,
 ) -> DataFrame:
     """CSV as text columns; cells that hold a missing marker are null."""
-    df = csv_reader(spark, columns, multi_line).csv(path)
-    return df.select(*[F.when(~F.col(f"`{c}`").isin(list(na_values)), F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return missing_to_null(csv_reader(spark, columns, multi_line).csv(path), na_values)
+
+
+def missing_to_null(df: DataFrame, na_values: Sequence[str] = NA_VALUES) -> DataFrame:
+    """Cells of text columns that hold a missing marker become null."""
+    cell = lambda c: F.when(~F.col(f"`{c}`").isin(list(na_values)), F.col(f"`{c}`")).alias(c)
+    return df.select(*[cell(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
 def read_csv_trimmed(spark: SparkSession, path: str, columns: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
@@ -58,8 +63,8 @@ def read_csv_trimmed(spark: SparkSession, path: str, columns: Sequence[str] | No
 
 
 def column_name(text: str) -> str:
-    """Catalog column name of a CSV header cell."""
-    return re.sub(r"[^a-z0-9_]", "_", text.strip().lower().replace(" ", "_").replace("-", "_")) or "col"
+    """Catalog column name of a CSV header cell: lower case, anything but letters, digits and underscores replaced."""
+    return re.sub("[^a-z0-9_]", "_", text.strip().lower()) or "col"
 
 
 def csv_schema_from_header(df: DataFrame) -> DataFrame:
@@ -79,15 +84,18 @@ def table_name_from_file(file_name: Column) -> Column:
     return F.trim(F.regexp_replace(stem, r"[^\p{L}\p{N}]", "_"), F.lit("_"))
 
 
-def load_views(spark: SparkSession, directory: str, tables: Sequence[str] = LAKE_TABLES, columns: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+def load_views(
+    spark: SparkSession, directory: str, tables: Sequence[str] = LAKE_TABLES, columns: Mapping[str, Sequence[str]] | None = None, prefix: str = ""
+) -> DataFrame:
     """Register ``directory/<table>`` CSVs as views and return the row count of each.
 
-    Nulls become empty text, as in the lake. Tables without rows keep their columns.
+    Nulls become empty text, as in the lake. Tables without rows keep their columns. ``prefix`` keeps
+    the views apart from others of the session.
     """
     counts = []
     for name in tables:
         df = csv_reader(spark, (columns or {}).get(name)).csv(f"{directory}/{name}").na.fill("")
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(prefix + name)
         counts.append(df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows")))
     return reduce(DataFrame.unionByName, counts)
 

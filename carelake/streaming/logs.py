@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from carelake.operators import monitoring
+from carelake.session import materialise
 
 # How long a window waits for late lines before it is closed and written.
 LATENESS = "10 minutes"
@@ -33,7 +34,7 @@ def stream_messages(messages: DataFrame, schema: str, out: str, rejected: str, c
     """Decoded messages to one table, undeliverable ones to another."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        decoded = monitoring.decode_messages(batch, schema)
+        decoded = materialise(monitoring.decode_messages(batch, schema), "decoded")
         decoded.filter(F.col("raw").isNull()).drop("raw").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         decoded.filter(F.col("raw").isNotNull()).drop("fields").write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
 

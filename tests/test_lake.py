@@ -88,7 +88,7 @@ def test_export_csv_directory(spark, tmp_path):
     put(tmp_path / "in" / "payers.csv", "Id,NAME\n1,a\n2,b\n")
     put(tmp_path / "in" / "supplies.csv", "DATE,CODE\n")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS dir_test LOCATION '{tmp_path}/db'")
-    out = writers.export_csv_directory(spark, ["payers", "supplies"], str(tmp_path / "in"), str(tmp_path / "lake"), "dir_test")
+    out = writers.export_csv_directory(spark, str(tmp_path / "in"), str(tmp_path / "lake"), "dir_test")
     assert rows(out.select("table_name", "rows", "action")) == [("payers", 2, "created"), ("supplies", 0, "created")]
     assert spark.table("dir_test.payers").count() == 2
     assert rows(writers.catalog_browse(spark, "dir_test").select("table_name", "column_name"))[0] == ("payers", "Id")
@@ -121,17 +121,17 @@ def test_stream_clean_csv_picks_up_new_files(spark, tmp_path):
     assert rows(spark.read.parquet(out)) == [("1", "2"), ("5", "6")]
 
 
-def test_stream_claims_drop_stored_ids(spark, tmp_path):
+def test_stream_claims_skip_only_equal_rows(spark, tmp_path):
     source, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
     run = lambda: file_streams.stream_clean_claims(
         file_streams.csv_stream(spark, source, cleaning.CLAIM_COLUMNS), out, state
     ).awaitTermination()
     claims(spark, {}, {}, {"claim_id": "2"}).write.option("header", True).csv(source)
     run()
-    claims(spark, {"patient_id": "zz"}, {"claim_id": "3"}).write.mode("append").option("header", True).csv(source)
+    claims(spark, {"patient_id": "zz"}, {"claim_id": "3"}, {"claim_id": "2"}, {"claim_id": "4", "diagnosis_code": "NA"}).write.mode("append").option("header", True).csv(source)
     run()
     stored = spark.read.parquet(out)
-    assert rows(stored.select("claim_id", "patient_id", "batch")) == [("2", "p", 0), ("3", "p", 1), ("c1", "p", 0)]
+    assert rows(stored.select("claim_id", "patient_id", "batch")) == [("2", "p", 0), ("3", "p", 1), ("c1", "p", 0), ("c1", "zz", 1)]
 
 
 def test_stream_log_statistics_closes_windows_behind_the_watermark(spark, tmp_path):

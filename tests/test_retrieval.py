@@ -1,6 +1,7 @@
 import math
 import re
 import sys
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -37,7 +38,7 @@ def test_word_windows(spark):
 @given(st.lists(st.integers(1, 15), max_size=12), st.integers(5, 25), st.integers(0, 4))
 def test_sentence_fold_keeps_every_word(lengths, size, overlap):
     text = " ".join(" ".join(f"w{i}x{j}" for j in range(n)) + "." for i, n in enumerate(lengths))
-    chunks = corpus._fold_sentences(text, size, overlap)
+    chunks = corpus._sentence_ranges(text, size, overlap)
     kept = {w for c in chunks for w in c.split()}
     assert all(len(c.split()) >= 10 for c in chunks) and kept <= set(text.split())
     if overlap == 0:
@@ -61,6 +62,11 @@ def test_html_and_sentences(spark):
     assert med.select(corpus.medication_sentence(med)).first()[0] == (
         "Patient unknown patient was prescribed unknown medication (RxNorm code: 1) from  to ongoing. Total cost: $12.5."
     )
+    raw = spark.createDataFrame([("p", "d", "7", "2024-01-01", "", "me", "why", "9.50")], "PATIENT string, DESCRIPTION string, CODE string, START string, STOP string, PAYER string, REASONDESCRIPTION string, TOTALCOST string")
+    assert corpus.medication_documents(raw).first()["text"] == (
+        "Patient p was prescribed d (RxNorm code: 7) from 2024-01-01 to ongoing. Reason: why. Payer: me. Total cost: $9.50."
+    )
+    assert corpus.medication_documents(raw).first()["id"] == "med-p-encounter-7-2024-01-01"
 
 
 def brute_cosine(queries, docs, k):
@@ -71,7 +77,7 @@ def brute_cosine(queries, docs, k):
     return out
 
 
-def test_cosine_both_ways(spark, monkeypatch):
+def test_cosine_for_any_block_size(spark):
     rng = np.random.default_rng(1)
     vectors = [[float(np.float32(x)) for x in rng.normal(size=6)] for _ in range(60)]
     vectors += [vectors[3]] * 30 + [[0.0] * 6]
@@ -82,8 +88,7 @@ def test_cosine_both_ways(spark, monkeypatch):
     expected = brute_cosine(queries, docs, 5)
     close = lambda found: [(a, b, round(s, 6), r) for a, b, s, r in sorted(found)]
     assert close(tuple(r) for r in retrieval.cosine_top_k(q, d, 5).collect()) == close(expected)
-    monkeypatch.setattr(retrieval, "_BLOCK_ROWS", 20)
-    blocks = retrieval.cosine_top_k(q, d, 5, limit_bytes=0)
+    blocks = retrieval.cosine_top_k(q, d, 5, block_bytes=1)
     assert close(tuple(r) for r in blocks.collect()) == close(expected)
     assert retrieval.cosine_top_k(q.limit(0), d, 5).count() == 0
 
@@ -107,15 +112,15 @@ def brute_bm25(queries, docs, k):
     return out
 
 
-def test_bm25_both_ways(spark):
+def test_bm25_for_any_block_size(spark):
     texts = ["the cat's sat", "the dog the dog ran \\ far", "the  bird flew", "the", "", "the cat cat", "the cat's sat"]
     docs = [(f"d{i}", t) for i, t in enumerate(texts)]
     queries = [(1, "Cat's CAT cat unknown"), (2, "the"), (3, "nothing here"), (4, "dog \\ bird")]
     d = spark.createDataFrame(docs, "id string, text string").repartition(3)
     q = spark.createDataFrame(queries, "query_id bigint, text string")
     expected = sorted((a, b, round(s, 6), r) for a, b, s, r in brute_bm25(queries, docs, 3))
-    for limit in (1000, 0):
-        found = retrieval.bm25_top_k(q, d, 3, limit_terms=limit).collect()
+    for limit in (1000, 1):
+        found = retrieval.bm25_top_k(q, d, 3, block_terms=limit).collect()
         assert sorted((r.query_id, r.doc_id, round(r.score, 6), r.rank) for r in found) == expected
 
 
@@ -125,6 +130,35 @@ def test_bm25_statistics_cover_the_shard_only(spark):
     assert [r.doc_id for r in retrieval.bm25_top_k(q, d, 5, "s").collect()] == ["a"]
 
 
+def test_repeated_ids_give_equal_rows_for_any_block_size(spark):
+    d = spark.createDataFrame([("a", "x y", [1.0, 0.0]), ("a", "x y", [1.0, 0.0]), ("b", "z q r", [0.0, 1.0]), ("n", "x", None)], "id string, text string, vector array<double>")
+    q = spark.createDataFrame([(1, "x", [1.0, 0.0]), (1, "z", [0.0, 1.0]), (2, "z", [0.0, 0.0])], "query_id bigint, text string, vector array<double>")
+    for size in (1, 10**6):
+        got = rows(retrieval.bm25_top_k(q, d, 5, block_terms=size).select("query_id", "doc_id"))
+        assert got == [(1, "a"), (1, "a"), (1, "b"), (1, "n"), (2, "b")]
+        near = retrieval.cosine_top_k(q, d, 2, block_bytes=size)
+        assert rows(near.select("query_id", "doc_id", F.round("score", 6))) == [(1, "a", 1.0), (1, "a", 1.0), (2, "a", 0.0), (2, "a", 0.0)]
+
+
+def test_many_question_terms_stay_within_memory(spark):
+    q = spark.range(20_000).selectExpr("id AS query_id", "concat('w', id) AS text")
+    d = spark.createDataFrame([(f"d{i}", " ".join(f"w{j}" for j in range(i, 20_000, 997))) for i in range(50)], "id string, text string")
+    found = retrieval.bm25_top_k(q, d, 1, block_terms=3_000)
+    assert found.count() > 500
+
+
+def test_every_text_is_encoded_once(spark, tmp_path):
+    def encode(texts):
+        (tmp_path / f"{uuid.uuid4().hex}").write_text("\n".join(texts))
+        return np.array([[len(t), 1.0] for t in texts])
+
+    d = spark.createDataFrame([(f"d{i}", f"doc {i}") for i in range(6)], "id string, text string")
+    q = spark.createDataFrame([(1, "asked doc")], "query_id bigint, text string")
+    retrieval.hybrid_retrieve(q, retrieval.embed(d, encode), encode, 2).collect()
+    seen = Counter(line for f in tmp_path.iterdir() for line in f.read_text().split("\n"))
+    assert set(seen.values()) == {1} and len(seen) == 7
+
+
 def lengths(texts):
     return np.array([[len(t), t.count("a"), 1.0] for t in texts])
 
