@@ -33,8 +33,10 @@ SIMILAR = (80, 100)
 #: Documents that make a shingle frequent, and how many frequent shingles (the most frequent ones) move last in the
 #: order. The list is broadcast, so its number is fixed; any order gives the same links.
 FREQUENT, FREQUENT_KEPT = 48, 1 << 17
-#: Bits of a signature: the next power of two to twice the set's size, within these.
-LEAST_BITS, MOST_BITS = 64, 1 << 13
+#: Bits of a signature: the next power of two to eight times the set's size, within these.
+LEAST_BITS, MOST_BITS = 64, 1 << 15
+#: Random ranks by which centres are chosen in the first round.
+RANKS = 16
 #: Ratio of neighbouring size bands; a little above the largest ratio of linked sizes.
 BAND = 1.26
 #: Nodes a block of a tile holds on average.
@@ -54,7 +56,7 @@ def linked(overlap, n_a, n_b):
 
 def signature(shingles: np.ndarray) -> bytes:
     """Bitmap with one bit set per shingle hash."""
-    width = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(shingles) - 1).bit_length()))
+    width = min(MOST_BITS, max(LEAST_BITS, 1 << (8 * len(shingles) - 1).bit_length()))
     bits = np.zeros(width, bool)
     bits[(shingles >> np.uint64(7)) & np.uint64(width - 1)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -157,11 +159,11 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 def _tiles(docs: DataFrame) -> DataFrame:
     """token, node, n, and a centre (c_node, c_n), for tokens that several nodes list.
 
-    A centre is the node with the smallest of four random ranks, so the tokens of a group of copies have few centres.
+    A centre is the node with the smallest of RANKS random ranks, so the tokens of a group of copies have few centres.
     Frequent tokens are aggregated before any shuffle, and their centres, at most FREQUENT_KEPT, are broadcast.
     """
     rows = _prefixes(docs, _frequent(docs))
-    rank = F.struct(F.xxhash64("node", F.pmod("token", F.lit(4))).alias("rank"), F.col("node"), F.col("n"))
+    rank = F.struct(F.xxhash64("node", F.pmod("token", F.lit(RANKS))).alias("rank"), F.col("node"), F.col("n"))
     columns = ["token", "node", "n", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n")]
     by = Window.partitionBy("token")
     few = rows.where("not is_frequent").withColumn("low", F.min("node").over(by)).withColumn("high", F.max("node").over(by)).where("low <> high").withColumn("centre", F.min(rank).over(by))
@@ -274,18 +276,18 @@ def _rest(tiles: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     band = F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int")
     rows = placed.join(mixed, "token").withColumn("band", band).withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     rows = rows.select("token", "tile", "node", "n", "group", (F.col("tile") == F.col("band")).alias("own"))
-    member = F.xxhash64("node", "own").cast("decimal(38,0)")
-    seen = rows.groupBy("token", "tile").agg(
-        F.count("*").alias("rows"), F.min("group").alias("low"), F.max("group").alias("high"), F.max("own").alias("any_own"), F.sum(member).alias("s1"), F.bit_xor(F.xxhash64("own", "node")).alias("s2")
-    )
-    # tokens of one passage often have the same members: one tile of them is enough
-    seen = seen.where("low <> high and any_own").groupBy("tile", "rows", "s1", "s2").agg(F.min("token").alias("token"))
-    seen = seen.select("token", "tile", F.ceil(F.col("rows") / BLOCK).cast("int").alias("n_blocks"))
-    rows = materialise(rows.join(seen, ["token", "tile"]), "jaccard-rest")
+    mark = F.xxhash64("node")
+    seen = rows.groupBy("token", "tile").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max("own").alias("any_own"), F.min(mark).alias("home"))
+    # tokens of one passage or one group of copies have nearly the same members, and mostly the same smallest one:
+    # the tiles that share it are made one, so that a pair is not looked at under every token
+    rows = rows.join(seen.where("low <> high and any_own").select("token", "tile", "home"), ["token", "tile"])
+    rows = materialise(rows.groupBy("home", "tile", "node").agg(F.first("n").alias("n"), F.first("group").alias("group"), F.first("own").alias("own")), "jaccard-rest")
+    blocks = rows.groupBy("home", "tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    rows = rows.join(blocks, ["home", "tile"])
     rows = rows.join(nodes.select("node", "bits"), "node").withColumn("block", F.pmod(F.xxhash64("node"), "n_blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    rows = rows.select("token", "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "group", "own", "bits")
-    key = ["token", "tile", "i", "j"]
+    rows = rows.select("home", "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "group", "own", "bits")
+    key = ["home", "tile", "i", "j"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(held):

@@ -52,7 +52,7 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, size: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, document offsets) over slices of a text column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -64,7 +64,7 @@ def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, np.ndarra
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(off, off[first] + size, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(off, off[first] + (size or CHUNK), "right")) - 1)
         yield first, data[off[first] : off[last]], off[first : last + 1] - off[first]
         first = last
 

@@ -94,17 +94,17 @@ def test_signatures_never_rule_out_an_overlap():
         assert jaccard.overlap_bound(jaccard.fold(x, n), jaccard.fold(y, n), len(a), len(b)) >= len(np.intersect1d(a, b))
 
 
-def test_shingles_match_words(spark):
+def test_shingles_match_words(monkeypatch):
     import pyarrow as pa
 
     rng = random.Random(9)
     texts = ["".join(rng.choice(["a", "B", "b", " ", "\n", "\t", "é", "\x0b", "\x1c"]) for _ in range(rng.randint(0, 30))) for _ in range(400)]
-    for size in (16, scan.CHUNK):
-        got = [s for _, s in zip(texts, scan.shingle_sets(pa.array(texts), True), strict=True)]
+    for size in (16, 1 << 20):
+        monkeypatch.setattr(scan, "CHUNK", size)
+        got = list(scan.shingle_sets(pa.array(texts), True))
         for i in range(0, 400, 7):
             for j in range(0, 400, 11):
                 assert len(np.intersect1d(got[i], got[j])) == len(cases.shingles(texts[i], True) & cases.shingles(texts[j], True))
-        assert size
 
 
 def test_components(spark):
@@ -122,5 +122,5 @@ def test_components(spark):
             a, b = root(a), root(b)
             parent[max(a, b)] = min(a, b)
     got = {r.node: r.component for r in links.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: root(x) for x in list(parent)} or got == {x: root(x) for x in parent if x != 5 or root(x) != x or x in got}
+    assert got == {x: root(x) for x in list(parent)}
     assert links.components(spark.createDataFrame([], "a long, b long")).count() == 0
