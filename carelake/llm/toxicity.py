@@ -4,12 +4,13 @@ Voters look at distinct lower-case words and word beginnings. Some of their word
 bounded sample of labelled rows. A label model with two classes learns from the vote patterns of all documents how often
 each voter fires in each class; voters that stay correlated within the classes are put in one group and get a joint
 table instead of separate rates. Its posteriors, joined with the label as one more, nearly sure voter, are the targets of
-a logistic regression on hashed words, which scores all texts.
+a logistic regression on hashed words, word beginnings and voters, which scores all texts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -200,12 +201,23 @@ def _vote_counts(documents: DataFrame, kind: np.ndarray) -> tuple[np.ndarray, np
     return rows.column("code").to_numpy().astype(np.int64), rows.column("n").to_numpy()
 
 
-def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray, float]:
-    """(feature ids, weights, bias) of the classifier. Labels of held-out rows are never read into it."""
+class Classifier(NamedTuple):
+    """Weights of chosen words and word beginnings, and of the voters; ``listed`` are the features of the voters' lists."""
+
+    features: np.ndarray
+    weights: np.ndarray
+    voters: np.ndarray
+    bias: float
+    listed: np.ndarray
+    kinds: np.ndarray
+
+
+def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Classifier:
+    """The classifier. Labels of held-out rows are never read into it."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = _sample(docs, labels, rows)
     if not len(table):
-        return np.zeros(0, np.int64), np.zeros(0), -3.0
+        return Classifier(np.zeros(0, np.int64), np.zeros(0), np.zeros(N_VOTERS), -3.0, np.zeros(0, np.int64), np.zeros(0, np.int64))
     features = table.column("features").combine_chunks()
     ids, off = features.flatten().to_numpy().astype(np.int64), features.offsets.to_numpy().astype(np.int64)
     label = table.column("toxic").to_numpy().astype(float)
@@ -221,8 +233,8 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> t
         voter = _MINED_PREFIX if f >> BITS else _MINED + f % (_MINED_PREFIX - _MINED)
         kind[f] = (kind[f] & 1) | voter << 1
     codes, counts = _vote_counts(docs, kind)
-    mine = _votes(ids, off, table.column("votes").to_numpy().astype(np.int64), kind)
-    codes, place = np.unique(np.concatenate((codes, mine)), return_inverse=True)
+    votes = _votes(ids, off, table.column("votes").to_numpy().astype(np.int64), kind)
+    codes, place = np.unique(np.concatenate((codes, votes)), return_inverse=True)
     all_counts = np.bincount(place[: len(counts)], counts, len(codes))
     mine = place[len(counts) :]
     labelled = np.stack([np.bincount(mine[label == c], minlength=len(codes)) for c in (0, 1)], axis=1)
@@ -238,28 +250,36 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> t
     place = np.full(2 << BITS, -1, np.int64)
     place[chosen] = np.arange(len(chosen))
     keep = place[ids] >= 0
-    new_off = np.concatenate(([0], np.cumsum(keep)))[off]
-    w, b = linear.fit(place[ids[keep]], np.ones(int(keep.sum())), new_off, target, len(chosen), EPOCHS, l2=1e-5)
-    return chosen, w, b
-
-
-def _scores(column: pa.Array, chosen: np.ndarray, w: np.ndarray, b: float) -> np.ndarray:
-    place = np.zeros(2 << BITS, np.float32)
-    place[chosen] = w
+    fired = (votes[:, None] >> np.arange(N_VOTERS)) & 1
+    # a row's features are its chosen words, then the voters that fire on it
+    owner = np.concatenate((row[keep], np.nonzero(fired)[0]))
+    index = np.concatenate((place[ids[keep]], len(chosen) + np.nonzero(fired)[1]))
+    order = np.argsort(owner, kind="stable")
+    bounds = np.searchsorted(owner[order], np.arange(len(label) + 1))
+    w, b = linear.fit(index[order], np.ones(len(index)), bounds, target, len(chosen) + N_VOTERS, EPOCHS, l2=1e-5)
+    return Classifier(chosen, w[: len(chosen)], w[len(chosen) :], b, np.flatnonzero(kind), kind[kind > 0])
+
+
+def _scores(column: pa.Array, model: Classifier) -> np.ndarray:
+    weight, kind = np.zeros(2 << BITS, np.float32), np.zeros(2 << BITS, np.int64)
+    weight[model.features] = model.weights
+    kind[model.listed] = model.kinds
     out = []
-    for _, ids, off, _ in _features(column):
-        hit = np.flatnonzero(place[ids])
+    for _, ids, off, votes in _features(column):
+        hit = np.flatnonzero(weight[ids])
         pair = np.unique((np.searchsorted(off, hit, "right") - 1).astype(np.int64) << 32 | ids[hit])
-        out.append(linear.sigmoid(np.bincount(pair >> 32, place[pair & 0xFFFFFFFF], len(off) - 1) + b))
+        words = np.bincount(pair >> 32, weight[pair & 0xFFFFFFFF], len(off) - 1)
+        fired = (_votes(ids, off, votes, kind)[:, None] >> np.arange(N_VOTERS)) & 1
+        out.append(linear.sigmoid(words + fired @ model.voters + model.bias))
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def score_udf(chosen: np.ndarray, w: np.ndarray, b: float):
+def score_udf(model: Classifier):
     """A column function text -> score."""
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array(_scores(text, chosen, w, b), pa.float64())
+        return pa.array(_scores(text, model), pa.float64())
 
     return score
 
@@ -271,7 +291,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHO
     id is not held out; other columns are ignored; an empty table gives no rows; without labels the fixed lists alone
     guide the label model.
     """
-    score = score_udf(*train(documents, labels, rows))
+    score = score_udf(train(documents, labels, rows))
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
     out = documents.select("doc_id", held_out.alias("held_out"), score(F.col("text").cast("string")).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

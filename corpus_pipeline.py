@@ -22,7 +22,7 @@ def _unused(name: str, docs: DataFrame) -> str:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity score stays below the threshold. Null and empty texts stay; all columns pass."""
-    score = toxicity.score_udf(*toxicity.train(docs, _labels(spark, sf_dir)))
+    score = toxicity.score_udf(toxicity.train(docs, _labels(spark, sf_dir)))
     return docs.where(score(F.col("text").cast("string")) < toxicity.THRESHOLD)
 
 
