@@ -56,18 +56,18 @@ def last_per_key(df: DataFrame, keys: Sequence[str], version: Sequence[str] | No
     Without a version the largest row wins, which is at least repeatable; maps take no part in that.
     """
     rest = [c for c in df.columns if c not in keys]
-    ordered = [f.name for f in df.schema.fields if f.name in rest and not _holds_map(f.dataType)]
+    ordered = [f.name for f in df.schema.fields if f.name in rest and not holds_map(f.dataType)]
     place = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate([*(version or []), *ordered])])
     best = F.max_by(F.struct(*rest), place).alias("best")
     return df.groupBy(*keys).agg(best).select(*keys, "best.*").select(*df.columns)
 
 
-def _holds_map(dtype: T.DataType) -> bool:
+def holds_map(dtype: T.DataType) -> bool:
     """Maps have no order."""
     if isinstance(dtype, T.ArrayType):
-        return _holds_map(dtype.elementType)
+        return holds_map(dtype.elementType)
     if isinstance(dtype, T.StructType):
-        return any(_holds_map(f.dataType) for f in dtype.fields)
+        return any(holds_map(f.dataType) for f in dtype.fields)
     return isinstance(dtype, (T.MapType, T.VariantType))
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.session import checkpoint_root, materialise
+from carelake.operators.items import holds_map
+from carelake.session import materialise
 
 _POSITION_BITS = 33
 
@@ -15,23 +16,20 @@ _POSITION_BITS = 33
 def row_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "ordinal") -> DataFrame:
     """Add the 0-based position of each row in the order of ``order_by``.
 
-    Rows are range-partitioned and sorted, then checkpointed so that both later reads see the same
-    partitions even when executors are lost. Within a partition the position is Spark's own row id;
-    partition offsets come from a table with one row per partition, which bounds its broadcast.
-    A running row id breaks ties, so even one key filling a third of the table is split by range.
-    The id depends on the order rows arrive in, so it is written down before anything relies on it:
-    a task that is run again after a loss must see the same ids.
+    Rows are range-partitioned and sorted on ``order_by`` and then on all other columns, so equal
+    keys are spread over ranges and only wholly equal rows stay together, whose order does not
+    matter. They are stored once, each with its partition and its place there; what is read later
+    is that table, so a task that is run again after a loss changes nothing. Partition offsets come
+    from a table with one row per partition, which bounds its broadcast.
     """
-    checkpoint_root(df.sparkSession)
-    tied = materialise(df.withColumn("__tie", F.monotonically_increasing_id()), "numbered")
-    keys = [F.col(c).asc_nulls_first() for c in order_by] + [F.col("__tie")]
-    ordered = tied.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__tie").checkpoint()
-    placed = ordered.withColumn("__row_id", F.monotonically_increasing_id()).withColumns(
-        {
-            "__part": F.shiftright("__row_id", _POSITION_BITS).cast("int"),
-            "__pos": F.col("__row_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)),
-        }
+    rest = [c for c in df.columns if c not in order_by]
+    orderable = {f.name for f in df.schema.fields if not holds_map(f.dataType)}
+    keys = [F.col(f"`{c}`").asc_nulls_first() if c in orderable else F.to_json(f"`{c}`") for c in [*order_by, *rest]]
+    row_id = F.monotonically_increasing_id()
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumns(
+        {"__part": F.shiftright(row_id, _POSITION_BITS).cast("int"), "__pos": row_id.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))}
     )
+    placed = materialise(ordered, "numbered")
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("__part")
@@ -41,5 +39,5 @@ def row_ordinal(df: DataFrame, order_by: Sequence[str], name: str = "ordinal") -
     return (
         placed.join(F.broadcast(offsets), "__part")
         .withColumn(name, F.col("__offset") + F.col("__pos"))
-        .drop("__part", "__pos", "__row_id", "__offset")
+        .drop("__part", "__pos", "__offset")
     )

@@ -41,7 +41,7 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors raise an alarm; for health checks silence is one too."""
-    metrics = _metrics(spark, sf_dir)
+    metrics = materialise(_metrics(spark, sf_dir), "metrics")
     errors = monitoring.alarms(metrics, F.col("errors") > 0, missing_breaches=False)
     health = monitoring.alarms(metrics, F.col("health_ok") <= 0, missing_breaches=True)
     return errors.withColumn("alarm", F.lit("errors")).unionByName(health.withColumn("alarm", F.lit("health")))
