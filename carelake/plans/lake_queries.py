@@ -318,6 +318,10 @@ def _event_stream(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 
 def _stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that the watermark has closed: those that end ten minutes before the last line, or earlier.
+
+    Later windows stay open in the state until lines beyond them arrive, so the oracle leaves them out too.
+    """
     out, state = scratch_path(spark, "metrics"), scratch_path(spark, "state")
     log_streams.stream_log_metrics(_event_stream(spark, sf_dir, VIEWS["log_lines"]), out, state).awaitTermination()
     return spark.read.parquet(out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

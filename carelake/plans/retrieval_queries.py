@@ -319,7 +319,7 @@ QUERIES = {
     "guideline_documents": _guidelines,
     "medication_sentences_raw": _raw_sentences,
     "medication_sentences_typed": _typed_sentences,
-    "shard_stats": lambda s, d: retrieval.shard_stats(documents(s, d).withColumn("indexed_at", F.to_timestamp(F.lit(INDEXED_AT)))).select("shard", "doc_count"),
+    "shard_stats": lambda s, d: retrieval.shard_stats(documents(s, d).withColumn("indexed_at", F.to_timestamp(F.lit(INDEXED_AT)))).withColumn("last_indexed", F.date_format("last_indexed", "yyyy-MM-dd")),
 }
 
 # --- oracle SQL -----------------------------------------------------------------------------------
@@ -540,6 +540,6 @@ SELECT doc_id, severity, CASE severity {_SEVERITY_RANK} END AS severity_rank FRO
     "risk_labels": f"WITH t AS ({_LABELLED}) SELECT doc_id, {_sql_list_labels(interactions.RISK_PATTERNS, 5)} AS risks FROM t",
     "short_drug_names": f"WITH t AS ({_DRUG_NAMES}) SELECT p_partkey, {_sql_short('drug')} AS drug, {_sql_short('other')} AS other FROM t",
     "redact_documents": f"WITH t AS ({_SECRETS}) SELECT doc_id, {_sql_redact()} AS text FROM t",
-    "shard_stats": """SELECT lang AS shard, count(*) AS doc_count FROM documents GROUP BY 1
-UNION ALL SELECT NULL, count(*) FROM documents""",
+    "shard_stats": """SELECT lang AS shard, count(*) AS doc_count, '2024-02-01' AS last_indexed FROM documents GROUP BY 1
+UNION ALL SELECT NULL, count(*), '2024-02-01' FROM documents""",
 }
