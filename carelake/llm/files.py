@@ -35,12 +35,10 @@ class Committed:
 
     def commit(self) -> None:
         self.out.close()
+        if self.fs.get_file_info(self.path).type != fs.FileType.NotFound:
+            self.fs.delete_file(self.path)  # left by an attempt whose task was lost; not every file system replaces
         self.fs.move(self.temporary, self.path)
 
-    def drop(self) -> None:
-        self.out.close()
-        self.fs.delete_file(self.temporary)
-
 
 def reader(folder: str, name: str):
     """A sequential stream over a committed file."""
