@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.llm import tokens
+from carelake.llm.sample import bounded
 
 #: Entries of the broadcast table, and documents whose pieces are counted to choose them. They bear on speed alone.
 TABLE_UNITS = 65_536
@@ -24,7 +25,7 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens"
 
 def frequent_lengths(documents: DataFrame, tokenizer: str = tokens.BYTE_BPE, units: int = TABLE_UNITS, sample: int = TABLE_DOCUMENTS) -> tuple[pa.Array, np.ndarray]:
     """(most frequent pre-token pieces of a bounded sample of documents, their token counts); at most ``units``."""
-    chosen = documents.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("text").repartition(16)
+    chosen = bounded(documents.select("doc_id", "text"), sample, "doc_id", "text").select("text").repartition(16)
 
     def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(tokenizer)

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.llm import linear, scan
+from carelake.llm.sample import bounded
 
-#: Labelled rows the classifier is fitted on at most (lowest hashes of doc_id), and the part of them kept for calibration.
+#: Labelled rows the classifier is fitted on at most (chosen by the hash of doc_id), and the part of them kept for calibration.
 SAMPLE_ROWS = 4_000
 CALIBRATION = 0.25
 #: Hash dimensions for words, word pairs and character trigrams each.
@@ -93,7 +94,7 @@ def _grams(data: np.ndarray, off: np.ndarray, hashes: np.ndarray, word_off: np.n
 def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
     """(labels, dimensions, shares) of the sampled rows; a share is an n-gram's part of its kind in the text."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality is not null")
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    known = bounded(known.groupBy("doc_id").agg(F.min("quality").alias("quality")), rows, "doc_id")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
