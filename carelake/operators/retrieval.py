@@ -314,6 +314,21 @@ def build_index(
     return docs.sparkSession.read.schema(merged.schema).parquet(path)
 
 
+def update_index(spark: SparkSession, path: str, docs: DataFrame, encoder: Callable[[list[str]], np.ndarray], indexed_at: str) -> list[str]:
+    """Put documents over a stored index and rewrite only the shards that change; returns their names.
+
+    A shard changes when it gets documents or loses one that moves to another shard. The new rows of
+    those shards are stored aside first; then Spark swaps these partitions and touches no other.
+    """
+    fresh = materialise(embed(docs, encoder).withColumn("indexed_at", F.to_timestamp(F.lit(indexed_at))), "embedded")
+    stored = spark.read.parquet(path).select(*fresh.columns)
+    held = stored.join(fresh.select("id").distinct(), "id", "left_semi").select("shard")
+    touched = sorted(r["shard"] for r in fresh.select("shard").unionByName(held).distinct().collect())  # one row a shard
+    merged = materialise(upsert(stored.filter(F.col("shard").isin(touched)), fresh, ["id"], ["indexed_at"]), "index-update")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    return touched
+
+
 def shard_stats(docs: DataFrame) -> DataFrame:
     """Documents and last index time per shard, with a total row (shard null)."""
     return docs.rollup("shard").agg(F.count(F.lit(1)).alias("doc_count"), F.max("indexed_at").alias("last_indexed"))

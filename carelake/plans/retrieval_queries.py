@@ -14,6 +14,7 @@ from carelake.operators.medications import find_medications, medication_rows
 from carelake.plans.domain import cte, run_sql, table, view
 from carelake.plans.records_queries import RAW_MEDICATIONS
 from carelake.session import materialise, scratch_path
+from carelake.sources.readers import list_files
 
 # Fixed value: Python's whitespace as a class of the oracle's regex engine.
 SPACE_CLASS = (
@@ -96,6 +97,19 @@ def _index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("id", "shard", F.md5("text").alias("hash"), F.date_format("indexed_at", "yyyy-MM-dd").alias("indexed_on"))
 
 
+def _index_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of an index after a run that changes one of them: rows, and whether their files are the old ones."""
+    docs, path = documents(spark, sf_dir), scratch_path(spark, "index")
+    retrieval.build_index(docs, letter_profile, path, INDEXED_AT)
+    files = lambda: list_files(spark, path, ".parquet").select(F.regexp_extract("key", "shard=([^/]*)/", 1).alias("shard"), "name")
+    old = materialise(files(), "files")
+    change = docs.filter("shard = 'de' AND id LIKE '%1'").withColumn("text", F.concat(F.lit("new "), "text"))
+    retrieval.update_index(spark, path, change, letter_profile, "2024-03-01 00:00:00")
+    kept = files().join(old, ["shard", "name"], "left_semi").select("shard").distinct().withColumn("same_files", F.lit(True))
+    rows = spark.read.parquet(path).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("text").startswith("new ")).alias("changed"))
+    return rows.join(kept, "shard", "left").na.fill({"same_files": False})
+
+
 def _index_one_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index run of one patient over a stored index: their rows are added, others stay."""
     meds = view(spark, sf_dir, "medications")
@@ -316,6 +330,7 @@ QUERIES = {
     "bm25_corpus": _corpus_stats,
     "index_merge": _index_merge,
     "index_one_patient": _index_one_patient,
+    "index_update": _index_update,
     "guideline_documents": _guidelines,
     "medication_sentences_raw": _raw_sentences,
     "medication_sentences_typed": _typed_sentences,
@@ -434,6 +449,8 @@ UNION ALL SELECT query_id, doc_id, round(1.0 / (60 + rank), 6) AS score, rank, 1
     "bm25_corpus": f"WITH {_DOCS_CTE} SELECT count(*) AS n_docs, round(avg(len(toks)), 6) AS avg_length FROM docs",
     "index_merge": """SELECT cast(doc_id AS string) AS id, lang AS shard, md5(CASE WHEN lang = 'en' THEN text ELSE 'new ' || text END) AS hash,
   CASE WHEN lang = 'en' THEN '2024-02-01' ELSE '2024-03-01' END AS indexed_on FROM documents WHERE lang IN ('en', 'de', 'fr')""",
+    "index_update": """SELECT lang AS shard, count(*) AS rows, count(*) FILTER (lang = 'de' AND doc_id % 10 = 1) AS changed,
+  lang <> 'de' AS same_files FROM documents GROUP BY 1""",
     "index_one_patient": f"""WITH {cte("medications")} SELECT 'med-' || id AS id, {_MED_SENTENCE} AS text,
   CASE WHEN patient = '42' THEN '2024-03-01' ELSE '2024-02-01' END AS indexed_on FROM medications
 WHERE patient = '42' OR cast(patient AS int) % 50 = 1""",
