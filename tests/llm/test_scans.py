@@ -12,7 +12,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import cases  # noqa: E402
 
-from carelake.llm import licenses, linear, quality, scan, toxicity  # noqa: E402
+from carelake.llm import licenses, linear, quality, sample, scan, toxicity  # noqa: E402
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -134,6 +134,14 @@ def test_quality_edge_rows(spark, labels):
     assert quality.quality(cases.documents(spark, []), spark.createDataFrame(labels, LABELS)).count() == 0
 
 
+def test_bounded_samples(spark):
+    table = spark.range(5_000).withColumnRenamed("id", "doc_id")
+    chosen = [r.doc_id for r in sample.bounded(table, 1_000, "doc_id").collect()]
+    assert len(set(chosen)) == 1_000 and max(chosen) > 4_000
+    assert sorted(chosen) == sorted(r.doc_id for r in sample.bounded(table.repartition(9), 1_000, "doc_id").collect())
+    assert sample.bounded(table, 10_000, "doc_id").count() == 5_000 and sample.bounded(table.limit(0), 5, "doc_id").count() == 0
+
+
 def test_linear_fit_and_calibration():
     rng = np.random.default_rng(6)
     n = 2_000
