@@ -255,13 +255,13 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(task, "a long, b long")
 
 
-def _compare(nodes: list, sizes: np.ndarray, groups: np.ndarray, own: np.ndarray, blocks: np.ndarray, bits: list[bytes], cross: bool):
-    """Pairs of one tile that may link: of different components, not both guests, of different blocks if ``cross``."""
+def _compare(nodes: list, sizes: np.ndarray, groups: np.ndarray, own: np.ndarray, parts: np.ndarray, bits: list[bytes], cross: bool):
+    """Pairs of one block that may link: of different components, not both guests, of different parts if ``cross``."""
     words = min(len(b) for b in bits) // 8
     table = np.stack([fold(np.frombuffer(b, np.uint64), words) for b in bits])
     for i in range(len(nodes) - 1):
         j = np.arange(i + 1, len(nodes))
-        j = j[(groups[j] != groups[i]) & (own[j] | own[i]) & (not cross or blocks[j] != blocks[i])]
+        j = j[(groups[j] != groups[i]) & (own[j] | own[i]) & (not cross or parts[j] != parts[i])]
         j = j[SIMILAR[1] * np.minimum(sizes[j], sizes[i]) >= SIMILAR[0] * np.maximum(sizes[j], sizes[i])]
         if len(j):
             j = j[linked(overlap_bound(table[i], table[j], sizes[i], sizes[j]), sizes[i], sizes[j])]
@@ -271,34 +271,47 @@ def _compare(nodes: list, sizes: np.ndarray, groups: np.ndarray, own: np.ndarray
 
 def _rest(tiles: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that share a token and that the signatures cannot rule out."""
-    placed = tiles.select("token", "node", "n").join(found, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    sized = found.join(found.groupBy("component").agg(F.count("*").alias("size")), "component")
+    placed = tiles.select("token", "node", "n").join(sized, "node", "left").withColumn("group", F.coalesce("component", "node"))
+    placed = placed.withColumn("size", F.coalesce("size", F.lit(1)))
     mixed = placed.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token")
     band = F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int")
     rows = placed.join(mixed, "token").withColumn("band", band).withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-    rows = rows.select("token", "tile", "node", "n", "group", (F.col("tile") == F.col("band")).alias("own"))
+    rows = rows.select("token", "tile", "node", "n", "group", "size", (F.col("tile") == F.col("band")).alias("own"))
     mark = F.xxhash64("node")
     seen = rows.groupBy("token", "tile").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max("own").alias("any_own"), F.min(mark).alias("home"))
     # tokens of one passage or one group of copies have nearly the same members, and mostly the same smallest one:
     # the tiles that share it are made one, so that a pair is not looked at under every token
     rows = rows.join(seen.where("low <> high and any_own").select("token", "tile", "home"), ["token", "tile"])
-    rows = materialise(rows.groupBy("home", "tile", "node").agg(F.first("n").alias("n"), F.first("group").alias("group"), F.first("own").alias("own")), "jaccard-rest")
-    blocks = rows.groupBy("home", "tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
-    rows = rows.join(blocks, ["home", "tile"])
-    rows = rows.join(nodes.select("node", "bits"), "node").withColumn("block", F.pmod(F.xxhash64("node"), "n_blocks").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    rows = rows.select("home", "tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "group", "own", "bits")
-    key = ["home", "tile", "i", "j"]
+    rows = materialise(rows.groupBy("home", "tile", "node").agg(*[F.first(c).alias(c) for c in ("n", "group", "size", "own")]), "jaccard-rest")
+    # the largest component of a tile needs no comparison with itself: its nodes are dealt over blocks once, and only
+    # the other nodes go to each of these blocks
+    parts = rows.groupBy("home", "tile", "group").agg(F.count("*").alias("members"), F.first("size").alias("size"))
+    parts = parts.groupBy("home", "tile").agg(F.max_by(F.struct("group", "members"), F.struct("size", "group")).alias("main"), F.sum("members").alias("all"))
+    blocks = parts.select("home", "tile", F.col("main.group").alias("main"), F.ceil(F.col("main.members") / BLOCK).cast("int").alias("n_main"), F.ceil((F.col("all") - F.col("main.members")) / BLOCK).cast("int").alias("n_rest"))
+    rows = rows.join(blocks.where("n_rest > 0"), ["home", "tile"]).join(nodes.select("node", "bits"), "node")
+    is_main = F.col("group") == F.col("main")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.when(is_main, F.col("n_main")).otherwise(F.col("n_rest"))).cast("int"))
+    each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    place = lambda side, i, j, part: F.struct(F.lit(side).alias("side"), i.alias("i"), j.alias("j"), part.alias("part"))
+    of_main = F.transform(each("n_rest"), lambda o: place(0, F.col("block"), o, F.lit(0)))
+    with_main = F.transform(each("n_main"), lambda m: place(0, m, F.col("block"), F.lit(1)))
+    with_rest = F.transform(each("n_rest"), lambda o: place(1, F.least(F.col("block"), o), F.greatest(F.col("block"), o), F.col("block")))
+    rows = rows.withColumn("place", F.explode(F.when(is_main, of_main).otherwise(F.concat(with_main, with_rest))))
+    key = ["home", "tile", "side", "i", "j"]
+    rows = rows.select("home", "tile", "place.side", "place.i", "place.j", "node", "n", "group", "own", "place.part", "bits")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(held):
-            nodes_, sizes, groups, own, blocks, bits = zip(*(r[4:] for r in held), strict=True)
-            return _compare(nodes_, np.array(sizes), np.array(groups), np.array(own), np.array(blocks), bits, held[0][2] != held[0][3])
+            nodes_, sizes, groups, own, parts_, bits = zip(*(r[5:] for r in held), strict=True)
+            cross = held[0][2] == 0 or held[0][3] != held[0][4]
+            return _compare(nodes_, np.array(sizes), np.array(groups), np.array(own), np.array(parts_), bits, cross)
 
         held: list[tuple] = []
         out: list[tuple] = []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in (*key, "node", "n", "group", "own", "block", "bits")), strict=True):
-                if held and held[0][:4] != row[:4]:
+            for row in zip(*(batch.column(c).to_pylist() for c in (*key, "node", "n", "group", "own", "part", "bits")), strict=True):
+                if held and held[0][:5] != row[:5]:
                     out += pairs(held)
                     held = []
                 held.append(row)
