@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.llm import linear, scan
+from carelake.llm.sample import bounded
 
-#: Labelled rows (lowest hashes of doc_id) that lists and classifier are fitted on at most.
+#: Labelled rows (chosen by the hash of doc_id) that lists and classifier are fitted on at most.
 SAMPLE_ROWS = 8_000
 #: Rows with this remainder of crc32(doc_id as text) by 4 are held out: their labels are never used.
 HELD_OUT, FOLDS = 2, 4
@@ -166,9 +167,9 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> pa.Table:
     """label (null without labels), distinct features and pattern votes of the sampled rows."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null")
     known = known.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) != HELD_OUT)
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    known = bounded(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), rows, "doc_id")
     if known.isEmpty():
-        known = documents.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumn("toxic", F.lit(None).cast("int"))
+        known = bounded(documents.where("doc_id is not null").select("doc_id").distinct(), rows, "doc_id").withColumn("toxic", F.lit(None).cast("int"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +189,7 @@ def _vote_counts(documents: DataFrame, kind: np.ndarray) -> tuple[np.ndarray, np
     shared = documents.sparkSession.sparkContext.broadcast((np.flatnonzero(kind), kind[kind > 0]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(2 << BITS, np.int64)
+        table = np.zeros(2 << BITS, np.int8)
         table[shared.value[0]] = shared.value[1]
         total = np.zeros(1 << N_VOTERS, np.int64)
         for batch in batches:
@@ -222,18 +223,21 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> C
     ids, off = features.flatten().to_numpy().astype(np.int64), features.offsets.to_numpy().astype(np.int64)
     label = table.column("toxic").to_numpy().astype(float)
     given = ~np.isnan(label)
-    row = np.repeat(np.arange(len(label)), np.diff(off))
-    in_toxic = np.bincount(ids, (label == 1)[row], 2 << BITS)
-    in_clean = np.bincount(ids, (label == 0)[row], 2 << BITS)
+    row = np.repeat(np.arange(len(label), dtype=np.int32), np.diff(off))
+    # the sample's distinct features are few beside all hash values, so tables are kept for those alone
+    known, ids = np.unique(ids, return_inverse=True)
+    ids = ids.astype(np.int32)
+    in_toxic = np.bincount(ids, (label == 1)[row], len(known))
+    in_clean = np.bincount(ids, (label == 0)[row], len(known))
     odds = np.log((in_toxic + 0.5) / ((label == 1).sum() + 1)) - np.log((in_clean + 0.5) / ((label == 0).sum() + 1))
-    kind = np.zeros(2 << BITS, np.int64)
+    kind = np.zeros(2 << BITS, np.int8)
     kind[_word_ids(INSULTS)] = 1
     strong = np.flatnonzero((in_toxic >= LEAST_SEEN) & (odds >= STRONG) & (in_clean <= in_toxic / 10))
-    for f in strong.tolist():
+    for f in known[strong].tolist():
         voter = _MINED_PREFIX if f >> BITS else _MINED + f % (_MINED_PREFIX - _MINED)
         kind[f] = (kind[f] & 1) | voter << 1
     codes, counts = _vote_counts(docs, kind)
-    votes = _votes(ids, off, table.column("votes").to_numpy().astype(np.int64), kind)
+    votes = _votes(known[ids], off, table.column("votes").to_numpy().astype(np.int64), kind)
     codes, place = np.unique(np.concatenate((codes, votes)), return_inverse=True)
     all_counts = np.bincount(place[: len(counts)], counts, len(codes))
     mine = place[len(counts) :]
@@ -242,12 +246,12 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> C
     target = model.posterior()[mine]
     trust = np.log(LABEL_RATE / (1 - LABEL_RATE)) * np.where(given, np.where(label == 1, 1, -1), 0)
     target = linear.sigmoid(np.log(np.clip(target, 1e-9, 1 - 1e-9) / np.clip(1 - target, 1e-9, 1)) + trust)
-    soft = np.bincount(ids, target[row], 2 << BITS)
-    seen = np.bincount(ids, minlength=2 << BITS)
+    soft = np.bincount(ids, target[row], len(known))
+    seen = np.bincount(ids, minlength=len(known))
     rate = target.mean()
     z = (soft - seen * rate) / np.sqrt(np.maximum(seen * rate * (1 - rate), 1e-9))
-    chosen = np.flatnonzero((seen >= LEAST_SEEN) & ((np.abs(z) >= 4) | (kind > 0)))
-    place = np.full(2 << BITS, -1, np.int64)
+    chosen = np.flatnonzero((seen >= LEAST_SEEN) & ((np.abs(z) >= 4) | (kind[known] > 0)))
+    place = np.full(len(known), -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     keep = place[ids] >= 0
     fired = (votes[:, None] >> np.arange(N_VOTERS)) & 1
@@ -257,11 +261,11 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> C
     order = np.argsort(owner, kind="stable")
     bounds = np.searchsorted(owner[order], np.arange(len(label) + 1))
     w, b = linear.fit(index[order], np.ones(len(index)), bounds, target, len(chosen) + N_VOTERS, EPOCHS, l2=1e-5)
-    return Classifier(chosen, w[: len(chosen)], w[len(chosen) :], b, np.flatnonzero(kind), kind[kind > 0])
+    return Classifier(known[chosen], w[: len(chosen)], w[len(chosen) :], b, np.flatnonzero(kind), kind[kind > 0])
 
 
 def _scores(column: pa.Array, model: Classifier) -> np.ndarray:
-    weight, kind = np.zeros(2 << BITS, np.float32), np.zeros(2 << BITS, np.int64)
+    weight, kind = np.zeros(2 << BITS, np.float32), np.zeros(2 << BITS, np.int8)
     weight[model.features] = model.weights
     kind[model.listed] = model.kinds
     out = []
