@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm import tokens
+from carelake.llm import scan, tokens
 from carelake.llm.sample import bounded
 
 #: Entries of the broadcast table, and documents whose pieces are counted to choose them. They bear on speed alone.
@@ -35,7 +35,7 @@ def frequent_lengths(documents: DataFrame, tokenizer: str = tokens.BYTE_BPE, uni
                 keep = pc.less_equal(pc.binary_length(found.pieces), UNIT_BYTES)
                 yield pa.RecordBatch.from_arrays([found.pieces.filter(keep), pa.array(found.counts()[keep.to_numpy(zero_copy_only=False)])], ["unit", "n"])
 
-    counted = chosen.mapInArrow(count_task, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    counted = chosen.mapInArrow(scan.released(count_task), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "unit").limit(units).toArrow()
     frequent = top.column("unit").combine_chunks().cast(pa.string())
     return frequent, tokens.Encoder(tokenizer).lengths(frequent)
@@ -71,4 +71,4 @@ def token_counts(documents: DataFrame, tokenizer: str = tokens.BYTE_BPE, limit:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), size, pa.array(n, pa.int64()), pa.array(n > limit)], schema=_ARROW)
                 at += len(part)
 
-    return docs.mapInArrow(count_task, COUNTS)
+    return docs.mapInArrow(scan.released(count_task), COUNTS)

@@ -88,7 +88,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
             columns = zip(*out, strict=True) if out else ([], [], [])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:], strict=True))], schema=schema)
 
-    return docs.withColumn("row_key", F.xxhash64("doc_id", "text")).mapInArrow(task, "doc_id long, row_key long, node long, n long, bits binary")
+    return docs.withColumn("row_key", F.xxhash64("doc_id", "text")).mapInArrow(scan.released(task), "doc_id long, row_key long, node long, n long, bits binary")
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
@@ -113,7 +113,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
                     yield pa.RecordBatch.from_arrays([pa.array(distinct[again].view(np.int64)), pa.array(count[again])], ["token", "n"])
                     held, size = [], 0
 
-    counted = docs.select("text").mapInArrow(task, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
+    counted = docs.select("text").mapInArrow(scan.released(task), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
     kept = counted.orderBy(F.desc("n"), "token").limit(FREQUENT_KEPT).select("token").toArrow()
     return np.sort(kept.column(0).to_numpy().view(np.uint64))
 
@@ -153,7 +153,7 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             if held[0]:
                 yield flush(*held)
 
-    return docs.select("text").mapInArrow(task, "token long, node long, n long, is_frequent boolean")
+    return docs.select("text").mapInArrow(scan.released(task), "token long, node long, n long, is_frequent boolean")
 
 
 def _tiles(docs: DataFrame) -> DataFrame:
@@ -187,7 +187,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 keep[i] = linked(overlap_bound(fold(x, words), fold(y, words), n_a[i], n_b[i]), n_a[i], n_b[i])
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
-    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(task, "a long, b long")
+    return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(scan.released(task), "a long, b long")
 
 
 def _places(keys: np.ndarray) -> list[np.ndarray]:
@@ -204,7 +204,7 @@ def _wanted(nodes: DataFrame) -> np.ndarray:
             place = np.concatenate(_places(batch.column(0).to_numpy()))
             yield pa.RecordBatch.from_arrays([pa.array(place >> 6), pa.array((np.uint64(1) << (place & 63).astype(np.uint64)).view(np.int64))], ["word", "bits"])
 
-    words = nodes.mapInArrow(task, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = nodes.mapInArrow(scan.released(task), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(FILTER_BITS // 64, np.int64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     return np.unpackbits(out.view(np.uint8), bitorder="little")
@@ -232,7 +232,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary()), strict=True)], ["node", "shingles"])
 
-    return docs.select("text").mapInArrow(task, "node long, shingles binary").dropDuplicates(["node"])
+    return docs.select("text").mapInArrow(scan.released(task), "node long, shingles binary").dropDuplicates(["node"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -245,14 +245,14 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for a, b in zip(batch.column("x"), batch.column("y"), strict=True):  # row by row, without copying the sets
+                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 place = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 keep.append(bool(linked(int((y[place] == x).sum()), len(x), len(y))))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(task, "a long, b long")
+    return both.mapInArrow(scan.released(task), "a long, b long")
 
 
 def _compare(nodes: list, sizes: np.ndarray, groups: np.ndarray, own: np.ndarray, parts: np.ndarray, bits: list[bytes], cross: bool):
@@ -322,7 +322,7 @@ def _rest(tiles: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
 
     dealt = rows.repartition(*key).sortWithinPartitions(*key, "node")
-    return dealt.mapInArrow(task, "a long, b long").distinct()
+    return dealt.mapInArrow(scan.released(task), "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, with_key: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm import tokens
+from carelake.llm import scan, tokens
 
 WINDOW = 1024
 END_ID = 0
@@ -131,4 +131,4 @@ def pack(documents: DataFrame, window: int = WINDOW, tokenizer: str = tokens.BYT
         packer.finish()
         yield packer.drain()
 
-    return docs.mapInArrow(pack_task, PIECES)
+    return docs.mapInArrow(scan.released(pack_task), PIECES)

@@ -110,7 +110,7 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> tuple[np.ndar
                 columns = [batch.column("doc_id").slice(first, n), batch.column("quality").slice(first, n), pa.array(found, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "dims", "shares"])
 
-    table = documents.join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality").mapInArrow(task, "doc_id long, quality int, dims array<int>, shares array<float>")
+    table = documents.join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality").mapInArrow(scan.released(task), "doc_id long, quality int, dims array<int>, shares array<float>")
     table = table.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow().combine_chunks()
     split = lambda c: (lambda x: np.split(x.flatten().to_numpy(), x.offsets.to_numpy()[1:-1]))(table.column(c).combine_chunks()) if len(table) else []
     return table.column("quality").to_numpy().astype(float), split("dims"), split("shares")
@@ -158,7 +158,7 @@ def score(documents: DataFrame, weights: np.ndarray, bias: float, threshold: flo
                 columns += [pa.array(failed), pa.array(probability), pa.array(~failed & (probability >= threshold))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", *RULES, "base_failed", "probability", "kept"])
 
-    return docs.mapInArrow(task, RESULT)
+    return docs.mapInArrow(scan.released(task), RESULT)
 
 
 def verdict_udf(weights: np.ndarray, bias: float, threshold: float = THRESHOLD):
@@ -176,6 +176,7 @@ def verdict_udf(weights: np.ndarray, bias: float, threshold: float = THRESHOLD):
                 z += scan.sums(w[gram].astype(np.float64), gram_off) / np.maximum(np.diff(gram_off), 1)
             failed = (counts["n_words"] < LEAST_WORDS) | (100 * counts["n_repeat_words"] > MOST_REPEATED * counts["n_words"])
             out.append(~failed & (linear.sigmoid(z) >= threshold))
+        scan.release()
         return pa.array(np.concatenate(out) if out else np.zeros(0, bool))
 
     return kept

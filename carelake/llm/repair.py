@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carelake.llm import files, tokens
+from carelake.llm import files, scan, tokens
 from carelake.session import scratch_path
 
 END_ID = 0
@@ -218,7 +218,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str = tokens.BYTE_BPE, e
 
     path = f"{folder.rstrip('/')}/manifest"
     ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    ordered.mapInArrow(write_task, MANIFEST).write.parquet(path)
+    ordered.mapInArrow(scan.released(write_task), MANIFEST).write.parquet(path)
     return documents.sparkSession.read.schema(MANIFEST).parquet(path)
 
 
@@ -243,7 +243,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
 
     n = max(1, min(manifest.count(), 100_000))
-    return placed.repartition(n).mapInArrow(read_task, DOCUMENTS)
+    return placed.repartition(n).mapInArrow(scan.released(read_task), DOCUMENTS)
 
 
 def roundtrip(documents: DataFrame, tokenizer: str = tokens.BYTE_BPE) -> DataFrame:

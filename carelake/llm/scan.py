@@ -6,7 +6,8 @@ Hashes are 64 bits wide; two different words or shingles share one with probabil
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,24 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on after its task, beside the next stage's executor memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task, with its memory released at its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        release()
+
+    return run
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values (the finaliser of splitmix64)."""
     h = h + _ODD

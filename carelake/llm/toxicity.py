@@ -180,7 +180,7 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> pa.Table:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "features", "votes"])
 
     chosen = documents.join(F.broadcast(known), "doc_id").select("doc_id", "text", "toxic")
-    table = chosen.mapInArrow(task, "doc_id long, toxic int, features array<int>, votes int").dropDuplicates(["doc_id"])
+    table = chosen.mapInArrow(scan.released(task), "doc_id long, toxic int, features array<int>, votes int").dropDuplicates(["doc_id"])
     return table.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow().combine_chunks()
 
 
@@ -198,7 +198,7 @@ def _vote_counts(documents: DataFrame, kind: np.ndarray) -> tuple[np.ndarray, np
         codes = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), pa.array(total[codes])], ["code", "n"])
 
-    rows = documents.select("text").mapInArrow(task, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    rows = documents.select("text").mapInArrow(scan.released(task), "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     return rows.column("code").to_numpy().astype(np.int64), rows.column("n").to_numpy()
 
 
@@ -283,7 +283,9 @@ def score_udf(model: Classifier):
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array(_scores(text, model), pa.float64())
+        out = pa.array(_scores(text, model), pa.float64())
+        scan.release()
+        return out
 
     return score
 
