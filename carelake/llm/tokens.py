@@ -23,7 +23,7 @@ BYTE_BPE = "byte_bpe_50k.json"
 #: Distinct units a worker remembers; beyond that it starts afresh.
 CACHE_UNITS = 600_000
 #: Bytes of text encoded at a time.
-BATCH = 6 << 20
+BATCH = 2 << 20
 
 _W = "[\\x09-\\x0d \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _MARK = "\x01"
