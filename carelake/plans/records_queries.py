@@ -186,8 +186,8 @@ def _drug_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sorted_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patients by last, then first name, numbered; and the codes of each in ascending order."""
-    return medications.sorted_patients(view(spark, sf_dir, "patients"), top_n=300)
+    """All patients by last, then first name."""
+    return medications.sorted_patients(view(spark, sf_dir, "patients"))
 
 
 def _sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +264,7 @@ QUERIES = {
     "drug_conditions": _drug_conditions,
     "drug_lookup": _drug_lookup,
     "sorted_patients": _sorted_patients,
-    "sorted_codes": lambda s, d: medications.sorted_codes(view(s, d, "medications"), top_n=300),
+    "sorted_codes": lambda s, d: medications.sorted_codes(view(s, d, "medications")),
     "contains_text": _contains,
     "row_contains": _row_contains,
     "items_by_category": lambda s, d: _flat_items(items.find_by_category(view(s, d, "items"), "Brand#4")),

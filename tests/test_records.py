@@ -147,3 +147,16 @@ def test_messages_and_alarms(spark):
     assert states == ["ALARM", "OK", "OK", "OK"]
     states = [r.state for r in monitoring.alarms(metrics, F.col("errors") > 0, True).orderBy("window_start").collect()]
     assert states == ["ALARM", "ALARM", "ALARM", "OK"]
+
+
+def test_sorted_queries_return_every_row(spark):
+    from carelake.plans import records_queries
+    from carelake.plans.domain import view
+
+    sf_dir = "/root/testdata/sf0.01"
+    got = [(r.id, r.last, r.first) for r in records_queries.QUERIES["sorted_patients"](spark, sf_dir).collect()]
+    people = [(r.id, r.last, r.first) for r in view(spark, sf_dir, "patients").collect()]
+    assert len(people) > 300 and got == sorted(people, key=lambda r: (r[1].lower(), r[2].lower(), r[0]))
+    got = [r.code for r in records_queries.QUERIES["sorted_codes"](spark, sf_dir).collect()]
+    codes = {r.code for r in view(spark, sf_dir, "medications").select("code").distinct().collect()}
+    assert len(codes) > 300 and got == sorted(codes)
