@@ -79,16 +79,18 @@ def _node(shingles: np.ndarray) -> int:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, node (null for an empty set), n, bits for every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
+    """doc_id, text_hash, row, node (null for an empty set), n, bits for every row."""
+    held = ["doc_id", "text_hash", "row"]
+    schema = pa.schema([*((c, pa.int64()) for c in held), ("node", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [(_node(s), len(s), signature(s)) if len(s) else (None, 0, None) for s in scan.shingle_sets(batch.column("text"), lower=True)]
             columns = zip(*out, strict=True) if out else ([], [], [])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:], strict=True))], schema=schema)
+            made = [pa.array(c, f.type) for c, f in zip(columns, list(schema)[len(held) :], strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in held), *made], schema=schema)
 
-    return docs.withColumn("row_key", F.xxhash64("doc_id", "text")).mapInArrow(scan.released(task), "doc_id long, row_key long, node long, n long, bits binary")
+    return docs.mapInArrow(scan.released(task), "doc_id long, text_hash long, row long, node long, n long, bits binary")
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
@@ -325,14 +327,27 @@ def _rest(tiles: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     return dealt.mapInArrow(scan.released(task), "a long, b long").distinct()
 
 
-def near_duplicates(documents: DataFrame, with_key: bool = False) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``documents`` (doc_id, text); ``with_key``: and a hash of both.
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``documents`` (doc_id, text).
 
     component_id is the smallest doc_id reachable by links, the row's own included. Null and empty texts have no shingles
     and link with nothing; repeated rows and equal sets always link; a null id never is a component id unless all ids of
     the component are null; other columns are ignored; an empty table gives no rows.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    placed = classes(documents)
+    lowest = placed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("lowest"))
+    columns = ["doc_id", F.col("n").alias("n_shingles"), F.coalesce("lowest", "doc_id").alias("component_id")]
+    return placed.join(lowest, "class", "left").select(*columns)
+
+
+def classes(documents: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, text_hash, row, n and class (null without shingles) for every row of ``documents`` (doc_id, text).
+
+    Rows of one class are linked; ``row`` is the value of the long column of that name, null without one.
+    """
+    text = F.col("text").cast("string")
+    number = F.col(row) if row else F.lit(None).cast("long")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"), number.alias("row"))
     signatures = materialise(_signatures(docs), "jaccard-signatures")
     nodes = materialise(signatures.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "jaccard-nodes")
     tiles = materialise(_tiles(docs), "jaccard-tiles")
@@ -343,7 +358,4 @@ def near_duplicates(documents: DataFrame, with_key: bool = False) -> DataFrame:
     rest = materialise(_rest(tiles, nodes, found), "jaccard-pairs")
     if not rest.isEmpty():
         found = materialise(components(first.unionAll(_verified(rest, docs))), "jaccard-components")
-    placed = signatures.select("doc_id", "row_key", "node", "n").join(found, "node", "left").withColumn("class", F.coalesce("component", "node"))
-    lowest = placed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("lowest"))
-    columns = ["doc_id", F.col("n").alias("n_shingles"), F.coalesce("lowest", "doc_id").alias("component_id")]
-    return placed.join(lowest, "class", "left").select(*columns, *(["row_key"] if with_key else []))
+    return signatures.join(found, "node", "left").select("doc_id", "text_hash", "row", "n", F.coalesce("component", "node").alias("class"))

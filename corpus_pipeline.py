@@ -33,15 +33,17 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of linked documents the one with the smallest doc_id; all columns pass.
+    """One row of each class of linked documents; all columns pass.
 
-    Rows that repeat the id and text of a kept row stay too. Texts without words link with nothing and stay.
+    It is the first by doc_id (nulls last), text hash and row number; rows that repeat it go like all others of the class.
+    Texts without words link with nothing and stay.
     """
-    classes = jaccard.near_duplicates(docs, with_key=True)
-    name = _unused("row_key", docs)
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("row_key").alias(name)).distinct()
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.join(materialise(gone, "pipeline-gone"), key == F.col(name), "left_anti")
+    name = _unused("row_number", docs)
+    numbered = materialise(docs.withColumn(name, F.monotonically_increasing_id()), "pipeline-numbered")
+    classes = jaccard.classes(numbered, name).withColumn("alone", F.when(F.col("class").isNull(), F.col("row")))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash", "row")
+    kept = classes.groupBy("class", "alone").agg(F.min(order).alias("first")).select(F.col("first.row").alias(name))
+    return numbered.join(materialise(kept, "pipeline-kept"), name, "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

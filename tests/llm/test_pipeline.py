@@ -82,3 +82,19 @@ def test_toxic_rows_go(spark):
     predicted = {r.doc_id for r in toxicity.toxicity(docs, labels).where("predicted = 1").collect()}
     kept = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, SF).select("doc_id").collect()}
     assert kept == {r.doc_id for r in docs.select("doc_id").collect()} - predicted
+
+
+def test_near_copy_stage_drops_repeated_and_nameless_rows(spark):
+    rng = random.Random(2)
+    one, other, alone, nameless = (cases.prose(rng, 200) for _ in range(4))
+    near = [cases.edited(rng, nameless, 1) for _ in range(3)]
+    rows = [(7, one, "en", "a", 1)] * 20 + [(7, one, "en", "b", 2), (9, one, "en", "a", 1), (None, one, "en", "a", 1)]
+    rows += [(None, other, "en", "a", 1)] * 5 + [(None, t, "en", "a", 1) for t in (nameless, *near)] + [(3, alone, "en", "a", 1)]
+    rows += [(2, "", "en", "a", 0)] * 2
+    docs = cases.documents(spark, rows).repartition(4)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(k for k in kept if k[0] is not None) == [(2, ""), (2, ""), (3, alone), (7, one)]
+    texts = [t for i, t in kept if i is None]
+    assert len(texts) == 2 and other in texts and set(texts) - {other} <= {nameless, *near}
