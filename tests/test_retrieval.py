@@ -240,3 +240,14 @@ def test_case_question_and_features(spark):
     out = df.select(corpus.case_question(F.col("labs"), F.col("meds"), F.col("sym"), F.col("age"), F.col("sex"))).first()[0]
     assert out.startswith("Evaluate this patient: Lab values: a=1, b=2. Current medications: m. Provide primary")
     assert df.select(corpus.augment_query(F.lit("q"), F.lit(""))).first()[0] == "q"
+
+
+def test_one_patient_run_stands_over_the_whole_index(spark):
+    from carelake.plans import retrieval_queries
+    from carelake.plans.domain import view
+
+    sf_dir = "/root/testdata/sf0.001"
+    out = retrieval_queries.QUERIES["index_one_patient"](spark, sf_dir).collect()
+    meds = view(spark, sf_dir, "medications").select("id", "patient").collect()
+    assert any(r.patient == "42" for r in meds)
+    assert sorted((r.id, r.indexed_on) for r in out) == sorted((f"med-{r.id}", "2024-03-01" if r.patient == "42" else "2024-02-01") for r in meds)
