@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import counts, fingerprints, jaccard, licenses, mixing, packing, quality, repair, toxicity, warc
+from carelake.llm import counts, fingerprints, jaccard, licenses, mixing, packing, quality, repair, toxicity, turns, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +51,11 @@ def op10_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.roundtrip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_jaccard_join, op4_warc, op5_quality_rules, op6_license_scan, op7_token_counts, op8_mixing, op9_fingerprints, op10_repair_ids)}
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_jaccard_join, op4_warc, op5_quality_rules, op6_license_scan, op7_token_counts, op8_mixing, op9_fingerprints, op10_repair_ids, op11_turn_repair)}
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
