@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import counts, fingerprints, jaccard, licenses, mixing, packing, quality, repair, spelling, toxicity, turns, warc
+from carelake.llm import counts, fingerprints, jaccard, licenses, mixing, neighbours, packing, quality, repair, spelling, toxicity, turns, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +59,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.document_variants(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_jaccard_join, op4_warc, op5_quality_rules, op6_license_scan, op7_token_counts, op8_mixing, op9_fingerprints, op10_repair_ids, op11_turn_repair, op12_spelling_variants)}
+def op13_vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.table_neighbours(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_jaccard_join, op4_warc, op5_quality_rules, op6_license_scan, op7_token_counts, op8_mixing, op9_fingerprints, op10_repair_ids, op11_turn_repair, op12_spelling_variants, op13_vector_neighbours)}
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
