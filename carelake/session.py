@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 # HotSpot never compiles methods above 8000 bytes of code. Past that, Spark's fused code for a wide
 # projection would run interpreted, so such stages fall back to separately compiled expressions.
-_TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
-_DEFAULT_LIMIT = "65535"
+# Batches for Python workers hold whole texts: by rows alone one of them can fill a worker.
+_TUNING = {"spark.sql.codegen.hugeMethodLimit": ("65535", "8000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
 
 
 def tune(spark: SparkSession) -> None:
     """Session settings the operators profit from; values somebody chose are left alone."""
-    for key, value in _TUNING.items():
-        if spark.conf.get(key, _DEFAULT_LIMIT) == _DEFAULT_LIMIT:
+    for key, (default, value) in _TUNING.items():
+        if spark.conf.get(key, default) == default:
             spark.conf.set(key, value)
 
 
@@ -30,6 +30,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     of one machine would be lost to the others. Only a session that lives in one process (tests,
     bench) gets a temporary folder, once, which goes when the process ends.
     """
+    tune(spark)
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         master = spark.sparkContext.master
