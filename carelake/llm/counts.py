@@ -28,7 +28,10 @@ def frequent_lengths(documents: DataFrame, tokenizer: str = tokens.BYTE_BPE, uni
     chosen = bounded(documents.select("doc_id", "text"), sample, "doc_id", "text").select("text").repartition(16)
 
     def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(tokenizer)
+        with tokens.encoding(tokenizer) as encoder:
+            yield from count_units(batches, encoder)
+
+    def count_units(batches: Iterator[pa.RecordBatch], encoder: tokens.Encoder) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tokens.slices(batch.column(0)):
                 found = encoder.units(part)
@@ -54,7 +57,10 @@ def token_counts(documents: DataFrame, tokenizer: str = tokens.BYTE_BPE, limit:
     table = docs.sparkSession.sparkContext.broadcast((frequent.to_pylist(), lengths.astype(np.int32)))
 
     def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(tokenizer)
+        with tokens.encoding(tokenizer) as encoder:
+            yield from count_documents(batches, encoder)
+
+    def count_documents(batches: Iterator[pa.RecordBatch], encoder: tokens.Encoder) -> Iterator[pa.RecordBatch]:
         known, known_lengths = pa.array(table.value[0], pa.string()), table.value[1]
         for batch in batches:
             at = 0

@@ -118,16 +118,17 @@ def pack(documents: DataFrame, window: int = WINDOW, tokenizer: str = tokens.BYT
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, encoder = Packer(TaskContext.get().partitionId() << 36, window), tokens.encoder(tokenizer)
+        packer = Packer(TaskContext.get().partitionId() << 36, window)
         end = np.array([end_id], np.uint32)
-        for batch in batches:
-            at = 0
-            for part in tokens.slices(batch.column("text")):
-                ids, off = encoder.encode(part)
-                for i, doc_id in enumerate(batch.column("doc_id").slice(at, len(part)).to_pylist()):
-                    packer.add(doc_id, np.concatenate((ids[off[i] : off[i + 1]], end)))
-                at += len(part)
-                yield packer.drain()
+        with tokens.encoding(tokenizer) as encoder:
+            for batch in batches:
+                at = 0
+                for part in tokens.slices(batch.column("text")):
+                    ids, off = encoder.encode(part)
+                    for i, doc_id in enumerate(batch.column("doc_id").slice(at, len(part)).to_pylist()):
+                        packer.add(doc_id, np.concatenate((ids[off[i] : off[i + 1]], end)))
+                    at += len(part)
+                    yield packer.drain()
         packer.finish()
         yield packer.drain()
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time (a longer text is handled alone, its words in blocks of this size).
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 SHINGLE = 5
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -44,11 +44,13 @@ def release() -> None:
 
 
 def released(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The task, with its memory released at its end."""
+    """The task, with its memory released at its end, also an early one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from task(batches)
-        release()
+        try:
+            yield from task(batches)
+        finally:
+            release()
 
     return run
 

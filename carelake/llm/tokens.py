@@ -5,14 +5,21 @@ unless the space stands inside a longer run of white space; texts with such a sp
 to the tokenizer whole. A distinct unit is cut further between a letter or digit and a punctuation mark, and around single
 line feeds. The ids of such a piece do not depend on its neighbours, so joining the ids of distinct pieces gives the
 library's result for the text.
+
+A piece of letters is one pre-token. Where the file lists its merges in the order of their ids, as byte-level files do, such
+pieces are merged by the compiled byte-pair encoder of tiktoken over the vocabulary of the same file; all others, and all
+pieces of other files, go to the tokenizers library.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
 import types
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -20,10 +27,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
-#: Distinct units a worker remembers; beyond that it starts afresh.
-CACHE_UNITS = 600_000
+#: About so many bytes of pieces and ids make a generation of the cache; a worker holds two.
+CACHE_BYTES = 24 << 20
+#: What an entry takes beside its characters and ids.
+_ENTRY_BYTES = 160
 #: Bytes of text encoded at a time.
-BATCH = 2 << 20
+BATCH = 3 << 20
 
 _W = "[\\x09-\\x0d \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _MARK = "\x01"
@@ -41,12 +50,16 @@ def tokenizer_path(name: str = BYTE_BPE) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(name: str = BYTE_BPE) -> Encoder:
-    """This worker's encoder; it lives as long as the worker."""
+@contextmanager
+def encoding(name: str = BYTE_BPE) -> Iterator[Encoder]:
+    """This worker's encoder for the length of a task: its tables stay with the worker, what it remembers goes at the end."""
     kept = vars(sys.modules.setdefault(_KEPT, types.ModuleType(_KEPT)))
     if name not in kept:
         kept[name] = Encoder(name)
-    return kept[name]
+    try:
+        yield kept[name]
+    finally:
+        kept[name].forget()
 
 
 def slices(column: pa.Array, size: int = BATCH):
@@ -131,8 +144,52 @@ def _gather(pool: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.
     return pool[np.repeat(starts - ends[:-1], lens) + np.arange(ends[-1])], ends
 
 
+def _merger(path: str, special: list[str]) -> Callable[[bytes], list[int]] | None:
+    """A compiled encoder of single pre-tokens over the file's own vocabulary; None unless ids follow the order of merges."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    if model.get("type") != "BPE" or model.get("end_of_word_suffix") or model.get("byte_fallback"):
+        return None
+    # one character per byte, as byte-level vocabularies spell bytes
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*printable}))}
+    vocabulary = {k: v for k, v in model["vocab"].items() if k not in special}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    if not all(c in byte_of for k in vocabulary for c in k) or [vocabulary.get(a + b) for a, b in merges] != [256 + i for i in range(len(merges))]:
+        return None
+    import tiktoken
+
+    ranks = {bytes(byte_of[c] for c in k): v for k, v in vocabulary.items()}
+    return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+
+class _Generation:
+    """Ids of pieces, one after the other in a pool."""
+
+    def __init__(self):
+        self.codes: dict[str, int] = {}
+        self.pool = np.zeros(1 << 12, np.uint32)
+        self.starts = np.zeros(1 << 10, np.int64)
+        self.lens = np.zeros(1 << 10, np.int64)
+        self.used = self.bytes = 0
+
+    def add(self, pieces: list[str], flat: np.ndarray, lens: np.ndarray) -> None:
+        n = len(self.codes)
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
+        while n + len(pieces) > len(self.starts):
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+            self.lens = np.concatenate((self.lens, np.zeros_like(self.lens)))
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.starts[n : n + len(pieces)] = self.used + np.cumsum(lens) - lens
+        self.lens[n : n + len(pieces)] = lens
+        self.codes.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+        self.used += len(flat)
+        self.bytes += sum(map(len, pieces)) + 4 * len(flat) + _ENTRY_BYTES * len(pieces)
+
+
 class Encoder:
-    def __init__(self, name: str, cache_units: int = CACHE_UNITS):
+    def __init__(self, name: str, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -141,29 +198,19 @@ class Encoder:
         if any(" " in s for s in special):
             raise ValueError("special strings with a space are not supported")
         self.special = "|".join(["\\Q" + s + "\\E" for s in special] + [_MARK])
-        # one character per byte, as the model's vocabulary spells bytes
-        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        others = [b for b in range(256) if b not in printable]
-        self.spelling = {b: 256 + i for i, b in enumerate(others)}
-        self.space = chr(self.spelling[32])
-        self.cache_units = cache_units
+        self.merge = _merger(tokenizer_path(name), special)
+        self.cache_bytes = cache_bytes
         self.forget()
 
     def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.lens = np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.young, self.old = _Generation(), _Generation()
 
     def _ids(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of pieces: a run of letters is one pre-token and goes straight to the model, the rest to the tokenizer."""
         out: list = [None] * len(pieces)
-        rest, tokenize, match = [], self.tokenizer.model.tokenize, _LETTERS.fullmatch
+        rest, match = [], _LETTERS.fullmatch
         for i, p in enumerate(pieces):
-            if match(p):
-                p = p.replace(" ", self.space) if p.isascii() else p.encode().decode("latin-1").translate(self.spelling)
-                out[i] = [t.id for t in tokenize(p)]
+            if self.merge is not None and match(p):
+                out[i] = self.merge(p.encode())
             else:
                 rest.append(i)
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
@@ -175,27 +222,23 @@ class Encoder:
             part = pieces[i : i + 20_000]
             ids = self._ids(part)
             lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum()))
-            n = len(self.codes)
-            while self.used + len(flat) > len(self.pool):
-                self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
-            while n + len(part) > len(self.starts):
-                self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-                self.lens = np.concatenate((self.lens, np.zeros_like(self.lens)))
-            self.pool[self.used : self.used + len(flat)] = flat
-            self.starts[n : n + len(part)] = self.used + np.cumsum(lens) - lens
-            self.lens[n : n + len(part)] = lens
-            self.codes.update(zip(part, range(n, n + len(part)), strict=True))
-            self.used += len(flat)
+            self.young.add(part, np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens)
 
     def _codes(self, pieces: pa.Array) -> np.ndarray:
+        """Places of distinct pieces in the young generation, where all of them are afterwards."""
         distinct = pieces.to_pylist()
-        if len(self.codes) + len(distinct) > self.cache_units:
-            self.forget()
-        missing = [p for p in distinct if p not in self.codes]
+        if self.young.bytes > self.cache_bytes:
+            self.old, self.young = self.young, _Generation()
+        missing = [p for p in distinct if p not in self.young.codes]
+        if missing and self.old.codes:
+            kept = [p for p in missing if p in self.old.codes]
+            code = np.fromiter(map(self.old.codes.__getitem__, kept), np.int64, len(kept))
+            lens = self.old.lens[code]
+            self.young.add(kept, _gather(self.old.pool, self.old.starts[code], lens)[0], lens)
+            missing = [p for p in missing if p not in self.old.codes]
         if missing:
             self._learn(missing)
-        return np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
+        return np.fromiter(map(self.young.codes.__getitem__, distinct), np.int64, len(distinct))
 
     def units(self, column: pa.Array) -> Units:
         return Units(column, self.special)
@@ -206,7 +249,7 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
         units = self.units(column)
         code = self._codes(units.pieces)[units.piece_codes]
-        pool, ends = _gather(self.pool, self.starts[code], self.lens[code])
+        pool, ends = _gather(self.young.pool, self.young.starts[code], self.young.lens[code])
         starts = ends[units.piece_off]
         ids, ends = _gather(pool, starts[units.codes], np.diff(starts)[units.codes])
         return ids, ends[units.off]
@@ -214,4 +257,4 @@ class Encoder:
     def lengths(self, pieces: pa.Array) -> np.ndarray:
         """Token counts of distinct pieces, from the cache or the library."""
         codes = self._codes(pieces)
-        return self.lens[codes]
+        return self.young.lens[codes]

@@ -56,11 +56,17 @@ def _word_ids(words: tuple[str, ...]) -> np.ndarray:
     return _ids(scan.word_hashes(data, starts, ends))
 
 
-def _features(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, feature ids, offsets, pattern votes): ids of all words, then of their beginnings, text by text."""
+def _word_lists() -> tuple[np.ndarray, np.ndarray]:
+    """Which ids are those of the fixed words, and of the pointing ones; made once in a task."""
     fixed, pointers = np.zeros(1 << BITS, bool), np.zeros(1 << BITS, bool)
     fixed[_word_ids(INSULTS)] = True
     pointers[_word_ids(POINTERS)] = True
+    return fixed, pointers
+
+
+def _features(column: pa.Array, lists: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, feature ids, offsets, pattern votes): ids of all words, then of their beginnings, text by text."""
+    fixed, pointers = lists
     for first, raw, off in scan.chunks(column):
         data = scan.LOWER[raw]
         starts, ends, word_off = scan.words(data, off, scan.NON_LETTER)
@@ -172,8 +178,9 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> pa.Table:
         known = bounded(documents.where("doc_id is not null").select("doc_id").distinct(), rows, "doc_id").withColumn("toxic", F.lit(None).cast("int"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = _word_lists()
         for batch in batches:
-            for first, ids, off, votes in _features(batch.column("text")):
+            for first, ids, off, votes in _features(batch.column("text"), lists):
                 found = [np.unique(ids[off[i] : off[i + 1]]).astype(np.int32) for i in range(len(off) - 1)]
                 n = len(found)
                 columns = [batch.column("doc_id").slice(first, n), batch.column("toxic").slice(first, n), pa.array(found, pa.list_(pa.int32())), pa.array(votes.astype(np.int32))]
@@ -191,9 +198,9 @@ def _vote_counts(documents: DataFrame, kind: np.ndarray) -> tuple[np.ndarray, np
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(2 << BITS, np.int8)
         table[shared.value[0]] = shared.value[1]
-        total = np.zeros(1 << N_VOTERS, np.int64)
+        total, lists = np.zeros(1 << N_VOTERS, np.int64), _word_lists()
         for batch in batches:
-            for _, ids, off, votes in _features(batch.column(0)):
+            for _, ids, off, votes in _features(batch.column(0), lists):
                 total += np.bincount(_votes(ids, off, votes, table), minlength=1 << N_VOTERS)
         codes = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int32)), pa.array(total[codes])], ["code", "n"])
@@ -264,28 +271,37 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> C
     return Classifier(known[chosen], w[: len(chosen)], w[len(chosen) :], b, np.flatnonzero(kind), kind[kind > 0])
 
 
-def _scores(column: pa.Array, model: Classifier) -> np.ndarray:
-    weight, kind = np.zeros(2 << BITS, np.float32), np.zeros(2 << BITS, np.int8)
-    weight[model.features] = model.weights
-    kind[model.listed] = model.kinds
-    out = []
-    for _, ids, off, votes in _features(column):
-        hit = np.flatnonzero(weight[ids])
-        pair = np.unique((np.searchsorted(off, hit, "right") - 1).astype(np.int64) << 32 | ids[hit])
-        words = np.bincount(pair >> 32, weight[pair & 0xFFFFFFFF], len(off) - 1)
-        fired = (_votes(ids, off, votes, kind)[:, None] >> np.arange(N_VOTERS)) & 1
-        out.append(linear.sigmoid(words + fired @ model.voters + model.bias))
-    return np.concatenate(out) if out else np.zeros(0)
+class Scorer:
+    """A classifier's tables by feature, made once in a task."""
+
+    def __init__(self, model: Classifier):
+        self.model, self.lists = model, _word_lists()
+        self.weight, self.kind = np.zeros(2 << BITS, np.float32), np.zeros(2 << BITS, np.int8)
+        self.weight[model.features] = model.weights
+        self.kind[model.listed] = model.kinds
+
+    def scores(self, column: pa.Array) -> np.ndarray:
+        out = []
+        for _, ids, off, votes in _features(column, self.lists):
+            hit = np.flatnonzero(self.weight[ids])
+            pair = np.unique((np.searchsorted(off, hit, "right") - 1).astype(np.int64) << 32 | ids[hit])
+            words = np.bincount(pair >> 32, self.weight[pair & 0xFFFFFFFF], len(off) - 1)
+            fired = (_votes(ids, off, votes, self.kind)[:, None] >> np.arange(N_VOTERS)) & 1
+            out.append(linear.sigmoid(words + fired @ self.model.voters + self.model.bias))
+        return np.concatenate(out) if out else np.zeros(0)
 
 
 def score_udf(model: Classifier):
     """A column function text -> score."""
 
     @F.arrow_udf("double")
-    def score(text: pa.Array) -> pa.Array:
-        out = pa.array(_scores(text, model), pa.float64())
-        scan.release()
-        return out
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(model)
+        try:
+            for text in batches:
+                yield pa.array(scorer.scores(text), pa.float64())
+        finally:
+            scan.release()
 
     return score
 

@@ -42,7 +42,7 @@ def test_units_give_the_ids_of_whole_texts(library):
 
 def test_small_cache_gives_equal_ids(library):
     rng = random.Random(2)
-    encoder = tokens.Encoder(tokens.BYTE_BPE, cache_units=50)
+    encoder = tokens.Encoder(tokens.BYTE_BPE, cache_bytes=5_000)
     for _ in range(20):
         texts = [cases.prose(rng, 40, 5_000) for _ in range(5)]
         ids, off = encoder.encode(pa.array(texts))
