@@ -27,9 +27,8 @@ from carelake.session import scratch_path
 END_ID = 0
 #: Ids of a block (a longer document is a block of its own).
 BLOCK_IDS = 1 << 20
-ROUNDS = 4
-#: Rules a round may add; all rounds together stay below 2**16.
-ROUND_RULES = 4_096
+#: Rules a round may add, and those of a block, whose numbers have 16 bits.
+ROUND_RULES, MOST_RULES = 4_096, 1 << 16
 #: Occurrences that make a pair worth a rule.
 LEAST = 16
 NONTERMINAL = 1 << 16
@@ -54,47 +53,50 @@ def _peaks(weight: np.ndarray) -> np.ndarray:
     return np.repeat(starts[peak] - 2 * first, picks) + 2 * np.arange(picks.sum())
 
 
-def replace_pairs(symbols: np.ndarray, firsts: np.ndarray, rounds: int = ROUNDS, round_rules: int = ROUND_RULES, least: int = LEAST):
-    """(symbols, first symbol per document, rules) after Re-Pair rounds over one block.
+def replace_pairs(symbols: np.ndarray, firsts: np.ndarray, round_rules: int = ROUND_RULES, least: int = LEAST):
+    """(symbols, first symbol per document, rules) after Re-Pair over one block, until no pair occurs ``least`` times.
 
-    Each round counts adjacent pairs, takes the most frequent ones and replaces those occurrences that beat both
-    neighbouring pairs in frequency, then in the same way what is left between them, so no two replacements overlap. Pairs are first counted by hash bucket, then exactly
-    for one pair of each of the fullest buckets.
+    Each round counts adjacent pairs by hash bucket, and then exactly in the fullest buckets, each of which stands for its most
+    frequent pair. It replaces those occurrences that beat both neighbouring pairs in frequency, then in the same way what is
+    left between them, so no two replacements overlap. Pairs that overlap themselves (as in a run of one symbol) count in full
+    but are replaced every second time.
     """
     rules: list[np.ndarray] = []
     n_rules = 0
-    for _ in range(rounds):
-        if len(symbols) < 2 * least:
-            break
+    while len(symbols) >= 2 * least and n_rules < MOST_RULES:
+        room = min(round_rules, MOST_RULES - n_rules)
         inner = np.ones(len(symbols) - 1, bool)
         cuts = firsts[(firsts > 0) & (firsts < len(symbols))] - 1
         inner[cuts] = False
         pair = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
         bucket = ((pair * _ODD) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
         filled = np.bincount(bucket[inner], minlength=1 << _BUCKETS)
-        full = np.flatnonzero(filled >= max(least, np.partition(filled, -round_rules)[-round_rules]))
-        full = np.sort(full[np.argsort(-filled[full], kind="stable")[:round_rules]])
-        number = np.full(1 << _BUCKETS, -1, np.int32)
-        number[full] = np.arange(len(full))
-        which = number[bucket]
-        at = np.flatnonzero(inner & (which >= 0))
-        # a full bucket stands for one of its pairs; others that share it wait for a later round
-        leader = np.zeros(len(full), np.uint64)
-        leader[which[at]] = pair[at]
-        at = at[pair[at] == leader[which[at]]]
-        count = np.bincount(which[at], minlength=len(full))
+        # more buckets are counted exactly than there is room for rules, as a full one may hold rare pairs alone
+        full = np.flatnonzero(filled >= least)
+        pairs, leads, at, which = _leaders(pair, bucket, inner, filled, full[np.argsort(-filled[full], kind="stable")[: 2 * round_rules]])
+        if len(full) > 2 * round_rules and not (leads >= least).any():
+            pairs, leads, at, which = _leaders(pair, bucket, inner, filled, full)
+        kept = np.argsort(-leads, kind="stable")[:room]
+        kept = kept[leads[kept] >= least]
+        if not len(kept):
+            break
+        number = np.full(len(pairs), -1, np.int64)
+        number[kept] = np.arange(len(kept))
+        pairs, leads = pairs[kept], leads[kept]
+        which = number[which]
+        at, which = at[which >= 0], which[which >= 0]
         weight = np.zeros(len(pair), np.int64)
-        weight[at] = np.where(count >= least, count, 0)[which[at]]
+        weight[at] = leads[which]
+        rule_at = np.zeros(len(pair), np.int32)
+        rule_at[at] = which
         wins = _peaks(weight)
         for beside in (wins, wins - 1, wins + 1):
             weight[beside[(beside >= 0) & (beside < len(weight))]] = 0
         wins = np.sort(np.concatenate((wins, _peaks(weight))))
-        if not len(wins):
-            break
-        used = np.flatnonzero(np.bincount(which[wins], minlength=len(full)))
-        number = np.zeros(len(full), np.int64)
+        used = np.flatnonzero(np.bincount(rule_at[wins], minlength=len(pairs)))
+        number = np.zeros(len(pairs), np.int64)
         number[used] = np.arange(len(used))
-        rule, pairs = number[which[wins]], leader[used]
+        rule, pairs = number[rule_at[wins]], pairs[used]
         rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)), axis=1).astype(np.uint32))
         symbols = symbols.copy()
         symbols[wins] = (NONTERMINAL + n_rules + rule).astype(np.uint32)
@@ -105,6 +107,25 @@ def replace_pairs(symbols: np.ndarray, firsts: np.ndarray, rounds: int = ROUNDS,
     return symbols, firsts, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
+def _leaders(pair: np.ndarray, bucket: np.ndarray, inner: np.ndarray, filled: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The most frequent pair of each bucket in ``full`` and its count, the places of these pairs, and which of them each is."""
+    number = np.full(1 << _BUCKETS, -1, np.int32)
+    number[full] = np.arange(len(full))
+    at = np.flatnonzero(inner & (number[bucket] >= 0))
+    order = np.argsort(pair[at], kind="stable")
+    at, held = at[order], pair[at[order]]
+    starts = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1]))) if len(held) else np.zeros(0, np.int64)
+    count = np.diff(np.append(starts, len(held)))
+    owner = number[bucket[at[starts]]]
+    best = np.lexsort((-starts, count))  # the last one written wins: the largest count, then the smallest pair
+    leader = np.zeros(len(full), np.int64)
+    leader[owner[best]] = best
+    chosen = np.zeros(len(starts), bool)
+    chosen[leader] = True
+    mine = np.repeat(chosen, count)
+    return held[starts[leader]] if len(starts) else np.zeros(0, np.uint64), count[leader] if len(starts) else np.zeros(0, np.int64), at[mine], np.repeat(owner, count)[mine]
+
+
 def expansion_lengths(rules: np.ndarray) -> np.ndarray:
     """Ids that each rule stands for; a rule refers to earlier ones only."""
     out = np.zeros(len(rules), np.uint32)
@@ -113,10 +134,10 @@ def expansion_lengths(rules: np.ndarray) -> np.ndarray:
     return out
 
 
-def encode_block(doc_ids: list, parts: list[np.ndarray], rounds: int = ROUNDS, round_rules: int = ROUND_RULES, least: int = LEAST) -> bytes:
+def encode_block(doc_ids: list, parts: list[np.ndarray], round_rules: int = ROUND_RULES, least: int = LEAST) -> bytes:
     lens = np.array([len(p) for p in parts], np.int64)
     first_ids = np.cumsum(lens) - lens
-    symbols, firsts, rules = replace_pairs(np.concatenate(parts).astype(np.uint32), first_ids, rounds, round_rules, least)
+    symbols, firsts, rules = replace_pairs(np.concatenate(parts).astype(np.uint32), first_ids, round_rules, least)
     table = np.concatenate((rules, expansion_lengths(rules)[:, None]), axis=1)
     index = [
         np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes(),
@@ -191,7 +212,11 @@ def write(documents: DataFrame, folder: str, tokenizer: str = tokens.BYTE_BPE, e
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def write_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, encoder, end = TaskContext.get().partitionId(), tokens.encoder(tokenizer), np.array([end_id], np.uint32)
+        with tokens.encoding(tokenizer) as encoder:
+            yield from write_shard(batches, encoder)
+
+    def write_shard(batches: Iterator[pa.RecordBatch], encoder: tokens.Encoder) -> Iterator[pa.RecordBatch]:
+        shard, end = TaskContext.get().partitionId(), np.array([end_id], np.uint32)
         out, held, n_documents, n_ids = None, [], 0, 0
         waiting = 0
         for batch in batches:
