@@ -374,8 +374,8 @@ FROM items LEFT JOIN m ON m.drug_name = itemName""",
     "drug_lookup": """SELECT cast(p_partkey AS string) AS id,
   'NDA' || p_size || ' 24 HR ' || p_name || ' ' AS description, lower(p_name) AS sort_key FROM part""",
     "sorted_patients": f"""WITH {cte("patients")} SELECT id, last, first FROM patients
-ORDER BY lower(last), lower(first), id LIMIT 300""",
-    "sorted_codes": f"""WITH {cte("medications")} SELECT DISTINCT code FROM medications WHERE code <> '' ORDER BY code LIMIT 300""",
+ORDER BY lower(last), lower(first), id""",
+    "sorted_codes": f"""WITH {cte("medications")} SELECT DISTINCT code FROM medications WHERE code <> '' ORDER BY code""",
     "contains_text": f"""WITH {cte("medications")} SELECT id, description, code FROM medications
 WHERE contains(lower(description), 'ring') OR contains(code, 'ring')""",
     "row_contains": f"""WITH {cte("patients")} SELECT id, race FROM patients
