@@ -33,6 +33,8 @@ SIMILAR = (80, 100)
 #: Documents that make a shingle frequent, and how many frequent shingles (the most frequent ones) move last in the
 #: order. The list is broadcast, so its number is fixed; any order gives the same links.
 FREQUENT, FREQUENT_KEPT = 48, 1 << 17
+#: Rows of a token up to which they are looked at in one task.
+CROWD = 1 << 12
 #: Bits of a signature: the next power of two to eight times the set's size, within these.
 LEAST_BITS, MOST_BITS = 64, 1 << 15
 #: Random ranks by which centres are chosen in the first round.
@@ -159,19 +161,23 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def _tiles(docs: DataFrame) -> DataFrame:
-    """token, node, n, and a centre (c_node, c_n), for tokens that several nodes list.
+    """token, node, n, a centre (c_node, c_n), and how many rows the token has (null: many), where several nodes list a token.
 
     A centre is the node with the smallest of RANKS random ranks, so the tokens of a group of copies have few centres.
     Frequent tokens are aggregated before any shuffle, and their centres, at most FREQUENT_KEPT, are broadcast.
     """
-    rows = _prefixes(docs, _frequent(docs))
+    frequent = _frequent(docs)
+    rows = _prefixes(docs, frequent)
     rank = F.struct(F.xxhash64("node", F.pmod("token", F.lit(RANKS))).alias("rank"), F.col("node"), F.col("n"))
-    columns = ["token", "node", "n", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n")]
+    columns = ["token", "node", "n", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n"), "crowd"]
     by = Window.partitionBy("token")
-    few = rows.where("not is_frequent").withColumn("low", F.min("node").over(by)).withColumn("high", F.max("node").over(by)).where("low <> high").withColumn("centre", F.min(rank).over(by))
-    many = rows.where("is_frequent").groupBy("token", "node").agg(F.min("n").alias("n"))
+    few = rows.where("not is_frequent").withColumn("low", F.min("node").over(by)).withColumn("high", F.max("node").over(by)).where("low <> high")
+    few = few.withColumn("centre", F.min(rank).over(by)).withColumn("crowd", F.count(F.lit(1)).over(by)).select(*columns)
+    if not len(frequent):
+        return few
+    many = materialise(rows.where("is_frequent").groupBy("token", "node").agg(F.min("n").alias("n")), "jaccard-frequent")
     centres = many.groupBy("token").agg(F.min(rank).alias("centre"), F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("token", "centre")
-    return few.select(*columns).unionAll(many.join(F.broadcast(centres), "token").select(*columns))
+    return few.unionAll(many.join(F.broadcast(centres), "token").withColumn("crowd", F.lit(None).cast("long")).select(*columns))
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -274,17 +280,33 @@ def _compare(nodes: list, sizes: np.ndarray, groups: np.ndarray, own: np.ndarray
 def _rest(tiles: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that share a token and that the signatures cannot rule out."""
     sized = found.join(found.groupBy("component").agg(F.count("*").alias("size")), "component")
-    placed = tiles.select("token", "node", "n").join(sized, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    placed = placed.withColumn("size", F.coalesce("size", F.lit(1)))
-    mixed = placed.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token")
     band = F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int")
-    rows = placed.join(mixed, "token").withColumn("band", band).withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-    rows = rows.select("token", "tile", "node", "n", "group", "size", (F.col("tile") == F.col("band")).alias("own"))
     mark = F.xxhash64("node")
-    seen = rows.groupBy("token", "tile").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max("own").alias("any_own"), F.min(mark).alias("home"))
+    columns = ["home", "tile", "node", "n", "group", "size", "own"]
+
+    def placed(part: DataFrame) -> DataFrame:
+        out = part.select("token", "node", "n").join(sized, "node", "left").withColumn("group", F.coalesce("component", "node"))
+        return out.select("token", "node", "n", "group", F.coalesce("size", F.lit(1)).alias("size"))
+
+    def tiled(part: DataFrame) -> DataFrame:
+        rows = part.withColumn("band", band).withColumn("tile", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+        return rows.select("token", "tile", "node", "n", "group", "size", (F.col("tile") == F.col("band")).alias("own"))
+
     # tokens of one passage or one group of copies have nearly the same members, and mostly the same smallest one:
     # the tiles that share it are made one, so that a pair is not looked at under every token
-    rows = rows.join(seen.where("low <> high and any_own").select("token", "tile", "home"), ["token", "tile"])
+    aggregates = {"low": F.min("group"), "high": F.max("group"), "any_own": F.max("own"), "home": F.min(mark)}
+    # a token with few rows is dealt once, and everything about it is found where its rows are
+    token, tile = Window.partitionBy("token"), Window.partitionBy("token", "tile")
+    few = placed(tiles.where(F.col("crowd") <= CROWD)).withColumns({"low": F.min("group").over(token), "high": F.max("group").over(token)})
+    few = tiled(few.where("low <> high")).withColumns({c: f.over(tile) for c, f in aggregates.items()})
+    rows = few.where("low <> high and any_own").select(*columns)
+    crowded = tiles.where(F.col("crowd").isNull() | (F.col("crowd") > CROWD))
+    if not crowded.isEmpty():  # the rows of such a token may be split in every step
+        many = placed(crowded)
+        mixed = many.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token")
+        many = tiled(many.join(mixed, "token"))
+        seen = many.groupBy("token", "tile").agg(*[f.alias(c) for c, f in aggregates.items()])
+        rows = rows.unionAll(many.join(seen.where("low <> high and any_own").select("token", "tile", "home"), ["token", "tile"]).select(*columns))
     rows = materialise(rows.groupBy("home", "tile", "node").agg(*[F.first(c).alias(c) for c in ("n", "group", "size", "own")]), "jaccard-rest")
     # the largest component of a tile needs no comparison with itself: its nodes are dealt over blocks once, and only
     # the other nodes go to each of these blocks
