@@ -20,6 +20,8 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 PASSES = 2
+#: Sources up to which a row for each goes to every task.
+SOURCES_SENT = 10_000
 #: Rows a bucket holds on average.
 BUCKET_ROWS = 20_000
 
@@ -47,6 +49,18 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     return rows.withColumn("target", F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight"))).drop("level", "cap", "budget")
 
 
+def _size():
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _queue():
+    return F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
+
+
+def _place():
+    return F.md5(F.concat_ws("/", F.col("doc_id").cast("string"), F.col("size").cast("string"), "queue"))
+
+
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, size, source_size, target, taken and times for every row of ``documents`` (doc_id, text, source).
 
@@ -55,7 +69,7 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     come first; an empty table gives no rows. Reruns agree, since order and cut depend on the rows alone. ``keep`` names
     further columns of ``documents`` to pass through; all others are ignored.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    size = _size()
     kept = [F.col(c).alias(f"kept_{c}") for c in keep]
     base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), *kept)
     base = materialise(base, "mixing-sizes")
@@ -63,11 +77,10 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     sources = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     planned = materialise(targets(sources, weights, share, passes), "mixing-targets")
     n_buckets = _power(n_rows / BUCKET_ROWS)
-    queue = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
-    rows = base.withColumn("queue", queue).withColumn("place", F.md5(F.concat_ws("/", F.col("doc_id").cast("string"), F.col("size").cast("string"), "queue")))
+    rows = base.withColumn("queue", _queue()).withColumn("place", _place())
     # the bucket grows with the place, so the order of a queue does not depend on the number of buckets
     rows = rows.withColumn("bucket", F.floor(F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * n_buckets / 2**32).cast("long"))
-    planned = planned.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("queue"), "source_size", "target")
+    planned = planned.select(_queue().alias("queue"), "source_size", "target")
     sums = rows.groupBy("queue", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("queue").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("queue", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before"))
@@ -110,3 +123,38 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     times = sum((is_taken(t) for t in range(1, passes)), is_taken(0))
     out = rows.withColumn("times", times)
     return out.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"), "times", *[F.col(f"kept_{c}").alias(c) for c in keep])
+
+
+def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
+    """The rows of ``documents``, each as often as ``mix`` takes it; all columns pass. Null texts and sources are as in ``mix``.
+
+    Rows with equal id, source and text are one, which is repeated as often as all of them are taken; an empty table gives
+    no rows. A source is taken in the order of places, so one place for each source and turn tells which rows are taken, and texts
+    are not shuffled; only rows at such a place are matched one by one, by two hashes of id, source and text.
+    """
+    def free(name: str) -> str:
+        while name.lower() in map(str.lower, documents.columns):
+            name += "_"
+        return name
+
+    key, check, origin, turns = free("mix_key"), free("mix_check"), free("mix_origin"), free("mix_turns")
+    marks = {key: F.xxhash64("doc_id", "source", "text"), check: F.xxhash64(F.lit(1), "doc_id", "source", "text")}
+    taken = mix(documents.select("doc_id", "source", "text", F.col("source").alias(origin), *[v.alias(k) for k, v in marks.items()]), weights, share, passes, keep=(origin, key, check))
+    taken = taken.withColumn("source", F.col(origin)).withColumn("queue", _queue()).withColumn("place", _place())
+    taken = materialise(taken.where("size > 0").select("queue", "place", "times", key, check), "mixing-taken")
+    cuts = taken.groupBy("queue").agg(*[F.max(F.when(F.col("times") > t, F.col("place"))).alias(f"cut_{t}") for t in range(passes)])
+    cuts = materialise(cuts, "mixing-cuts")
+    names = [f"cut_{t}" for t in range(passes)]
+    at_cut = F.coalesce(F.array_contains(F.array(*names), F.col("place")), F.lit(False))
+    small = cuts.limit(SOURCES_SENT + 1).count() <= SOURCES_SENT  # one row a source: sent to all tasks unless there are very many
+    side = F.broadcast(cuts) if small else cuts
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("whole")
+    rows = documents.select(whole, F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), F.col("text").cast("string").alias("text"), *[v.alias(k) for k, v in marks.items()])
+    rows = rows.withColumn("size", _size()).withColumn("queue", _queue()).withColumn("place", _place()).drop("text").where("size > 0").join(side, "queue")
+    below = sum((F.when(F.col("place") < F.col(c), 1).otherwise(0) for c in names[1:]), F.when(F.col("place") < F.col(names[0]), 1).otherwise(0))
+    # equal rows below a cut: all are taken equally often, so it does not matter that each stands for itself
+    plain = rows.where(~at_cut).select("whole", below.alias(turns))
+    edge = taken.join(side, "queue").where(at_cut).groupBy(key, check).agg(F.sum("times").cast("int").alias(turns))
+    edge = rows.where(at_cut).dropDuplicates([key, check]).join(edge, [key, check]).select("whole", turns)
+    out = plain.unionAll(edge).where(F.col(turns) > 0)
+    return out.select("whole", F.explode(F.sequence(F.lit(1), F.col(turns)))).select("whole.*")
