@@ -21,13 +21,19 @@ def _unused(name: str, docs: DataFrame) -> str:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose toxicity score stays below the threshold. Null and empty texts stay; all columns pass."""
+    """Rows whose toxicity score stays below the threshold. Null and empty texts stay; all columns pass.
+
+    Repeated rows stay or go together; texts of any length are scored whole; an empty table gives no rows.
+    """
     score = toxicity.score_udf(toxicity.train(docs, _labels(spark, sf_dir)))
     return docs.where(score(F.col("text").cast("string")) < toxicity.THRESHOLD)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that pass the base rules and the quality classifier. Null and empty texts go; all columns pass."""
+    """Rows that pass the base rules and the quality classifier. Null and empty texts go; all columns pass.
+
+    Repeated rows stay or go together; texts of any length are judged whole; an empty table gives no rows.
+    """
     kept = quality.verdict_udf(*quality.train(docs, _labels(spark, sf_dir)))
     return docs.where(kept(F.col("text").cast("string")))
 
@@ -47,19 +53,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it; all columns pass. Rows with equal id, source and text are one."""
-    key, name, turns, turn = F.xxhash64("doc_id", "source", "text"), *(_unused(n, docs) for n in ("mix_key", "mix_turns", "mix_turn"))
-    mixed = mixing.mix(docs.select("doc_id", "source", "text", key.alias(name)), keep=(name,))
-    mixed = mixed.groupBy(name).agg(F.sum("times").cast("int").alias(turns), F.count("*").alias("rows"))
-    mixed = materialise(mixed.where(F.col(turns) > 0), "pipeline-mix")
-    rows = docs.join(mixed.drop("rows"), key == F.col(name))
-    if not mixed.where("rows > 1").isEmpty():
-        rows = rows.dropDuplicates([name])
-    return rows.withColumn(turn, F.explode(F.sequence(F.lit(1), turns))).select(*docs.columns)
+    """Every document as often as the mix takes it; all columns pass. Null texts have no words and are not taken; null is a source.
+
+    Equal rows are taken as often as all of them together; an empty table gives no rows.
+    """
+    return mixing.mixed(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 1024 ids."""
+    """Pieces of all documents in sequences of at most 1024 ids; null and empty texts are the end id alone.
+
+    Repeated rows are packed each for itself; a text longer than a sequence is cut; an empty table gives no rows.
+    """
     return packing.pack(docs)
 
 
