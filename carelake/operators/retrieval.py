@@ -4,42 +4,35 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from carelake.functions.text import words
+from carelake.operators import keywords
 from carelake.operators.corpus import augment_query
 from carelake.operators.items import upsert
-from carelake.session import materialise
+from carelake.operators.keywords import corpus_bm25_stats  # noqa: F401
+from carelake.session import materialise, scratch_path
+from carelake.sources.blocks import blocks, stored
 
-# A block of questions is what goes to every task at a time: so many vector bytes, or so many distinct
-# (question, term) pairs. More questions are more blocks; documents never move.
-BLOCK_BYTES = 32 << 20
-BLOCK_TERMS = 20_000
+# Questions that meet a task's documents at a time, and numbers of its documents that are held to meet them.
+BLOCK_QUESTIONS = 4_096
+_TASK_CELLS = 1 << 24
 
-# Keyword scoring constants and fusion constants.
-K1, B, EPSILON = 1.5, 0.75, 0.25
+# Fusion constants.
 FUSION_K = 60
 DENSE_WEIGHT = 0.6
 
-# Scores are compared at this many digits, so equal documents tie exactly and ids decide.
-_DIGITS = 9
+_DIGITS = keywords.DIGITS
 _DENSE_CELLS = 4_000_000
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased whitespace tokens."""
-    return words(F.lower(text))
-
-
 def shard_filter(docs: DataFrame, shard: str | None) -> DataFrame:
     """One shard, pruned at planning where the table is partitioned by it; all without a shard."""
     return docs.filter(F.col("shard") == shard) if shard else docs
@@ -105,148 +98,70 @@ def rank_hits(hits: DataFrame, k: int | None = None) -> DataFrame:
     return ranked.filter(F.col("rank") <= k) if k else ranked
 
 
-def _blocks(rows: Iterator, size: Callable[[Row], int], limit: int) -> Iterator[list]:
-    """Lists of rows that stay below a total size (or hold one row)."""
-    block, total = [], 0
-    for row in rows:
-        if block and total + size(row) > limit:
-            yield block
-            block, total = [], 0
-        block.append(row)
-        total += size(row)
-    if block:
-        yield block
-
-
-def _all_hits(parts: list[DataFrame], spark: SparkSession, schema: T.StructType, k: int) -> DataFrame:
-    hits = reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
-    return rank_hits(hits, k)
-
-
-def cosine_top_k(queries: DataFrame, docs: DataFrame, k: int, shard: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def cosine_top_k(queries: DataFrame, docs: DataFrame, k: int, shard: str | None = None, block_rows: int = BLOCK_QUESTIONS) -> DataFrame:
     """Exact ``k`` nearest documents per question by cosine: ``query_id, doc_id, score, rank``.
 
-    ``queries`` holds ``query_id, vector``; ``docs`` holds ``id, vector`` (and ``shard``). Questions come
-    in blocks of bounded size. A block goes to every task, which scores its Arrow batches as one matrix
-    product and hands on ``k`` rows per question, so documents never shuffle; more questions mean more
-    blocks, whose hits are ranked together. Rows without a vector are skipped inside the kernel: as a
-    filter, Spark would evaluate an encoder behind ``vector`` a second time. Every document row is a hit
-    of its own, also where ids repeat; rows of a repeated question id compete for its ``k`` places; a
-    zero vector scores 0; equal scores go by id.
+    ``queries`` holds ``query_id, vector``; ``docs`` holds ``id, vector`` (and ``shard``). Questions are stored once in the
+    shared folder. A task gathers its documents up to a bounded number of cells, streams the questions past them in blocks,
+    and hands on ``k`` rows per question for each such part; so there is one scan of the documents whatever the number of
+    questions, none of which passes the driver. The partial lists are cut to ``k`` per question in each task again before they
+    are shuffled. Rows without a vector are skipped inside the kernel: as a filter, Spark would evaluate an encoder behind
+    ``vector`` a second time. Every document row is a hit of its own, also where ids repeat; rows of a repeated question id
+    compete for its ``k`` places; a zero vector scores 0; equal scores go by id.
     """
     docs = shard_filter(docs, shard).select("id", "vector")
     schema = _hit_schema(queries, docs)
-    rows = (r for r in queries.select("query_id", "vector").toLocalIterator() if r["vector"] is not None)
-    parts = [_cosine_block(block, docs, k, schema) for block in _blocks(rows, lambda r: 8 * len(r["vector"]) + 64, block_bytes)]
-    return _all_hits(parts, docs.sparkSession, schema, k)
-
-
-def _cosine_block(rows: list[Row], docs: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    ids = [r["query_id"] for r in rows]
-    shipped = docs.sparkSession.sparkContext.broadcast(np.array([r["vector"] for r in rows], dtype=np.float64))
     arrow = to_arrow_schema(schema)
+    # an encoder behind the questions runs once, while they are stored
+    path = stored(queries.select("query_id", F.col("vector").cast("array<double>").alias("vector")), "questions")
+
+    def meet(ids: list, vectors: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found, matrix = np.array(ids, dtype=object), np.concatenate(vectors)
+        for block in blocks(path, block_rows):
+            block = block.filter(block.column(1).is_valid())
+            if not block.num_rows:
+                continue
+            asked = _matrix(block.column(1))
+            best = _Best(len(asked), k)
+            step = max(1, _DENSE_CELLS // len(asked))
+            for at in range(0, len(found), step):
+                best.add(_cosine(asked, matrix[at : at + step]), found[at : at + step])
+            yield from best.table(block.column(0).to_pylist(), arrow).to_batches()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(len(ids), k)
-        step = max(1, _DENSE_CELLS // len(ids))
+        ids, vectors, cells = [], [], 0
         for batch in batches:
             filled = batch.filter(batch.column(1).is_valid())
-            for at in range(0, filled.num_rows, step):
-                part = filled.slice(at, step)
-                found = np.array(part.column(0).to_pylist(), dtype=object)
-                best.add(_cosine(shipped.value, _matrix(part.column(1))), found)
-        yield from best.table(ids, arrow).to_batches()
-
-    return docs.mapInArrow(score, schema)
-
-
-def corpus_bm25_stats(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Keyword statistics: (document count, mean length) as one row, and document frequency per term.
-
-    Both come from one pass, in which the row without a term stands for the document itself; the result
-    is stored, so that using both does not read the corpus twice.
-    """
-    words_of = docs.filter(F.col(text).isNotNull()).select(tokens(F.col(text)).alias("tokens"))
-    marked = words_of.select(F.size("tokens").alias("length"), F.explode(F.array_append(F.array_distinct("tokens"), F.lit(None))).alias("term"))
-    own = F.when(F.col("term").isNull(), F.col("length"))
-    counted = materialise(marked.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum(own).alias("words")), "bm25-terms")
-    corpus = counted.filter("term is null").agg(
-        F.coalesce(F.sum("doc_freq"), F.lit(0)).alias("n_docs"), (F.sum("words") / F.sum("doc_freq")).alias("avg_length")
-    )
-    return corpus, counted.filter("term is not null").select("term", "doc_freq")
-
-
-def _idf(n_docs: int, doc_freq: Column) -> Column:
-    return F.log(F.lit(float(n_docs)) - doc_freq + 0.5) - F.log(doc_freq + 0.5)
-
-
-def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, shard: str | None = None, block_terms: int = BLOCK_TERMS) -> DataFrame:
+            if not filled.num_rows:
+                continue
+            matrix = _matrix(filled.column(1))
+            ids += filled.column(0).to_pylist()
+            vectors.append(matrix)
+            cells += matrix.size
+            if cells > _TASK_CELLS:
+                yield from meet(ids, vectors)
+                ids, vectors, cells = [], [], 0
+        if ids:
+            yield from meet(ids, vectors)
+
+    return rank_hits(docs.mapInArrow(score, schema), k)
+
+
+def bm25_top_k(queries: DataFrame, docs: DataFrame, k: int, shard: str | None = None, block: int = keywords.BLOCK) -> DataFrame:
     """``k`` best documents per question by BM25, positive scores only: ``query_id, doc_id, score, rank``.
 
-    ``queries`` holds ``query_id, text``. Statistics cover the filtered shard; a negative idf is
-    replaced by a quarter of the mean idf over the vocabulary. Questions come in blocks of bounded
-    numbers of (question, term) pairs with their weights; a block goes to every task, which scores its
-    own documents and hands on ``k`` rows per question. Tokens that no question of the block holds are
-    dropped on the JVM side, and scores are summed over matching pairs only, so memory follows the
-    matches. Every document row is a hit of its own, also where ids repeat; texts of a repeated
-    question id are one question.
+    ``queries`` holds ``query_id, text``. Statistics cover the filtered shard. The documents are indexed in the shared folder
+    and searched there (see ``keywords``); an index that serves more than one table of questions is built once with
+    ``keywords.build`` and asked with ``keyword_top_k``.
     """
-    docs = shard_filter(docs, shard).filter(F.col("text").isNotNull()).select("id", "text")
-    schema = _hit_schema(queries, docs)
-    corpus, frequencies = corpus_bm25_stats(docs)
-    n_docs, avg_length = corpus.first()
-    if not n_docs or not avg_length:
-        return _all_hits([], docs.sparkSession, schema, k)
-    idf = frequencies.select("term", _idf(n_docs, F.col("doc_freq")).alias("idf"))
-    mean_idf = idf.agg(F.avg("idf")).first()[0]
-    asked = queries.select("query_id", F.explode(tokens(F.col("text"))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("weight"))
-    usable = F.when(F.col("idf") >= 0, F.col("idf")).otherwise(EPSILON * mean_idf)
-    pairs = asked.join(idf, "term").select("query_id", "term", (F.col("weight") * usable).alias("weight"))
-    wanted = pairs.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("terms")).orderBy("query_id")
-    blocks = _blocks(wanted.toLocalIterator(), lambda r: len(r["terms"]), block_terms)
-    return _all_hits([_bm25_block(b, docs, k, schema, avg_length) for b in blocks], docs.sparkSession, schema, k)
-
-
-def _bm25_block(rows: list[Row], docs: DataFrame, k: int, schema: T.StructType, avg_length: float) -> DataFrame:
-    ids = [r["query_id"] for r in rows]
-    terms = sorted({t["term"] for r in rows for t in r["terms"]})
-    place = {t: i for i, t in enumerate(terms)}
-    asked = sorted((place[t["term"]], q, t["weight"]) for q, r in enumerate(rows) for t in r["terms"])
-    term_of, question, weight = (np.array(c) for c in zip(*asked, strict=True))
-    shipped = docs.sparkSession.sparkContext.broadcast((terms, np.searchsorted(term_of, np.arange(len(terms) + 1)), question, weight))
-    arrow = to_arrow_schema(schema)
+    path = scratch_path(docs.sparkSession, "keywords")
+    keywords.build(shard_filter(docs, shard).select("id", "text"), path, block=block)
+    return keyword_top_k(queries, path, k)
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, first, asking, weights = shipped.value
-        value_set = pa.array(vocabulary, pa.string())
-        best = _Best(len(ids), k, floor=10.0**-_DIGITS)
-        step = max(1, _DENSE_CELLS // len(ids))
-        for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                hits = part.column(2)
-                codes = np.asarray(pc.index_in(hits.flatten(), value_set=value_set)).astype(np.int64)
-                docs_of = np.repeat(np.arange(part.num_rows), np.asarray(pc.list_value_length(hits)))
-                cells, freq = np.unique(docs_of * len(vocabulary) + codes, return_counts=True)
-                doc, term = cells // len(vocabulary), cells % len(vocabulary)
-                length = np.asarray(part.column(1), dtype=np.float64)[doc]
-                saturated = freq * (K1 + 1) / (freq + K1 * (1 - B + B * length / avg_length))
-                # each posting meets the questions that ask for its term
-                n = first[term + 1] - first[term]
-                pair = np.repeat(first[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                sums = np.bincount(asking[pair] * part.num_rows + np.repeat(doc, n), np.repeat(saturated, n) * weights[pair], len(ids) * part.num_rows)
-                found = np.array(part.column(0).to_pylist(), dtype=object)
-                best.add(np.round(sums.reshape(len(ids), -1), _DIGITS), found)
-        yield from best.table(ids, arrow).to_batches()
-
-    token_table = docs.select("id", tokens(F.col("text")).alias("tokens"))
-    hits = F.expr(f"filter(tokens, t -> t IN ({', '.join(map(_literal, terms))}))").alias("hits")
-    return token_table.select("id", F.size("tokens").alias("length"), hits).mapInArrow(score, schema)
-
-
-def _literal(text: str) -> str:
-    """A SQL string literal; one parsed list of them is much cheaper to build than as many columns."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+def keyword_top_k(queries: DataFrame, path: str, k: int) -> DataFrame:
+    """``bm25_top_k`` over a stored keyword index."""
+    return rank_hits(keywords.search(queries, path, k), k)
 
 
 def rrf(dense: DataFrame, keyword: DataFrame, alpha: float = DENSE_WEIGHT, k: int = FUSION_K) -> DataFrame:

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from carelake.operators import corpus, interactions, retrieval
+from carelake.operators import corpus, interactions, keywords, retrieval
 
 # Encoders given by the caller travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -88,7 +88,7 @@ def test_cosine_for_any_block_size(spark):
     expected = brute_cosine(queries, docs, 5)
     close = lambda found: [(a, b, round(s, 6), r) for a, b, s, r in sorted(found)]
     assert close(tuple(r) for r in retrieval.cosine_top_k(q, d, 5).collect()) == close(expected)
-    blocks = retrieval.cosine_top_k(q, d, 5, block_bytes=1)
+    blocks = retrieval.cosine_top_k(q, d, 5, block_rows=1)
     assert close(tuple(r) for r in blocks.collect()) == close(expected)
     assert retrieval.cosine_top_k(q.limit(0), d, 5).count() == 0
 
@@ -120,7 +120,7 @@ def test_bm25_for_any_block_size(spark):
     q = spark.createDataFrame(queries, "query_id bigint, text string")
     expected = sorted((a, b, round(s, 6), r) for a, b, s, r in brute_bm25(queries, docs, 3))
     for limit in (1000, 1):
-        found = retrieval.bm25_top_k(q, d, 3, block_terms=limit).collect()
+        found = retrieval.bm25_top_k(q, d, 3, block=limit).collect()
         assert sorted((r.query_id, r.doc_id, round(r.score, 6), r.rank) for r in found) == expected
 
 
@@ -134,19 +134,67 @@ def test_repeated_ids_give_equal_rows_for_any_block_size(spark):
     d = spark.createDataFrame([("a", "x y", [1.0, 0.0]), ("a", "x y", [1.0, 0.0]), ("b", "z q r", [0.0, 1.0]), ("n", "x", None)], "id string, text string, vector array<double>")
     q = spark.createDataFrame([(1, "x", [1.0, 0.0]), (1, "z", [0.0, 1.0]), (2, "z", [0.0, 0.0])], "query_id bigint, text string, vector array<double>")
     for size in (1, 10**6):
-        got = rows(retrieval.bm25_top_k(q, d, 5, block_terms=size).select("query_id", "doc_id"))
+        got = rows(retrieval.bm25_top_k(q, d, 5, block=size).select("query_id", "doc_id"))
         assert got == [(1, "a"), (1, "a"), (1, "b"), (1, "n"), (2, "b")]
-        near = retrieval.cosine_top_k(q, d, 2, block_bytes=size)
+        near = retrieval.cosine_top_k(q, d, 2, block_rows=size)
         assert rows(near.select("query_id", "doc_id", F.round("score", 6))) == [(1, "a", 1.0), (1, "a", 1.0), (2, "a", 0.0), (2, "a", 0.0)]
 
 
 def test_many_question_terms_stay_within_memory(spark):
     q = spark.range(20_000).selectExpr("id AS query_id", "concat('w', id) AS text")
     d = spark.createDataFrame([(f"d{i}", " ".join(f"w{j}" for j in range(i, 20_000, 997))) for i in range(50)], "id string, text string")
-    found = retrieval.bm25_top_k(q, d, 1, block_terms=3_000)
+    found = retrieval.bm25_top_k(q, d, 1)
     assert found.count() > 500
 
 
+def test_many_questions_are_one_scan_of_the_documents(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(300, 4))
+    d = spark.createDataFrame([(f"d{i:03d}", v.tolist()) for i, v in enumerate(vectors)], "id string, vector array<double>").repartition(3)
+    asked = rng.normal(size=(100_000, 4))
+    q = spark.range(100_000).join(spark.createDataFrame([(i, v) for i, v in enumerate(asked.tolist())], "id bigint, vector array<double>"), "id").withColumnRenamed("id", "query_id")
+    found = retrieval.cosine_top_k(q, d, 1, block_rows=64)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    scores = asked @ vectors.T / (np.linalg.norm(asked, axis=1)[:, None] * np.linalg.norm(vectors, axis=1)[None, :] + 1e-9)
+    got = {r.query_id: r.doc_id for r in found.select("query_id", "doc_id").collect()}
+    assert got == {i: f"d{j:03d}" for i, j in enumerate(np.round(scores, 9).argmax(axis=1).tolist())}
+
+
+def zipf_texts(rng, n, vocabulary=300):
+    words = [f"w{i}" for i in range(vocabulary)]
+    weights = 1 / np.arange(1, vocabulary + 1)
+    return [" ".join(rng.choice(words, size=rng.integers(1, 40), p=weights / weights.sum())) for _ in range(n)]
+
+
+@pytest.mark.parametrize("block", [4, 256])
+def test_index_search_is_exact(spark, block, tmp_path):
+    rng = np.random.default_rng(block)
+    docs = [(f"d{i:04d}", t) for i, t in enumerate(zipf_texts(rng, 600))]
+    queries = [(i, t) for i, t in enumerate(zipf_texts(rng, 60))] + [(100, ""), (101, "unknown"), (102, "w0"), (103, "w0 w0 w1 w299")]
+    d = spark.createDataFrame(docs, "id string, text string").repartition(4)
+    q = spark.createDataFrame(queries, "query_id bigint, text string")
+    keywords.build(d, str(tmp_path), block=block)
+    expected = sorted((a, b, round(s, 6), r) for a, b, s, r in brute_bm25(queries, docs, 5))
+    found = retrieval.keyword_top_k(q, str(tmp_path), 5)
+    assert sorted((r.query_id, r.doc_id, round(r.score, 6), r.rank) for r in found.collect()) == expected
+
+
+def test_index_search_reads_the_buckets_asked_for(spark, tmp_path):
+    d = spark.createDataFrame([(f"d{i}", f"w{i} w{i + 1}") for i in range(200)], "id string, text string")
+    keywords.build(d, str(tmp_path))
+    plan = keywords.postings(spark, str(tmp_path), [3, 5])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
+
+
+def test_index_of_nothing(spark):
+    d = spark.createDataFrame([("a", None), ("b", "")], "id string, text string")
+    q = spark.createDataFrame([(1, "x")], "query_id bigint, text string")
+    assert retrieval.bm25_top_k(q, d, 3).count() == 0
+    assert retrieval.bm25_top_k(q, d.limit(0), 3).count() == 0
+    assert retrieval.bm25_top_k(q.limit(0), d, 3).count() == 0
+
+
 def test_every_text_is_encoded_once(spark, tmp_path):
     def encode(texts):
         (tmp_path / f"{uuid.uuid4().hex}").write_text("\n".join(texts))
