@@ -20,7 +20,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 PASSES = 2
-#: Sources up to which a row for each goes to every task.
+#: Rows of cuts, and of documents at a cut, that may be sent to every task.
 SOURCES_SENT = 10_000
 #: Rows a bucket holds on average.
 BUCKET_ROWS = 20_000
@@ -149,12 +149,14 @@ def mixed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     small = cuts.limit(SOURCES_SENT + 1).count() <= SOURCES_SENT  # one row a source: sent to all tasks unless there are very many
     side = F.broadcast(cuts) if small else cuts
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("whole")
-    rows = documents.select(whole, F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), F.col("text").cast("string").alias("text"), *[v.alias(k) for k, v in marks.items()])
-    rows = rows.withColumn("size", _size()).withColumn("queue", _queue()).withColumn("place", _place()).drop("text").where("size > 0").join(side, "queue")
-    below = sum((F.when(F.col("place") < F.col(c), 1).otherwise(0) for c in names[1:]), F.when(F.col("place") < F.col(names[0]), 1).otherwise(0))
+    rows = documents.select(whole, F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), F.col("text").cast("string").alias("text"))
+    # words are counted in one projection: a filter on them would be pushed down and count them again
+    rows = rows.withColumn("size", _size()).withColumn("queue", _queue()).withColumn("place", _place()).select("whole", "size", "queue", "place").join(side, "queue")
+    counts = [F.when((F.col("size") > 0) & (F.col("place") < F.col(c)), 1).otherwise(0) for c in names]
     # equal rows below a cut: all are taken equally often, so it does not matter that each stands for itself
-    plain = rows.where(~at_cut).select("whole", below.alias(turns))
-    edge = taken.join(side, "queue").where(at_cut).groupBy(key, check).agg(F.sum("times").cast("int").alias(turns))
-    edge = rows.where(at_cut).dropDuplicates([key, check]).join(edge, [key, check]).select("whole", turns)
+    plain = rows.select("whole", F.when(at_cut & (F.col("size") > 0), 0).otherwise(sum(counts[1:], counts[0])).alias(turns))
+    edge = materialise(taken.join(side, "queue").where(at_cut).groupBy(key, check).agg(F.sum("times").cast("int").alias(turns)), "mixing-edge")
+    edge = F.broadcast(edge) if edge.limit(SOURCES_SENT + 1).count() <= SOURCES_SENT else edge
+    edge = documents.select(whole, *[v.alias(k) for k, v in marks.items()]).join(edge, [key, check]).dropDuplicates([key, check]).select("whole", turns)
     out = plain.unionAll(edge).where(F.col(turns) > 0)
     return out.select("whole", F.explode(F.sequence(F.lit(1), F.col(turns)))).select("whole.*")
