@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -189,8 +190,11 @@ def quality_report(raw: DataFrame, by: Sequence[str] = (), order_by: Sequence[st
 def drop_any_blank(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Trim every cell and keep only rows without a blank or missing field."""
     names = list(cols or df.columns)
-    out = df.withColumns({name: blank_to_null(F.col(name)) for name in names})
-    return out.dropna("any", subset=names)
+    # as a filter over a projection, Spark would trim every cell again in the filter
+    cells = F.array(F.struct(*[blank_to_null(F.col(name)).alias(name) for name in names]))
+    whole = F.filter(cells, lambda row: reduce(Column.__and__, [row[name].isNotNull() for name in names]))
+    others = [F.col(c) for c in df.columns if c not in names]
+    return df.select(*others, F.inline(whole)).select(*df.columns)
 
 
 def blank_report(df: DataFrame) -> DataFrame:
