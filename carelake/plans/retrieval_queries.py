@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions.text import SPACE_CHARS, slug
-from carelake.operators import corpus, interactions, retrieval
+from carelake.operators import corpus, index, interactions, retrieval
 from carelake.operators.analytics import distinct_codes
 from carelake.plans.claims_queries import sql_strip
 from carelake.operators.medications import find_medications, medication_rows
@@ -100,23 +100,37 @@ def _index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _index_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards of an index after a run that changes one of them: rows, and whether their files are the old ones."""
     docs, path = documents(spark, sf_dir), scratch_path(spark, "index")
-    retrieval.build_index(docs, letter_profile, path, INDEXED_AT)
-    files = lambda: list_files(spark, path, ".parquet").select(F.regexp_extract("key", "shard=([^/]*)/", 1).alias("shard"), "name")
-    old = materialise(files(), "files")
+    index.create(docs, letter_profile, path, INDEXED_AT)
+    key = F.regexp_extract("key", "bucket=.*", 0).alias("key")
+    files = lambda: list_files(spark, f"{path}/rows", ".parquet").select(F.regexp_extract("key", "shard=([^/]*)/", 1).alias("shard"), key)
+    old = materialise(files().withColumn("old", F.lit(True)), "files")
     change = docs.filter("shard = 'de' AND id LIKE '%1'").withColumn("text", F.concat(F.lit("new "), "text"))
-    retrieval.update_index(spark, path, change, letter_profile, "2024-03-01 00:00:00")
-    kept = files().join(old, ["shard", "name"], "left_semi").select("shard").distinct().withColumn("same_files", F.lit(True))
-    rows = spark.read.parquet(path).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("text").startswith("new ")).alias("changed"))
-    return rows.join(kept, "shard", "left").na.fill({"same_files": False})
+    index.update(spark, path, change, letter_profile, "2024-03-01 00:00:00")
+    now = files().join(old, ["shard", "key"], "left").groupBy("shard").agg(F.bool_and(F.coalesce("old", F.lit(False))).alias("same_files"))
+    rows = index.read(spark, path).groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("text").startswith("new ")).alias("changed"))
+    return rows.join(now, "shard")
+
+
+def _index_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over all documents, some with new text and some in another shard: only new texts are encoded again."""
+    docs, path = documents(spark, sf_dir), scratch_path(spark, "index")
+    index.create(docs, letter_profile, path, INDEXED_AT)
+    text = F.when(F.col("id").endswith("7"), F.concat(F.lit("new "), "text")).otherwise(F.col("text"))
+    shard = F.when(F.col("id").endswith("3"), F.lit("moved")).otherwise(F.col("shard"))
+    index.update(spark, path, docs.withColumns({"text": text, "shard": shard}), letter_profile, "2024-03-01 00:00:00")
+    day = lambda name: F.date_format(name, "yyyy-MM-dd")
+    return index.read(spark, path).select(
+        "id", "shard", F.md5("text").alias("hash"), day("indexed_at").alias("indexed_on"), day("encoded_at").alias("encoded_on")
+    )
 
 
 def _index_one_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index run of one patient over a stored index of all: their rows are replaced, others stay."""
-    meds = view(spark, sf_dir, "medications")
-    stored = retrieval.build_index(corpus.medication_documents(meds), letter_profile, scratch_path(spark, "index"), INDEXED_AT)
+    meds, path = view(spark, sf_dir, "medications"), scratch_path(spark, "index")
+    index.create(corpus.medication_documents(meds), letter_profile, path, INDEXED_AT, route="element_at(metadata, 'patient')")
     own = corpus.medication_documents(find_medications(meds, patient_id="42"))
-    merged = retrieval.build_index(own, letter_profile, scratch_path(spark, "index"), "2024-03-01 00:00:00", stored=stored)
-    return merged.select("id", "text", F.date_format("indexed_at", "yyyy-MM-dd").alias("indexed_on"))
+    index.update(spark, path, own, letter_profile, "2024-03-01 00:00:00")
+    return index.read(spark, path).select("id", "text", F.date_format("indexed_at", "yyyy-MM-dd").alias("indexed_on"))
 
 
 def _guidelines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +154,8 @@ def _typed_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "index")
     docs = documents(spark, sf_dir).withColumn("metadata", F.create_map(F.lit("source"), F.col("source")))
-    index = retrieval.build_index(docs, letter_profile, path, INDEXED_AT)
-    cells = index.select("id", "shard", F.posexplode("vector").alias("position", "weight"))
+    built = retrieval.build_index(docs, letter_profile, path, INDEXED_AT)
+    cells = built.select("id", "shard", F.posexplode("vector").alias("position", "weight"))
     return cells.select("id", "shard", "position", F.round(F.col("weight").cast("double"), 5).alias("weight"))
 
 
@@ -329,6 +343,7 @@ QUERIES = {
     "index_merge": _index_merge,
     "index_one_patient": _index_one_patient,
     "index_update": _index_update,
+    "index_reuse": _index_reuse,
     "guideline_documents": _guidelines,
     "medication_sentences_raw": _raw_sentences,
     "medication_sentences_typed": _typed_sentences,
@@ -449,6 +464,9 @@ UNION ALL SELECT query_id, doc_id, round(1.0 / (60 + rank), 6) AS score, rank, 1
   CASE WHEN lang IN ('de', 'fr') THEN '2024-03-01' ELSE '2024-02-01' END AS indexed_on FROM documents""",
     "index_update": """SELECT lang AS shard, count(*) AS rows, count(*) FILTER (lang = 'de' AND doc_id % 10 = 1) AS changed,
   lang <> 'de' AS same_files FROM documents GROUP BY 1""",
+    "index_reuse": """SELECT cast(doc_id AS string) AS id, CASE WHEN doc_id % 10 = 3 THEN 'moved' ELSE lang END AS shard,
+  md5(CASE WHEN doc_id % 10 = 7 THEN 'new ' || text ELSE text END) AS hash, '2024-03-01' AS indexed_on,
+  CASE WHEN doc_id % 10 = 7 THEN '2024-03-01' ELSE '2024-02-01' END AS encoded_on FROM documents""",
     "index_one_patient": f"""WITH {cte("medications")} SELECT 'med-' || id AS id, {_MED_SENTENCE} AS text,
   CASE WHEN patient = '42' THEN '2024-03-01' ELSE '2024-02-01' END AS indexed_on FROM medications""",
     "medication_sentences_raw": f"""WITH r AS ({RAW_MEDICATIONS}) SELECT 'med-' || PATIENT || '-' || ENCOUNTER || '-' || coalesce(CODE, 'code') || '-' || START AS id,

@@ -28,7 +28,7 @@ def test_query_matches_oracle(spark, con, name):
     assert oracle.compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", ["sorted_patients", "sorted_codes", "index_one_patient", "index_merge"])
+@pytest.mark.parametrize("name", ["sorted_patients", "sorted_codes", "index_one_patient", "index_merge", "index_reuse"])
 def test_whole_tables_beyond_the_smallest(spark, name):
     """Results that a cut of a few hundred rows would not show on the smallest tables."""
     larger = SF_DIR.replace("0.001", "0.01")
