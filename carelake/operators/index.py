@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.functions.rows import null_safe_equal
-from carelake.operators.items import last_per_key
 from carelake.operators.retrieval import embed
 from carelake.session import materialise
 from carelake.sources.blocks import resolve
@@ -35,7 +34,7 @@ def create(docs: DataFrame, encoder: Encoder, path: str, indexed_at: str, route:
 
     ``route`` is the SQL expression whose hash names a document's bucket. By id, an update reads and writes the buckets of its
     ids alone; by what updates come in (a patient, say), their documents share a bucket, and an update looks its ids up in the
-    id column of the whole index first. Of rows with one id the largest stays; null is an id like others; an empty shard is null.
+    id column of the whole index first. Rows may share an id; null is an id like others; an empty shard is null.
     """
     if buckets is None:
         buckets = min(_BUCKETS[1], max(_BUCKETS[0], math.ceil(docs.count() / BUCKET_ROWS)))
@@ -52,7 +51,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def update(spark: SparkSession, path: str, docs: DataFrame, encoder: Encoder, indexed_at: str) -> None:
     """Put documents over the stored ones of the same id; files of other buckets and shards stay as they are.
 
-    A document whose id and text (by SHA-256) are stored keeps its vector and ``encoded_at``; only others reach the encoder. One
+    All stored rows of an id give way to all rows the run has of it. A document whose id and text (by SHA-256) are stored keeps its vector and ``encoded_at``; only others reach the encoder. One
     that changes its shard or bucket leaves the old place. The new files are stored under ``pending`` before Spark swaps them in;
     a run that dies in between is completed by the next one or by ``recover``. Readers should not read during the swap.
     """
@@ -70,7 +69,8 @@ def update(spark: SparkSession, path: str, docs: DataFrame, encoder: Encoder, in
     old = _semi(_rows(spark, path, layout).filter(F.col("bucket").isin(_numbers(places))), places, _PLACE)
 
     same = null_safe_equal("new", "old", ["id", "text_hash"])
-    vectors = old.filter(F.col("indexed_at").isNotNull()).select("id", "text_hash", "vector", "encoded_at")
+    first = F.min("encoded_at").alias("encoded_at")
+    vectors = _semi(old, ids, ["id"]).filter(F.col("indexed_at").isNotNull()).groupBy("id", "text_hash").agg(F.min_by("vector", "encoded_at").alias("vector"), first)
     known = materialise(asked.alias("new").join(vectors.alias("old"), same, "left").select("new.*", "old.vector", "old.encoded_at"), "index-known")
     again = known.filter(F.col("vector").isNotNull()).withColumn("indexed_at", _time(indexed_at))
     fresh = _encoded(known.filter(F.col("vector").isNull()).drop("vector", "encoded_at"), encoder, indexed_at)
@@ -113,9 +113,10 @@ def _write(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def _keyed(docs: DataFrame, route: str, buckets: int) -> DataFrame:
-    """One row per id with the hash of its text and its place."""
-    placed = docs.withColumns({"shard": F.nullif(F.col("shard").cast("string"), F.lit("")), "text_hash": F.sha2("text", 256)})
-    return last_per_key(placed, ["id"]).withColumn("bucket", F.pmod(F.xxhash64(F.expr(route)), F.lit(buckets)).cast("int"))
+    """Documents with the hash of their text and their place."""
+    shard = F.nullif(F.col("shard").cast("string"), F.lit(""))
+    bucket = F.pmod(F.xxhash64(F.expr(route)), F.lit(buckets)).cast("int")
+    return docs.withColumns({"shard": shard, "text_hash": F.sha2("text", 256), "bucket": bucket})
 
 
 def _encoded(rows: DataFrame, encoder: Encoder, at: str) -> DataFrame:

@@ -92,22 +92,24 @@ def test_a_shard_that_loses_its_last_document_is_empty(spark, tmp_path):
     assert stored(spark, path) == [("a", "x", "s", 3, 1), ("b", "y", "t", 1, 1)]
 
 
-def test_nulls_repeats_empty_tables_and_shards_like_numbers(spark, tmp_path):
+def test_nulls_shared_ids_empty_tables_and_shards_like_numbers(spark, tmp_path):
     path = str(tmp_path / "i")
     odd = [(None, None, None), (None, "z", ""), ("a", "", "01"), ("a", "", "01"), ("b", None, "1")]
     df = spark.createDataFrame(odd, "id string, text string, shard string")
     index.create(df, lengths, path, DAY.format(1))
-    want = [("a", "", "01", 1, 1), ("b", None, "1", 1, 1), (None, "z", None, 1, 1)]
-    assert stored(spark, path) == sorted(want, key=repr)
+    want = sorted([("a", "", "01", 1, 1)] * 2 + [("b", None, "1", 1, 1), (None, "z", None, 1, 1), (None, None, None, 1, 1)], key=repr)
+    assert stored(spark, path) == want
     index.update(spark, path, df.limit(0), refuse, DAY.format(2))
-    assert stored(spark, path) == sorted(want, key=repr)
+    assert stored(spark, path) == want
     index.update(spark, path, df, refuse, DAY.format(3))
-    assert [r[3:] for r in stored(spark, path)] == [(3, 1)] * 3
+    assert stored(spark, path) == [(*r[:3], 3, 1) for r in want]
+    index.update(spark, path, df.filter("id = 'a'").limit(1), refuse, DAY.format(4))
+    assert stored(spark, path) == sorted([("a", "", "01", 4, 1)] + [(*r[:3], 3, 1) for r in want if r[0] != "a"], key=repr)
     empty = str(tmp_path / "e")
     index.create(df.limit(0), refuse, empty, DAY.format(1))
     assert stored(spark, empty) == []
     index.update(spark, empty, df, lengths, DAY.format(2))
-    assert len(stored(spark, empty)) == 3
+    assert len(stored(spark, empty)) == 5
 
 
 def test_a_run_that_dies_while_files_are_swapped_is_completed(spark, docs, tmp_path, monkeypatch):
