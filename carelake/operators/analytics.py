@@ -163,9 +163,10 @@ def limited_result(df: DataFrame, order_by: Sequence[str], limit: int) -> tuple[
     return rows, rows.count() >= limit
 
 
-def newest(df: DataFrame, by: Sequence[str], n: int = 100) -> DataFrame:
-    """Newest entries first."""
-    return df.orderBy(*[F.col(c).desc() for c in by]).limit(n)
+def newest(df: DataFrame, by: Sequence[str], n: int | None = 100) -> DataFrame:
+    """Newest entries first, at most ``n`` of them unless that is None."""
+    ordered = df.orderBy(*[F.col(c).desc() for c in by])
+    return ordered if n is None else ordered.limit(n)
 
 
 def display_names(entries: str) -> F.Column:

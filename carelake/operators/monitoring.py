@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # What counts as an error line, and the terms of a health check line.
 ERROR_PATTERN = "ERROR|Exception|Traceback|CRITICAL"
 HEALTH_TERMS = ["GET", "/health", "200"]
-WINDOW = "60 seconds"
+WINDOW_SECONDS = 60
+WINDOW = f"{WINDOW_SECONDS} seconds"
 LOG_SCHEMA = (
     "timestamp string, level string, logger string, message string, lambda_name string, request_id string,"
     " duration_ms double, status string"
@@ -57,18 +58,19 @@ def is_health_line(message: Column) -> Column:
     return hit
 
 
-def log_metrics(lines: DataFrame, ts: str = "ts", message: str = "message") -> DataFrame:
-    """Error and health-check lines per tumbling 60-second window."""
-    return (
-        lines.groupBy(F.window(ts, WINDOW))
-        .agg(
-            F.count_if(is_error_line(F.col(message))).alias("errors"),
-            F.count_if(is_health_line(F.col(message))).alias("health_ok"),
-        )
-        .select(F.col("window.start").alias("window_start"), "errors", "health_ok")
+def window_counts(lines: DataFrame, ts: str = "ts", message: str = "message") -> DataFrame:
+    """Error and health-check lines per tumbling 60-second ``window``."""
+    return lines.groupBy(F.window(ts, WINDOW)).agg(
+        F.count_if(is_error_line(F.col(message))).alias("errors"),
+        F.count_if(is_health_line(F.col(message))).alias("health_ok"),
     )
 
 
+def log_metrics(lines: DataFrame, ts: str = "ts", message: str = "message") -> DataFrame:
+    """``window_counts`` by the start of the window."""
+    return window_counts(lines, ts, message).select(F.col("window.start").alias("window_start"), "errors", "health_ok")
+
+
 def alarms(metrics: DataFrame, breach: Column, missing_breaches: bool, start: str = "window_start") -> DataFrame:
     """State of every window between the first and last one, windows without data included.
 

@@ -6,7 +6,7 @@ import uuid
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions.rows import drop_blank_values
@@ -16,6 +16,7 @@ from carelake.plans.domain import VIEWS, cte, run_sql, table, view
 from carelake.plans.retrieval_queries import _sql_words, documents
 from carelake.session import materialise, scratch_path
 from carelake.sources import readers, writers
+from carelake.streaming import alarms as alarm_streams
 from carelake.streaming import files as file_streams
 from carelake.streaming import logs as log_streams
 
@@ -42,11 +43,17 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors raise an alarm; for health checks silence is one too."""
     metrics = materialise(_metrics(spark, sf_dir), "metrics")
-    errors = monitoring.alarms(metrics, F.col("errors") > 0, missing_breaches=False)
-    health = monitoring.alarms(metrics, F.col("health_ok") <= 0, missing_breaches=True)
+    (errors, errors_missing), (health, health_missing) = _rules().values()
+    errors = monitoring.alarms(metrics, errors, missing_breaches=errors_missing)
+    health = monitoring.alarms(metrics, health, missing_breaches=health_missing)
     return errors.withColumn("alarm", F.lit("errors")).unionByName(health.withColumn("alarm", F.lit("health")))
 
 
+def _rules() -> dict[str, tuple[Column, bool]]:
+    """Breach conditions, and whether silence breaches them."""
+    return {"errors": (F.col("errors") > 0, False), "health": (F.col("health_ok") <= 0, True)}
+
+
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = monitoring.decode_messages(view(spark, sf_dir, "messages"), "k bigint")
     return decoded.select("event_id", F.col("fields.k").alias("k"), "raw")
@@ -334,10 +341,28 @@ def _stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "lambda_name", "calls", "errors")
 
 
+def _stream_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in two arrivals, before and after a quiet hour in their middle; alarms of the windows the watermark has closed."""
+    source, out, state = (scratch_path(spark, n) for n in ("lines", "alarms", "state"))
+    lines = materialise(view(spark, sf_dir, "log_lines").withColumn("hour", F.date_trunc("hour", "ts")), "lines-by-hour")
+    low, high = lines.agg(F.min("hour"), F.max("hour")).first()
+    quiet = F.lit((low + (high - low) / 2).replace(minute=0, second=0, microsecond=0))
+    for arrivals in (lines.filter(F.col("hour") < quiet), lines.filter(F.col("hour") > quiet)):
+        arrivals.drop("hour").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(arrivals.drop("hour").schema).parquet(source)
+        alarm_streams.stream_alarms(stream, out, state, _rules()).awaitTermination()
+    return spark.read.parquet(out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 def _stream_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, state = scratch_path(spark, "log"), scratch_path(spark, "state")
-    log_streams.stream_log(_event_stream(spark, sf_dir, VIEWS["messages"]), out, state).awaitTermination()
-    return analytics.newest(spark.read.parquet(out), ["ts", "event_id"], 100)
+    """Two arrivals, every other entry each; the log keeps 100."""
+    source, out, state = (scratch_path(spark, n) for n in ("entries", "log", "state"))
+    entries, by = view(spark, sf_dir, "messages"), ["ts", "event_id"]
+    for rest in (1, 0):
+        entries.filter(F.col("event_id") % 2 == rest).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(entries.schema).parquet(source)
+        log_streams.stream_newest(stream, out, state, by).awaitTermination()
+    return log_streams.stored_newest(spark, out, by)
 
 
 def _stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,6 +399,7 @@ QUERIES = {
     "stream_clean_claims": _stream_claims,
     "stream_log_metrics": _stream_metrics,
     "stream_newest_log": _stream_newest,
+    "stream_log_alarms": _stream_alarms,
     "stream_log_statistics": _stream_statistics,
     "export_directory": _exported_directory,
     "import_table": _imported,
@@ -473,6 +499,14 @@ UNION ALL SELECT 'replaced', count(*), count(*) FROM customer WHERE c_custkey %
     "nested_json": """SELECT p_brand, cast(p_partkey AS string) AS "itemId", p_name AS "itemName", p_type AS tag FROM part""",
     "stream_log_metrics": f"""WITH {cte("log_lines")}, {_METRICS} SELECT * FROM metrics
 WHERE window_start + INTERVAL 60 SECONDS <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTES FROM events)""",
+    "stream_log_alarms": f"""WITH l0 AS (SELECT *, date_trunc('hour', ts) AS h FROM events),
+q AS (SELECT date_trunc('hour', min(h) + (max(h) - min(h)) / 2) AS quiet FROM l0),
+{cte("log_lines").replace("FROM events", "FROM l0, q WHERE h <> quiet")}, {_METRICS},
+series AS (SELECT unnest(generate_series(min(window_start), max(window_start), INTERVAL 60 SECONDS)) AS window_start FROM metrics),
+j AS (SELECT s.window_start, m.errors, m.health_ok, m.window_start IS NOT NULL AS has_data FROM series s LEFT JOIN metrics m USING (window_start)
+  WHERE s.window_start + INTERVAL 60 SECONDS <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTES FROM log_lines))
+SELECT window_start, CASE WHEN coalesce(errors > 0, false) THEN 'ALARM' ELSE 'OK' END AS state, has_data, 'errors' AS alarm FROM j
+UNION ALL SELECT window_start, CASE WHEN coalesce(health_ok <= 0, true) THEN 'ALARM' ELSE 'OK' END, has_data, 'health' FROM j""",
     "stream_newest_log": f"WITH {cte('messages')} SELECT * FROM messages ORDER BY ts DESC, event_id DESC LIMIT 100",
     "stream_messages": f"WITH {cte('messages')} {_MESSAGES}",
 }
