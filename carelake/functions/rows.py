@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,11 @@ def row_hash(cols: Iterable[str]) -> Column:
     return F.sha2(F.to_json(F.struct(*sorted(cols))), 256)
 
 
+def row_hash_of(values: Mapping[str, Column]) -> Column:
+    """``row_hash`` of computed fields."""
+    return F.sha2(F.to_json(F.struct(*[values[n].alias(n) for n in sorted(values)])), 256)
+
+
 def null_safe_equal(left: str, right: str, cols: Iterable[str]) -> Column:
     """Conjunction of null-safe equalities between two aliased sides."""
     condition = F.lit(True)

@@ -4,9 +4,10 @@ import glob
 
 from conftest import rows
 from pyspark.sql import functions as F
+from test_cleaning import claims
 
-from carelake.operators import analytics, monitoring
-from carelake.streaming import alarms, logs
+from carelake.operators import analytics, cleaning, monitoring
+from carelake.streaming import alarms, files, logs
 
 LINES = "ts string, message string"
 
@@ -70,3 +71,29 @@ def test_an_empty_first_arrival_of_the_log(spark, tmp_path):
     spark.range(5).write.mode("append").parquet(source)
     run()
     assert [r[0] for r in logs.stored_newest(spark, out, ["id"]).collect()] == [4, 3, 2]
+
+
+def test_stored_claims_equal_the_batch_after_arrivals_and_restarts(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    first = [{}, {"claim_id": "2", "priority": None}, {"claim_id": "3", "net_amount": "0"}]
+    arrivals = [
+        first,
+        first + [{"patient_id": "aa"}, {"claim_id": "4"}],
+        [{"claim_id": "3", "net_amount": "-0"}, {"claim_id": "4"}, {"claim_id": "2", "priority": "x"}],
+    ]
+    stored = None
+    for batch in arrivals:
+        arrived = claims(spark, *batch)
+        arrived.write.mode("append").option("header", True).csv(source)
+        stream = files.csv_stream(spark, source, cleaning.CLAIM_COLUMNS)
+        files.stream_clean_claims(stream, out, state).awaitTermination()
+        clean = cleaning.clean_claims(arrived)
+        new = clean if stored is None else cleaning.anti_join_existing(clean, stored)
+        expected = rows(new) if stored is None else sorted(rows(stored) + rows(new), key=repr)
+        stored = spark.createDataFrame(expected, clean.schema)
+        assert rows(spark.read.parquet(out).select(*clean.columns)) == expected
+    assert stored.count() == 6
+    # a repeated batch brings its rows again, in new files
+    cleaning.clean_claims(arrived).write.mode("overwrite").parquet(f"{state}/cleaned/batch=2")
+    files.stream_clean_claims(files.csv_stream(spark, source, cleaning.CLAIM_COLUMNS), out, state).awaitTermination()
+    assert spark.read.parquet(out).count() == 6
