@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from carelake.functions.rows import flat_text, row_contains
 from carelake.functions.text import contains_text
-from carelake.operators import analytics, items, medications
+from carelake.operators import analytics, items, medications, pages
 from carelake.plans.claims_queries import CLEAN_CTE, clean
 from carelake.plans.domain import cte, run_sql, table, view
+from carelake.session import scratch_path
 
 PATIENT = "42"
 CODE = "77"
@@ -237,6 +238,13 @@ def _display(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.select("patient", analytics.display_names("names").alias("names"))
 
 
+def _deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page in the middle of all items, from a stored order."""
+    everything, path = view(spark, sf_dir, "items"), scratch_path(spark, "pages")
+    pages.paginate(everything, ["itemId"], path)
+    return _flat_items(pages.read_page(spark, path, everything.count() // 200 + 1, 100))
+
+
 QUERIES = {
     "display_names": _display,
     "patient_activity": _activity,
@@ -272,6 +280,7 @@ QUERIES = {
         items.find_by_attributes(view(s, d, "items"), {"itemName": "red widget", "currency": "EUR"})
     ),
     "items_page": lambda s, d: _flat_items(items.page(view(s, d, "items"), ["itemId"], 2, 100)),
+    "items_deep_page": _deep_page,
     "catalog_items": lambda s, d: items.exploded_catalog(_catalog(s, d)),
     "catalog_category": lambda s, d: items.catalog_items(_catalog(s, d), "11"),
     "catalog_categories": lambda s, d: items.catalog_categories(_catalog(s, d)).distinct(),
@@ -383,6 +392,8 @@ WHERE contains(lower(concat_ws('|', id, first, last, gender, race, state)), 'bui
     "items_by_category": f"WITH {cte('items')} SELECT {_FLAT_ITEMS} FROM items WHERE list_contains(categories, 'Brand#4')",
     "items_by_attributes": f"WITH {cte('items')} SELECT {_FLAT_ITEMS} FROM items WHERE itemName = 'red widget' AND currency = 'EUR'",
     "items_page": f"WITH {cte('items')} SELECT {_FLAT_ITEMS} FROM items ORDER BY itemId LIMIT 100 OFFSET 100",
+    "items_deep_page": f"""WITH {cte('items')} SELECT {_FLAT_ITEMS} FROM items ORDER BY itemId
+LIMIT 100 OFFSET (SELECT 100 * (count(*) // 200) FROM items)""",
     "catalog_items": """SELECT cast(p_size AS string) AS "categoryId", p_type AS "categoryName",
   cast(p_partkey AS string) AS "itemId", p_name AS "itemName", p_retailprice AS price, 'EUR' AS currency FROM part""",
     "catalog_category": """SELECT cast(p_size AS string) AS "categoryId", p_type AS "categoryName",
