@@ -40,7 +40,8 @@ def create(docs: DataFrame, encoder: Encoder, path: str, indexed_at: str, route:
         buckets = min(_BUCKETS[1], max(_BUCKETS[0], math.ceil(docs.count() / BUCKET_ROWS)))
     rows = _encoded(_keyed(docs, route, buckets), encoder, indexed_at)
     docs.sparkSession.createDataFrame([(buckets, route, rows.schema.json())], "buckets int, route string, schema string").write.parquet(f"{path}/layout")
-    _write(rows, path)
+    # rows of a place meet, so folders hold few files; places beyond the advised partition size are split again
+    _write(rows.hint("rebalance", *_PLACE), path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -51,34 +52,38 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def update(spark: SparkSession, path: str, docs: DataFrame, encoder: Encoder, indexed_at: str) -> None:
     """Put documents over the stored ones of the same id; files of other buckets and shards stay as they are.
 
-    All stored rows of an id give way to all rows the run has of it. A document whose id and text (by SHA-256) are stored keeps its vector and ``encoded_at``; only others reach the encoder. One
-    that changes its shard or bucket leaves the old place. The new files are stored under ``pending`` before Spark swaps them in;
-    a run that dies in between is completed by the next one or by ``recover``. Readers should not read during the swap.
+    All stored rows of an id give way to all rows the run has of it. A document whose id and text (by SHA-256) are stored keeps
+    its vector and ``encoded_at``; only others reach the encoder. One that changes its shard or bucket leaves the old place. The
+    new files are stored under ``pending`` before Spark swaps them in; a run that dies in between is completed by the next one or
+    by ``recover``. Readers should not read during the swap. ``docs`` is read twice, for keys and for texts, and must give the
+    same rows.
     """
     recover(spark, path)
     layout = _layout(spark, path)
     names = [f.name for f in _schema(layout) if f.name not in ("vector", "indexed_at", "encoded_at")]
-    asked = materialise(_keyed(docs, layout["route"], layout["buckets"]).select(*names), "index-asked")
+    asked = _keyed(docs, layout["route"], layout["buckets"]).select(*names)
+    keys = materialise(asked.select("id", "text_hash", *_PLACE), "index-keys")
     stored = _rows(spark, path, layout)
-    ids = asked.select("id")
-    if layout["route"] == "id":
-        stored = stored.filter(F.col("bucket").isin(_numbers(asked)))
-    held = _semi(stored.select("id", *_PLACE), ids, ["id"]).select(*_PLACE)
+    looked = stored.filter(F.col("bucket").isin(_numbers(keys))) if layout["route"] == "id" else stored
+    held = _semi(looked.select("id", *_PLACE), keys, ["id"]).select(*_PLACE)
     # no more rows than the index has folders
-    places = materialise(held.unionByName(asked.select(*_PLACE)).distinct(), "index-places")
-    old = _semi(_rows(spark, path, layout).filter(F.col("bucket").isin(_numbers(places))), places, _PLACE)
+    places = materialise(held.unionByName(keys.select(*_PLACE)).distinct(), "index-places")
+    old = _semi(stored.filter(F.col("bucket").isin(_numbers(places))), places, _PLACE).filter(F.col("indexed_at").isNotNull())
 
-    same = null_safe_equal("new", "old", ["id", "text_hash"])
     first = F.min("encoded_at").alias("encoded_at")
-    vectors = _semi(old, ids, ["id"]).filter(F.col("indexed_at").isNotNull()).groupBy("id", "text_hash").agg(F.min_by("vector", "encoded_at").alias("vector"), first)
-    known = materialise(asked.alias("new").join(vectors.alias("old"), same, "left").select("new.*", "old.vector", "old.encoded_at"), "index-known")
-    again = known.filter(F.col("vector").isNotNull()).withColumn("indexed_at", _time(indexed_at))
-    fresh = _encoded(known.filter(F.col("vector").isNull()).drop("vector", "encoded_at"), encoder, indexed_at)
-    kept = _semi(old.filter(F.col("indexed_at").isNotNull()), ids, ["id"], "left_anti")
-    merged = materialise(kept.unionByName(again).unionByName(fresh), "index-merged")
+    vectors = _semi(old.select("id", "text_hash", "vector", "encoded_at"), keys, ["id"]).groupBy("id", "text_hash").agg(F.min_by("vector", "encoded_at").alias("known"), first)
+    same = null_safe_equal("new", "old", ["id", "text_hash"])
+    joined = asked.alias("new").join(vectors.alias("old"), same, "left").select("new.*", "old.known", "old.encoded_at")
+    time = _time(indexed_at)
+    fresh = embed(joined, encoder, wanted=F.col("known").isNull()).select(
+        *names, F.coalesce("known", "vector").alias("vector"), time.alias("indexed_at"), F.coalesce("encoded_at", time).alias("encoded_at")
+    )
+    kept = _semi(old, keys, ["id"], "left_anti")
     # Spark's swap replaces folders that get rows: one that loses its last document gets a row without a time, which read() leaves out
-    emptied = _semi(places, merged.select(*_PLACE), _PLACE, "left_anti")
-    merged.unionByName(emptied, allowMissingColumns=True).write.mode("overwrite").parquet(f"{path}/pending")
+    filled = kept.select(*_PLACE).unionByName(keys.select(*_PLACE))
+    merged = kept.unionByName(fresh).unionByName(_semi(places, filled, _PLACE, "left_anti"), allowMissingColumns=True)
+    pending = merged.hint("rebalance", *_PLACE).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    pending.partitionBy(*_PLACE).parquet(f"{path}/pending")
     recover(spark, path)
 
 
@@ -107,8 +112,7 @@ def _rows(spark: SparkSession, path: str, layout: dict) -> DataFrame:
 
 
 def _write(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Few files a folder: rows of a place meet, and places beyond the advised partition size are split again."""
-    writer = rows.hint("rebalance", *_PLACE).write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*_PLACE).parquet(f"{path}/rows")
 
 

@@ -195,20 +195,29 @@ def hybrid_retrieve(
     return rank_hits(rrf(dense, keyword, alpha), top_k)
 
 
-def embed(df: DataFrame, encoder: Callable[[list[str]], np.ndarray], text: str = "text", batch_size: int = 64) -> DataFrame:
-    """Add ``vector``: the caller's encoder on batches of texts, each vector scaled to length 1."""
+def embed(
+    df: DataFrame, encoder: Callable[[list[str]], np.ndarray], text: str = "text", batch_size: int = 64, wanted: Column | None = None
+) -> DataFrame:
+    """Add ``vector``: the caller's encoder on batches of texts, each vector scaled to length 1.
+
+    Only rows that are ``wanted`` (all, if not given) reach the encoder; others get null.
+    """
 
     @F.pandas_udf("array<float>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            out: list[np.ndarray] = []
-            for at in range(0, len(texts), batch_size):
-                raw = np.asarray(encoder(texts.iloc[at : at + batch_size].fillna("").tolist()), dtype=np.float64)
+    def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, asked in batches:
+            out: list[np.ndarray | None] = [None] * len(texts)
+            places = np.flatnonzero(asked)
+            for at in range(0, len(places), batch_size):
+                some = places[at : at + batch_size]
+                raw = np.asarray(encoder(texts.iloc[some].fillna("").tolist()), dtype=np.float64)
                 norms = np.linalg.norm(raw, axis=1, keepdims=True)
-                out.extend((raw / np.where(norms == 0, 1, norms)).astype(np.float32))
-            yield pd.Series(out)
+                for place, vector in zip(some, (raw / np.where(norms == 0, 1, norms)).astype(np.float32)):
+                    out[place] = vector
+            yield pd.Series(out, dtype=object)
 
-    return df.withColumn("vector", encode(F.col(text)))
+    wanted = F.lit(True) if wanted is None else wanted
+    return df.withColumn("vector", encode(F.when(wanted, F.col(text)), wanted))
 
 
 def build_index(
