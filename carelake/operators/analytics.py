@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions.text import blank_to_null
+from carelake.operators.nesting import PART_ROWS, nested_parts
 from carelake.session import materialise
 
 
@@ -174,6 +175,16 @@ def display_names(entries: str) -> F.Column:
     return F.array_join(F.array_sort(F.filter(entries, lambda e: F.coalesce(e, F.lit("")) != "")), ", ")
 
 
+def display_name_parts(entries: DataFrame, group: str, name: str, size: int = PART_ROWS) -> DataFrame:
+    """``display_names`` of any number of entries per group: numbered parts (from 0) of at most ``size`` sorted names.
+
+    Null and empty names are left out, so a group without any other has no part.
+    """
+    named = entries.select(group, name).filter(F.coalesce(name, F.lit("")) != "")
+    parts = nested_parts(named, [group], [name], F.col(f"`{name}`"), "names", size)
+    return parts.withColumn("names", F.array_join("names", ", "))
+
+
 def column_union(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows under the union of all columns, first seen first."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from carelake.functions.dates import iso8601
 from carelake.functions.numbers import INTEGER, NUMBER, nullable_number
 from carelake.functions.text import blank_to_null, first_present, strip
+from carelake.operators import nesting
 from carelake.operators.ordinals import row_ordinal
 
 # Accepted spellings, best first.
@@ -249,7 +250,7 @@ def multi_medication_flat(medications: DataFrame, patients: DataFrame) -> DataFr
 def patients_with_multiple_medications(medications: DataFrame, patients: DataFrame, top_n: int = 0) -> DataFrame:
     """Nested report: patients by number of codes, their codes by count; ties by id and code.
 
-    The array of a patient has one entry per distinct drug code. With ``top_n`` the patients are
+    The array of a patient has one entry per distinct drug code; :func:`multi_medication_parts` bounds it. With ``top_n`` the patients are
     chosen before any nesting. Use :func:`multi_medication_flat` to avoid nesting altogether.
     """
     flat = multi_medication_flat(medications, patients)
@@ -265,3 +266,15 @@ def patients_with_multiple_medications(medications: DataFrame, patients: DataFra
         ).alias("medications")
     )
     return nested.orderBy(*order)
+
+
+def multi_medication_parts(medications: DataFrame, patients: DataFrame, size: int = nesting.PART_ROWS) -> DataFrame:
+    """The nested report for all patients with several codes, in parts of at most ``size`` codes.
+
+    As :func:`patients_with_multiple_medications`, but a patient's array is cut into numbered parts, so no row grows with
+    the number of codes.
+    """
+    flat = multi_medication_flat(medications, patients).withColumn("neg", -F.col("count"))
+    entry = F.struct(F.col("medication_id").alias("medicationId"), F.col("medication_name").alias("medicationName"), "count")
+    group = ["patient_id", "patient_name", "medication_count"]
+    return nesting.nested_parts(flat, group, ["neg", "medication_id"], entry, "medications", size)

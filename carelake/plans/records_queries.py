@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions.rows import flat_text, row_contains
 from carelake.functions.text import contains_text
-from carelake.operators import analytics, items, medications, pages
+from carelake.operators import analytics, items, keys, medications, pages
 from carelake.plans.claims_queries import CLEAN_CTE, clean
 from carelake.plans.domain import cte, run_sql, table, view
 from carelake.session import scratch_path
@@ -15,6 +15,15 @@ from carelake.session import scratch_path
 PATIENT = "42"
 CODE = "77"
 PAGE_START = ["2", ""]
+#: Codes or names in one cell of a nested report.
+PART_CODES = 500
+
+_KEYED_ORDERS = """
+SELECT o_orderkey, to_json(named_struct(
+  'urgent', CASE WHEN o_orderpriority LIKE '1%' THEN true END, 'id', o_orderkey,
+  'done', CASE WHEN o_orderstatus = 'F' THEN o_custkey END, 'open', CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END,
+  'tags', CASE WHEN o_orderstatus = 'P' THEN array(o_orderpriority, o_orderstatus) END)) AS body
+FROM orders"""
 
 RAW_MEDICATIONS = """
 SELECT substr(cast(l_shipdate AS string), 1, 10) AS START,
@@ -93,6 +102,26 @@ def _multi_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.withColumn("names", analytics.display_names("names"))
 
 
+def _multi_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested report of all patients in parts of bounded size, each shown as its codes and counts."""
+    nested = medications.multi_medication_parts(view(spark, sf_dir, "medications"), view(spark, sf_dir, "patients"), PART_CODES)
+    codes = F.transform("medications", lambda m: F.concat_ws(":", m["medicationId"], m["count"].cast("string")))
+    return nested.select("patient_id", "patient_name", "medication_count", "part", F.array_join(codes, ",").alias("codes"))
+
+
+def _name_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of each patient's active medications, sorted, in parts of bounded size."""
+    active = medications.active_medications(view(spark, sf_dir, "medications"))
+    return analytics.display_name_parts(active, "patient", "description", PART_CODES)
+
+
+def _key_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows as JSON whose keys differ by status and priority, spread to one table, with its header."""
+    rows = run_sql(spark, sf_dir, _KEYED_ORDERS)
+    wide = keys.union_of_keys(rows, "body", ["o_orderkey"])
+    return wide.withColumn("header", F.lit(",".join(wide.columns)))
+
+
 def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     meds = view(spark, sf_dir, "medications")
     by_patient = medications.find_medications(meds, patient_id=PATIENT).select(F.lit("patient").alias("lookup"), "*")
@@ -257,6 +286,9 @@ QUERIES = {
     "encounter_class_breakdown": lambda s, d: analytics.encounter_classes(clean(s, d), view(s, d, "encounters")),
     "patients_multi_medication": _multi,
     "patients_multi_medication_top": _multi_top,
+    "patients_multi_medication_parts": _multi_parts,
+    "display_name_parts": _name_parts,
+    "key_union": _key_union,
     "medications_filtered": lambda s, d: medications.find_medications(
         view(s, d, "medications"), patient_id=PATIENT, medication_id=None
     ),
@@ -343,6 +375,25 @@ SELECT t.patient_id, t.patient_name, t.medication_count,
   string_agg(medication_id || ':' || "count", ',' ORDER BY "count" DESC, medication_id) AS codes,
   coalesce(string_agg(medication_name, ', ' ORDER BY medication_name), '') AS names
 FROM top t JOIN per_code USING (patient_id) GROUP BY 1, 2, 3""",
+    "patients_multi_medication_parts": f"""WITH {_MULTI_CTE},
+placed AS (SELECT *, (row_number() OVER (ORDER BY patient_id, patient_name NULLS FIRST, medication_count, "count" DESC, medication_id) - 1)
+  // {PART_CODES} AS block FROM per_code JOIN named USING (patient_id)),
+numbered AS (SELECT *, cast(block - min(block) OVER (PARTITION BY patient_id) AS int) AS part FROM placed)
+SELECT patient_id, patient_name, medication_count, part,
+  string_agg(medication_id || ':' || "count", ',' ORDER BY "count" DESC, medication_id) AS codes
+FROM numbered GROUP BY 1, 2, 3, 4""",
+    "display_name_parts": f"""WITH {cte("medications")},
+placed AS (SELECT patient, description, (row_number() OVER (ORDER BY patient NULLS FIRST, description) - 1) // {PART_CODES} AS block
+  FROM medications WHERE coalesce(trim(stop), '') = '' AND description <> ''),
+numbered AS (SELECT *, cast(block - min(block) OVER (PARTITION BY patient) AS int) AS part FROM placed)
+SELECT patient, part, string_agg(description, ', ' ORDER BY description) AS names FROM numbered GROUP BY 1, 2""",
+    "key_union": """WITH r AS (SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN 'true' END AS urgent, cast(o_orderkey AS string) AS id,
+  CASE WHEN o_orderstatus = 'F' THEN cast(o_custkey AS string) END AS done, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS open,
+  CASE WHEN o_orderstatus = 'P' THEN '["' || o_orderpriority || '","' || o_orderstatus || '"]' END AS tags FROM orders),
+seen AS (SELECT 'urgent' AS k, 0 AS pos, min(o_orderkey) AS f FROM r WHERE urgent IS NOT NULL UNION ALL SELECT 'id', 1, min(o_orderkey) FROM r
+  UNION ALL SELECT 'done', 2, min(o_orderkey) FROM r WHERE done IS NOT NULL UNION ALL SELECT 'open', 3, min(o_orderkey) FROM r WHERE open IS NOT NULL
+  UNION ALL SELECT 'tags', 4, min(o_orderkey) FROM r WHERE tags IS NOT NULL)
+SELECT * EXCLUDE (o_orderkey), (SELECT string_agg(k, ',' ORDER BY f, pos) FROM seen) AS header FROM r""",
     "medications_filtered": f"WITH {cte('medications')} SELECT * FROM medications WHERE patient = '{PATIENT}'",
     "medications_lookup": f"""WITH {cte("medications")}
 SELECT 'patient' AS lookup, * FROM medications WHERE patient = '{PATIENT}'
