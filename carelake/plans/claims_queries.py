@@ -11,6 +11,7 @@ from carelake.functions.text import SPACE_CHARS
 from carelake.operators import cleaning, forecast
 from carelake.plans.domain import cte, view
 from carelake.session import scratch_path
+from carelake.sources.readers import list_files
 
 END_MONTH = "2002-12"
 LOADED_BEFORE = "1998-07-01"
@@ -64,12 +65,18 @@ clean AS (SELECT * FROM parsed WHERE service_date IS NOT NULL)"""
 CLEAN_CTE = _STEPS
 
 
-_STORED: dict[tuple[str, str], tuple[str, StructType]] = {}
+_STORED: dict[tuple, tuple[str, StructType]] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Number of the folder's files and a digest of their names, sizes and times: another one after any change."""
+    digest = F.bit_xor(F.xxhash64("key", "size", "last_modified"))
+    return tuple(list_files(spark, sf_dir, ".parquet").agg(F.count(F.lit(1)), digest).first())
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean claims, the input of most claim queries: cleaned once per application, then read from a stored table."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The clean claims, the input of most claim queries: cleaned once per application and input files, then read from a stored table."""
+    key = (spark.sparkContext.applicationId, sf_dir, *_state(spark, sf_dir))
     if key not in _STORED:
         claims, path = cleaning.clean_claims(view(spark, sf_dir, "claims")), scratch_path(spark, "clean-claims")
         claims.write.parquet(path)

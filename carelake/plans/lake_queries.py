@@ -20,6 +20,9 @@ from carelake.streaming import alarms as alarm_streams
 from carelake.streaming import files as file_streams
 from carelake.streaming import logs as log_streams
 
+#: Part keys that a nested document spans at most.
+DOCUMENT_KEYS = 20_000
+
 _NOTICES = """
 SELECT event_id, concat('{"lambda": "', event_type, '"',
     CASE WHEN event_type = 'view' THEN ', "filename": "given.csv"' ELSE '' END,
@@ -193,17 +196,18 @@ def _imported(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of a table by folder, the newest of all, and the rows read from it alone."""
+    """Per folder of a table its rows, read file by file name, and whether it lists files with bytes; the newest file of all is one."""
     path = scratch_path(spark, "files")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    for status in ("F", "O", "P"):
-        orders.filter(F.col("o_orderstatus") == status).coalesce(1).write.parquet(f"{path}/status={status}")
-    files = readers.list_files(spark, path, ".parquet")
-    newest = readers.newest_files(files).first()["key"]
-    latest, totals = readers.latest_file(files).first()["key"], readers.total_bytes(files).first()
-    rows = readers.file_rows(readers.read_parquet_prefix(spark, path), newest.rsplit("/", 1)[1])
-    return rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows")).withColumns(
-        {"newest_is_latest": F.lit(newest == latest), "files": F.lit(totals["files"]), "has_bytes": F.lit(totals["bytes"] > 0)}
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderstatus").alias("status"))
+    orders.write.partitionBy("status").parquet(path)
+    files = materialise(readers.list_files(spark, path, ".parquet"), "listing")
+    newest, latest = readers.newest_files(files).first(), readers.latest_file(files).first()["key"]
+    stored = files.filter(F.col("last_modified") == newest["last_modified"]).agg(F.max("key").alias("key")).first()["key"]
+    folders = files.groupBy(F.regexp_extract("key", "status=([^/]*)/", 1).alias("o_orderstatus")).agg(F.sum("size").alias("bytes"))
+    some = readers.file_rows(readers.read_parquet_prefix(spark, path), newest["key"].rsplit("/", 1)[1]).limit(1).count()
+    rows = readers.read_parquet_prefix(spark, path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows"))
+    return rows.join(folders, "o_orderstatus").select(
+        "o_orderstatus", "rows", F.lit(stored == latest).alias("newest_is_latest"), F.lit(some > 0).alias("newest_has_rows"), (F.col("bytes") > 0).alias("has_bytes")
     )
 
 
@@ -217,11 +221,12 @@ def _manifest_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested documents, one a file, written per brand and read back as whole files."""
+    """Nested documents, one a file, written per brand and range of part keys, which bounds them, and read back as whole files."""
     path = scratch_path(spark, "nested")
     item = F.struct(F.col("p_partkey").cast("string").alias("itemId"), F.col("p_name").alias("itemName"), F.array("p_type", "p_brand").alias("tags"))
-    docs = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.collect_list(item).alias("items"))
-    docs.select(F.col("p_brand").alias("folder"), F.to_json(F.struct("p_brand", "items")).alias("value")).repartition("folder").write.partitionBy("folder").text(path)
+    docs = table(spark, sf_dir, "part").groupBy("p_brand", F.expr(f"p_partkey div {DOCUMENT_KEYS}").alias("keys")).agg(F.collect_list(item).alias("items"))
+    docs = docs.select(F.col("p_brand").alias("folder"), "keys", F.to_json(F.struct("p_brand", "items")).alias("value"))
+    docs.write.partitionBy("folder", "keys").text(path)  # grouped rows: a folder and its keys are one row, hence one file
     back = readers.read_nested_json(spark, path, "p_brand string, items array<struct<itemId string, itemName string, tags array<string>>>")
     return back.select("p_brand", F.explode("items").alias("item")).select("p_brand", "item.itemId", "item.itemName", F.element_at("item.tags", 1).alias("tag"))
 
@@ -494,7 +499,8 @@ SELECT * FROM s WHERE window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('mill
     "import_table": """SELECT 'new' AS step, count(*) AS written, count(*) AS stored FROM customer
 UNION ALL SELECT 'again', NULL, count(*) FROM customer
 UNION ALL SELECT 'replaced', count(*), count(*) FROM customer WHERE c_custkey % 3 = 0""",
-    "file_listing": """SELECT 'P' AS o_orderstatus, count(*) AS rows, true AS newest_is_latest, 3 AS files, true AS has_bytes FROM orders WHERE o_orderstatus = 'P'""",
+    "file_listing": """SELECT o_orderstatus, count(*) AS rows, true AS newest_is_latest, true AS newest_has_rows, true AS has_bytes
+FROM orders GROUP BY 1""",
     "manifest_partitioned": f"WITH {cte('patients')} SELECT race, count(*) AS rows FROM patients GROUP BY 1",
     "nested_json": """SELECT p_brand, cast(p_partkey AS string) AS "itemId", p_name AS "itemName", p_type AS tag FROM part""",
     "stream_log_metrics": f"""WITH {cte("log_lines")}, {_METRICS} SELECT * FROM metrics
