@@ -34,11 +34,28 @@ class Committed:
         self.digest.update(data)
 
     def commit(self) -> None:
+        """Give the file its name, unless another attempt of the task has done so with the same bytes.
+
+        A complete file is never taken away: one of the same size and digest stays and the temporary one goes, so an attempt
+        that ends late, or dies on the way, does no harm. Only what differs, left by an earlier run, is replaced.
+        """
         self.out.close()
         if self.fs.get_file_info(self.path).type != fs.FileType.NotFound:
-            self.fs.delete_file(self.path)  # left by an attempt whose task was lost; not every file system replaces
+            if self._same():
+                self.fs.delete_file(self.temporary)
+                return
+            self.fs.delete_file(self.path)  # not every file system replaces
         self.fs.move(self.temporary, self.path)
 
+    def _same(self) -> bool:
+        if self.fs.get_file_info(self.path).size != self.size:
+            return False
+        digest = hashlib.sha1()
+        with self.fs.open_input_stream(self.path, compression=None) as stream:
+            while data := stream.read(BLOCK):
+                digest.update(data)
+        return digest.digest() == self.digest.digest()
+
 
 def reader(folder: str, name: str):
     """A sequential stream over a committed file."""

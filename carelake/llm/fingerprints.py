@@ -13,14 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.llm import scan
 from carelake.session import materialise
 
 K = 128
-EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_shingles double, kept_share double"
 
 
 def bottom(hashes: np.ndarray, k: int = K) -> np.ndarray:
@@ -85,14 +85,10 @@ def merged(fingerprints: DataFrame, *by: str, k: int = K) -> DataFrame:
     Hashes are counted distinct per group and cut to the smallest ``k`` by a group limit before any shuffle of rows, so a
     group of any size reaches a task as ``k`` hashes from each earlier task.
     """
-    from pyspark.sql import Window
-
-    @F.udf("array<binary>")
-    def hashes(text):
-        raw = base64.b64decode(text.partition(":")[2])
-        return [raw[i : i + 8] for i in range(0, len(raw), 8)]
-
-    rows = fingerprints.select(*by, F.explode(hashes("fingerprint")).alias("hash")).distinct()
+    raw = F.unbase64(F.substring_index("fingerprint", ":", -1))
+    n = F.floor(F.octet_length("raw") / 8).cast("int")
+    hashes = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(F.col("raw"), i * 8 - 7, F.lit(8)))
+    rows = fingerprints.select(*by, raw.alias("raw")).where(n > 0).select(*by, F.explode(hashes).alias("hash")).distinct()
     first = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("hash"))).where(F.col("rank") <= k)
     joined = F.concat(F.lit(f"{k}:"), F.base64(F.unhex(F.concat_ws("", F.transform(F.array_sort(F.collect_list("hash")), F.hex)))))
     return first.groupBy(*by).agg(F.regexp_replace(joined, r"\s", "").alias("fingerprint"))
@@ -107,6 +103,8 @@ def edited_text(text: str, following: str) -> str:
 def edited_fingerprints(documents: DataFrame, k: int = K, partitions: int | None = None) -> DataFrame:
     """Fingerprints of every text and of the text mixed with its successor, and how alike sketches find them.
 
+    ``n_shingles`` estimates the text's distinct shingles, ``kept_share`` the share of them that the edited text contains.
+
     The successor of a document is the next one in descending doc_id, of the last the first; null texts are empty. Equal
     ids follow the order of their texts' hash, a null id comes last; repeated rows succeed one another; a single row
     succeeds itself; other columns are ignored; an empty table gives no rows.
@@ -131,8 +129,8 @@ def edited_fingerprints(documents: DataFrame, k: int = K, partitions: int | None
     places = F.array(F.struct("range", "is_head"), F.struct(F.col("copy_to").alias("range"), F.lit(1).alias("is_head")))
     keyed = keyed.join(extra, is_it, "left").withColumn("copy", F.explode(F.filter(places, lambda c: c["range"].isNotNull())))
     keyed = keyed.select("doc_id", "text", "key", "copy.range", "copy.is_head")
-    placed = keyed.repartition(n, "range").sortWithinPartitions("range", "is_head", *order)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+    placed = keyed.repartitionById(n, "range").sortWithinPartitions("range", "is_head", *order)
+    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()), ("n_shingles", pa.float64()), ("kept_share", pa.float64())])
 
     def rows(pairs: list[tuple]) -> pa.RecordBatch:
         texts = [p[1] for p in pairs] + [pairs[-1][2]]
@@ -142,7 +140,7 @@ def edited_fingerprints(documents: DataFrame, k: int = K, partitions: int | None
         for i, (doc_id, text, following) in enumerate(pairs):
             after = own[i + 1] if texts[i + 1] is following or texts[i + 1] == following else sketches(pa.array([following], pa.large_string()), k)[0]
             sha = hashlib.sha256(changed[i].encode()).hexdigest()
-            out.append((doc_id, len(text), sha, to_text(own[i], k), to_text(other[i], k), resemblance(own[i], other[i], k), resemblance(own[i], after, k)))
+            out.append((doc_id, len(text), sha, to_text(own[i], k), to_text(other[i], k), resemblance(own[i], other[i], k), resemblance(own[i], after, k), distinct(own[i], k), containment(own[i], other[i], k)))
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,7 +41,7 @@ def test_edits_of_edge_rows(spark, n, clashing):
         half = len(text) // 2
         changed = text[: len(text) - half] + after[:half]
         a, b, c = sketch(text), sketch(changed), sketch(after)
-        want.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), fp.to_text(a), fp.to_text(b), fp.resemblance(a, b), fp.resemblance(a, c)))
+        want.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), fp.to_text(a), fp.to_text(b), fp.resemblance(a, b), fp.resemblance(a, c), fp.distinct(a), fp.containment(a, b)))
     assert cases.collected(spark.createDataFrame(got)) == sorted(want, key=repr)
 
 
