@@ -15,12 +15,11 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import sys
 import types
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ BATCH = 3 << 20
 
 _W = "[\\x09-\\x0d \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 _MARK = "\x01"
-_LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+_LETTERS = "\\A ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+\\z"
 #: Functions of this library reach workers by value, so what a worker keeps between tasks lives in a module of its own.
 _KEPT = "carelake_worker_state"
 
@@ -206,16 +205,13 @@ class Encoder:
         self.young, self.old = _Generation(), _Generation()
 
     def _ids(self, pieces: list[str]) -> list[list[int]]:
-        out: list = [None] * len(pieces)
-        rest, match = [], _LETTERS.fullmatch
-        for i, p in enumerate(pieces):
-            if self.merge is not None and match(p):
-                out[i] = self.merge(p.encode())
-            else:
-                rest.append(i)
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = e.ids
-        return out
+        if self.merge is None:
+            return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        letters = pc.match_substring_regex(pa.array(pieces, pa.string()), _LETTERS).to_pylist()
+        merged = map(self.merge, map(str.encode, compress(pieces, letters)))
+        rest = [p for p, simple in zip(pieces, letters, strict=True) if not simple]
+        others = (e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        return [next(merged) if simple else next(others) for simple in letters]
 
     def _learn(self, pieces: list[str]) -> None:
         for i in range(0, len(pieces), 20_000):
@@ -229,16 +225,20 @@ class Encoder:
         distinct = pieces.to_pylist()
         if self.young.bytes > self.cache_bytes:
             self.old, self.young = self.young, _Generation()
-        missing = [p for p in distinct if p not in self.young.codes]
-        if missing and self.old.codes:
-            kept = [p for p in missing if p in self.old.codes]
-            code = np.fromiter(map(self.old.codes.__getitem__, kept), np.int64, len(kept))
-            lens = self.old.lens[code]
-            self.young.add(kept, _gather(self.old.pool, self.old.starts[code], lens)[0], lens)
-            missing = [p for p in missing if p not in self.old.codes]
-        if missing:
-            self._learn(missing)
-        return np.fromiter(map(self.young.codes.__getitem__, distinct), np.int64, len(distinct))
+        young, old = self.young, self.old
+        code = np.fromiter(map(young.codes.get, distinct, repeat(-1)), np.int64, len(distinct))
+        missing = np.flatnonzero(code < 0)
+        if len(missing) and old.codes:
+            found = np.fromiter(map(old.codes.get, (distinct[i] for i in missing.tolist()), repeat(-1)), np.int64, len(missing))
+            kept, found, missing = missing[found >= 0], found[found >= 0], missing[found < 0]
+            lens = old.lens[found]
+            # what is added gets the next codes in its order
+            code[kept] = len(young.codes) + np.arange(len(kept))
+            young.add([distinct[i] for i in kept.tolist()], _gather(old.pool, old.starts[found], lens)[0], lens)
+        if len(missing):
+            code[missing] = len(young.codes) + np.arange(len(missing))
+            self._learn([distinct[i] for i in missing.tolist()])
+        return code
 
     def units(self, column: pa.Array) -> Units:
         return Units(column, self.special)

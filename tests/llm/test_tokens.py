@@ -151,6 +151,7 @@ def test_blocks_are_a_grammar_with_random_access():
     assert block.doc_ids == [1, None, 3, 4, 5, 6]
     for i in (5, 0, 3, 2, 4, 1):
         assert (block.document(i) == parts[i]).all()
+    assert [d.tolist() for d in block.documents()] == [p.tolist() for p in parts]
     lens = repair.expansion_lengths(block.rules[:, :2])
     assert (lens == block.rules[:, 2]).all() and lens.max() > 4
 
@@ -165,3 +166,43 @@ def test_blocks_stay_bounded(spark, library):
         with files.reader(folder, m.file) as stream:
             n_blocks += sum(1 for _ in repair.blocks(stream))
     assert n_blocks > 5 and sum(m.documents for m in manifest) == 60
+
+
+def test_pairs_sort_alike_with_places_of_any_width(monkeypatch):
+    rng = np.random.default_rng(8)
+    parts = [rng.integers(65_000, 65_536, 3_000).astype(np.uint32), np.tile(rng.integers(0, 9, 50), 40).astype(np.uint32), np.zeros(500, np.uint32)]
+    packed = repair.encode_block([1, 2, 3], parts)
+    monkeypatch.setattr(repair, "_PLACE_BITS", 3)
+    assert repair.encode_block([1, 2, 3], parts) == packed
+
+
+def test_a_late_attempt_leaves_the_committed_file(tmp_path, monkeypatch):
+    """Attempts commit twice and die in between; a file of other bytes is replaced."""
+
+    def attempt(data):
+        out = files.Committed(str(tmp_path), "a.bin")
+        out.write(data)
+        return out
+
+    late = attempt(b"same bytes")
+    attempt(b"same bytes").commit()
+    written = (tmp_path / "a.bin").stat().st_mtime_ns
+
+    class Lost:
+        def __getattr__(self, name):
+            if name in ("move", "delete_file"):
+                return self._fail
+            return getattr(late_fs, name)
+
+        def _fail(self, *_):
+            raise OSError("lost")
+
+    late_fs = late.fs
+    late.fs = Lost()
+    with pytest.raises(OSError):
+        late.commit()
+    assert (tmp_path / "a.bin").read_bytes() == b"same bytes"
+    attempt(b"same bytes").commit()
+    assert (tmp_path / "a.bin").stat().st_mtime_ns == written
+    attempt(b"same-bytes").commit()
+    assert (tmp_path / "a.bin").read_bytes() == b"same-bytes"
