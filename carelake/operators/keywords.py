@@ -1,13 +1,12 @@
 """BM25 over a stored inverted index.
 
-The index holds two tables: one row per term with its document count and largest impact, and the postings. A posting's impact
-is all of a BM25 score that the question does not bring: usable idf times saturated frequency. Postings are sorted by term
-bucket, term and descending impact and cut into blocks of bounded size, one row each, so no term is one row or one task.
-
-A search reads the term buckets it is asked for. For every question the first blocks of its terms give a score that ``k``
-documents reach at least; terms that together cannot reach it need no candidates. Only documents under the other terms become
-candidates, and the rest of their score is looked up. So frequent terms are met by candidates, not by every question, and the
-result is the exact one.
+Documents are dealt into parts of bounded size. The index holds, per part, one row a term with the documents that hold it and how
+often, in folders by a hash of the term, and one row that names the documents and their lengths; a second table has a row per term
+with its document count and weight. Terms of a text are split once, and no posting is a row of its own.
+
+A search reads the term folders it is asked for, brings the asked terms of a part together, and streams the stored questions past
+it in blocks: a question's scores are sums over the lists of its terms in arrays of the part's size, of which the ``k`` best go on.
+So no pair of question and document is a row, and memory is bounded by a part. The result is the exact one.
 """
 
 from __future__ import annotations
@@ -16,22 +15,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from carelake.functions.text import words
 from carelake.session import materialise
+from carelake.sources.blocks import blocks, stored
 
 # Keyword scoring constants.
 K1, B, EPSILON = 1.5, 0.75, 0.25
 
-#: Folders of postings, by a hash of the term, and postings in a block.
-TERM_BUCKETS, BLOCK = 64, 256
+#: Folders of postings, by a hash of the term, and words in a part of the documents.
+TERM_BUCKETS, BLOCK = 16, 1 << 21
+#: The folder of the rows that name a part's documents.
+DOCUMENTS = -1
+#: Questions that meet a part at a time.
+BLOCK_QUESTIONS = 1_024
 #: Scores are compared at this many digits, so equal documents tie exactly and ids decide.
 DIGITS = 9
 
+_COLUMNS = "kind string, avg_length double"
+
 
 def tokens(text: Column) -> Column:
     """Lower-cased whitespace tokens."""
@@ -55,64 +63,89 @@ def corpus_bm25_stats(docs: DataFrame, text: str = "text") -> tuple[DataFrame, D
 
 
 def _bucket(term: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+    """Folder of a term; the rows that name documents have one of their own."""
+    return F.when(term.isNull(), F.lit(DOCUMENTS)).otherwise(F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int"))
 
 
 def build(docs: DataFrame, path: str, buckets: int = TERM_BUCKETS, block: int = BLOCK) -> None:
-    """Write the index of ``docs`` (id, text) to the folders ``terms`` and ``postings`` of ``path``.
+    """Write the index of ``docs`` (id, text) to the folders ``postings``, ``terms`` and ``columns`` of ``path``.
 
     Statistics cover these documents; a negative idf is replaced by a quarter of the mean idf over the vocabulary. Documents
-    without a text are left out; every row is a document of its own, also where ids repeat.
+    without a text are left out; every row is a document of its own, also where ids repeat. A part holds ``block`` words, or one
+    longer document.
     """
-    docs = docs.filter(F.col("text").isNotNull()).select("id", "text")
-    id_type = docs.schema["id"].dataType.simpleString()
-    corpus, frequencies = corpus_bm25_stats(docs)
-    n_docs, avg_length = corpus.first()
-    n_docs, avg_length = float(n_docs), float(avg_length or 0) or 1.0
-    rare = F.log(F.lit(n_docs) - F.col("doc_freq") + 0.5) - F.log(F.col("doc_freq") + 0.5)
-    idf = frequencies.select("term", "doc_freq", rare.alias("idf"))
-    mean = idf.agg(F.avg("idf")).first()[0] or 0.0
-    weights = idf.select("term", F.when(F.col("idf") >= 0, F.col("idf")).otherwise(F.lit(EPSILON * mean)).alias("weight"))
-    row = F.monotonically_increasing_id().alias("row")
-    listed = docs.select("id", row, tokens(F.col("text")).alias("tokens")).select("id", "row", F.size("tokens").alias("length"), F.explode("tokens").alias("term"))
-    counted = listed.groupBy("row", "term").agg(F.first("id").alias("id"), F.first("length").alias("length"), F.count(F.lit(1)).alias("freq"))
-    saturated = F.col("freq") * (K1 + 1) / (F.col("freq") + K1 * (1 - B + B * F.col("length") / F.lit(avg_length)))
-    # the row numbers of one run are stored with the postings; a task run again writes them anew for itself only
-    posted = counted.join(weights, "term").select(_bucket(F.col("term"), buckets).alias("bucket"), "term", (F.col("weight") * saturated).alias("impact"), "row", "id")
-    posted = materialise(posted, "keyword-postings")
-    kind = f"bucket int, term string, top double, docs array<long>, ids array<{id_type}>, impacts array<double>"
+    spark = docs.sparkSession
+    split = docs.filter(F.col("text").isNotNull()).select("id", tokens(F.col("text")).alias("tokens"))
+    kind = f"part long, term string, size int, docs array<int>, freqs array<int>, ids array<{docs.schema['id'].dataType.simpleString()}>"
     arrow = to_arrow_schema(StructType.fromDDL(kind))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows in order of term and impact to blocks; a term that goes on in the next batch begins a new block there."""
+    def listed(held: list[pa.RecordBatch], part: int) -> pa.RecordBatch:
+        """The lists of one part, by term, and its documents in a row without a term."""
+        table = pa.Table.from_batches(held).combine_chunks()
+        ids, texts = (table.column(i).combine_chunks() for i in (0, 1))
+        n, lengths = len(ids), np.asarray(pc.list_value_length(texts), dtype=np.int64)
+        words_of = texts.flatten().dictionary_encode()
+        # equal (term, document) keys stand side by side
+        keys = np.sort(words_of.indices.to_numpy().astype(np.int64) * n + np.repeat(np.arange(n), lengths))
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        sizes = np.append(np.bincount(keys[first] // n, minlength=len(words_of.dictionary)), 0)
+        ends = np.append(0, np.cumsum(sizes))
+        lists = lambda values, ends, f: pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values, arrow.field(f).type.value_type))
+        none = np.zeros(len(sizes) + 1, dtype=np.int32)
+        none[-1] = n
+        ends_with = np.append(ends[:-1], ends[-1] + n)  # the last row has the lengths where others have frequencies
+        columns = [
+            pa.array(np.full(len(sizes), part)), pa.concat_arrays([words_of.dictionary.cast(pa.string()), pa.nulls(1, pa.string())]),
+            pa.array(sizes.astype(np.int32)), lists(keys[first] % n, ends, "docs"),
+            lists(np.append(np.diff(np.append(first, len(keys))), lengths), ends_with, "freqs"),
+            pa.ListArray.from_arrays(pa.array(none), ids.cast(arrow.field("ids").type.value_type)),
+        ]
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # numbers of a task's own; a task run again writes them anew
+        part, held, room = TaskContext.get().partitionId() << 32, [], block
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            term = batch.column(1).dictionary_encode()
-            code = term.indices.to_numpy()
-            change = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
-            sizes = np.diff(np.append(change, len(code)))
-            parts = -(-sizes // block)
-            starts = np.repeat(change - block * (np.cumsum(parts) - parts), parts) + block * np.arange(parts.sum())
-            off = pa.array(np.append(starts, len(code)).astype(np.int32))
-            at = pa.array(starts)
-            columns = [batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at)]
-            columns += [pa.ListArray.from_arrays(off, batch.column(i)).cast(arrow.field(f).type) for i, f in ((3, "docs"), (4, "ids"), (2, "impacts"))]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
-
-    order = ["bucket", "term", F.col("impact").desc(), "row"]
-    blocks = posted.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(cut, kind)
-    blocks.write.partitionBy("bucket").parquet(f"{path}/postings")
-    terms = posted.groupBy("bucket", "term").agg(F.max("impact").alias("top"), F.count(F.lit(1)).alias("size"))
-    terms.write.partitionBy("bucket").parquet(f"{path}/terms")
+            ends = np.cumsum(np.asarray(pc.list_value_length(batch.column(1)), dtype=np.int64))
+            at = 0
+            while at < batch.num_rows:
+                before = ends[at - 1] if at else 0
+                stop = max(int(np.searchsorted(ends, before + room, "right")), at if held else at + 1)
+                if stop > at:
+                    held.append(batch.slice(at, stop - at))
+                    room -= int(ends[stop - 1] - before)
+                    at = stop
+                if at < batch.num_rows:
+                    yield listed(held, part)
+                    part, held, room = part + 1, [], block
+        if held:
+            yield listed(held, part)
+
+    rows = split.mapInArrow(deal, kind).withColumn("bucket", _bucket(F.col("term"), buckets))
+    rows.write.partitionBy("bucket").parquet(f"{path}/postings")
     # an index of no words has no files to tell its columns
-    docs.sparkSession.createDataFrame([(kind,)], "kind string").write.parquet(f"{path}/columns")
+    index = spark.read.schema(f"{kind}, bucket int").parquet(f"{path}/postings")
+    lengths = F.expr("aggregate(freqs, 0L, (n, length) -> n + length)")
+    named = index.where(F.col("bucket") == DOCUMENTS).select(F.size("ids").alias("n"), lengths.alias("words"))
+    n_docs, n_words = named.agg(F.coalesce(F.sum("n"), F.lit(0)), F.sum("words")).first()
+    avg_length = float(n_words) / n_docs if n_words else 1.0
+    frequencies = index.where(F.col("bucket") != DOCUMENTS).groupBy("term").agg(F.sum("size").alias("doc_freq"))
+    rare = F.log(F.lit(float(n_docs)) - F.col("doc_freq") + 0.5) - F.log(F.col("doc_freq") + 0.5)
+    idf = materialise(frequencies.select("term", "doc_freq", rare.alias("idf")), "keyword-idf")
+    mean = idf.agg(F.avg("idf")).first()[0] or 0.0
+    weight = F.when(F.col("idf") >= 0, F.col("idf")).otherwise(F.lit(EPSILON * mean))
+    idf.select("term", "doc_freq", weight.alias("weight")).write.parquet(f"{path}/terms")
+    spark.createDataFrame([(f"{kind}, bucket int", avg_length)], _COLUMNS).write.parquet(f"{path}/columns")
+
+
+def _columns(spark: SparkSession, path: str) -> tuple[str, float]:
+    """Columns of the postings and mean length of the documents."""
+    return tuple(spark.read.schema(_COLUMNS).parquet(f"{path}/columns").first())
 
 
 def postings(spark: SparkSession, path: str, asked: list[int]) -> DataFrame:
-    """The stored blocks of the given buckets; other folders are not read."""
-    kind = spark.read.schema("kind string").parquet(f"{path}/columns").first()[0]
-    return spark.read.schema(kind).parquet(f"{path}/postings").where(F.col("bucket").isin(asked))
+    """The stored rows of the given buckets; other folders are not read."""
+    return spark.read.schema(_columns(spark, path)[0]).parquet(f"{path}/postings").where(F.col("bucket").isin(asked))
 
 
 def search(queries: DataFrame, path: str, k: int, buckets: int = TERM_BUCKETS) -> DataFrame:
@@ -123,41 +156,62 @@ def search(queries: DataFrame, path: str, k: int, buckets: int = TERM_BUCKETS) -
     """
     spark = queries.sparkSession
     words_of = queries.select("query_id", F.explode(tokens(F.col("text"))).alias("term"))
-    asked = words_of.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times")).withColumn("bucket", _bucket(F.col("term"), buckets))
-    asked = materialise(asked, "keyword-asked")
-    needed = sorted(r[0] for r in asked.select("bucket").distinct().collect())  # at most the number of buckets
-    terms = spark.read.schema("bucket int, term string, top double, size long").parquet(f"{path}/terms").where(F.col("bucket").isin(needed))
-    asked = asked.join(terms.drop("bucket"), "term").withColumn("most", F.greatest(F.col("times") * F.col("top"), F.lit(0.0)))
-    # terms by what they can bring at most: the sum over a term and all weaker ones
-    weakest = Window.partitionBy("query_id").orderBy("most", "term").rowsBetween(Window.unboundedPreceding, 0)
-    lowest = F.min("top").over(Window.partitionBy("query_id"))
-    asked = materialise(asked.withColumns({"upto": F.sum("most").over(weakest), "lowest": lowest}).select("query_id", "term", "times", "top", "upto", "lowest"), "keyword-terms")
-    stored = postings(spark, path, needed).select("term", F.col("top").alias("block_top"), "docs", "ids", "impacts")
-
-    def exploded(blocks: DataFrame) -> DataFrame:
-        rows = blocks.select("query_id", "times", F.explode(F.arrays_zip("docs", "ids", "impacts")).alias("p"))
-        return rows.select("query_id", F.col("p.docs").alias("row"), F.col("p.ids").alias("doc_id"), (F.col("times") * F.col("p.impacts")).alias("part"))
-
-    # what k documents reach with the first blocks of the question's terms alone
-    first = exploded(asked.join(stored, "term").where(F.col("block_top") == F.col("top")))
-    sums = first.groupBy("query_id", "row").agg(F.sum("part").alias("score"))
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc())
-    bar = sums.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).groupBy("query_id").agg(F.count(F.lit(1)).alias("found"), F.min("score").alias("low"))
-    margin = 10.0**-DIGITS
-    bar = bar.select("query_id", F.when(F.col("found") == k, F.col("low") - margin).otherwise(0.0).alias("bar"))
-    # a small vocabulary can have negative weights; a sum over some terms is no lower bound then
-    low = F.when(F.col("lowest") < 0, F.lit(0.0)).otherwise(F.coalesce("bar", F.lit(0.0)))
-    ranked = materialise(asked.join(bar, "query_id", "left").withColumn("bar", low), "keyword-bars")
-    strong, weak = ranked.where(F.col("upto") >= F.col("bar")), ranked.where(F.col("upto") < F.col("bar"))
-    met = exploded(strong.join(stored, "term")).groupBy("query_id", "row").agg(F.first("doc_id").alias("doc_id"), F.sum("part").alias("score"))
-    idle = weak.groupBy("query_id").agg(F.max("upto").alias("rest"), F.max("bar").alias("bar"))
-    if idle.isEmpty():
-        return met.select("query_id", "doc_id", F.round("score", DIGITS).alias("score")).where("score > 0")
-    # a candidate stays if the weak terms could lift it over the bar; their share is then looked up
-    met = met.join(idle, "query_id", "left").where(F.col("rest").isNull() | (F.col("score") + F.col("rest") >= F.col("bar"))).drop("rest", "bar")
-    met = materialise(met, "keyword-candidates")
-    lookup = met.select("query_id", "row").join(weak.select("query_id", "term", "times"), "query_id")
-    held = stored.join(weak.select("term").distinct(), "term", "left_semi").select("term", F.explode(F.arrays_zip("docs", "impacts")).alias("p")).select("term", F.col("p.docs").alias("row"), F.col("p.impacts").alias("impact"))
-    added = lookup.join(held, ["term", "row"]).groupBy("query_id", "row").agg(F.sum(F.col("times") * F.col("impact")).alias("more"))
-    whole = met.join(added, ["query_id", "row"], "left").withColumn("score", F.col("score") + F.coalesce("more", F.lit(0.0)))
-    return whole.select("query_id", "doc_id", F.round("score", DIGITS).alias("score")).where("score > 0")
+    asked = materialise(words_of.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("times")), "keyword-asked")
+    terms = materialise(asked.select("term").distinct().withColumn("bucket", _bucket(F.col("term"), buckets)), "keyword-terms")
+    needed = sorted(r[0] for r in terms.select("bucket").distinct().collect())  # at most the number of buckets
+    weights = spark.read.schema("term string, doc_freq long, weight double").parquet(f"{path}/terms").join(terms.select("term"), "term")
+    # a question's words in one order for all documents, so equal texts have equal sums
+    whole = asked.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", "times"))).alias("words"))
+    asking = stored(whole.select("query_id", F.col("words.term").alias("terms"), F.col("words.times").alias("times")), "keyword-questions")
+    avg_length = _columns(spark, path)[1]
+
+    lists = postings(spark, path, needed).drop("bucket", "ids").join(weights.select("term", "weight"), "term")
+    named = postings(spark, path, [DOCUMENTS]).drop("bucket")
+    id_type = named.schema["ids"].dataType.elementType
+    schema = StructType([queries.schema["query_id"], StructField("doc_id", id_type), StructField("score", DoubleType())])
+    arrow = to_arrow_schema(schema)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All questions meet one part."""
+        part = pa.Table.from_batches(list(batches)).combine_chunks()
+        heads = part.filter(pc.is_null(part.column("term")))
+        part = part.filter(pc.is_valid(part.column("term")))
+        if not part.num_rows:
+            return
+        one = lambda table, name: table.column(name).combine_chunks()
+        ids, lengths = one(heads, "ids").flatten(), np.asarray(one(heads, "freqs").flatten(), dtype=np.float64)
+        place = np.empty(len(ids), dtype=np.int64)
+        place[np.asarray(pc.array_sort_indices(ids, order="ascending", null_placement="at_start"))] = np.arange(len(ids))
+        known, sizes = one(part, "term"), np.asarray(one(part, "size"))
+        docs, freq = np.asarray(one(part, "docs").flatten()), np.asarray(one(part, "freqs").flatten(), dtype=np.float64)
+        saturated = freq * (K1 + 1) / (freq + K1 * (1 - B + B * lengths[docs] / avg_length))
+        impacts = np.repeat(np.asarray(one(part, "weight")), sizes) * saturated
+        ends = np.append(0, np.cumsum(sizes)).tolist()
+        for block in blocks(asking, BLOCK_QUESTIONS):
+            slots = np.asarray(pc.fill_null(pc.index_in(block.column(1).flatten(), known), -1))
+            times = np.asarray(block.column(2).flatten(), dtype=np.float64).tolist()
+            bounds = np.append(0, np.cumsum(np.asarray(pc.list_value_length(block.column(1))))).tolist()
+            found = [_best(slots[a:b].tolist(), times[a:b], ends, docs, impacts, place, k) for a, b in zip(bounds, bounds[1:])]
+            rows = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+            columns = [block.column(0).take(rows), ids.take(pa.array(np.concatenate([f[0] for f in found]))), pa.array(np.concatenate([f[1] for f in found]))]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    met = lists.unionByName(named, allowMissingColumns=True).groupBy("part").applyInArrow(meet, schema)
+    return met.withColumn("score", F.round("score", DIGITS)).where("score > 0")
+
+
+def _best(
+    slots: list[int], times: list[float], ends: list[int], docs: np.ndarray, impacts: np.ndarray, place: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best documents of a part and their scores for one question; equal scores go by ``place``."""
+    scores = np.zeros(len(place))
+    for slot, n in zip(slots, times):
+        if slot >= 0:
+            at = slice(ends[slot], ends[slot + 1])
+            scores[docs[at]] += n * impacts[at]
+    hits = np.flatnonzero(scores > 0)
+    if len(hits) > k:
+        low = np.partition(scores[hits], -k)[-k]
+        hits = hits[scores[hits] >= low - 10.0 ** (1 - DIGITS)]
+    order = np.lexsort((place[hits], -np.round(scores[hits], DIGITS)))[:k]
+    return hits[order], scores[hits[order]]

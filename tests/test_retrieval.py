@@ -187,6 +187,20 @@ def test_index_search_reads_the_buckets_asked_for(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*bucket", plan)
 
 
+def test_no_pair_of_question_and_document_is_a_row(spark, tmp_path):
+    d = spark.createDataFrame([(f"d{i:03d}", f"the same words w{i % 3}") for i in range(300)], "id string, text string").repartition(4)
+    q = spark.createDataFrame([(i, f"the words w{i % 3}") for i in range(20)], "query_id bigint, text string")
+    keywords.build(d, str(tmp_path), block=100)
+    index = keywords.postings(spark, str(tmp_path), list(range(-1, keywords.TERM_BUCKETS)))
+    assert index.where("term IS NOT NULL").groupBy("part", "term").count().agg({"count": "max"}).first()[0] == 1
+    assert index.where("bucket = -1").selectExpr("max(aggregate(freqs, 0, (a, n) -> a + n))").first()[0] <= 100
+    found = retrieval.keyword_top_k(q, str(tmp_path), 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "FlatMapGroupsInArrow" in plan
+    # equal texts tie over all parts, and ids decide
+    assert rows(found.select("query_id", "rank", "doc_id")) == sorted(((i, r + 1, f"d{i % 3 + 3 * r:03d}") for i in range(20) for r in (0, 1)), key=repr)
+
+
 def test_index_of_nothing(spark):
     d = spark.createDataFrame([("a", None), ("b", "")], "id string, text string")
     q = spark.createDataFrame([(1, "x")], "query_id bigint, text string")
