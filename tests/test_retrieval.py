@@ -188,7 +188,7 @@ def test_index_search_reads_the_buckets_asked_for(spark, tmp_path):
 
 
 def test_no_pair_of_question_and_document_is_a_row(spark, tmp_path):
-    d = spark.createDataFrame([(f"d{i:03d}", f"the same words w{i % 3}") for i in range(300)], "id string, text string").repartition(4)
+    d = spark.createDataFrame([(f"d{i:03d}", f"the same words w{i % 3} x{i}") for i in range(300)], "id string, text string").repartition(4)
     q = spark.createDataFrame([(i, f"the words w{i % 3}") for i in range(20)], "query_id bigint, text string")
     keywords.build(d, str(tmp_path), block=100)
     index = keywords.postings(spark, str(tmp_path), list(range(-1, keywords.TERM_BUCKETS)))
