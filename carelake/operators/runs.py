@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,13 +29,17 @@ def process_all(raw: DataFrame, by: str = "file") -> DataFrame:
     return cleaning.quality_report(raw, by=[by])
 
 
-def claims_run(spark: SparkSession, raw: DataFrame, out: str, session_id: str, day: str, end_month: str) -> dict[str, DataFrame]:
+def claims_run(
+    spark: SparkSession, raw: DataFrame, out: str, session_id: str, day: str, end_month: str, within: Sequence[str] = ()
+) -> dict[str, DataFrame]:
     """Clean, write, manifest and forecast in one go; returns what was written.
 
     The input is read and shuffled once: the per-claim verdicts go to the shared folder, and both
-    the clean table and the report come from there.
+    the clean table and the report come from there. ``within``: see ``cleaning.clean_claims``.
     """
-    verdicts = materialise(cleaning.claim_verdicts(raw), "verdicts")
+    verdicts = materialise(cleaning.claim_verdicts(raw, within), "verdicts")
+    if within:
+        verdicts = cleaning.merge_unidentified(verdicts)
     write_claims_parquet(cleaning.clean_from_verdicts(verdicts), f"{out}/claims")
     write_manifest(spark, f"{out}/claims", f"{out}/manifest", session_id, f"{day}T00:00:00Z")
     claims = read_parquet_prefix(spark, f"{out}/claims")

@@ -148,3 +148,50 @@ def test_dominant_claim_id_shrinks_before_the_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_min") > plan.index("Exchange")
     assert cleaning.quality_report(raw).first().dropped_duplicate_claims == 999
+
+
+def test_claims_partitioned_by_order_are_shuffled_no_more(spark, tmp_path):
+    """The claims view leaves its rows partitioned by order, in which a claim's rows meet already."""
+    from carelake.plans import claims_queries, domain
+
+    made = {
+        "customer": "id AS c_custkey, concat('C', id) AS c_name FROM range(5)",
+        "supplier": "id AS s_suppkey, concat('S', id) AS s_name FROM range(4)",
+        "part": "id AS p_partkey, concat('P', id) AS p_name, 'T' AS p_type, 10.0d + id AS p_retailprice FROM range(6)",
+        "orders": "id AS o_orderkey, if(id = 7, NULL, id % 5) AS o_custkey, 'F' AS o_orderstatus, '1-URGENT' AS o_orderpriority FROM range(40)",
+        "lineitem": "id % 40 AS l_orderkey, id % 6 AS l_partkey, id % 4 AS l_suppkey, if(id = 11, NULL, int(id % 3)) AS l_linenumber,"
+        " double(id % 5) AS l_quantity, 12.5d AS l_extendedprice, timestamp'2001-02-03' AS l_shipdate FROM range(300)",
+    }
+    for name, text in made.items():
+        spark.sql(f"SELECT {text}").write.parquet(f"{tmp_path}/{name}.parquet")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        found = claims_queries.QUERIES["clean_claims"](spark, str(tmp_path))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # two sides of each of the four joins; none for the claims
+    assert plan.count("Exchange hashpartitioning") == 8
+    plain = cleaning.clean_claims(domain.run_sql(spark, str(tmp_path), domain.VIEWS["claims"]))
+    assert rows(found) == rows(plain) and found.count() > 50
+
+
+def test_report_counts_claims_without_id_once_in_any_partitioning(spark):
+    raw = claims(spark, {"claim_id": "a"}, {"claim_id": None}, {"claim_id": " "}, {"claim_id": "a"})
+    parted = raw.withColumn("part", F.coalesce("claim_id", F.lit("2")))
+    verdicts = cleaning.merge_unidentified(cleaning.claim_verdicts(parted, ["part"]))
+    assert cleaning.report_from_verdicts(verdicts).first() == cleaning.quality_report(raw).first()
+
+
+def test_stored_rows_are_known_by_digest(spark):
+    """One exchange a side; null, empty text, negative zero and NaN compare as Spark compares them."""
+    kind = "k string, v double, n int"
+    incoming = spark.createDataFrame([("a", 0.0, 1), ("a", -0.0, None), (None, float("nan"), 1), ("", None, 1), ("b", 1.0, 2), ("b", 1.0, 2)], kind)
+    stored = spark.createDataFrame([("a", -0.0, 1), (None, float("nan"), 1), (None, None, 1), ("b", 1.5, 2)], kind)
+    found = cleaning.anti_join_existing(incoming, stored)
+    assert rows(found) == rows(spark.createDataFrame([("a", -0.0, None), ("", None, 1), ("b", 1.0, 2), ("b", 1.0, 2)], kind))
+    assert "sha2" in found._jdf.queryExecution().optimizedPlan().toString()
