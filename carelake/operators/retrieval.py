@@ -23,14 +23,14 @@ from carelake.sources.blocks import blocks, stored
 
 # Questions that meet a task's documents at a time, and numbers of its documents that are held to meet them.
 BLOCK_QUESTIONS = 4_096
-_TASK_CELLS = 1 << 24
+_TASK_CELLS = 1 << 21
 
 # Fusion constants.
 FUSION_K = 60
 DENSE_WEIGHT = 0.6
 
 _DIGITS = keywords.DIGITS
-_DENSE_CELLS = 4_000_000
+_DENSE_CELLS = 1_000_000
 
 
 def shard_filter(docs: DataFrame, shard: str | None) -> DataFrame:

@@ -313,3 +313,8 @@ def test_one_patient_run_stands_over_the_whole_index(spark):
     meds = view(spark, sf_dir, "medications").select("id", "patient").collect()
     assert any(r.patient == "42" for r in meds)
     assert sorted((r.id, r.indexed_on) for r in out) == sorted((f"med-{r.id}", "2024-03-01" if r.patient == "42" else "2024-02-01") for r in meds)
+
+
+def test_numbers_a_task_holds_are_bounded():
+    """Vectors gathered by a task (twice while they are joined) and one block of scores, 8 bytes a number."""
+    assert 8 * (2 * retrieval._TASK_CELLS + 4 * retrieval._DENSE_CELLS) < 1 << 27
