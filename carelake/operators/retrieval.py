@@ -6,7 +6,6 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -203,18 +202,20 @@ def embed(
     Only rows that are ``wanted`` (all, if not given) reach the encoder; others get null.
     """
 
-    @F.pandas_udf("array<float>")
-    def encode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def encode(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, asked in batches:
-            out: list[np.ndarray | None] = [None] * len(texts)
-            places = np.flatnonzero(asked)
-            for at in range(0, len(places), batch_size):
-                some = places[at : at + batch_size]
-                raw = np.asarray(encoder(texts.iloc[some].fillna("").tolist()), dtype=np.float64)
+            asked = pc.fill_null(asked, False)
+            some = pc.fill_null(texts.filter(asked), "").to_pylist()
+            vectors, sizes = [np.empty(0, dtype=np.float32)], np.zeros(len(texts), dtype=np.int32)
+            for at in range(0, len(some), batch_size):
+                raw = np.asarray(encoder(some[at : at + batch_size]), dtype=np.float64)
                 norms = np.linalg.norm(raw, axis=1, keepdims=True)
-                for place, vector in zip(some, (raw / np.where(norms == 0, 1, norms)).astype(np.float32)):
-                    out[place] = vector
-            yield pd.Series(out, dtype=object)
+                vectors.append((raw / np.where(norms == 0, 1, norms)).astype(np.float32).ravel())
+            if some:
+                sizes[np.asarray(asked)] = raw.shape[1]
+            ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+            yield pa.ListArray.from_arrays(ends, pa.array(np.concatenate(vectors)), mask=pc.invert(asked))
 
     wanted = F.lit(True) if wanted is None else wanted
     return df.withColumn("vector", encode(F.when(wanted, F.col(text)), wanted))

@@ -318,3 +318,32 @@ def test_one_patient_run_stands_over_the_whole_index(spark):
 def test_numbers_a_task_holds_are_bounded():
     """Vectors gathered by a task (twice while they are joined) and one block of scores, 8 bytes a number."""
     assert 8 * (2 * retrieval._TASK_CELLS + 4 * retrieval._DENSE_CELLS) < 1 << 27
+
+
+def test_vectors_reach_spark_as_one_array_a_batch(spark):
+    """Unwanted rows stay null, a null text counts as empty, and letters are counted as before."""
+    from carelake.plans.retrieval_queries import LETTERS, letter_profile
+
+    texts = ["Abc zZ é İ ß", None, "", "aab", "no"]
+    d = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    found = retrieval.embed(d, letter_profile, batch_size=2, wanted=F.col("id") < 4)
+    assert "ArrowEvalPython" in (plan := found._jdf.queryExecution().executedPlan().toString()) and "pandas" not in plan
+    plain = np.array([[(t or "").lower().count(c) for c in LETTERS] for t in texts], dtype=float)
+    norms = np.linalg.norm(plain, axis=1, keepdims=True)
+    expected = (plain / np.where(norms == 0, 1, norms)).astype(np.float32).tolist()
+    assert [r.vector for r in found.orderBy("id").collect()] == [*expected[:4], None]
+    assert letter_profile([]).shape == (0, 26)
+
+
+def test_letters_are_counted_in_one_pass_over_a_batch():
+    import time
+
+    from carelake.plans.retrieval_queries import LETTERS, letter_profile
+
+    texts = [f"Patient {i} takes large ring since 1998-07-01, encounter {i}." for i in range(20_000)]
+    spent = []
+    for count in (letter_profile, lambda ts: np.array([[t.lower().count(c) for c in LETTERS] for t in ts])):
+        start = time.process_time()
+        parts = [count(texts[i : i + 64]) for i in range(0, len(texts), 64)]
+        spent.append((time.process_time() - start, np.concatenate(parts).sum()))
+    assert spent[0][1] == spent[1][1] and spent[0][0] < spent[1][0]
