@@ -19,7 +19,7 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from itertools import chain, compress, repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -77,7 +77,7 @@ def slices(column: pa.Array, size: int = BATCH):
 class Units:
     """The units of some texts: distinct ones as lists of pieces, and for every text the units it is made of."""
 
-    def __init__(self, column: pa.Array, special: str):
+    def __init__(self, column: pa.Array, special: str, letters_special: bool = False):
         column = column.cast(pa.string()).fill_null("")
         lists = pc.split_pattern(column, " ")
         off = lists.offsets.to_numpy().astype(np.int64)
@@ -92,16 +92,27 @@ class Units:
         self.codes[is_first] = n + place
         spaced = pc.binary_join_element_wise("", found.dictionary, " ")
         units = pa.concat_arrays([spaced, found.dictionary.take(pa.array(begin))])
-        flag = lambda pattern: pc.match_substring_regex(units, pattern).to_numpy(zero_copy_only=False)
-        whole = flag(special)
+        flag = lambda texts, pattern: pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False)
+        # most units are letters alone: nothing cuts or joins them, so the other patterns are looked for in the rest
+        letters = flag(units, _LETTERS) if not letters_special else np.zeros(len(units), bool)
+        others = np.flatnonzero(~letters)
+        rest = units.take(pa.array(others))
+        rest_whole = flag(rest, special)
+
+        def spread(values: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(units), bool)
+            out[others] = values
+            return out
+
+        whole = spread(rest_whole)
         bad = whole[self.codes]
-        ends, begins = flag(f"{_W}\\z"), flag(f"\\A (?:{_W}|\\z)")
+        ends, begins = spread(flag(rest, f"{_W}\\z")), spread(flag(rest, f"\\A (?:{_W}|\\z)"))
         inside = ends[self.codes[:-1]] & begins[self.codes[1:]]
         inside[self.off[1:-1] - 1] = False
         bad[1:] |= inside
         at = np.flatnonzero(bad)
+        texts = np.unique(np.searchsorted(self.off, at, "right") - 1)
         if len(at):  # these texts are one unit each
-            texts = np.unique(np.searchsorted(self.off, at, "right") - 1)
             lens = np.diff(self.off)
             keep = np.ones(len(self.codes), bool)
             for t in texts:
@@ -110,19 +121,27 @@ class Units:
             lens[texts] = 1
             self.codes = self.codes[keep]
             self.off = np.concatenate(([0], np.cumsum(lens)))
-        cut = pc.replace_substring_regex(units, "([\\p{L}\\p{N}])([!-/:-@\\[-`{-~])", "\\1" + _MARK + "\\2")
+        cut = pc.replace_substring_regex(rest, "([\\p{L}\\p{N}])([!-/:-@\\[-`{-~])", "\\1" + _MARK + "\\2")
         lines = pc.replace_substring(cut, "\n", _MARK + "\n" + _MARK)
-        cut = pc.if_else(pa.array(whole), units, pc.if_else(pa.array(flag(f"{_W}\n|\n{_W}|\n\\z")), cut, lines))
+        cut = pc.if_else(pa.array(rest_whole), rest, pc.if_else(pa.array(flag(rest, f"{_W}\n|\n{_W}|\n\\z")), cut, lines))
         pieces = pc.split_pattern(cut, _MARK)
-        if whole.any():
-            pieces = pa.array([[u] if w else p for u, w, p in zip(units.to_pylist(), whole, pieces.to_pylist(), strict=True)], pa.list_(pa.string()))
+        if rest_whole.any():
+            pieces = pa.array([[u] if w else p for u, w, p in zip(rest.to_pylist(), rest_whole, pieces.to_pylist(), strict=True)], pa.list_(pa.string()))
         if len(at):
             pieces = pa.concat_arrays([pieces.cast(pa.list_(pa.string())), pa.array([[column[int(t)].as_py()] for t in texts], pa.list_(pa.string()))])
-        piece_off = pieces.offsets.to_numpy().astype(np.int64)
-        self.piece_off = piece_off - piece_off[0]
-        found = pieces.flatten().dictionary_encode()
+        # pieces of the units of letters, one each, then those of the others; codes in the order of units
+        sizes = np.ones(len(units) + len(texts), np.int64)
+        cut_sizes = np.diff(pieces.offsets.to_numpy().astype(np.int64))
+        is_cut = np.append(~letters, np.ones(len(texts), bool))
+        sizes[is_cut] = cut_sizes
+        self.piece_off = np.concatenate(([0], np.cumsum(sizes)))
+        found = pa.concat_arrays([units.filter(pa.array(letters)), pieces.flatten().cast(pa.string())]).dictionary_encode()
         #: Distinct pieces, and those that each distinct unit is made of.
-        self.pieces, self.piece_codes = found.dictionary, found.indices.to_numpy().astype(np.int64)
+        self.pieces, codes = found.dictionary, found.indices.to_numpy().astype(np.int64)
+        n_letters = int(letters.sum())
+        from_cut = np.repeat(is_cut, sizes)
+        self.piece_codes = np.empty(len(codes), np.int64)
+        self.piece_codes[~from_cut], self.piece_codes[from_cut] = codes[:n_letters], codes[n_letters:]
 
     def counts(self) -> np.ndarray:
         """How often each distinct piece occurs."""
@@ -197,6 +216,8 @@ class Encoder:
         if any(" " in s for s in special):
             raise ValueError("special strings with a space are not supported")
         self.special = "|".join(["\\Q" + s + "\\E" for s in special] + [_MARK])
+        #: Whether a special string may stand in a unit of letters.
+        self.letters_special = bool(pc.any(pc.match_substring_regex(pa.array(special, pa.string()), _LETTERS)).as_py())
         self.merge = _merger(tokenizer_path(name), special)
         self.cache_bytes = cache_bytes
         self.forget()
@@ -204,44 +225,45 @@ class Encoder:
     def forget(self) -> None:
         self.young, self.old = _Generation(), _Generation()
 
-    def _ids(self, pieces: list[str]) -> list[list[int]]:
-        if self.merge is None:
-            return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        letters = pc.match_substring_regex(pa.array(pieces, pa.string()), _LETTERS).to_pylist()
-        merged = map(self.merge, map(str.encode, compress(pieces, letters)))
-        rest = [p for p, simple in zip(pieces, letters, strict=True) if not simple]
-        others = (e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
-        return [next(merged) if simple else next(others) for simple in letters]
+    def _merged(self, pieces: list[str]) -> list[list[int]]:
+        return list(map(self.merge, map(str.encode, pieces)))
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _encoded(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str], encode: Callable[[list[str]], list[list[int]]]) -> None:
         for i in range(0, len(pieces), 20_000):
             part = pieces[i : i + 20_000]
-            ids = self._ids(part)
+            ids = encode(part)
             lens = np.fromiter(map(len, ids), np.int64, len(ids))
             self.young.add(part, np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens)
 
     def _codes(self, pieces: pa.Array) -> np.ndarray:
         """Places of distinct pieces in the young generation, where all of them are afterwards."""
-        distinct = pieces.to_pylist()
+        distinct = pieces.to_numpy(zero_copy_only=False)
         if self.young.bytes > self.cache_bytes:
             self.old, self.young = self.young, _Generation()
         young, old = self.young, self.old
-        code = np.fromiter(map(young.codes.get, distinct, repeat(-1)), np.int64, len(distinct))
+        code = np.fromiter(map(young.codes.get, distinct.tolist(), repeat(-1)), np.int64, len(distinct))
         missing = np.flatnonzero(code < 0)
         if len(missing) and old.codes:
-            found = np.fromiter(map(old.codes.get, (distinct[i] for i in missing.tolist()), repeat(-1)), np.int64, len(missing))
+            found = np.fromiter(map(old.codes.get, distinct[missing].tolist(), repeat(-1)), np.int64, len(missing))
             kept, found, missing = missing[found >= 0], found[found >= 0], missing[found < 0]
             lens = old.lens[found]
             # what is added gets the next codes in its order
             code[kept] = len(young.codes) + np.arange(len(kept))
-            young.add([distinct[i] for i in kept.tolist()], _gather(old.pool, old.starts[found], lens)[0], lens)
+            young.add(distinct[kept].tolist(), _gather(old.pool, old.starts[found], lens)[0], lens)
         if len(missing):
-            code[missing] = len(young.codes) + np.arange(len(missing))
-            self._learn([distinct[i] for i in missing.tolist()])
+            simple = np.zeros(len(missing), bool)
+            if self.merge is not None:
+                simple = pc.match_substring_regex(pieces.take(pa.array(missing)), _LETTERS).to_numpy(zero_copy_only=False)
+            for part, encode in ((missing[simple], self._merged), (missing[~simple], self._encoded)):
+                code[part] = len(young.codes) + np.arange(len(part))
+                self._learn(distinct[part].tolist(), encode)
         return code
 
     def units(self, column: pa.Array) -> Units:
-        return Units(column, self.special)
+        return Units(column, self.special, self.letters_special)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets per text), as the library gives them without added special tokens."""

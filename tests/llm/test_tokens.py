@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark import cloudpickle
 
@@ -49,6 +50,31 @@ def test_small_cache_gives_equal_ids(library):
         assert [ids[off[i] : off[i + 1]].tolist() for i in range(5)] == [library(t) for t in texts]
 
 
+def test_units_of_letters_meet_one_pattern(library, monkeypatch):
+    looked_at = []
+    match = pc.match_substring_regex
+    monkeypatch.setattr(tokens.pc, "match_substring_regex", lambda texts, pattern: looked_at.append(len(texts)) or match(texts, pattern))
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choices("abcdefghiÄé", k=rng.randint(1, 9))) for _ in range(400)) + " 1.5 end.\n"
+    encoder = tokens.Encoder(tokens.BYTE_BPE)
+    looked_at.clear()
+    units = encoder.units(pa.array([text]))
+    assert sum(looked_at) < 2 * (len(units.piece_off) - 1)
+    ids, _ = encoder.encode(pa.array([text]))
+    assert ids.tolist() == library(text)
+
+
+def test_special_strings_of_letters_cut_units_of_letters(tmp_path):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.tokenizer_path())
+    plain.add_special_tokens(["stop"])
+    plain.save(str(tmp_path / "special.json"))
+    texts = ["do not stop here", "unstoppable", "stop", "no"]
+    ids, off = tokens.Encoder(str(tmp_path / "special.json")).encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_token_counts(spark, library, clashing):
     rows = cases.edge_rows()
