@@ -33,10 +33,13 @@ SIMILAR = (80, 100)
 #: Documents that make a shingle frequent, and how many frequent shingles (the most frequent ones) move last in the
 #: order. The list is broadcast, so its number is fixed; any order gives the same links.
 FREQUENT, FREQUENT_KEPT = 48, 1 << 17
+#: Buckets (a power of two) in which a task notes the shingles it has met.
+SEEN_BITS = 24
 #: Rows of a token up to which they are looked at in one task.
 CROWD = 1 << 12
-#: Bits of a signature: the next power of two to eight times the set's size, within these.
-LEAST_BITS, MOST_BITS = 64, 1 << 15
+#: Bits of a signature: the next power of two to so many times the set's size, within these. A signature only saves exact
+#: comparisons, and is shuffled more often than anything else here.
+BITS_EACH, LEAST_BITS, MOST_BITS = 2, 64, 1 << 15
 #: Random ranks by which centres are chosen in the first round.
 RANKS = 16
 #: Ratio of neighbouring size bands; a little above the largest ratio of linked sizes.
@@ -58,7 +61,7 @@ def linked(overlap, n_a, n_b):
 
 def signature(shingles: np.ndarray) -> bytes:
     """Bitmap with one bit set per shingle hash."""
-    width = min(MOST_BITS, max(LEAST_BITS, 1 << (8 * len(shingles) - 1).bit_length()))
+    width = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_EACH * len(shingles) - 1).bit_length()))
     bits = np.zeros(width, bool)
     bits[(shingles >> np.uint64(7)) & np.uint64(width - 1)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -102,7 +105,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << 22, bool)
+        seen = np.zeros(1 << SEEN_BITS, bool)
         for batch in batches:
             held, size = [], 0
             for s in [*scan.shingle_sets(batch.column(0), lower=True), None]:
@@ -111,7 +114,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
                     size += len(held[-1])
                 if held and (s is None or size > 1 << 19):
                     distinct, count = np.unique(np.concatenate(held), return_counts=True)
-                    bucket = ((distinct * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
+                    bucket = ((distinct * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
                     again = seen[bucket] | (count > 1)
                     seen[bucket] = True
                     yield pa.RecordBatch.from_arrays([pa.array(distinct[again].view(np.int64)), pa.array(count[again])], ["token", "n"])

@@ -37,6 +37,17 @@ def brute(rows):
     return sorted(out, key=repr)
 
 
+def test_signatures_take_at_most_four_bits_a_shingle_and_never_rule_out_a_link():
+    rng = np.random.default_rng(1)
+    for n in (40, 200, 1_000, 3_000):
+        base = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        kept = np.sort(rng.permutation(base)[: n - n // 9])
+        a, b = (np.frombuffer(jaccard.signature(s), np.uint64) for s in (base, kept))
+        assert 64 * len(a) <= max(64, 4 * len(base))
+        words = min(len(a), len(b))
+        assert jaccard.overlap_bound(jaccard.fold(a, words), jaccard.fold(b, words), len(base), len(kept)) >= len(kept)
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_edge_rows(spark, clashing):
     rows = cases.edge_rows()
