@@ -11,7 +11,9 @@ anything of their own. Nodes under a shingle are compared in two rounds:
    overlap of every pair of different components from above.
 
 Pairs that pass the bound are verified by exact intersection of the sorted shingle arrays. Pairs inside one component need
-no comparison, since only components are asked for, so groups of copies are never expanded into all their pairs.
+no comparison, since only components are asked for, so groups of copies are never expanded into all their pairs. Where a
+block has more pairs to verify than PAIRS_EACH a row, its rows are handed on instead of its pairs: they get their shingles and are
+intersected in the block, which gives a forest of the links it finds. So every step makes rows in proportion to those it reads.
 """
 
 from __future__ import annotations
@@ -35,6 +37,9 @@ SIMILAR = (80, 100)
 FREQUENT, FREQUENT_KEPT = 48, 1 << 17
 #: Buckets (a power of two) in which a task notes the shingles it has met.
 SEEN_BITS = 24
+#: Low bits that a token lacks of its shingle's hash, to be shuffled in fewer bytes. Two shingles with one token are two more
+#: candidates, no lost link.
+CUT_BITS = 24
 #: Rows of a token up to which they are looked at in one task.
 CROWD = 1 << 12
 #: Bits of a signature: the next power of two to so many times the set's size, within these. A signature only saves exact
@@ -44,8 +49,10 @@ BITS_EACH, LEAST_BITS, MOST_BITS = 2, 64, 1 << 15
 RANKS = 16
 #: Ratio of neighbouring size bands; a little above the largest ratio of linked sizes.
 BAND = 1.26
-#: Nodes a block of a tile holds on average.
-BLOCK = 512
+#: Nodes, and shingles of them, a block of a tile holds on average.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+#: Pairs a block of a tile hands on for every row it holds.
+PAIRS_EACH = 2
 #: Bits of the filter that tells which sets a later pass must send.
 FILTER_BITS = 1 << 25
 
@@ -83,6 +90,10 @@ def _node(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _tokens(shingles: np.ndarray) -> np.ndarray:
+    return shingles >> np.uint64(CUT_BITS) << np.uint64(CUT_BITS)
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, row, node (null for an empty set), n, bits for every row."""
     held = ["doc_id", "text_hash", "row"]
@@ -99,9 +110,9 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
-    """The most frequent shingles among those that can be in a prefix, sorted; at most FREQUENT_KEPT.
+    """Tokens of the most frequent shingles among those that can be in a prefix, sorted; at most FREQUENT_KEPT.
 
-    A task passes a shingle on from its second sight of its bucket, so those it meets once are not shuffled.
+    A task passes a token on from its second sight of its bucket, so those it meets once are not shuffled.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +124,7 @@ def _frequent(docs: DataFrame) -> np.ndarray:
                     held.append(s[: 2 * prefix_size(len(s))] if len(s) else s)
                     size += len(held[-1])
                 if held and (s is None or size > 1 << 19):
-                    distinct, count = np.unique(np.concatenate(held), return_counts=True)
+                    distinct, count = np.unique(_tokens(np.concatenate(held)), return_counts=True)
                     bucket = ((distinct * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
                     again = seen[bucket] | (count > 1)
                     seen[bucket] = True
@@ -147,11 +158,11 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             for s in scan.shingle_sets(batch.column(0), lower=True):
                 if not len(s):
                     continue
-                p, late = prefix_size(len(s)), is_in(s)
+                p, late = prefix_size(len(s)), is_in(_tokens(s))
                 take = np.flatnonzero(~late)[:p]
                 if len(take) < p:
                     take = np.concatenate((take, np.flatnonzero(late)[: p - len(take)]))
-                for column, value in zip(held, (s[take], _node(s), len(s), late[take]), strict=True):
+                for column, value in zip(held, (_tokens(s[take]), _node(s), len(s), late[take]), strict=True):
                     column.append(value)
                 size += p
                 if size > 1 << 17:
@@ -171,7 +182,7 @@ def _tiles(docs: DataFrame) -> DataFrame:
     """
     frequent = _frequent(docs)
     rows = _prefixes(docs, frequent)
-    rank = F.struct(F.xxhash64("node", F.pmod("token", F.lit(RANKS))).alias("rank"), F.col("node"), F.col("n"))
+    rank = F.struct(F.xxhash64("node", F.pmod(F.shiftright("token", CUT_BITS), F.lit(RANKS))).alias("rank"), F.col("node"), F.col("n"))
     columns = ["token", "node", "n", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n"), "crowd"]
     by = Window.partitionBy("token")
     few = rows.where("not is_frequent").withColumn("low", F.min("node").over(by)).withColumn("high", F.max("node").over(by)).where("low <> high")
@@ -222,7 +233,10 @@ def _wanted(nodes: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles as bytes) for at least the given nodes, once each; texts are not shuffled."""
+    """(node, shingles as bytes) for at least the given nodes, once each; texts are not shuffled.
+
+    They are dealt by node once, however many joins by node in one job use them.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(_wanted(nodes), bitorder="little").tobytes())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,42 +260,128 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(scan.released(task), "node long, shingles binary").dropDuplicates(["node"])
 
 
+def _links(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets link, by their exact intersection."""
+    place = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return bool(linked(int((y[place] == x).sum()), len(x), len(y)))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, by exact intersection of their sorted shingles."""
     if pairs.isEmpty():
         return pairs
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = materialise(_sets(docs, nodes), "jaccard-sets")
+    return _linking(pairs, _sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+
+
+def _linking(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets link."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("x"), batch.column("y"), strict=True):  # row by row, without copying the sets
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                place = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                keep.append(bool(linked(int((y[place] == x).sum()), len(x), len(y))))
+                keep.append(_links(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
     return both.mapInArrow(scan.released(task), "a long, b long")
 
 
-def _compare(nodes: list, sizes: np.ndarray, groups: np.ndarray, own: np.ndarray, parts: np.ndarray, bits: list[bytes], cross: bool):
-    """Pairs of one block that may link: of different components, not both guests, of different parts if ``cross``."""
+def _compare(sizes: np.ndarray, groups: np.ndarray, own: np.ndarray, parts: np.ndarray, bits: list[bytes], cross: bool):
+    """Places of pairs of one block that may link: of different components, not both guests, of different parts if ``cross``."""
     words = min(len(b) for b in bits) // 8
     table = np.stack([fold(np.frombuffer(b, np.uint64), words) for b in bits])
-    for i in range(len(nodes) - 1):
-        j = np.arange(i + 1, len(nodes))
+    for i in range(len(sizes) - 1):
+        j = np.arange(i + 1, len(sizes))
         j = j[(groups[j] != groups[i]) & (own[j] | own[i]) & (not cross or parts[j] != parts[i])]
         j = j[SIMILAR[1] * np.minimum(sizes[j], sizes[i]) >= SIMILAR[0] * np.maximum(sizes[j], sizes[i])]
         if len(j):
             j = j[linked(overlap_bound(table[i], table[j], sizes[i], sizes[j]), sizes[i], sizes[j])]
-            for k in j.tolist():
-                yield (min(nodes[i], nodes[k]), max(nodes[i], nodes[k]))
+            yield from ((i, k) for k in j.tolist())
+
+
+#: A block of a tile, and what its rows are compared by.
+_KEY = ["home", "tile", "side", "i", "j"]
+_HELD = ["node", "n", "group", "own", "part"]
+
+
+def _in_blocks(rows: DataFrame, column: str, of_block, schema: str) -> DataFrame:
+    """What ``of_block`` makes of the rows of each block, as (key and node, n, group, own, part, ``column``)."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    types = [pa.bool_() if f.endswith("boolean") else pa.int64() for f in schema.split(", ")]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        out: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in (*_KEY, *_HELD, column)), strict=True):
+                if held and held[0][: len(_KEY)] != row[: len(_KEY)]:
+                    out += of_block(held)
+                    held = []
+                held.append(row)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+                out = []
+        if held and (out := of_block(held)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+
+    dealt = rows.select(*_KEY, *_HELD, column).repartition(*_KEY).sortWithinPartitions(*_KEY, "node")
+    return dealt.mapInArrow(scan.released(task), schema)
+
+
+def _may_link(held: list[tuple], bits: list[bytes]):
+    """Places of the pairs of a block that its signatures cannot rule out."""
+    _, sizes, groups, own, parts = (np.array(c) for c in zip(*(r[len(_KEY) : len(_KEY) + len(_HELD)] for r in held), strict=True))
+    return _compare(sizes, groups, own, parts, bits, held[0][2] == 0 or held[0][3] != held[0][4])
+
+
+def _screened(held: list[tuple]) -> list[tuple]:
+    """The pairs of a block that may link, as (a, b) and nulls, or its rows in them if these are fewer by far, as (node, null, ...)."""
+    pairs, many = [], PAIRS_EACH * len(held)
+    in_pairs: set[int] = set()
+    for i, j in _may_link(held, [r[-1] for r in held]):
+        if len(pairs) <= many:
+            pairs.append((i, j))
+        in_pairs.update((i, j))
+    at = len(_KEY)
+    if len(pairs) <= many:
+        return [(min(held[i][at], held[j][at]), max(held[i][at], held[j][at]), *(None,) * (len(_KEY) + len(_HELD) - 1)) for i, j in pairs]
+    return [(held[i][at], None, *held[i][:at], *held[i][at + 1 : -1]) for i in sorted(in_pairs)]
+
+
+def _forest(held: list[tuple]) -> list[tuple]:
+    """Links (a, b) of one block, by exact intersection, that join all that its links join."""
+    sets, root = [np.frombuffer(r[-1], np.uint64) for r in held], list(range(len(held)))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    out = []
+    for i, j in _may_link(held, [signature(s) for s in sets]):
+        if top(i) != top(j) and _links(sets[i], sets[j]):
+            root[top(j)] = top(i)
+            out.append((held[i][len(_KEY)], held[j][len(_KEY)]))
+    return out
+
+
+def _found(rest: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) among the pairs of ``_rest``, and a forest of those in the blocks it hands on whole."""
+    pairs = rest.where("b is not null").select("a", "b")
+    whole = rest.where("b is null").drop("b").withColumnRenamed("a", "node")
+    if whole.isEmpty():
+        return _verified(pairs, docs)
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionAll(whole.select("node")).distinct()
+    sets = _sets(docs, nodes)
+    return _linking(pairs, sets).unionAll(_in_blocks(whole.join(sets, "node"), "shingles", _forest, "a long, b long"))
 
 
 def _rest(tiles: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a token and that the signatures cannot rule out."""
+    """Pairs (a, b) of different components that share a token and that the signatures cannot rule out.
+
+    Of a block with many such pairs, its rows: the node as a, no b, and the block and all they are compared by.
+    """
     sized = found.join(found.groupBy("component").agg(F.count("*").alias("size")), "component")
     band = F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int")
     mark = F.xxhash64("node")
@@ -301,7 +401,8 @@ def _rest(tiles: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     # a token with few rows is dealt once, and everything about it is found where its rows are
     token, tile = Window.partitionBy("token"), Window.partitionBy("token", "tile")
     few = placed(tiles.where(F.col("crowd") <= CROWD)).withColumns({"low": F.min("group").over(token), "high": F.max("group").over(token)})
-    few = tiled(few.where("low <> high")).withColumns({c: f.over(tile) for c, f in aggregates.items()})
+    few = tiled(few.where("low <> high")).withColumn("least", F.min(F.when(F.col("own"), F.col("n"))).over(tile))
+    few = few.where(F.col("own") | (SIMILAR[1] * F.col("n") >= SIMILAR[0] * F.col("least"))).withColumns({c: f.over(tile) for c, f in aggregates.items()})
     rows = few.where("low <> high and any_own").select(*columns)
     crowded = tiles.where(F.col("crowd").isNull() | (F.col("crowd") > CROWD))
     if not crowded.isEmpty():  # the rows of such a token may be split in every step
@@ -313,9 +414,12 @@ def _rest(tiles: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     rows = materialise(rows.groupBy("home", "tile", "node").agg(*[F.first(c).alias(c) for c in ("n", "group", "size", "own")]), "jaccard-rest")
     # the largest component of a tile needs no comparison with itself: its nodes are dealt over blocks once, and only
     # the other nodes go to each of these blocks
-    parts = rows.groupBy("home", "tile", "group").agg(F.count("*").alias("members"), F.first("size").alias("size"))
-    parts = parts.groupBy("home", "tile").agg(F.max_by(F.struct("group", "members"), F.struct("size", "group")).alias("main"), F.sum("members").alias("all"))
-    blocks = parts.select("home", "tile", F.col("main.group").alias("main"), F.ceil(F.col("main.members") / BLOCK).cast("int").alias("n_main"), F.ceil((F.col("all") - F.col("main.members")) / BLOCK).cast("int").alias("n_rest"))
+    parts = rows.groupBy("home", "tile", "group").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"), F.first("size").alias("size"))
+    main = F.max_by(F.struct("group", "members", "shingles"), F.struct("size", "group")).alias("main")
+    parts = parts.groupBy("home", "tile").agg(main, F.sum("members").alias("members"), F.sum("shingles").alias("shingles"))
+    cut = lambda members, shingles: F.ceil(F.greatest(members / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+    of_rest = cut(F.col("members") - F.col("main.members"), F.col("shingles") - F.col("main.shingles"))
+    blocks = parts.select("home", "tile", F.col("main.group").alias("main"), cut(F.col("main.members"), F.col("main.shingles")).alias("n_main"), of_rest.alias("n_rest"))
     rows = rows.join(blocks.where("n_rest > 0"), ["home", "tile"]).join(nodes.select("node", "bits"), "node")
     is_main = F.col("group") == F.col("main")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.when(is_main, F.col("n_main")).otherwise(F.col("n_rest"))).cast("int"))
@@ -325,31 +429,9 @@ def _rest(tiles: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     with_main = F.transform(each("n_main"), lambda m: place(0, m, F.col("block"), F.lit(1)))
     with_rest = F.transform(each("n_rest"), lambda o: place(1, F.least(F.col("block"), o), F.greatest(F.col("block"), o), F.col("block")))
     rows = rows.withColumn("place", F.explode(F.when(is_main, of_main).otherwise(F.concat(with_main, with_rest))))
-    key = ["home", "tile", "side", "i", "j"]
     rows = rows.select("home", "tile", "place.side", "place.i", "place.j", "node", "n", "group", "own", "place.part", "bits")
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(held):
-            nodes_, sizes, groups, own, parts_, bits = zip(*(r[5:] for r in held), strict=True)
-            cross = held[0][2] == 0 or held[0][3] != held[0][4]
-            return _compare(nodes_, np.array(sizes), np.array(groups), np.array(own), np.array(parts_), bits, cross)
-
-        held: list[tuple] = []
-        out: list[tuple] = []
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in (*key, "node", "n", "group", "own", "part", "bits")), strict=True):
-                if held and held[0][:5] != row[:5]:
-                    out += pairs(held)
-                    held = []
-                held.append(row)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*set(out), strict=True)], ["a", "b"])
-                out = []
-        if held and (out := list(pairs(held))):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
-
-    dealt = rows.repartition(*key).sortWithinPartitions(*key, "node")
-    return dealt.mapInArrow(scan.released(task), "a long, b long").distinct()
+    handed = "a long, b long, home long, tile long, side long, i long, j long, n long, group long, own boolean, part long"
+    return _in_blocks(rows, "bits", _screened, handed).distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -382,5 +464,5 @@ def classes(documents: DataFrame, row: str | None = None) -> DataFrame:
     found = materialise(components(first), "jaccard-components")
     rest = materialise(_rest(tiles, nodes, found), "jaccard-pairs")
     if not rest.isEmpty():
-        found = materialise(components(first.unionAll(_verified(rest, docs))), "jaccard-components")
+        found = materialise(components(first.unionAll(_found(rest, docs))), "jaccard-components")
     return signatures.join(found, "node", "left").select("doc_id", "text_hash", "row", "n", F.coalesce("component", "node").alias("class"))

@@ -89,6 +89,44 @@ def test_frequent_shingles_and_many_blocks_change_nothing(spark, monkeypatch):
     assert cases.collected(jaccard.near_duplicates(cases.documents(spark, rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("crowd", [1, jaccard.CROWD])
+def test_near_copies_are_verified_in_their_block_not_as_all_their_pairs(spark, monkeypatch, crowd):
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    kept, keep = {}, jaccard.materialise
+
+    def noted(df, name):
+        kept[name] = keep(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(jaccard, "materialise", noted)
+    rng = random.Random(12)
+    base = cases.prose(rng, 40).split()
+    texts = []
+    for i in range(240):  # likeness of two copies is close to the limit, on either side
+        words = list(base)
+        words[rng.randrange(2, 6)] = f"left{i % 60}"
+        words[rng.randrange(34, 38)] = f"right{i // 4}"
+        texts.append(" ".join(words))
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(300, cases.prose(rng, 30), "en", "s", 1)]
+    assert cases.collected(jaccard.near_duplicates(cases.documents(spark, rows))) == brute(rows)
+    assert kept["jaccard-pairs"].count() <= 2 * kept["jaccard-rest"].count()
+
+
+def test_a_block_hands_on_no_more_than_twice_its_rows():
+    rng = np.random.default_rng(13)
+    base = rng.integers(0, 1 << 62, 100).astype(np.uint64)
+    sets = [np.unique(np.concatenate((base[:86], rng.integers(0, 1 << 62, 14).astype(np.uint64)))) for _ in range(60)]
+    key = (5, 6, 0, 0, 0)
+    row = lambda i, value: (*key, 100 + i, len(sets[i]), i, True, i % 2, value)
+    screened = jaccard._screened([row(i, jaccard.signature(s)) for i, s in enumerate(sets)])
+    assert 0 < len(screened) <= 2 * len(sets)
+    near = [np.unique(np.concatenate((base[:96], rng.integers(0, 1 << 62, 4).astype(np.uint64)))) for _ in range(60)]
+    sets[:] = near
+    screened = jaccard._screened([row(i, jaccard.signature(s)) for i, s in enumerate(sets)])
+    assert [r[:3] for r in screened] == [(100 + i, None, 5) for i in range(60)]
+    assert len(jaccard._forest([row(i, s.tobytes()) for i, s in enumerate(sets)])) == 59
+
+
 def test_no_frequent_list_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT", 10**9)
     rows = corpus(4, 150)
