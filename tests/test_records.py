@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -92,6 +94,19 @@ def test_activity_merges_same_named_patients(spark):
     assert rows(out) == [("A", "B", "M", "w", 3, 2, 2), ("C", "D", "F", "w", 0, 0, 0)]
 
 
+def test_patient_activity_numbers_name_groups(spark):
+    patients = spark.createDataFrame(
+        [("1", "A", None, "M", "w"), ("2", "A", None, "M", "w"), ("1", "C", "D", "F", "w"), (None, "E", "F", "F", "w"), ("1", "A", None, "M", "w")],
+        "id string, first string, last string, gender string, race string",
+    )
+    encounters = spark.createDataFrame([("a", "1"), ("b", "2"), ("a", "2"), ("c", "9"), ("d", None)], "id string, patient string")
+    codes = spark.createDataFrame([("1", "x"), ("2", "x"), ("2", None)], "patient string, code string")
+    out = analytics.patient_activity(patients, encounters, codes, codes)
+    assert rows(out) == [("A", None, "M", "w", 2, 1, 1), ("C", "D", "F", "w", 1, 1, 1), ("E", "F", "F", "w", 0, 0, 0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(first[^)]*value", plan)  # the names do not go with every value
+
+
 def test_step_status(spark):
     events = spark.createDataFrame(
         [(1, 1, "clean_claims", "TaskStateEntered"), (1, 2, "clean_claims", "TaskStateExited"), (1, 3, "forecast_claims", "TaskTimedOut"), (1, 4, "clean_claims", "Other")],
