@@ -21,7 +21,7 @@ def parse_date(c: Column) -> Column:
 
 def iso8601(c: Column) -> Column:
     """Canonical ISO timestamp text, a zero offset written as ``Z``; null when blank or invalid."""
-    return bind(strip(c.cast("string")), lambda text: F.when(F.length(text) == 10, _midnight(text)).otherwise(_timestamp(text)))
+    return bind(strip(c.cast("string")), lambda text: F.when(F.length(text) == 10, _midnight(text)).when(F.length(text) > 10, _timestamp(text)))
 
 
 def _midnight(day: Column) -> Column:

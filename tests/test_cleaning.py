@@ -64,6 +64,12 @@ def test_date_parsing(spark):
     assert [r.v for r in df.collect()] == expected
 
 
+def test_iso8601_of_short_texts(spark):
+    texts = ["", " ", "2024", "2024-01-1", " 2024-01-1 ", "2024-01-01T", "2024-01-01T08:30"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string").select(iso8601(F.col("x")).alias("v"))
+    assert [r.v for r in df.collect()] == [None] * 6 + ["2024-01-01T08:30:00"]
+
+
 def test_iso8601(spark):
     cases = {
         "2020-01-02": "2020-01-02T00:00:00", "2020-01-02T03:04:05Z": "2020-01-02T03:04:05Z",
