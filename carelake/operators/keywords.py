@@ -2,7 +2,7 @@
 
 Documents are dealt into parts of bounded size. The index holds, per part, one row a term with the documents that hold it and how
 often, in folders by a hash of the term, and one row that names the documents and their lengths; a second table has a row per term
-with its document count and weight. Terms of a text are split once, and no posting is a row of its own.
+with its document count and weight. Terms of a text are split once, as Arrow arrays of its part, and no posting is a row of its own.
 
 A search reads the term folders it is asked for, brings the asked terms of a part together, and streams the stored questions past
 it in blocks: a question's scores are sums over the lists of its terms in arrays of the part's size, of which the ``k`` best go on.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from carelake.functions.text import words
+from carelake.functions.text import SPACE_CODES, words
 from carelake.session import materialise
 from carelake.sources.blocks import blocks, stored
 
@@ -39,6 +39,7 @@ BLOCK_QUESTIONS = 1_024
 DIGITS = 9
 
 _COLUMNS = "kind string, avg_length double"
+_SPACES = "[" + "".join(f"\\x{{{c:x}}}" for c in SPACE_CODES) + "]"
 
 
 def tokens(text: Column) -> Column:
@@ -46,6 +47,27 @@ def tokens(text: Column) -> Column:
     return words(F.lower(text))
 
 
+def split_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts, one after the other, and how many each text has; the same words as ``words`` gives.
+
+    Texts are cut at single spaces, and only distinct runs between them are looked at for other white space.
+    """
+    lists = pc.split_pattern(texts, " ")
+    runs = lists.flatten().dictionary_encode()
+    pieces = pc.split_pattern_regex(runs.dictionary, _SPACES)
+    found = pieces.flatten()
+    filled = np.asarray(pc.binary_length(found)) > 0
+    words_of = found.filter(pa.array(filled)).dictionary_encode()
+    # places of a run's words among those of all distinct runs, then of all runs in the order of the texts
+    ends = np.append(0, np.cumsum(filled))[np.append(0, np.cumsum(np.asarray(pc.list_value_length(pieces), dtype=np.int64)))]
+    run = np.asarray(runs.indices)
+    sizes = np.diff(ends)[run]
+    total = np.append(0, np.cumsum(sizes))
+    codes = np.asarray(words_of.indices)[np.repeat(ends[:-1][run] - total[:-1], sizes) + np.arange(total[-1])]
+    lengths = np.diff(total[np.append(0, np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64)))])
+    return pa.DictionaryArray.from_arrays(pa.array(codes, pa.int32()), words_of.dictionary), lengths
+
+
 def corpus_bm25_stats(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Keyword statistics: (document count, mean length) as one row, and document frequency per term.
 
@@ -75,27 +97,27 @@ def build(docs: DataFrame, path: str, buckets: int = TERM_BUCKETS, block: int =
     longer document.
     """
     spark = docs.sparkSession
-    split = docs.filter(F.col("text").isNotNull()).select("id", tokens(F.col("text")).alias("tokens"))
+    lowered = docs.filter(F.col("text").isNotNull()).select("id", F.lower("text").alias("text"))
     kind = f"part long, term string, size int, docs array<int>, freqs array<int>, ids array<{docs.schema['id'].dataType.simpleString()}>"
     arrow = to_arrow_schema(StructType.fromDDL(kind))
 
-    def listed(held: list[pa.RecordBatch], part: int) -> pa.RecordBatch:
+    def listed(held: list[tuple[pa.Array, pa.DictionaryArray, np.ndarray]], part: int) -> pa.RecordBatch:
         """The lists of one part, by term, and its documents in a row without a term."""
-        table = pa.Table.from_batches(held).combine_chunks()
-        ids, texts = (table.column(i).combine_chunks() for i in (0, 1))
-        n, lengths = len(ids), np.asarray(pc.list_value_length(texts), dtype=np.int64)
-        words_of = texts.flatten().dictionary_encode()
+        ids, lengths = pa.concat_arrays([h[0] for h in held]), np.concatenate([h[2] for h in held])
+        n, words_of = len(ids), pa.chunked_array([h[1] for h in held]).unify_dictionaries().combine_chunks()
         # equal (term, document) keys stand side by side
         keys = np.sort(words_of.indices.to_numpy().astype(np.int64) * n + np.repeat(np.arange(n), lengths))
         first = np.flatnonzero(np.diff(keys, prepend=-1))
-        sizes = np.append(np.bincount(keys[first] // n, minlength=len(words_of.dictionary)), 0)
+        sizes = np.bincount(keys[first] // n, minlength=len(words_of.dictionary))
+        # a batch that is dealt to two parts brings words that one of them lacks
+        own, sizes = np.flatnonzero(sizes), np.append(sizes[sizes > 0], 0)
         ends = np.append(0, np.cumsum(sizes))
         lists = lambda values, ends, f: pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values, arrow.field(f).type.value_type))
         none = np.zeros(len(sizes) + 1, dtype=np.int32)
         none[-1] = n
         ends_with = np.append(ends[:-1], ends[-1] + n)  # the last row has the lengths where others have frequencies
         columns = [
-            pa.array(np.full(len(sizes), part)), pa.concat_arrays([words_of.dictionary.cast(pa.string()), pa.nulls(1, pa.string())]),
+            pa.array(np.full(len(sizes), part)), pa.concat_arrays([words_of.dictionary.take(pa.array(own)).cast(pa.string()), pa.nulls(1, pa.string())]),
             pa.array(sizes.astype(np.int32)), lists(keys[first] % n, ends, "docs"),
             lists(np.append(np.diff(np.append(first, len(keys))), lengths), ends_with, "freqs"),
             pa.ListArray.from_arrays(pa.array(none), ids.cast(arrow.field("ids").type.value_type)),
@@ -106,14 +128,16 @@ def build(docs: DataFrame, path: str, buckets: int = TERM_BUCKETS, block: int =
         # numbers of a task's own; a task run again writes them anew
         part, held, room = TaskContext.get().partitionId() << 32, [], block
         for batch in batches:
-            ends = np.cumsum(np.asarray(pc.list_value_length(batch.column(1)), dtype=np.int64))
+            words_of, lengths = split_words(batch.column(1))
+            ends = np.cumsum(lengths)
             at = 0
             while at < batch.num_rows:
-                before = ends[at - 1] if at else 0
+                before = int(ends[at - 1]) if at else 0
                 stop = max(int(np.searchsorted(ends, before + room, "right")), at if held else at + 1)
                 if stop > at:
-                    held.append(batch.slice(at, stop - at))
-                    room -= int(ends[stop - 1] - before)
+                    n_words = int(ends[stop - 1]) - before
+                    held.append((batch.column(0).slice(at, stop - at), words_of.slice(before, n_words), lengths[at:stop]))
+                    room -= n_words
                     at = stop
                 if at < batch.num_rows:
                     yield listed(held, part)
@@ -121,7 +145,7 @@ def build(docs: DataFrame, path: str, buckets: int = TERM_BUCKETS, block: int =
         if held:
             yield listed(held, part)
 
-    rows = split.mapInArrow(deal, kind).withColumn("bucket", _bucket(F.col("term"), buckets))
+    rows = lowered.mapInArrow(deal, kind).withColumn("bucket", _bucket(F.col("term"), buckets))
     rows.write.partitionBy("bucket").parquet(f"{path}/postings")
     # an index of no words has no files to tell its columns
     index = spark.read.schema(f"{kind}, bucket int").parquet(f"{path}/postings")
@@ -135,7 +159,8 @@ def build(docs: DataFrame, path: str, buckets: int = TERM_BUCKETS, block: int =
     mean = idf.agg(F.avg("idf")).first()[0] or 0.0
     weight = F.when(F.col("idf") >= 0, F.col("idf")).otherwise(F.lit(EPSILON * mean))
     idf.select("term", "doc_freq", weight.alias("weight")).write.parquet(f"{path}/terms")
-    spark.createDataFrame([(f"{kind}, bucket int", avg_length)], _COLUMNS).write.parquet(f"{path}/columns")
+    columns = spark.range(0, 1, 1, 1).select(F.lit(f"{kind}, bucket int").alias("kind"), F.lit(avg_length).alias("avg_length"))
+    columns.write.parquet(f"{path}/columns")
 
 
 def _columns(spark: SparkSession, path: str) -> tuple[str, float]:

@@ -5,6 +5,7 @@ import uuid
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from hypothesis import given, settings
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from carelake.functions.text import SPACE_CODES
 from carelake.operators import corpus, interactions, keywords, retrieval
 
 # Encoders given by the caller travel with the tasks.
@@ -201,6 +203,28 @@ def test_no_pair_of_question_and_document_is_a_row(spark, tmp_path):
     assert rows(found.select("query_id", "rank", "doc_id")) == sorted(((i, r + 1, f"d{i % 3 + 3 * r:03d}") for i in range(20) for r in (0, 1)), key=repr)
 
 
+def test_words_of_whole_texts_are_split_as_arrays(spark):
+    spaces = "".join(map(chr, SPACE_CODES))
+    rng = np.random.default_rng(3)
+    letters = [*"aB ñİΣ", *spaces, "\u200b", "\u180e", "\ufeff", "  "]
+    texts = ["".join(rng.choice(letters, size=rng.integers(0, 30))) for _ in range(500)] + ["", " ", f" {spaces}x{spaces}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").orderBy("i")
+    lowered, expected = zip(*df.select(F.lower("text"), keywords.tokens(F.col("text"))).collect(), strict=True)
+    words, lengths = keywords.split_words(pa.array(lowered))
+    assert lengths.tolist() == [len(e) for e in expected]
+    assert words.to_pylist() == [w for e in expected for w in e]
+
+
+def test_index_parts_list_their_own_words_only(spark, tmp_path):
+    texts = [f"{chr(0x2003).join(['all', f'w{i}'])}\tALL x{i}" for i in range(100)]
+    d = spark.createDataFrame([(f"d{i:02d}", t) for i, t in enumerate(texts)], "id string, text string").coalesce(1)
+    keywords.build(d, str(tmp_path), block=16)
+    index = keywords.postings(spark, str(tmp_path), list(range(-1, keywords.TERM_BUCKETS)))
+    found = index.where("term IS NOT NULL").selectExpr("count(*) AS n", "min(size) AS least", "count(distinct part) AS parts").first()
+    assert tuple(found) == (25 + 200, 1, 25)  # four texts of four words a part
+    assert index.where("term = 'all'").selectExpr("flatten(collect_list(freqs)) AS f").first().f == [2] * 100
+
+
 def test_index_of_nothing(spark):
     d = spark.createDataFrame([("a", None), ("b", "")], "id string, text string")
     q = spark.createDataFrame([(1, "x")], "query_id bigint, text string")
