@@ -40,6 +40,8 @@ _BUCKETS = 18
 #: A symbol is an id below 2^16 or a nonterminal below 2^17; places of a block's symbols have 30 bits but in giant documents.
 _SYMBOL_BITS, _PLACE_BITS = 17, 30
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: In place of a bucket where a pair would span two documents.
+_CUT = 1 << _BUCKETS
 
 
 def _peaks(weight: np.ndarray) -> np.ndarray:
@@ -58,80 +60,113 @@ def _peaks(weight: np.ndarray) -> np.ndarray:
 def replace_pairs(symbols: np.ndarray, firsts: np.ndarray, round_rules: int = ROUND_RULES, least: int = LEAST):
     """(symbols, first symbol per document, rules) after Re-Pair over one block, until no pair occurs ``least`` times.
 
-    Each round counts adjacent pairs by hash bucket, and then exactly in the fullest buckets, each of which stands for its most
-    frequent pair. It replaces those occurrences that beat both neighbouring pairs in frequency, then in the same way what is
+    Adjacent pairs are counted by hash bucket once, and a round counts anew those beside its replacements. It counts exactly in the
+    fullest buckets, each of which stands for its most frequent pair. It replaces those occurrences that beat both neighbouring pairs in frequency, then in the same way what is
     left between them, so no two replacements overlap. Pairs that overlap themselves (as in a run of one symbol) count in full
     but are replaced every second time.
     """
     rules: list[np.ndarray] = []
     n_rules = 0
+    symbols = symbols.copy()
+    bucket = _bucket(symbols[:-1], symbols[1:])
+    bucket[firsts[(firsts > 0) & (firsts < len(symbols))] - 1] = _CUT
+    filled = np.bincount(bucket, minlength=_CUT + 1)
     while len(symbols) >= 2 * least and n_rules < MOST_RULES:
         room = min(round_rules, MOST_RULES - n_rules)
-        inner = np.ones(len(symbols) - 1, bool)
-        cuts = firsts[(firsts > 0) & (firsts < len(symbols))] - 1
-        inner[cuts] = False
-        pair = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        bucket = ((pair * _ODD) >> np.uint64(64 - _BUCKETS)).astype(np.int32)
-        filled = np.bincount(bucket[inner], minlength=1 << _BUCKETS)
         # more buckets are counted exactly than there is room for rules, as a full one may hold rare pairs alone
-        full = np.flatnonzero(filled >= least)
-        pairs, leads, at, which = _leaders(pair, bucket, inner, filled, full[np.argsort(-filled[full], kind="stable")[: 2 * round_rules]])
+        full = np.flatnonzero(filled[:_CUT] >= least)
+        if not len(full):
+            break
+        leads, starts, at = _leaders(symbols, bucket, full[np.argsort(-filled[full], kind="stable")[: 2 * round_rules]])
         if len(full) > 2 * round_rules and not (leads >= least).any():
-            pairs, leads, at, which = _leaders(pair, bucket, inner, filled, full)
+            leads, starts, at = _leaders(symbols, bucket, full)
         kept = np.argsort(-leads, kind="stable")[:room]
         kept = kept[leads[kept] >= least]
         if not len(kept):
             break
-        number = np.full(len(pairs), -1, np.int64)
-        number[kept] = np.arange(len(kept))
-        pairs, leads = pairs[kept], leads[kept]
-        which = number[which]
-        at, which = at[which >= 0], which[which >= 0]
-        weight = np.zeros(len(pair), np.int64)
-        weight[at] = leads[which]
-        rule_at = np.zeros(len(pair), np.int32)
-        rule_at[at] = which
-        wins = _peaks(weight)
-        for beside in (wins, wins - 1, wins + 1):
-            weight[beside[(beside >= 0) & (beside < len(weight))]] = 0
-        wins = np.sort(np.concatenate((wins, _peaks(weight))))
-        used = np.flatnonzero(np.bincount(rule_at[wins], minlength=len(pairs)))
+        leads, starts = leads[kept], starts[kept]
+        pairs = np.stack((symbols[at[starts]], symbols[at[starts] + 1]), axis=1).astype(np.uint32)
+        ends = np.cumsum(leads)
+        places = at[np.repeat(starts - ends + leads, leads) + np.arange(ends[-1])]
+        # a pair has 16 bits here, and its place the others
+        places = np.sort((places << 16) | np.repeat(np.arange(len(kept)), leads))
+        places, which = places >> 16, places & 0xFFFF
+        chosen = _winners(places, leads[which])
+        wins, rule = places[chosen], which[chosen]
+        used = np.flatnonzero(np.bincount(rule, minlength=len(pairs)))
         number = np.zeros(len(pairs), np.int64)
         number[used] = np.arange(len(used))
-        rule, pairs = number[rule_at[wins]], pairs[used]
-        rules.append(np.stack((pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)), axis=1).astype(np.uint32))
-        symbols = symbols.copy()
-        symbols[wins] = (NONTERMINAL + n_rules + rule).astype(np.uint32)
+        rules.append(pairs[used])
+        symbols[wins] = (NONTERMINAL + n_rules + number[rule]).astype(np.uint32)
         n_rules += len(used)
         gone = wins + 1
         firsts = firsts - np.searchsorted(gone, firsts)
-        symbols = np.delete(symbols, gone)
+        # a replaced pair goes, and those beside it are pairs of the new symbol; the others and their buckets stay as they are
+        before = bucket[wins]
+        left = np.ones(len(symbols), bool)
+        left[gone] = False
+        symbols = symbols[left]
+        bucket = bucket[left[1:]]  # of a replaced pair, the symbol after its place is gone
+        now = wins - np.arange(len(wins))
+        beside = np.stack((now - 1, now), axis=1).ravel()
+        beside = beside[np.append(beside[1:] > beside[:-1], True) & (beside >= 0) & (beside < len(bucket))]
+        beside = beside[bucket[beside] != _CUT]
+        filled -= np.bincount(np.concatenate((before, bucket[beside])), minlength=_CUT + 1)
+        after = bucket[beside] = _bucket(symbols[beside], symbols[beside + 1])
+        filled += np.bincount(after, minlength=_CUT + 1)
     return symbols, firsts, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
-def _leaders(pair: np.ndarray, bucket: np.ndarray, inner: np.ndarray, filled: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The most frequent pair of each bucket in ``full`` and its count, the places of these pairs, and which of them each is."""
-    number = np.full(1 << _BUCKETS, -1, np.int32)
+def _bucket(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash buckets of pairs, as the numbers that numpy indexes by."""
+    pair = (left.astype(np.uint64) << np.uint64(32)) | right
+    return ((pair * _ODD) >> np.uint64(64 - _BUCKETS)).astype(np.intp)
+
+
+def _winners(places: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of ascending ``places`` beat both neighbours by weight, and then what is left between those that do."""
+    wins = _beat(places, weight)
+    beside = np.diff(places, prepend=-2, append=places[-1] + 2) == 1  # whether the place before is a neighbour
+    left = np.ones(len(places), bool)
+    left[wins] = False
+    left[wins[beside[wins]] - 1] = False
+    left[wins[beside[wins + 1]] + 1] = False
+    left = np.flatnonzero(left)
+    return np.sort(np.concatenate((wins, left[_beat(places[left], weight[left])])))
+
+
+def _beat(places: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of ascending ``places`` are local maxima, with no weight at all others."""
+    # places side by side stay so, and a place of no weight stands before each run of them
+    slot = np.arange(len(places)) + np.cumsum(np.diff(places, prepend=-2) != 1)
+    dense = np.zeros(slot[-1] + 2 if len(slot) else 1, np.int32)
+    dense[slot] = weight
+    which = np.zeros(len(dense), np.int32)
+    which[slot] = np.arange(len(slot))
+    return which[_peaks(dense)]
+
+
+def _leaders(symbols: np.ndarray, bucket: np.ndarray, full: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Count of the most frequent pair of each bucket in ``full``, where its places begin in the third array, and places by pair."""
+    number = np.full(_CUT + 1, -1, np.int32)
     number[full] = np.arange(len(full))
-    at = np.flatnonzero(inner & (number[bucket] >= 0))
-    if len(pair) <= 1 << _PLACE_BITS:  # a pair and its place in one number, which sorts several times as fast as by an index
-        packed = (pair[at] >> np.uint64(32) << np.uint64(_SYMBOL_BITS)) | (pair[at] & np.uint64(0xFFFFFFFF))
-        packed = np.sort((packed << np.uint64(_PLACE_BITS)) | at.astype(np.uint64))
+    at = np.flatnonzero((number >= 0)[bucket])
+    held = (symbols[at].astype(np.uint64) << np.uint64(_SYMBOL_BITS)) | symbols[at + 1]
+    if len(symbols) <= 1 << _PLACE_BITS:  # a pair and its place in one number, which sorts several times as fast as by an index
+        packed = np.sort((held << np.uint64(_PLACE_BITS)) | at.astype(np.uint64))
         at = (packed & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
-        held = pair[at]
+        held = packed >> np.uint64(_PLACE_BITS)
     else:
-        order = np.argsort(pair[at], kind="stable")
-        at, held = at[order], pair[at[order]]
-    starts = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1]))) if len(held) else np.zeros(0, np.int64)
+        order = np.argsort(held, kind="stable")
+        at, held = at[order], held[order]
+    starts = np.flatnonzero(np.concatenate(([True], held[1:] != held[:-1])))
     count = np.diff(np.append(starts, len(held)))
-    owner = number[bucket[at[starts]]]
-    best = np.lexsort((-starts, count))  # the last one written wins: the largest count, then the smallest pair
+    # the last one written wins: the largest count, then the smallest pair
+    last = len(starts) - 1
+    best = last - (np.sort((count << 32) | (last - np.arange(len(starts)))) & 0xFFFFFFFF)
     leader = np.zeros(len(full), np.int64)
-    leader[owner[best]] = best
-    chosen = np.zeros(len(starts), bool)
-    chosen[leader] = True
-    mine = np.repeat(chosen, count)
-    return held[starts[leader]] if len(starts) else np.zeros(0, np.uint64), count[leader] if len(starts) else np.zeros(0, np.int64), at[mine], np.repeat(owner, count)[mine]
+    leader[number[bucket[at[starts[best]]]]] = best
+    return count[leader], starts[leader], at
 
 
 def expansion_lengths(rules: np.ndarray) -> np.ndarray:
@@ -153,8 +188,10 @@ def encode_block(doc_ids: list, parts: list[np.ndarray], round_rules: int = ROUN
         firsts.astype("<u8").tobytes(),
         first_ids.astype("<u8").tobytes(),
     ]
+    # Re-Pair leaves few repeats, so symbols are deflated by their frequencies alone, which takes less than half the time
+    deflate = zlib.compressobj(1, strategy=zlib.Z_HUFFMAN_ONLY)
     packed = [
-        zlib.compress((symbols & 0xFFFF).astype("<u2").tobytes() + np.packbits(symbols >> 16 != 0).tobytes(), 1),
+        deflate.compress((symbols & 0xFFFF).astype("<u2").tobytes() + np.packbits(symbols >> 16 != 0).tobytes()) + deflate.flush(),
         zlib.compress(table.astype("<u4").tobytes(), 1),
         zlib.compress(b"".join(index), 1),
     ]

@@ -1,9 +1,11 @@
 """Token operators: unit encoding, packing, token counts and Re-Pair files against the library."""
 
+import io
 import os
 import random
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -202,6 +204,26 @@ def test_pairs_sort_alike_with_places_of_any_width(monkeypatch):
     assert repair.encode_block([1, 2, 3], parts) == packed
 
 
+@pytest.mark.parametrize("vocabulary", [1, 3, 40, 2000])
+def test_rounds_count_only_pairs_beside_replacements(vocabulary, monkeypatch):
+    rng = np.random.default_rng(vocabulary)
+    parts = [rng.integers(0, vocabulary, n).astype(np.uint32) for n in rng.integers(1, 300, 200)]
+    parts = [np.concatenate((p, p[: len(p) // 2])) for p in parts]
+    hashed, bucket = [], repair._bucket
+    monkeypatch.setattr(repair, "_bucket", lambda left, right: hashed.append(len(left)) or bucket(left, right))
+    ids = np.concatenate(parts)
+    symbols, firsts, _ = repair.replace_pairs(ids, np.cumsum([0] + [len(p) for p in parts[:-1]]), least=4)
+    # all pairs once, then two for each pair replaced, of which every one leaves one symbol less
+    assert hashed[0] == len(ids) - 1 and sum(hashed[1:]) <= 2 * (len(ids) - len(symbols))
+    left = Counter()
+    for a, b in zip(firsts, [*firsts[1:], len(symbols)], strict=True):
+        left.update(zip(symbols[a : b - 1].tolist(), symbols[a + 1 : b].tolist(), strict=True))
+    assert not [p for p, n in left.items() if n >= 4]
+    decoded = [d.tolist() for block in repair.blocks(io.BytesIO(repair.encode_block([*range(200)], parts))) for d in block.documents()]
+    assert decoded == [p.tolist() for p in parts]
+
+
+
 def test_a_late_attempt_leaves_the_committed_file(tmp_path, monkeypatch):
     """Attempts commit twice and die in between; a file of other bytes is replaced."""
 
