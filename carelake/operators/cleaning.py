@@ -13,6 +13,7 @@ from carelake.functions.dates import parse_date
 from carelake.functions.numbers import nullable_number
 from carelake.functions.rows import null_safe_equal, row_hash_of
 from carelake.functions.text import blank_to_null, is_missing, strip, strip_or_empty
+from carelake.session import materialise
 
 # The claims schema, in column order.
 CLAIM_TYPES = {
@@ -42,6 +43,8 @@ NUMERIC = ["unit_price", "quantity", "net_amount"]
 REQUIRED_CODES = ["claim_id", "diagnosis_code", "procedure_code"]
 CURRENCY = "^[A-Z]{3}$"
 DEFAULT_CURRENCY = "USD"
+# Claim ids that are broadcast at most.
+FEW_IDS = 100_000
 # Types whose text tells their values apart.
 _PLAIN = (StringType, IntegralType, FloatType, DoubleType, BooleanType, DateType, TimestampNTZType)
 
@@ -201,6 +204,52 @@ def quality_report(raw: DataFrame, by: Sequence[str] = (), order_by: Sequence[st
     return report_from_verdicts(claim_verdicts(raw, by, order_by), by)
 
 
+def stored_quality_report(raw: DataFrame, by: Sequence[str]) -> DataFrame:
+    """:func:`quality_report` per ``by`` group of rows that are stored, and so may be read twice, without shuffling whole claims.
+
+    A claim id whose valid rows all give the same answers counts the same whichever of them is first, so the rows are shuffled as
+    the id and the row's answers alone. Ids whose rows differ are noted, and only their rows are read again for the kept claim.
+    """
+    late = ["dropped_missing_codes", "corrected_currency", "rows_amount_mismatch", "dropped_invalid_dates", "clean_rows"]
+    early = {n: f"dropped_{n}" for n in ("missing_date", "invalid_numerics", "non_positive_qty")}
+    rows = standardise(raw).withColumns({"reason": _reject_reason(), "claim": F.struct(*CLAIM_COLUMNS)})
+    answers = F.when(F.col("reason").isNull(), _answers())
+    ids = rows.select(*by, F.col("claim_id").alias("key_id"), "reason", answers.alias("answers")).groupBy(*by, "key_id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[F.count_if(F.col("reason") == n).alias(n) for n in early],
+        F.min("answers").alias("answers"),
+        (F.min("answers") != F.max("answers")).alias("differ"),
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    valid = F.col("n_rows") - sum((F.col(n) for n in early), F.lit(0))
+    alike = F.when(~F.col("differ"), F.col("answers"))
+    # one row per group, and one per id whose rows differ
+    counts = ids.groupBy(*by, F.when(F.col("differ"), F.col("key_id")).alias("asked_id")).agg(
+        total(F.col("n_rows")).alias("original_rows"),
+        *[total(F.col(n)).alias(name) for n, name in early.items()],
+        (total(valid) - F.count("answers")).alias("dropped_duplicate_claims"),
+        *[F.count_if(alike.bitwiseAND(F.lit(1 << i)) != 0).alias(n) for i, n in enumerate(late)],
+    )
+    counts = materialise(counts, "claim-counts")
+    asked = counts.filter(F.col("asked_id").isNotNull()).select(*by, "asked_id")
+    if n := asked.count():
+        side = F.broadcast(asked) if n <= FEW_IDS else asked
+        same = null_safe_equal("r", "a", by) & (strip_or_empty(F.col("r.claim_id")) == F.col("a.asked_id"))
+        kept = quality_report(raw.alias("r").join(side.alias("a"), same, "left_semi"), by).select(*by, *late)
+        counts = counts.unionByName(kept, allowMissingColumns=True)
+    report = [c for c in counts.columns if c not in (*by, "asked_id")]
+    return counts.groupBy(*by).agg(*[total(F.col(n)).alias(n) for n in report])
+
+
+def _answers() -> Column:
+    """What the report asks of a valid row as bits: codes missing, currency corrected, amounts differ, bad date, clean."""
+    found = F.coalesce(_late_reject(), F.lit("clean"))
+    coded = ~_codes_missing("claim")
+    mismatch = amount_mismatch(F.col("net_amount"), F.col("unit_price"), F.col("quantity"))
+    bits = [found == "missing_codes", coded & bad_currency(F.col("currency")), coded & mismatch, found == "invalid_date", found == "clean"]
+    return sum((F.when(b, F.lit(1 << i)).otherwise(F.lit(0)) for i, b in enumerate(bits)), F.lit(0))
+
+
 def drop_any_blank(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Trim every cell and keep only rows without a blank or missing field."""
     names = list(cols or df.columns)

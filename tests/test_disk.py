@@ -5,6 +5,8 @@ import time
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
+from test_cleaning import claims
 
 from carelake.operators import cleaning
 from carelake.plans import domain, lake_queries
@@ -57,3 +59,36 @@ def test_stream_clean_csv_keeps_no_shuffles_and_little_text(spark, tables, tmp_p
     assert size(f"{tmp_path}/arrivals", "part-") < size(text, "part-") / 2
     assert rows(found) == expected and len(expected) > 1000
     assert len(domain.claim_slices(spark, tables)) == domain.SLICES
+
+
+def test_claim_files_report_keeps_no_shuffles_and_little_text(spark, tables, tmp_path):
+    text = f"{tmp_path}/text"
+    given_claims(spark, tables).write.csv(text)
+    before = shuffled(spark)
+    found = lake_queries.QUERIES["claim_files_report"](spark, tables)
+    assert shuffled(spark, before) <= before
+    assert size(f"{tmp_path}/claim-files", "part-") < size(text, "part-") / 2
+    counts = given_claims(spark, tables).groupBy(F.substring("priority", 1, 1)).count()
+    assert rows(found.select("file", "original_rows")) == rows(counts) and counts.count() == 5
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_a_stored_report_reads_whole_claims_of_disputed_ids_alone(spark, monkeypatch, few):
+    """Rows of an id that differ in what is counted or not, ids in several files or in none, files without valid rows."""
+    monkeypatch.setattr(cleaning, "FEW_IDS", few, raising=False)
+    odd = [
+        {}, {}, {"patient_id": "q"}, {"claim_id": " c1 ", "patient_id": "a", "service_date": "2024-02-30"},
+        {"claim_id": "2", "currency": "us"}, {"claim_id": "2", "currency": None, "net_amount": "7"},
+        {"claim_id": "3", "diagnosis_code": None, "patient_id": "b"}, {"claim_id": "3", "currency": "x", "patient_id": "c"},
+        {"claim_id": None}, {"claim_id": "", "diagnosis_code": "nan"}, {"claim_id": "nan"},
+        {"claim_id": "4", "quantity": "0"}, {"claim_id": "4", "quantity": "x"}, {"claim_id": "4", "service_date": " "},
+        {"claim_id": "5", "net_amount": "1e999"}, {"claim_id": "5", "service_date": "soon"}, {"claim_id": "5"},
+    ]
+    raw = claims(spark, *odd).withColumn("file", F.lit("a"))
+    raw = raw.unionByName(claims(spark, *odd[3:9]).withColumn("file", F.lit(None).cast("string")))
+    raw = raw.unionByName(claims(spark, *odd[11:14]).withColumn("file", F.lit("c"))).repartition(5)
+    found, expected = cleaning.stored_quality_report(raw, ["file"]), cleaning.quality_report(raw, ["file"])
+    assert found.columns == expected.columns and found.dtypes == expected.dtypes
+    assert rows(found) == rows(expected) and found.count() == 3
+    narrow = cleaning.stored_quality_report(raw.limit(0), ["file"])
+    assert narrow.columns == expected.columns and narrow.count() == 0
