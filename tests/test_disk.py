@@ -10,6 +10,8 @@ from test_cleaning import claims
 
 from carelake.operators import cleaning
 from carelake.plans import domain, lake_queries
+from carelake.session import held
+from carelake.streaming import files
 
 TABLES = {
     "customer": "id AS c_custkey, concat('C', id) AS c_name FROM range(50)",
@@ -92,3 +94,50 @@ def test_a_stored_report_reads_whole_claims_of_disputed_ids_alone(spark, monkeyp
     assert rows(found) == rows(expected) and found.count() == 3
     narrow = cleaning.stored_quality_report(raw.limit(0), ["file"])
     assert narrow.columns == expected.columns and narrow.count() == 0
+
+
+def test_stream_clean_claims_keeps_digests_and_no_sources(spark, tables, tmp_path):
+    given = given_claims(spark, tables)
+    name = F.concat(F.trim("patient_name"), F.lit(" corrected"))
+    corrected = given.filter(F.substring_index("claim_id", "-", 1).cast("bigint") % 6 == 0).withColumn("patient_name", name)
+    expected = cleaning.clean_claims(given).unionByName(cleaning.clean_claims(corrected))
+    before = shuffled(spark)
+    found = lake_queries.QUERIES["stream_clean_claims"](spark, tables)
+    assert shuffled(spark, before) <= before
+    assert rows(found) == rows(expected) and found.count() > 1000
+    # a digest a claim; neither the files that arrived nor cleaned rows a second time
+    assert not os.path.exists(f"{tmp_path}/arrivals")
+    assert {f for _, _, names in os.walk(f"{tmp_path}/state") for f in names if f.endswith((".parquet", ".sst", ".zip"))} == {
+        f for _, _, names in os.walk(f"{tmp_path}/state/known") for f in names if f.endswith(".parquet")
+    }
+    assert spark.read.parquet(f"{tmp_path}/state/known").count() == found.count()
+
+
+def test_a_repeated_batch_of_claims_overwrites_its_own_rows(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    run = lambda: files.stream_clean_claims(files.csv_stream(spark, source, cleaning.CLAIM_COLUMNS), out, state).awaitTermination()
+    read = lambda: rows(spark.read.parquet(out).select("claim_id", "patient_id", "batch"))
+    claims(spark, {}, {"claim_id": "2"}).write.option("header", True).csv(source)
+    run()
+    claims(spark, {}, {"patient_id": "q"}, {"claim_id": "2", "net_amount": "-0"}).write.mode("append").option("header", True).csv(source)
+    run()
+    # the first of c1 is the stored one, so its other row is none
+    expected = [("2", "p", 0), ("2", "p", 1), ("c1", "p", 0)]
+    assert read() == expected
+    for name in ("1", ".1.crc"):  # as if it had died before it was noted as done
+        os.remove(f"{state}/cleaning/commits/{name}")
+    run()
+    assert read() == expected
+
+
+def test_new_claims_are_shuffled_once(spark):
+    raw = claims(spark, {}, {"claim_id": "2"}, {"claim_id": "3", "net_amount": "-0"}, {"claim_id": "4"}, {"claim_id": None})
+    known = cleaning.clean_claims(claims(spark, {}, {"claim_id": "3", "net_amount": "0"}, {"claim_id": "4", "priority": None}))
+    known = known.select("claim_id", cleaning.claim_digest().alias("digest"))
+    with held(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"), held(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        found = cleaning.new_claims(raw, known)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert rows(found.select("claim_id", "priority")) == [("2", "normal"), ("4", "normal")]
+    # the claims once; the known claims for their own keep-first and for the digests
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert found.dtypes == cleaning.clean_claims(raw).dtypes
