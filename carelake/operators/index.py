@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyarrow import fs
@@ -18,30 +18,39 @@ from pyspark.sql import types as T
 
 from carelake.functions.rows import null_safe_equal
 from carelake.operators.retrieval import embed
-from carelake.session import materialise
+from carelake.session import materialise, shuffles_freed
 from carelake.sources.blocks import resolve
 
 # Rows a bucket is laid out for; the number of buckets stays between the two bounds, beyond which buckets hold more rows.
 BUCKET_ROWS = 1 << 16
 _BUCKETS = (16, 1 << 14)
 _PLACE = ["bucket", "shard"]
+# Keys that are broadcast at most.
+_FEW_KEYS = 100_000
 
 Encoder = Callable[[list[str]], np.ndarray]
 
 
-def create(docs: DataFrame, encoder: Encoder, path: str, indexed_at: str, route: str = "id", buckets: int | None = None) -> None:
+def create(docs: DataFrame | Sequence[DataFrame], encoder: Encoder, path: str, indexed_at: str, route: str = "id", buckets: int | None = None) -> None:
     """Write a new index of ``id, text, shard`` and any other columns, encoding each document once.
 
     ``route`` is the SQL expression whose hash names a document's bucket. By id, an update reads and writes the buckets of its
     ids alone; by what updates come in (a patient, say), their documents share a bucket, and an update looks its ids up in the
-    id column of the whole index first. Rows may share an id; null is an id like others; an empty shard is null.
+    id column of the whole index first. Rows may share an id; null is an id like others; an empty shard is null. Documents given
+    in several parts are written part by part, so that disk holds the shuffles of one part beside the index.
     """
-    if buckets is None:
-        buckets = min(_BUCKETS[1], max(_BUCKETS[0], math.ceil(docs.count() / BUCKET_ROWS)))
-    rows = _encoded(_keyed(docs, route, buckets), encoder, indexed_at)
-    docs.sparkSession.createDataFrame([(buckets, route, rows.schema.json())], "buckets int, route string, schema string").write.parquet(f"{path}/layout")
-    # rows of a place meet, so folders hold few files; places beyond the advised partition size are split again
-    _write(rows.hint("rebalance", *_PLACE), path)
+    parts = [docs] if isinstance(docs, DataFrame) else list(docs)
+    spark = parts[0].sparkSession
+    with shuffles_freed(spark):
+        if buckets is None:
+            buckets = min(_BUCKETS[1], max(_BUCKETS[0], math.ceil(sum(part.count() for part in parts) / BUCKET_ROWS)))
+        # rows of a place meet, so folders hold few files; places beyond the advised partition size are split again. Texts move
+        # without their vectors, and the hash of a text, which takes as much room as a short one, follows from it
+        places = [_keyed(part, route, buckets).drop("text_hash").hint("rebalance", *_PLACE) for part in parts]
+        rows = [_encoded(part, encoder, indexed_at) for part in places]
+        spark.createDataFrame([(buckets, route, rows[0].schema.json())], "buckets int, route string, schema string").write.parquet(f"{path}/layout")
+        for i, part in enumerate(rows):
+            _write(part, path, "append" if i else "errorifexists")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -58,32 +67,39 @@ def update(spark: SparkSession, path: str, docs: DataFrame, encoder: Encoder, in
     by ``recover``. Readers should not read during the swap. ``docs`` is read twice, for keys and for texts, and must give the
     same rows.
     """
+    with shuffles_freed(spark):
+        _update(spark, path, docs, encoder, indexed_at)
+
+
+def _update(spark: SparkSession, path: str, docs: DataFrame, encoder: Encoder, indexed_at: str) -> None:
     recover(spark, path)
     layout = _layout(spark, path)
-    names = [f.name for f in _schema(layout) if f.name not in ("vector", "indexed_at", "encoded_at")]
+    columns = _schema(layout).names
+    names = [n for n in columns if n not in ("vector", "text_hash", "indexed_at", "encoded_at")] + ["text_hash"]
     asked = _keyed(docs, layout["route"], layout["buckets"]).select(*names)
     keys = materialise(asked.select("id", "text_hash", *_PLACE), "index-keys")
     stored = _rows(spark, path, layout)
     looked = stored.filter(F.col("bucket").isin(_numbers(keys))) if layout["route"] == "id" else stored
-    held = _semi(looked.select("id", *_PLACE), keys, ["id"]).select(*_PLACE)
+    few = keys.count() <= _FEW_KEYS
+    held = _semi(looked.select("id", *_PLACE), keys, ["id"], few=few).select(*_PLACE)
     # no more rows than the index has folders
     places = materialise(held.unionByName(keys.select(*_PLACE)).distinct(), "index-places")
     old = _semi(stored.filter(F.col("bucket").isin(_numbers(places))), places, _PLACE).filter(F.col("indexed_at").isNotNull())
 
     first = F.min("encoded_at").alias("encoded_at")
-    vectors = _semi(old.select("id", "text_hash", "vector", "encoded_at"), keys, ["id"]).groupBy("id", "text_hash").agg(F.min_by("vector", "encoded_at").alias("known"), first)
+    vectors = _semi(old.select("id", "text_hash", "vector", "encoded_at"), keys, ["id"], few=few).groupBy("id", "text_hash").agg(F.min_by("vector", "encoded_at").alias("known"), first)
     same = null_safe_equal("new", "old", ["id", "text_hash"])
     joined = asked.alias("new").join(vectors.alias("old"), same, "left").select("new.*", "old.known", "old.encoded_at")
     time = _time(indexed_at)
     fresh = embed(joined, encoder, wanted=F.col("known").isNull()).select(
         *names, F.coalesce("known", "vector").alias("vector"), time.alias("indexed_at"), F.coalesce("encoded_at", time).alias("encoded_at")
     )
-    kept = _semi(old, keys, ["id"], "left_anti")
+    kept = _semi(old, keys, ["id"], "left_anti", few)
     # Spark's swap replaces folders that get rows: one that loses its last document gets a row without a time, which read() leaves out
     filled = kept.select(*_PLACE).unionByName(keys.select(*_PLACE))
     merged = kept.unionByName(fresh).unionByName(_semi(places, filled, _PLACE, "left_anti"), allowMissingColumns=True)
-    pending = merged.hint("rebalance", *_PLACE).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    pending.partitionBy(*_PLACE).parquet(f"{path}/pending")
+    pending = merged.select(*columns).hint("rebalance", *_PLACE).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    pending.partitionBy(*_PLACE).parquet(f"{path}/pending", compression="zstd")
     recover(spark, path)
 
 
@@ -108,19 +124,24 @@ def _schema(layout: dict) -> T.StructType:
 
 
 def _rows(spark: SparkSession, path: str, layout: dict) -> DataFrame:
-    return spark.read.schema(_schema(layout)).parquet(f"{path}/rows")
+    """The stored rows with the hash of their text."""
+    return spark.read.schema(_schema(layout)).parquet(f"{path}/rows").withColumn("text_hash", _hash())
 
 
 def _write(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*_PLACE).parquet(f"{path}/rows")
+    writer.partitionBy(*_PLACE).parquet(f"{path}/rows", compression="zstd")
 
 
 def _keyed(docs: DataFrame, route: str, buckets: int) -> DataFrame:
     """Documents with the hash of their text and their place."""
     shard = F.nullif(F.col("shard").cast("string"), F.lit(""))
     bucket = F.pmod(F.xxhash64(F.expr(route)), F.lit(buckets)).cast("int")
-    return docs.withColumns({"shard": shard, "text_hash": F.sha2("text", 256), "bucket": bucket})
+    return docs.withColumns({"shard": shard, "text_hash": _hash(), "bucket": bucket})
+
+
+def _hash() -> Column:
+    return F.sha2("text", 256)
 
 
 def _encoded(rows: DataFrame, encoder: Encoder, at: str) -> DataFrame:
@@ -136,6 +157,8 @@ def _numbers(places: DataFrame) -> list[int]:
     return [r["bucket"] for r in places.select("bucket").distinct().collect()]
 
 
-def _semi(left: DataFrame, right: DataFrame, columns: list[str], how: str = "left_semi") -> DataFrame:
-    """Rows with (or without) a partner; null equals null."""
-    return left.alias("l").join(right.select(*columns).alias("r"), null_safe_equal("l", "r", columns), how)
+def _semi(left: DataFrame, right: DataFrame, columns: list[str], how: str = "left_semi", few: bool = False) -> DataFrame:
+    """Rows with (or without) a partner; null equals null. ``few`` partners are broadcast."""
+    partners = right.select(*columns)
+    partners = F.broadcast(partners) if few else partners
+    return left.alias("l").join(partners.alias("r"), null_safe_equal("l", "r", columns), how)

@@ -11,9 +11,9 @@ from carelake.operators import corpus, index, interactions, retrieval
 from carelake.operators.analytics import distinct_codes
 from carelake.plans.claims_queries import sql_strip
 from carelake.operators.medications import find_medications, medication_rows
-from carelake.plans.domain import cte, run_sql, table, view
+from carelake.plans.domain import cte, in_slices, run_sql, table, view
 from carelake.plans.records_queries import RAW_MEDICATIONS
-from carelake.session import materialise, scratch_path
+from carelake.session import materialise, scratch_path, shuffles_freed
 from carelake.sources.readers import list_files
 
 # Fixed value: Python's whitespace as a class of the oracle's regex engine.
@@ -130,9 +130,13 @@ def _index_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _index_one_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index run of one patient over a stored index of all: their rows are replaced, others stay."""
-    meds, path = view(spark, sf_dir, "medications"), scratch_path(spark, "index")
-    index.create(corpus.medication_documents(meds), letter_profile, path, INDEXED_AT, route="element_at(metadata, 'patient')")
-    own = corpus.medication_documents(find_medications(meds, patient_id="42"))
+    meds, path, found = view(spark, sf_dir, "medications"), scratch_path(spark, "index"), scratch_path(spark, "own")
+    slices = in_slices(spark, sf_dir, meds, "encounter")
+    index.create([corpus.medication_documents(part) for part in slices], letter_profile, path, INDEXED_AT, route="element_at(metadata, 'patient')")
+    with shuffles_freed(spark):
+        for part in slices:
+            find_medications(part, patient_id="42").write.mode("append").parquet(found)
+    own = corpus.medication_documents(spark.read.schema(meds.schema).parquet(found))
     index.update(spark, path, own, letter_profile, "2024-03-01 00:00:00")
     return index.read(spark, path).select("id", "text", F.date_format("indexed_at", "yyyy-MM-dd").alias("indexed_on"))
 

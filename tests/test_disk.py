@@ -1,18 +1,22 @@
 """What queries leave on disk while they run: sources, shuffles, states."""
 
 import os
+import sys
 import time
 
+import numpy as np
 import pytest
 from conftest import rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from test_cleaning import claims
 
-from carelake.operators import cleaning
-from carelake.plans import domain, lake_queries
+from carelake.operators import cleaning, corpus, index
+from carelake.plans import domain, lake_queries, retrieval_queries
 from carelake.session import held
 from carelake.streaming import files
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TABLES = {
     "customer": "id AS c_custkey, concat('C', id) AS c_name FROM range(50)",
     "supplier": "id AS s_suppkey, concat('S', id) AS s_name FROM range(4)",
@@ -20,7 +24,7 @@ TABLES = {
     # an order without a customer, and one that comes twice
     "orders": "id % 400 AS o_orderkey, if(id = 7, NULL, id % 50) AS o_custkey, 'F' AS o_orderstatus, concat(id % 5, '-P') AS o_orderpriority FROM range(401)",
     "lineitem": "if(id = 5, NULL, id % 400) AS l_orderkey, id % 60 AS l_partkey, id % 4 AS l_suppkey, if(id % 100 = 11, NULL, int(id div 500)) AS l_linenumber,"
-    " double(id % 5) AS l_quantity, 12.5d AS l_extendedprice, timestamp'2001-02-03' AS l_shipdate FROM range(3000)",
+    " double(id % 5) AS l_quantity, 12.5d AS l_extendedprice, timestamp'2001-02-03' AS l_shipdate, 'O' AS l_linestatus, 'N' AS l_returnflag FROM range(3000)",
 }
 
 
@@ -141,3 +145,44 @@ def test_new_claims_are_shuffled_once(spark):
     # the claims once; the known claims for their own keep-first and for the digests
     assert plan.count("Exchange hashpartitioning") == 3
     assert found.dtypes == cleaning.clean_claims(raw).dtypes
+
+
+def letters(texts):
+    return np.array([[len(t), 1.0] for t in texts], dtype=np.float64).reshape(len(texts), 2)
+
+
+def test_an_index_in_parts_is_that_of_all_and_stores_no_text_hash(spark, tmp_path):
+    docs = spark.range(300).selectExpr("if(id = 7, NULL, concat('d', id div 2)) AS id", "if(id = 9, NULL, concat('text ', id)) AS text", "concat('s', id % 2) AS shard")
+    read = lambda path: rows(index.read(spark, path).select("id", "text", "shard", "vector", "text_hash", "indexed_at"))
+    one, parted = f"{tmp_path}/one", f"{tmp_path}/parted"
+    before = shuffled(spark)
+    index.create(docs, letters, one, "2024-01-01 00:00:00", buckets=4)
+    index.create([docs.filter("shard = 's0'"), docs.filter("false"), docs.filter("shard = 's1'")], letters, parted, "2024-01-01 00:00:00", buckets=4)
+    assert read(parted) == read(one) and len(read(one)) == 300
+    assert "text_hash" not in spark.read.parquet(f"{parted}/rows").columns
+    change = docs.filter("id < 'd2'").withColumn("text", F.concat("text", F.lit(" new")))
+    for path in (one, parted):
+        index.update(spark, path, change, letters, "2024-01-02 00:00:00")
+    assert read(parted) == read(one) != [] and "text_hash" not in spark.read.parquet(f"{parted}/rows").columns
+    assert shuffled(spark, before) <= before
+
+
+def test_an_index_that_stores_text_hashes_is_kept_up(spark, tmp_path):
+    docs, path = spark.range(40).selectExpr("concat('d', id) AS id", "concat('text ', id) AS text", "'s' AS shard"), f"{tmp_path}/old"
+    old = index._encoded(index._keyed(docs, "id", 4), letters, "2024-01-01 00:00:00")
+    spark.createDataFrame([(4, "id", old.schema.json())], "buckets int, route string, schema string").write.parquet(f"{path}/layout")
+    index._write(old, path)
+    index.update(spark, path, docs.filter("id < 'd2'").withColumn("text", F.lit("new")), letters, "2024-01-02 00:00:00")
+    stored = spark.read.schema(old.schema).parquet(f"{path}/rows").filter("indexed_at IS NOT NULL")
+    assert rows(stored.select("id", "text", "text_hash")) == rows(stored.selectExpr("id", "text", "sha2(text, 256)"))
+    assert stored.count() == 40 and stored.filter("text = 'new'").count() == 12
+
+
+def test_index_one_patient_holds_one_slice_of_shuffles(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(retrieval_queries, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    before = shuffled(spark)
+    found = retrieval_queries.QUERIES["index_one_patient"](spark, tables)
+    assert shuffled(spark, before) <= before
+    docs = corpus.medication_documents(domain.view(spark, tables, "medications"))
+    own = F.when(F.col("metadata")["patient"] == "42", "2024-03-01").otherwise("2024-02-01")
+    assert rows(found.select("id", "text", "indexed_on")) == rows(docs.select("id", "text", own)) and found.filter("indexed_on = '2024-03-01'").count() > 10
