@@ -13,7 +13,7 @@ from carelake.functions.dates import parse_date
 from carelake.functions.numbers import nullable_number
 from carelake.functions.rows import null_safe_equal, row_hash_of
 from carelake.functions.text import blank_to_null, is_missing, strip, strip_or_empty
-from carelake.session import materialise
+from carelake.session import materialise, shuffles_freed
 
 # The claims schema, in column order.
 CLAIM_TYPES = {
@@ -43,8 +43,9 @@ NUMERIC = ["unit_price", "quantity", "net_amount"]
 REQUIRED_CODES = ["claim_id", "diagnosis_code", "procedure_code"]
 CURRENCY = "^[A-Z]{3}$"
 DEFAULT_CURRENCY = "USD"
-# Claim ids that are broadcast at most.
+# Claim ids that are broadcast at most, and the slices in which the rows of more are read again.
 FEW_IDS = 100_000
+REREAD_SLICES = 4
 # Types whose text tells their values apart.
 _PLAIN = (StringType, IntegralType, FloatType, DoubleType, BooleanType, DateType, TimestampNTZType)
 
@@ -226,7 +227,8 @@ def stored_quality_report(raw: DataFrame, by: Sequence[str]) -> DataFrame:
     """:func:`quality_report` per ``by`` group of rows that are stored, and so may be read twice, without shuffling whole claims.
 
     A claim id whose valid rows all give the same answers counts the same whichever of them is first, so the rows are shuffled as
-    the id and the row's answers alone. Ids whose rows differ are noted, and only their rows are read again for the kept claim.
+    the id and the row's answers alone. Ids whose rows differ are noted, and only their rows are read again for the kept claim; where such
+    ids are many, in slices by id, so that disk holds the shuffles of one slice.
     """
     late = ["dropped_missing_codes", "corrected_currency", "rows_amount_mismatch", "dropped_invalid_dates", "clean_rows"]
     early = {n: f"dropped_{n}" for n in ("missing_date", "invalid_numerics", "non_positive_qty")}
@@ -250,11 +252,16 @@ def stored_quality_report(raw: DataFrame, by: Sequence[str]) -> DataFrame:
     )
     counts = materialise(counts, "claim-counts")
     asked = counts.filter(F.col("asked_id").isNotNull()).select(*by, "asked_id")
-    if n := asked.count():
-        side = F.broadcast(asked) if n <= FEW_IDS else asked
-        same = null_safe_equal("r", "a", by) & (strip_or_empty(F.col("r.claim_id")) == F.col("a.asked_id"))
-        kept = quality_report(raw.alias("r").join(side.alias("a"), same, "left_semi"), by).select(*by, *late)
-        counts = counts.unionByName(kept, allowMissingColumns=True)
+    few = (n := asked.count()) <= FEW_IDS
+    slices = min(n, 1) if few else REREAD_SLICES
+    same = null_safe_equal("r", "a", by) & (strip_or_empty(F.col("r.claim_id")) == F.col("a.asked_id"))
+    for i in range(slices):
+        own = lambda key: F.pmod(F.xxhash64(key), F.lit(slices)) == i  # noqa: E731, B023
+        side = F.broadcast(asked) if few else asked.filter(own("asked_id"))
+        again = raw if few else raw.filter(own(strip_or_empty(F.col("claim_id"))))
+        kept = quality_report(again.alias("r").join(side.alias("a"), same, "left_semi"), by).select(*by, *late)
+        with shuffles_freed(raw.sparkSession):
+            counts = counts.unionByName(materialise(kept, "kept-claims"), allowMissingColumns=True)
     report = [c for c in counts.columns if c not in (*by, "asked_id")]
     return counts.groupBy(*by).agg(*[total(F.col(n)).alias(n) for n in report])
 
